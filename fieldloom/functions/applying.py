@@ -141,6 +141,19 @@ def case_by_category(
     return result.otherwise(otherwise if dialect == "sql" else otherwise.cast("string"))
 
 
+def _replaced(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+    """Replace columns by values that all read the columns as they were.
+
+    The values get names of their own first: inside a lambda, Spark would resolve a
+    column replaced in the same projection to its new value.
+    """
+    temporary = {f: f"__value_{i}" for i, f in enumerate(values)}
+    computed = df.withColumns({temporary[f]: v for f, v in values.items()})
+    return computed.select(
+        *[col(temporary[c]).alias(c) if c in temporary else col(c) for c in df.columns]
+    )
+
+
 def _apply_compiled(df, rows, category, mode, order, syntax, dialect) -> DataFrame:
     spark = df.sparkSession
     actual = {fold(spark, c): c for c in df.columns}
@@ -162,8 +175,8 @@ def _apply_compiled(df, rows, category, mode, order, syntax, dialect) -> DataFra
 
     fields = _ordered(list(rules), mode, order)
     if mode == "snapshot":
-        return df.withColumns(
-            {f: case_by_category(df, f, rules[f], category, syntax, dialect) for f in fields}
+        return _replaced(
+            df, {f: case_by_category(df, f, rules[f], category, syntax, dialect) for f in fields}
         )
     for f in fields:
         df = df.withColumn(f, case_by_category(df, f, rules[f], category, syntax, dialect))
@@ -223,7 +236,7 @@ def _apply_lookup(
 
     fields = _ordered(targets, mode, order)
     if mode == "snapshot":
-        df = df.withColumns({f: value(f) for f in fields})
+        df = _replaced(df, {f: value(f) for f in fields})
     else:
         for f in fields:
             df = df.withColumn(f, value(f))
