@@ -26,9 +26,10 @@ from fieldloom.functions.inspect import (
     parts,
 )
 from fieldloom.functions.metadata import latest
-from fieldloom.operators.joins import SALTS, lookup_join
+from fieldloom.operators.joins import lookup_join
 from fieldloom.operators.pivots import pivot_wide
 from fieldloom.operators.schema import col, fold, is_case_sensitive
+from fieldloom.operators.skew import HOT_ROWS
 
 # Above this many rules, planning the CASE costs more than the lookup join.
 COMPILED_RULES = 500
@@ -50,7 +51,7 @@ def apply(
     form: str = "auto",
     version: str = "formula_id",
     limit_bytes: int | None = None,
-    salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Replace each target field by its category's formula.
 
@@ -89,7 +90,7 @@ def apply(
         if form == "compiled" or dialect == "sql":
             raise ValueError(f"more than {COMPILED_RULES} rules cannot be compiled")
     return _apply_lookup(
-        df, rules, category, mode, order, syntax, version, limit_bytes, salts
+        df, rules, category, mode, order, syntax, version, limit_bytes, hot_rows
     )
 
 
@@ -184,7 +185,7 @@ def _apply_compiled(df, rows, category, mode, order, syntax, dialect) -> DataFra
 
 
 def _apply_lookup(
-    df, rules, category, mode, order, syntax, version, limit_bytes, salts
+    df, rules, category, mode, order, syntax, version, limit_bytes, hot_rows
 ) -> DataFrame:
     spark = df.sparkSession
     rules = rules.withColumn("field_name", _folded(spark, F.col("field_name")))
@@ -219,7 +220,7 @@ def _apply_lookup(
         prefix="__rule_",
     )
     df = lookup_join(
-        df.withColumn("__category", col(category)), wide, "__category", "left", limit_bytes, salts
+        df.withColumn("__category", col(category)), wide, "__category", "left", limit_bytes, hot_rows
     )
 
     def value(field: str) -> Column:

@@ -30,9 +30,8 @@ def load_metadata(
     )
     owners = category_field.select(F.col("id").alias("category_field_id"), "category_id")
     names = field_names.select(F.col("id").alias("field_id"), "field_name")
-    # Many rules share one field name, few share a category: only the former is a lookup.
     named = lookup_join(rules, names, "field_id", "inner")
-    return named.join(owners, "category_field_id", "inner").select(
+    return lookup_join(named, owners, "category_field_id", "inner").select(
         "category_id", "field_name", "formula", "formula_id"
     )
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from fieldloom.operators.pivots import Aggregate, pivot_wide
 from fieldloom.operators.schema import col, fold, has_column, restore_schema
 from fieldloom.operators.sizing import fits_broadcast
+from fieldloom.operators.skew import HOT_ROWS, SALTED_TYPES, skew_join
 
 # Names Spark accepts for a join type, each with the form used below.
 JOIN_TYPES = {
@@ -32,7 +33,7 @@ JOIN_TYPES = {
 }
 
 DEFAULT_JOIN_COLUMN = "default"
-SALTS = 16
+STRATEGIES = ("plain", "lookup", "split")
 
 
 def join_type(name: str | None) -> str:
@@ -64,7 +65,7 @@ class JoinSpec:
     order_by: str | None = None
     matched_only: bool = False
     prefix: str = ""
-    lookup: bool = False
+    strategy: str = "plain"
 
     def prepared(self) -> DataFrame:
         if self.table is None:
@@ -103,7 +104,7 @@ def join_on_pairs(
     right: DataFrame,
     pairs: Sequence[tuple[str, str]],
     how: str | None = "inner",
-    lookup: bool = False,
+    strategy: str = "plain",
 ) -> DataFrame:
     """Equi-join on (left, right) column pairs, keeping one column per shared key name."""
     spark, how = left.sparkSession, join_type(how)
@@ -125,10 +126,12 @@ def join_on_pairs(
     by_fold = {fold(spark, c): t for c, t in temporary.items()}
     renamed = [(lk, by_fold.get(fold(spark, rk), rk)) for lk, rk in pairs]
 
-    if lookup and how in ("inner", "left", "semi", "anti"):
-        joined = _lookup(left, right, renamed, how)
-    else:
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
+    if strategy == "plain" or how not in SALTED_TYPES:
         joined = left.join(right, _condition(renamed), how)
+    else:
+        joined = _lookup(left, right, renamed, how, 0 if strategy == "split" else None)
 
     if how in ("semi", "anti"):
         return joined
@@ -146,40 +149,19 @@ def _condition(pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(and_, [col(a) == col(b) for a, b in pairs])
 
 
-def salted(
-    fact: DataFrame, dimension: DataFrame, salts: int = SALTS
-) -> tuple[DataFrame, DataFrame]:
-    """Spread each fact key over ``salts`` sub-keys and repeat the dimension per sub-key.
-
-    The salt mixes the row content with its input partition, so neither one hot key
-    nor a run of identical rows lands in a single task, and a retried task that sees
-    its rows in another order computes the same salts.
-    """
-    fact = fact.withColumn(
-        "__salt",
-        F.pmod(F.xxhash64(*[col(c) for c in fact.columns]) + F.spark_partition_id(), F.lit(salts))
-        .cast("int"),
-    )
-    repeats = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    return fact, dimension.withColumn("__dim_salt", repeats)
-
-
 def _lookup(
     left: DataFrame,
     right: DataFrame,
     pairs: Sequence[tuple[str, str]],
     how: str,
     limit_bytes: int | None = None,
-    salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     if how in ("semi", "anti"):
         right = right.select(*[col(r) for _, r in pairs])
     if fits_broadcast(right, limit_bytes):
         return left.join(F.broadcast(right), _condition(pairs), how)
-    salted_left, salted_right = salted(left, right, salts)
-    return salted_left.join(
-        salted_right, _condition([*pairs, ("__salt", "__dim_salt")]), how
-    ).drop("__salt", "__dim_salt")
+    return skew_join(left, right, pairs, how, hot_rows)
 
 
 def lookup_join(
@@ -188,18 +170,19 @@ def lookup_join(
     key: str,
     how: str = "left",
     limit_bytes: int | None = None,
-    salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Attach a dimension that is unique on ``key`` without shuffling on a hot key.
+    """Attach a dimension by ``key``, which both sides have, without a hot-key task.
 
-    Under ``limit_bytes`` (measured) the dimension is broadcast and the fact side is
-    not shuffled at all; beyond it both sides are joined on the key and a salt.
+    Under ``limit_bytes`` (measured; 0 skips measuring) the dimension is broadcast and
+    the fact side not shuffled at all; beyond it, keys of the fact side with more than
+    ``hot_rows`` rows are split.
     """
     how = join_type(how)
-    if how not in ("inner", "left", "semi", "anti"):
-        raise ValueError(f"lookup_join does not support {how!r}")
+    if how not in SALTED_TYPES:
+        raise ValueError(f"lookup_join supports {SALTED_TYPES}, not {how!r}")
     dimension = dimension.withColumnRenamed(key, f"__right_{key}")
-    joined = _lookup(fact, dimension, [(key, f"__right_{key}")], how, limit_bytes, salts)
+    joined = _lookup(fact, dimension, [(key, f"__right_{key}")], how, limit_bytes, hot_rows)
     return joined.drop(f"__right_{key}")
 
 
@@ -207,7 +190,7 @@ def join_chain(base: DataFrame, specs: Sequence[JoinSpec], on: str | None = None
     """Fold the specs over ``base``: pivot where asked, then equi-join."""
     return reduce(
         lambda left, spec: join_on_pairs(
-            left, spec.prepared(), _key_pairs(spec, on), spec.how, spec.lookup
+            left, spec.prepared(), _key_pairs(spec, on), spec.how, spec.strategy
         ),
         specs,
         base,
@@ -247,9 +230,8 @@ def update_from(
         (F.max_by(incoming, col(latest_by)) if latest_by else F.first(incoming)).alias("__new"),
         (F.lit(1) if latest_by else F.count(F.lit(1))).alias("__rows"),
     )
-    joined = small.join(
-        fresh, reduce(and_, [col(k) == F.col(f"__key_{i}") for i, k in enumerate(keys)]), "left"
-    )
+    # One row per key on this side, so only a hot key of small could overload a task.
+    joined = skew_join(small, fresh, [(k, f"__key_{i}") for i, k in enumerate(keys)], "left")
     repeated = F.raise_error(F.lit("update_from: the large side repeats a key"))
     new = F.when(F.col("__rows") > 1, repeated).otherwise(F.col("__new"))
     by_name = {c.lower(): c for c in small.columns}

@@ -6,14 +6,15 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldloom.operators.schema import col
 
 Aggregate = Callable[[Column], Column]
 
-# Beyond this many output columns one conditional aggregate per column costs more
-# than the second shuffle of Spark's own two-step pivot.
-CONDITIONAL_LIMIT = 100
+# Spark pivots fixed-width results in two steps with a shuffle each.  Up to this many
+# columns, one conditional aggregate per column in a single step is cheaper.
+CONDITIONAL_LIMIT = 32
 # Spark's own default for spark.sql.pivotMaxValues.
 MAX_PIVOT_VALUES = 10_000
 
@@ -33,6 +34,8 @@ def discover_values(df: DataFrame, name: str, limit: int = MAX_PIVOT_VALUES) ->
 
 
 def _label(value) -> str:
+    if isinstance(value, bool):
+        return str(value).lower()
     return "null" if value is None else str(value)
 
 
@@ -65,19 +68,24 @@ def pivot_wide(
         df = df.where(matches | col(name).isNull() if None in wanted else matches)
 
     grouped = df.groupBy(*[col(k) for k in keys])
-    if len(wanted) > CONDITIONAL_LIMIT:
-        wide = grouped.pivot(name, wanted).agg(_aggregate(col(value), order_by, agg))
-        return wide.withColumnsRenamed({_label(v): prefix + _label(v) for v in wanted})
+    labels = [prefix + _label(v) for v in wanted]
     if not wanted:
         return grouped.agg(F.count(F.lit(1)).alias("__n")).drop("__n")
+    whole = _aggregate(col(value), order_by, agg)
+    result_type = grouped.agg(whole.alias("v")).schema["v"].dataType
+    variable_width = isinstance(
+        result_type, T.StringType | T.BinaryType | T.ArrayType | T.MapType | T.StructType
+    )
+    if variable_width or len(wanted) > CONDITIONAL_LIMIT:
+        return grouped.pivot(name, wanted).agg(whole).toDF(*keys, *labels)
 
     def cell(v) -> Column:
         here = col(name).isNull() if v is None else col(name) == F.lit(v)
         result = _aggregate(F.when(here, col(value)), order_by, agg)
-        # Counts and lists over no rows are not null on their own.
+        # A count over no rows is not null on its own.
         return result if agg is None else F.when(F.bool_or(here), result)
 
-    return grouped.agg(*[cell(v).alias(prefix + _label(v)) for v in wanted])
+    return grouped.agg(*[cell(v).alias(label) for v, label in zip(wanted, labels)])
 
 
 def _aggregate(cell: Column, order_by: str | None, agg: Aggregate | None) -> Column:

@@ -519,10 +519,11 @@ def apply_customer_rules(spark, sf_dir):
 
 
 @query(CUSTOMER_APPLY_SQL, ("latest_rule",))
-def apply_customer_rules_salted(spark, sf_dir):
-    """As above, as if the rules were too large to broadcast."""
+def apply_customer_rules_split(spark, sf_dir):
+    """As above, as if the rules were too large to broadcast and categories were hot."""
     return apply(
-        tb.order_items(spark, sf_dir), tb.customer_rules(spark, sf_dir), form="lookup", limit_bytes=0
+        tb.order_items(spark, sf_dir), tb.customer_rules(spark, sf_dir), form="lookup",
+        limit_bytes=0, hot_rows=10,
     )
 
 
@@ -641,7 +642,7 @@ def join_composite_key(spark, sf_dir):
     )
     pairs = lines.groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n_lines"))
     keys = [("l_partkey", "l_partkey"), ("l_suppkey", "l_suppkey")]
-    return join_chain(lines, [JoinSpec(pairs, keys)])
+    return join_chain(lines, [JoinSpec(pairs, keys, strategy="split")])
 
 
 EAV_SQL = """
@@ -659,7 +660,7 @@ def eav_join(spark, sf_dir):
 @query("""
     SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, s_name
     FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey AND s_acctbal >= 0""")
-def lookup_salted(spark, sf_dir):
+def lookup_split(spark, sf_dir):
     """A lookup join as if the dimension were too large to broadcast."""
     lines = tb.read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"
@@ -667,7 +668,7 @@ def lookup_salted(spark, sf_dir):
     suppliers = tb.read(spark, sf_dir, "supplier").where("s_acctbal >= 0").select(
         F.col("s_suppkey").alias("l_suppkey"), "s_name"
     )
-    return lookup_join(lines, suppliers, "l_suppkey", "left", limit_bytes=0)
+    return lookup_join(lines, suppliers, "l_suppkey", "left", limit_bytes=0, hot_rows=100)
 
 
 UPDATE_SQL = """

@@ -20,8 +20,8 @@ MAX_NAMES = 10_000
 
 def join_categories(items: DataFrame, item_category: DataFrame) -> DataFrame:
     """Items with their categories; uncategorised items leave, n categories give n rows."""
-    spec = JoinSpec(item_category, ["category_item_id"], "inner")
-    return join_chain(items, [spec], on="item_id").drop("item_id")
+    spec = JoinSpec(items, [("category_item_id", "item_id")], "inner", strategy="split")
+    return join_chain(item_category, [spec]).drop("item_id")
 
 
 def eav(values: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
@@ -46,8 +46,9 @@ def widen_items(
     custom_field_values: Sequence[str] | None = None,
     prefix: Mapping[str, str] | None = None,
     keep_keys: bool = False,
+    on: str = "category_item_id",
 ) -> DataFrame:
-    """Items ⟕ pivoted attributes ⟕ pivoted custom fields, on category_item_id.
+    """Items ⟕ pivoted attributes ⟕ pivoted custom fields, on the item's id.
 
     Given value lists, only those become columns: no job looks them up and other EAV
     rows are dropped before the shuffle.  ``prefix`` renames the columns of
@@ -71,7 +72,7 @@ def widen_items(
             ("custom_field", custom_fields, custom_field_values),
         )
     ]
-    wide = join_chain(items, specs, on="category_item_id")
+    wide = join_chain(items, specs, on=on)
     return wide if keep_keys else wide.drop("attribute_item_id", "custom_field_item_id")
 
 
@@ -100,14 +101,18 @@ def enrich(
     if referenced_only:
         used = names_in_use(formulas, options.get("syntax", "lenient"))
         values = {kind: _held(tables[kind], f"{kind}_name", used) for kind in values}
+    # Widened before categories repeat items, so each item is shuffled once and every
+    # side of these joins holds one row per item.
     wide = widen_items(
-        join_categories(tables["item"], tables["item_category"]),
+        tables["item"],
         eav(tables["item_attribute_value"], tables["attribute"], "attribute_id"),
         eav(tables["item_custom_field_value"], tables["custom_field"], "custom_field_id"),
         values["attribute"],
         values["custom_field"],
         prefix,
+        on="item_id",
     )
+    wide = join_categories(wide, tables["item_category"])
     return apply(wide, formulas, **options)
 
 
