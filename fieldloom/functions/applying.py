@@ -2,9 +2,11 @@
 
 Two physical forms give equal results.  The *compiled* form turns a small rule set
 into one CASE per target field: a narrow projection, no join.  The *lookup* form
-keeps the rules as data: one row per category with a parsed formula per target,
-attached by a size-checked join and evaluated by higher-order functions, so neither
-plan size nor driver memory grows with the number of rules.
+keeps the rules as data, one row per category with a parsed rule per target, attached
+by a size-checked join, so neither plan size nor driver memory grows with the number
+of rules.  Rules usually differ in category and literals but not in shape, so each
+shape is compiled once and takes its literals from the rule; only rules of very many
+shapes are evaluated part by part with higher-order functions.
 """
 
 from __future__ import annotations
@@ -29,10 +31,14 @@ from fieldloom.functions.metadata import latest
 from fieldloom.operators.joins import lookup_join
 from fieldloom.operators.pivots import pivot_wide
 from fieldloom.operators.schema import col, fold, is_case_sensitive
+from fieldloom.operators.sizing import ROW_OVERHEAD_BYTES, settled
 from fieldloom.operators.skew import HOT_ROWS
 
 # Above this many rules, planning the CASE costs more than the lookup join.
 COMPILED_RULES = 500
+# Distinct (field, shape) pairs up to which the lookup form compiles each shape.
+COMPILED_SHAPES = 200
+UNRESOLVED = -1
 REPORTED_PROBLEMS = 20
 SECOND_FORMULA = "second formula for its category and field"
 
@@ -52,6 +58,8 @@ def apply(
     version: str = "formula_id",
     limit_bytes: int | None = None,
     hot_rows: int = HOT_ROWS,
+    max_rules: int = COMPILED_RULES,
+    max_shapes: int = COMPILED_SHAPES,
 ) -> DataFrame:
     """Replace each target field by its category's formula.
 
@@ -82,15 +90,16 @@ def apply(
     if dialect == "concat" and syntax == "strict":
         rules = _only_valid(rules, on_invalid)
 
+    # A limit on the table as loaded stops early; one on ``rules`` would read it all.
     if form != "lookup":
-        small = rules.select("category_id", "field_name", "formula")
-        rows = small.limit(COMPILED_RULES + 1).collect()
-        if len(rows) <= COMPILED_RULES:
+        few = len(formulas.select("category_id").limit(max_rules + 1).collect()) <= max_rules
+        if few:
+            rows = rules.select("category_id", "field_name", "formula").collect()
             return _apply_compiled(df, rows, category, mode, order, syntax, dialect)
         if form == "compiled" or dialect == "sql":
-            raise ValueError(f"more than {COMPILED_RULES} rules cannot be compiled")
+            raise ValueError(f"more than {max_rules} rules cannot be compiled")
     return _apply_lookup(
-        df, rules, category, mode, order, syntax, version, limit_bytes, hot_rows
+        df, rules, category, mode, order, syntax, version, limit_bytes, hot_rows, max_shapes
     )
 
 
@@ -185,55 +194,67 @@ def _apply_compiled(df, rows, category, mode, order, syntax, dialect) -> DataFra
 
 
 def _apply_lookup(
-    df, rules, category, mode, order, syntax, version, limit_bytes, hot_rows
+    df, rules, category, mode, order, syntax, version, limit_bytes, hot_rows, max_shapes
 ) -> DataFrame:
     spark = df.sparkSession
-    rules = rules.withColumn("field_name", _folded(spark, F.col("field_name")))
+    rules = settled(rules.withColumn("field_name", _folded(spark, F.col("field_name"))))
     if version not in rules.columns:
-        repeated = rules.groupBy("category_id", "field_name").agg(F.min("formula").alias("formula"), F.count(F.lit(1)).alias("n"))
-        bad = repeated.where("n > 1").limit(REPORTED_PROBLEMS).collect()
-        if bad:
-            raise FormulaError((r["formula"], SECOND_FORMULA) for r in bad)
-    targets, referenced = _names_used(df, rules, syntax)
+        _check_single(rules)
+
+    parsed = rules.select(
+        F.col("category_id").alias("__category"),
+        "field_name",
+        _parsed(df, F.col("formula"), syntax).alias("parts"),
+    ).withColumn("shape", _shape(F.col("parts")))
+    # What the driver gets is bounded: a few integers per distinct shape and field.
+    size = F.octet_length(F.to_json("parts")) + ROW_OVERHEAD_BYTES
+    shapes = (
+        parsed.groupBy("field_name", "shape")
+        .agg(F.sum(size.cast("long")).alias("size"))
+        .limit(max_shapes + 1)
+        .collect()
+    )
+    if len(shapes) <= max_shapes:
+        size_bytes = sum(r["size"] for r in shapes)
+        targets, referenced = _names_in(df, rules, syntax, shapes)
+    else:
+        shapes, size_bytes = None, None
+        targets, referenced = _names_used(df, rules, syntax)
     if not targets:
         return df
-    known = F.array(*[F.lit(fold(spark, c)) for c in referenced] or [F.lit("")])
 
-    def parsed(part: Column) -> Column:
-        source = F.array_position(known, _folded(spark, field_name(part))).cast("int")
-        return F.struct(
-            F.when(is_field(part), source).otherwise(F.lit(0)).alias("source"),
-            F.when(is_quoted(part), body(part)).otherwise(part).alias("text"),
+    number = {f: i for i, f in enumerate(targets)}
+    by_field = {f: [] for f in targets}
+    for row in shapes or ():
+        by_field[_actual(df)[row["field_name"]]].append(row["shape"])
+
+    # One row per category, at most one rule per target column.
+    rule = F.struct("parts")
+    if shapes:
+        rule = F.struct(
+            _shape_number(df, by_field).alias("shape"),
+            F.transform(
+                F.filter("parts", lambda p: p["source"] == 0), lambda p: p["text"]
+            ).alias("literals"),
         )
-
-    # One row per category, at most one parsed formula per target column.
     wide = pivot_wide(
-        rules.select(
-            F.col("category_id").alias("__category"),
-            "field_name",
-            F.transform(parts(F.col("formula"), syntax), parsed).alias("parts"),
-        ),
+        parsed.select("__category", "field_name", rule.alias("rule")),
         ["__category"],
         "field_name",
-        "parts",
+        "rule",
         values=[fold(spark, t) for t in targets],
-        prefix="__rule_",
-    )
+    ).toDF("__category", *[f"__rule_{i}" for i in number.values()])
     df = lookup_join(
-        df.withColumn("__category", col(category)), wide, "__category", "left", limit_bytes, hot_rows
+        df.withColumn("__category", col(category)), wide, "__category", "left",
+        limit_bytes, hot_rows, size_bytes,
     )
 
     def value(field: str) -> Column:
-        def text(part: Column) -> Column:
-            # Tested in order, so only the column a part refers to is cast to text.
-            chosen = F.when(part["source"] == 0, part["text"])
-            for i, name in enumerate(referenced, start=1):
-                chosen = chosen.when(part["source"] == i, as_text(df, name))
-            return chosen
-
-        rule = col(f"__rule_{fold(spark, field)}")
+        rule = col(f"__rule_{number[field]}")
         kept = F.when(rule.isNull(), col(field).cast("string"))
-        return kept.otherwise(F.concat_ws("", F.transform(rule, text)))
+        if shapes:
+            return _by_shape(df, kept, rule, by_field[field])
+        return kept.otherwise(_by_part(df, rule["parts"], referenced))
 
     fields = _ordered(targets, mode, order)
     if mode == "snapshot":
@@ -241,17 +262,108 @@ def _apply_lookup(
     else:
         for f in fields:
             df = df.withColumn(f, value(f))
-    return df.drop("__category", *[f"__rule_{fold(spark, t)}" for t in targets])
+    return df.drop("__category", *[f"__rule_{i}" for i in number.values()])
+
+
+def _actual(df: DataFrame) -> dict[str, str]:
+    return {fold(df.sparkSession, c): c for c in df.columns}
 
 
 def _folded(spark: SparkSession, name: Column) -> Column:
     return name if is_case_sensitive(spark) else F.lower(name)
 
 
+def _check_single(rules: DataFrame) -> None:
+    counted = rules.groupBy("category_id", "field_name").agg(
+        F.min("formula").alias("formula"), F.count(F.lit(1)).alias("n")
+    )
+    repeated = counted.where("n > 1").limit(REPORTED_PROBLEMS).collect()
+    if repeated:
+        raise FormulaError((r["formula"], SECOND_FORMULA) for r in repeated)
+
+
+def _parsed(df: DataFrame, formula: Column, syntax: str) -> Column:
+    """Parts as (source, text): the position of the column read, 0 for a literal, or
+    UNRESOLVED."""
+    spark = df.sparkSession
+    known = F.array(*[F.lit(fold(spark, c)) for c in df.columns])
+
+    def part(p: Column) -> Column:
+        position = F.array_position(known, _folded(spark, field_name(p))).cast("int")
+        source = (
+            F.when(p == '"', UNRESOLVED)
+            .when(is_field(p), F.when(position > 0, position).otherwise(UNRESOLVED))
+            .otherwise(0)
+        )
+        return F.struct(
+            source.alias("source"), F.when(is_quoted(p), body(p)).otherwise(p).alias("text")
+        )
+
+    return F.transform(parts(formula, syntax), part)
+
+
+def _shape(parsed: Column) -> Column:
+    """What a formula does apart from the texts of its literals."""
+    return F.array_join(F.transform(parsed, lambda p: p["source"].cast("string")), ",")
+
+
+def _sources(shape: str) -> list[int]:
+    return [int(s) for s in shape.split(",") if s]
+
+
+def _shape_number(df: DataFrame, by_field: Mapping[str, Sequence[str]]) -> Column:
+    number = F.lit(None).cast("int")
+    for field, shapes in by_field.items():
+        listed = F.array(*[F.lit(s) for s in shapes])
+        here = F.col("field_name") == fold(df.sparkSession, field)
+        number = F.when(here, F.array_position(listed, F.col("shape")).cast("int")).otherwise(number)
+    return number
+
+
+def _by_shape(df: DataFrame, kept: Column, rule: Column, shapes: Sequence[str]) -> Column:
+    """One compiled concatenation per shape, its literals taken from the rule."""
+    for i, shape in enumerate(shapes, start=1):
+        pieces, literals = [], 0
+        for source in _sources(shape):
+            if source:
+                pieces.append(as_text(df, df.columns[source - 1]))
+            else:
+                pieces.append(F.get(rule["literals"], literals))
+                literals += 1
+        kept = kept.when(rule["shape"] == i, F.concat_ws("", *pieces))
+    return kept
+
+
+def _by_part(df: DataFrame, parsed: Column, referenced: Sequence[str]) -> Column:
+    """Evaluate parts one by one, for rules of too many shapes to compile."""
+    position = {c: i for i, c in enumerate(df.columns, start=1)}
+
+    def text(p: Column) -> Column:
+        # Tested in order, so only the column a part refers to is cast to text.
+        chosen = F.when(p["source"] == 0, p["text"])
+        for name in referenced:
+            chosen = chosen.when(p["source"] == position[name], as_text(df, name))
+        return chosen
+
+    return F.concat_ws("", F.transform(parsed, text))
+
+
+def _names_in(df, rules, syntax, shapes) -> tuple[list[str], list[str]]:
+    """Target and referenced columns of the collected shapes, all of which resolve."""
+    actual = _actual(df)
+    fields = {r["field_name"] for r in shapes}
+    sources = {s for r in shapes for s in _sources(r["shape"])} - {0}
+    if UNRESOLVED in sources or not fields <= set(actual):
+        return _names_used(df, rules, syntax)  # raises, naming the culprits
+    targets = sorted(actual[f] for f in fields)
+    referenced = sorted(df.columns[s - 1] for s in sources)
+    _check_targets(df, [*targets, *referenced])
+    return targets, referenced
+
+
 def _names_used(df: DataFrame, rules: DataFrame, syntax: str) -> tuple[list[str], list[str]]:
     """Target and referenced columns, after checking that all of them resolve."""
-    spark = df.sparkSession
-    actual = {fold(spark, c): c for c in df.columns}
+    spark, actual = df.sparkSession, _actual(df)
     uses = F.concat(
         F.array(F.struct(F.lit("target").alias("use"), F.col("field_name").alias("name"))),
         F.transform(
@@ -273,6 +385,6 @@ def _names_used(df: DataFrame, rules: DataFrame, syntax: str) -> tuple[list[str]
             for r in bad[:REPORTED_PROBLEMS]
         )
     targets = sorted(actual[r["name"]] for r in rows if r["use"] == "target")
-    fields = sorted(actual[r["name"]] for r in rows if r["use"] == "field")
-    _check_targets(df, targets + fields)
-    return targets, fields
+    referenced = sorted(actual[r["name"]] for r in rows if r["use"] == "field")
+    _check_targets(df, [*targets, *referenced])
+    return targets, referenced

@@ -156,10 +156,11 @@ def _lookup(
     how: str,
     limit_bytes: int | None = None,
     hot_rows: int = HOT_ROWS,
+    size_bytes: int | None = None,
 ) -> DataFrame:
     if how in ("semi", "anti"):
         right = right.select(*[col(r) for _, r in pairs])
-    if fits_broadcast(right, limit_bytes):
+    if fits_broadcast(right, limit_bytes, size_bytes):
         return left.join(F.broadcast(right), _condition(pairs), how)
     return skew_join(left, right, pairs, how, hot_rows)
 
@@ -171,18 +172,20 @@ def lookup_join(
     how: str = "left",
     limit_bytes: int | None = None,
     hot_rows: int = HOT_ROWS,
+    size_bytes: int | None = None,
 ) -> DataFrame:
     """Attach a dimension by ``key``, which both sides have, without a hot-key task.
 
-    Under ``limit_bytes`` (measured; 0 skips measuring) the dimension is broadcast and
-    the fact side not shuffled at all; beyond it, keys of the fact side with more than
-    ``hot_rows`` rows are split.
+    Up to ``limit_bytes`` (0: never) the dimension is broadcast and the fact side not
+    shuffled at all; beyond it, keys of the fact side with more than ``hot_rows`` rows
+    are split.  The dimension is measured unless ``size_bytes`` is given.
     """
     how = join_type(how)
     if how not in SALTED_TYPES:
         raise ValueError(f"lookup_join supports {SALTED_TYPES}, not {how!r}")
     dimension = dimension.withColumnRenamed(key, f"__right_{key}")
-    joined = _lookup(fact, dimension, [(key, f"__right_{key}")], how, limit_bytes, hot_rows)
+    pairs = [(key, f"__right_{key}")]
+    joined = _lookup(fact, dimension, pairs, how, limit_bytes, hot_rows, size_bytes)
     return joined.drop(f"__right_{key}")
 
 

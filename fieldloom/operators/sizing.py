@@ -36,6 +36,26 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return row["n"], row["size"] or 0
 
 
-def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:
+def fits_broadcast(
+    df: DataFrame, limit_bytes: int | None = None, size_bytes: int | None = None
+) -> bool:
+    """Whether ``df``, of ``size_bytes`` if known and measured if not, is small enough."""
     limit = BROADCAST_LIMIT_BYTES if limit_bytes is None else limit_bytes
-    return limit > 0 and measure(df)[1] <= limit
+    if limit <= 0:
+        return False
+    return (measure(df)[1] if size_bytes is None else size_bytes) <= limit
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, written once to the shared checkpoint folder where there is one.
+
+    For a small table that several jobs read: they all see the same rows, and do not
+    repeat the work behind them.  Without such a folder the table is left as it is.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            return df
+        context.setCheckpointDir(folder)
+    return df.checkpoint()

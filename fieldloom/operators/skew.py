@@ -71,6 +71,8 @@ def skew_join(
     """
     if how not in SALTED_TYPES:
         raise ValueError(f"skew_join supports {SALTED_TYPES}, not {how!r}")
+    if hot_rows < 1:
+        raise ValueError("hot_rows must be at least 1")
     fact_keys, dimension_keys = [p[0] for p in pairs], [p[1] for p in pairs]
     condition = reduce(and_, [col(a) == col(b) for a, b in pairs])
 

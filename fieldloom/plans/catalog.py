@@ -419,6 +419,19 @@ def apply_snapshot(spark, sf_dir):
     return apply(_categorised(spark, sf_dir), tb.rules(spark, tb.BASIC_RULES))
 
 
+@query("""
+    SELECT l_orderkey, l_partkey, l_suppkey, l_returnflag, l_linestatus,
+           CAST(l_linenumber AS BIGINT) AS category_id,
+           CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
+           CASE WHEN l_linenumber = 7 THEN l_returnflag ELSE 'L' || l_linenumber || '-'
+                || l_orderkey || '/' || l_partkey || '/' || l_suppkey END AS label,
+           CASE WHEN l_linenumber % 2 = 1 THEN '' ELSE l_returnflag || l_linestatus || ' ' END
+               || CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS price_text
+    FROM lineitem""")
+def apply_line_rules(spark, sf_dir):
+    return apply(tb.order_lines(spark, sf_dir), tb.rules(spark, tb.LINE_RULES))
+
+
 @query(SEQUENTIAL_SQL, ("categorised",))
 def apply_sequential(spark, sf_dir):
     return apply(

@@ -47,6 +47,17 @@ WIDE_RULES = (
     (10005, "item_name", '[item_name]&" x "&[qty_available]'),
 )
 
+# Rules over order lines, one category per line number.
+LINE_RULES = tuple(
+    (line, field, formula)
+    for line in LINES
+    for field, formula in (
+        ("label", f'"L{line}-"&[l_orderkey]&"/"&[l_partkey]&"/"&[l_suppkey]'),
+        ("price_text", "[price]" if line % 2 else '[l_returnflag]&[l_linestatus]&" "&[price]'),
+    )
+    if (line, field) != (7, "label")
+)
+
 SQL_RULES = (
     (10001, "price", "price - (price * qty_available / 100)"),
     (10001, "short_description", "concat(brand_name, ' ', my_part_number)"),
@@ -246,6 +257,17 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as items, categorised by line number."""
+    return read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
+        F.col("l_linenumber").cast("long").alias("category_id"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+        F.col("l_returnflag").alias("label"),
+        F.lit(None).cast("string").alias("price_text"),
+    )
+
+
 def draft_formulas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One formula per document around its whole text: valid, broken or unresolvable."""
     text, lang, source = F.col("text"), F.col("lang"), F.col("source")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from fieldloom.operators.schema import rename_to_target, select_existing
 from fieldloom.sinks.tables import check_unique
@@ -86,13 +86,17 @@ def jdbc_upsert(
     statement = upsert_statement(table, staging, rows.columns, keys, dialect)
     append_jdbc(rows, url, staging, properties, mode="overwrite")
     # Checked on what was staged, so the plan behind ``df`` runs only once.
-    check_unique(
-        df.sparkSession.read.jdbc(url, staging, properties=dict(properties or {})), keys
-    )
+    check_unique(_read_back(df.sparkSession, url, staging, properties), keys)
     execute(df, url, statement, properties)
     return skipped
 
 
+def _read_back(
+    spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None
+) -> DataFrame:
+    return spark.read.jdbc(url, table, properties=dict(properties or {}))
+
+
 def execute(
     df: DataFrame, url: str, statement: str, properties: Mapping[str, str] | None = None
 ) -> None:

@@ -22,6 +22,8 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    if not session.sparkContext.getConf().get("spark.checkpoint.dir"):
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
 
