@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,3 +79,13 @@ def compile_formula(df: DataFrame, formula: str, syntax: str = "lenient") -> Col
             for kind, text in formula_parts(formula, syntax)
         ],
     )
+
+
+def compile_map(
+    df: DataFrame, formulas: Mapping[int, Mapping[str, str | None]], syntax: str = "lenient"
+) -> dict[int, dict[str, Column]]:
+    """Every formula of a category → field → formula map; empty ones are left out."""
+    return {
+        category: {f: compile_formula(df, text, syntax) for f, text in fields.items() if text}
+        for category, fields in formulas.items()
+    }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +38,16 @@ def load_metadata(
     )
 
 
+def from_map(
+    spark: SparkSession, formulas: Mapping[int, Mapping[str, str | None]]
+) -> DataFrame:
+    """A hand-written category → field → formula map in the shape ``apply`` takes."""
+    rows = [(c, f, text) for c, fields in formulas.items() for f, text in fields.items()]
+    return spark.createDataFrame(
+        [(*row, i) for i, row in enumerate(rows)], FORMULA_SCHEMA
+    )
+
+
 def latest(formulas: DataFrame, version: str = "formula_id") -> DataFrame:
     """One row per (category, field): the one with the greatest ``version``.
 

@@ -10,10 +10,17 @@ from pyspark.sql import functions as F
 from fieldloom.functions.applying import apply
 from fieldloom.functions.inspect import references
 from fieldloom.operators.joins import JoinSpec, join_chain, lookup_join
-from fieldloom.operators.schema import col, fold, rename_to_target, select_existing
+from fieldloom.operators.schema import (
+    col,
+    fold,
+    invert_aliases,
+    is_case_sensitive,
+    rename_to_target,
+    select_existing,
+)
+from fieldloom.operators.sizing import settled
 from fieldloom.sinks.tables import dedupe
 from fieldloom.sources.catalogue import ALIASES, ITEM_READ_ONLY
-from fieldloom.operators.schema import invert_aliases
 
 MAX_NAMES = 10_000
 
@@ -80,7 +87,7 @@ def _held(dimension: DataFrame, name: str, used: Sequence[str]) -> list[str]:
     """Which of the used names are values of this dimension."""
     spark = dimension.sparkSession
     folded = {fold(spark, n) for n in used}
-    lowered = col(name) if fold(spark, "A") == "A" else F.lower(col(name))
+    lowered = col(name) if is_case_sensitive(spark) else F.lower(col(name))
     rows = dimension.where(lowered.isin(sorted(folded))).select(col(name)).distinct().collect()
     return sorted(r[0] for r in rows)
 
@@ -97,6 +104,8 @@ def enrich(
     With ``referenced_only`` just the attributes and custom fields that some formula
     reads or writes are pivoted.  ``options`` go to ``apply``.
     """
+    # Read once: the columns pivoted below and the rules applied must be the same.
+    formulas = settled(formulas)
     values = {"attribute": None, "custom_field": None}
     if referenced_only:
         used = names_in_use(formulas, options.get("syntax", "lenient"))

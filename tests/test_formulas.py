@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions import inspect
 from fieldloom.functions.applying import apply
-from fieldloom.functions.compiling import FormulaError, compile_formula, formula_parts
-from fieldloom.functions.metadata import FORMULA_SCHEMA, formula_map, latest
+from fieldloom.functions.compiling import (
+    FormulaError, compile_formula, compile_map, formula_parts,
+)
+from fieldloom.functions.metadata import FORMULA_SCHEMA, formula_map, from_map, latest
 
 # (formula, class, lenient value for a=A, b=NULL, x=X; None where it cannot be applied)
 VECTORS = [
@@ -306,3 +308,11 @@ def test_latest_and_map(spark):
     ]
     found = {r["category_id"]: r["formulas"] for r in formula_map(rules).collect()}
     assert found == {1: {"f": "new", "g": "x"}, 2: {"f": ""}}
+
+
+def test_maps(spark, items):
+    given = {1: {"target": "[a]", "x": None}, 2: {"target": ""}}
+    compiled = compile_map(items, given)
+    assert {c: sorted(f) for c, f in compiled.items()} == {1: ["target"], 2: []}
+    assert items.select(compiled[1]["target"].alias("v")).first()["v"] == "A"
+    assert apply(items, from_map(spark, given)).first()["target"] == "A"
