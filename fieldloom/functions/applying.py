@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.functions import grammar as g
@@ -85,16 +85,23 @@ def apply(
     if dialect == "sql" and form == "lookup":
         raise ValueError("SQL formulas can only be compiled")
 
-    rules = latest(formulas, version) if version in formulas.columns else formulas
+    versioned = version in formulas.columns
+    rules = latest(formulas, version) if versioned else formulas
     rules = rules.where(F.col("category_id").isNotNull() & (F.col("formula") != ""))
     if dialect == "concat" and syntax == "strict":
         rules = _only_valid(rules, on_invalid)
 
     # A limit on the table as loaded stops early; one on ``rules`` would read it all.
     if form != "lookup":
-        few = len(formulas.select("category_id").limit(max_rules + 1).collect()) <= max_rules
-        if few:
-            rows = rules.select("category_id", "field_name", "formula").collect()
+        columns = ["category_id", "field_name", "formula"] + [version] * versioned
+        loaded = formulas.select(*columns).limit(max_rules + 1).collect()
+        if len(loaded) <= max_rules:
+            rows = loaded
+            if dialect == "concat" and syntax == "strict":
+                rows = rules.select(*columns).collect()
+            elif versioned:
+                rows = _last(loaded, version)
+            rows = [r for r in rows if r["category_id"] is not None and r["formula"]]
             return _apply_compiled(df, rows, category, mode, order, syntax, dialect)
         if form == "compiled" or dialect == "sql":
             raise ValueError(f"more than {max_rules} rules cannot be compiled")
@@ -103,6 +110,13 @@ def apply(
     )
 
 
+def _last(rows: Sequence[Row], version: str) -> list[Row]:
+    """``latest`` for the few rows of a rule set that is compiled."""
+    known = [r for r in rows if r[version] is not None]
+    by_key = {(r["category_id"], r["field_name"]): r for r in sorted(known, key=lambda r: r[version])}
+    return list(by_key.values())
+
+
 def _only_valid(rules: DataFrame, on_invalid: str) -> DataFrame:
     verdict = error_class(F.col("formula"))
     if on_invalid == "fail":
@@ -244,10 +258,9 @@ def _apply_lookup(
         "rule",
         values=[fold(spark, t) for t in targets],
     ).toDF("__category", *[f"__rule_{i}" for i in number.values()])
-    df = lookup_join(
-        df.withColumn("__category", col(category)), wide, "__category", "left",
-        limit_bytes, hot_rows, size_bytes,
-    )
+    # Like types, so that a hot category can be recognised on both sides.
+    df = df.withColumn("__category", col(category).cast(wide.schema["__category"].dataType))
+    df = lookup_join(df, wide, "__category", "left", limit_bytes, hot_rows, size_bytes)
 
     def value(field: str) -> Column:
         rule = col(f"__rule_{number[field]}")
@@ -331,7 +344,7 @@ def _by_shape(df: DataFrame, kept: Column, rule: Column, shapes: Sequence[str])
                 pieces.append(F.get(rule["literals"], literals))
                 literals += 1
         kept = kept.when(rule["shape"] == i, F.concat_ws("", *pieces))
-    return kept
+    return kept.otherwise(F.raise_error(F.lit("the rules changed while they were applied")))
 
 
 def _by_part(df: DataFrame, parsed: Column, referenced: Sequence[str]) -> Column:

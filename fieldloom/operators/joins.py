@@ -105,8 +105,14 @@ def join_on_pairs(
     pairs: Sequence[tuple[str, str]],
     how: str | None = "inner",
     strategy: str = "plain",
+    limit_bytes: int | None = None,
+    hot_rows: int = HOT_ROWS,
+    size_bytes: int | None = None,
 ) -> DataFrame:
-    """Equi-join on (left, right) column pairs, keeping one column per shared key name."""
+    """Equi-join on (left, right) column pairs, keeping one column per shared key name.
+
+    The last three arguments are those of ``lookup_join``.
+    """
     spark, how = left.sparkSession, join_type(how)
     for side, names in ((left, [p[0] for p in pairs]), (right, [p[1] for p in pairs])):
         missing = [n for n in names if not has_column(side, n)]
@@ -114,9 +120,9 @@ def join_on_pairs(
             raise ValueError(f"join columns {missing} not found among {side.columns}")
 
     left_names = {fold(spark, c): c for c in left.columns}
-    right_keys = {fold(spark, r) for _, r in pairs}
+    same_key = {fold(spark, r) for k, r in pairs if fold(spark, k) == fold(spark, r)}
     shared = [c for c in right.columns if fold(spark, c) in left_names]
-    clashes = [c for c in shared if fold(spark, c) not in right_keys]
+    clashes = [c for c in shared if fold(spark, c) not in same_key]
     if clashes and how not in ("semi", "anti"):
         raise ValueError(f"columns on both sides would be ambiguous: {clashes}")
 
@@ -131,7 +137,8 @@ def join_on_pairs(
     if strategy == "plain" or how not in SALTED_TYPES:
         joined = left.join(right, _condition(renamed), how)
     else:
-        joined = _lookup(left, right, renamed, how, 0 if strategy == "split" else None)
+        limit_bytes = 0 if strategy == "split" else limit_bytes
+        joined = _lookup(left, right, renamed, how, limit_bytes, hot_rows, size_bytes)
 
     if how in ("semi", "anti"):
         return joined
@@ -154,9 +161,9 @@ def _lookup(
     right: DataFrame,
     pairs: Sequence[tuple[str, str]],
     how: str,
-    limit_bytes: int | None = None,
-    hot_rows: int = HOT_ROWS,
-    size_bytes: int | None = None,
+    limit_bytes: int | None,
+    hot_rows: int,
+    size_bytes: int | None,
 ) -> DataFrame:
     if how in ("semi", "anti"):
         right = right.select(*[col(r) for _, r in pairs])
@@ -183,10 +190,9 @@ def lookup_join(
     how = join_type(how)
     if how not in SALTED_TYPES:
         raise ValueError(f"lookup_join supports {SALTED_TYPES}, not {how!r}")
-    dimension = dimension.withColumnRenamed(key, f"__right_{key}")
-    pairs = [(key, f"__right_{key}")]
-    joined = _lookup(fact, dimension, pairs, how, limit_bytes, hot_rows, size_bytes)
-    return joined.drop(f"__right_{key}")
+    return join_on_pairs(
+        fact, dimension, [(key, key)], how, "lookup", limit_bytes, hot_rows, size_bytes
+    )
 
 
 def join_chain(base: DataFrame, specs: Sequence[JoinSpec], on: str | None = None) -> DataFrame:

@@ -96,9 +96,10 @@ def skew_join(
     def with_splits(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         return df.join(splits, F.xxhash64(*[col(k) for k in keys]) == F.col("__hot"), "left")
 
-    salt = F.pmod(_row_hash(fact), F.col("__salts")).cast("int")
+    is_hot = F.col("__salts").isNotNull()
+    salt = F.when(is_hot, F.pmod(_row_hash(fact), F.col("__salts")).cast("int")).otherwise(0)
     salted = with_splits(fact, fact_keys).select(
-        *[col(c) for c in fact.columns], F.coalesce(salt, F.lit(0)).alias("__salt")
+        *[col(c) for c in fact.columns], salt.alias("__salt")
     )
     sub_keys = F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)
     repeated = with_splits(dimension, dimension_keys).select(

@@ -10,6 +10,7 @@ the second reads and upserts a database.
 from __future__ import annotations
 
 import argparse
+import logging
 import os
 from collections.abc import Mapping, Sequence
 
@@ -18,22 +19,33 @@ from pyspark.sql import DataFrame, SparkSession
 from fieldloom.functions.metadata import load_metadata
 from fieldloom.plans.pipeline import enrich, pick_category, write_back
 from fieldloom.sinks.jdbc import jdbc_upsert
-from fieldloom.sinks.tables import upsert
+from fieldloom.sinks.tables import cast_losses, upsert
 from fieldloom.sources.catalogue import jdbc_reader, load_catalogue, parquet_reader
 from fieldloom.sources.jdbc import read_metadata
 
+logger = logging.getLogger(__name__)
+
 METADATA_TABLES = ("category_field", "formula", "lu_field_name")
 
 
 def enriched_items(
     tables: Mapping[str, DataFrame], formulas: DataFrame, **options
-) -> DataFrame:
-    """The item columns to write, one row per categorised item."""
+) -> tuple[DataFrame, DataFrame]:
+    """The item columns to write, one row per categorised item, in the types of the item
+    table; and per column the number of computed values its type cannot hold."""
     chosen = dict(tables, item_category=pick_category(tables["item_category"]))
-    return write_back(enrich(chosen, formulas, **options))[0]
+    rows, _ = write_back(enrich(chosen, formulas, **options))
+    return cast_losses(rows, tables["item"].withColumnRenamed("item_id", "id"))
+
+
+def _warn(losses: DataFrame) -> None:
+    for row in losses.where("n_lost > 0").collect():
+        logger.warning("%s values of %s do not fit its type", row["n_lost"], row["column_name"])
 
 
-def run_parquet(spark: SparkSession, root: str, output: str, **options) -> None:
+def run_parquet(
+    spark: SparkSession, root: str, output: str, report_losses: bool = False, **options
+) -> None:
     """Enrich the tables under ``root`` and write the new item table to ``output``."""
     target = f"{root}/item.parquet"
     if os.path.normpath(output) == os.path.normpath(target):
@@ -41,9 +53,11 @@ def run_parquet(spark: SparkSession, root: str, output: str, **options) -> None:
     formulas = load_metadata(
         *[spark.read.parquet(f"{root}/{name}.parquet") for name in METADATA_TABLES]
     )
-    rows = enriched_items(load_catalogue(parquet_reader(spark, root)), formulas, **options)
+    rows, losses = enriched_items(load_catalogue(parquet_reader(spark, root)), formulas, **options)
     # pick_category leaves one row per item, so the keys need no check.
     upsert(spark.read.parquet(target), rows, ["id"], unique="assume").write.parquet(output)
+    if report_losses:
+        _warn(losses)
 
 
 def run_jdbc(
@@ -53,6 +67,7 @@ def run_jdbc(
     properties: Mapping[str, str] | None = None,
     partitions: int = 10,
     dialect: str = "on_conflict",
+    report_losses: bool = False,
     **options,
 ) -> None:
     """Enrich a database catalogue and upsert its item table."""
@@ -60,7 +75,9 @@ def run_jdbc(
     category_field, formula, names = (f"{place}{t}" for t in METADATA_TABLES)
     formulas = read_metadata(spark, url, category_field, formula, names, properties)
     tables = load_catalogue(jdbc_reader(spark, url, schema, properties, partitions))
-    rows = enriched_items(tables, formulas, **options)
+    rows, losses = enriched_items(tables, formulas, **options)
+    if report_losses:
+        _warn(losses)
     jdbc_upsert(
         rows, url, f"{place}item", rows.columns, ["id"], properties=properties, dialect=dialect
     )
@@ -77,12 +94,17 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--partitions", type=int, default=10, help="parallel reads per table")
     parser.add_argument("--syntax", default="lenient", choices=("lenient", "strict"))
     parser.add_argument("--on-invalid", default="fail", choices=("fail", "skip"))
+    parser.add_argument(
+        "--report-losses", action="store_true",
+        help="also count computed values that their column's type cannot hold",
+    )
     given = parser.parse_args(arguments)
     if bool(given.url) == bool(given.tables) or bool(given.tables) != bool(given.output):
         parser.error("give either --url or both --tables and --output")
 
     spark = SparkSession.builder.appName("fieldloom").getOrCreate()
     options = {"syntax": given.syntax, "on_invalid": given.on_invalid}
+    options["report_losses"] = given.report_losses
     if given.tables:
         run_parquet(spark, given.tables, given.output, **options)
         return

@@ -83,12 +83,12 @@ def widen_items(
     return wide if keep_keys else wide.drop("attribute_item_id", "custom_field_item_id")
 
 
-def _held(dimension: DataFrame, name: str, used: Sequence[str]) -> list[str]:
-    """Which of the used names are values of this dimension."""
+def _held(dimension: DataFrame, name: str, used: Sequence[str], prefix: str) -> list[str]:
+    """The values of this dimension whose column, prefix included, is used."""
     spark = dimension.sparkSession
-    folded = {fold(spark, n) for n in used}
-    lowered = col(name) if is_case_sensitive(spark) else F.lower(col(name))
-    rows = dimension.where(lowered.isin(sorted(folded))).select(col(name)).distinct().collect()
+    wanted = {fold(spark, n[len(prefix):]) for n in used if n.startswith(prefix)}
+    value = col(name) if is_case_sensitive(spark) else F.lower(col(name))
+    rows = dimension.where(value.isin(sorted(wanted))).select(col(name)).distinct().collect()
     return sorted(r[0] for r in rows)
 
 
@@ -109,7 +109,10 @@ def enrich(
     values = {"attribute": None, "custom_field": None}
     if referenced_only:
         used = names_in_use(formulas, options.get("syntax", "lenient"))
-        values = {kind: _held(tables[kind], f"{kind}_name", used) for kind in values}
+        values = {
+            kind: _held(tables[kind], f"{kind}_name", used, (prefix or {}).get(kind, ""))
+            for kind in values
+        }
     # Widened before categories repeat items, so each item is shuffled once and every
     # side of these joins holds one row per item.
     wide = widen_items(

@@ -10,6 +10,8 @@ from fieldloom.operators.schema import rename_to_target, select_existing
 from fieldloom.sinks.tables import check_unique
 
 BATCH_SIZE = 5000
+# A database takes fewer writers than a cluster has tasks.
+CONNECTIONS = 32
 DIALECTS = ("merge", "on_conflict")
 
 
@@ -55,13 +57,16 @@ def upsert_statement(
 
 
 def append_jdbc(
-    df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
+    df: DataFrame,
+    url: str,
+    table: str,
+    properties: Mapping[str, str] | None = None,
     mode: str = "append",
+    connections: int = CONNECTIONS,
 ) -> None:
-    """Batched, distributed write: one connection per partition."""
-    df.write.option("batchsize", BATCH_SIZE).jdbc(
-        url, table, mode=mode, properties=dict(properties or {})
-    )
+    """Batched, distributed write: one connection per partition, at most ``connections``."""
+    writer = df.write.option("batchsize", BATCH_SIZE).option("numPartitions", connections)
+    writer.jdbc(url, table, mode=mode, properties=dict(properties or {}))
 
 
 def jdbc_upsert(

@@ -14,6 +14,9 @@ from fieldloom.operators.schema import col
 from fieldloom.operators.sizing import fits_broadcast
 
 
+LOSS_DDL = "column_name string, n_lost long"
+
+
 def dedupe(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], descending: bool = True
 ) -> DataFrame:
@@ -22,6 +25,8 @@ def dedupe(
     Aggregates map-side before the shuffle, so a hot key costs one row per task.
     """
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
     order = F.struct(*[col(c) for c in order_by])
     pick = F.max_by if descending else F.min_by
     return (
@@ -126,19 +131,14 @@ def cast_losses(source: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFr
         f.name for f in source.schema.fields
         if f.name in types and f.dataType != types[f.name]
     ]
+    if not changed:
+        return source, source.sparkSession.createDataFrame([], LOSS_DDL)
     casts = {c: col(c).try_cast(types[c]) for c in changed}
     losses = source.agg(
         *[F.count_if(col(c).isNotNull() & casts[c].isNull()).alias(c) for c in changed]
-        or [F.lit(0).alias("__none")]
     )
-    entries = [
-        F.struct(F.lit(c).alias("column_name"), col(c).alias("n_lost")) for c in changed
-    ]
-    report = losses.select(
-        F.explode(F.array(*entries) if entries
-                  else F.array().cast("array<struct<column_name:string,n_lost:bigint>>"))
-        .alias("r")
-    ).select("r.*")
+    entries = [F.struct(F.lit(c).alias("column_name"), col(c).alias("n_lost")) for c in changed]
+    report = losses.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
     return source.withColumns(casts), report
 
 

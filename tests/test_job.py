@@ -2,7 +2,9 @@ import pytest
 from conftest import rows
 from seed import TABLES, catalogue, formulas, table
 
+from fieldloom.functions.metadata import from_map
 from fieldloom.plans import job
+from fieldloom.plans.pipeline import enrich
 from fieldloom.sinks import jdbc
 
 
@@ -25,6 +27,30 @@ def test_parquet_job(spark, stored):
     ]
 
 
+def test_values_that_do_not_fit_are_counted(spark, stored, caplog):
+    tables = catalogue(spark)
+    rules = from_map(spark, {10001: {"qty_available": "[part_number]"}, 10002: {"qty_available": '"7"'}})
+    found, losses = job.enriched_items(tables, rules)
+    assert rows(found.select("id", "qty_available")) == [(10001, None), (10002, 7)]
+    assert rows(losses) == [("qty_available", 1)]
+    job._warn(losses)
+    assert "qty_available" in caplog.text
+
+
+def test_names_on_both_sides_are_refused_or_prefixed(spark):
+    tables = catalogue(spark)
+    tables["attribute"] = tables["attribute"].replace("length", "upc", "attribute_name")
+    rules = from_map(spark, {10001: {"short_description": "[upc]"}})
+    with pytest.raises(ValueError, match="ambiguous"):
+        enrich(tables, rules)
+    prefixed = from_map(spark, {10001: {"short_description": "[upc]&[attr_upc]"}})
+    for referenced_only in (True, False):
+        found = enrich(
+            tables, prefixed, referenced_only=referenced_only, prefix={"attribute": "attr_"}
+        )
+        assert rows(found.select("short_description"))[-1] == ("upc 123lenValue",)
+
+
 def test_the_source_is_not_overwritten(spark, stored):
     with pytest.raises(ValueError):
         job.run_parquet(spark, str(stored), f"{stored}/item.parquet")
@@ -40,7 +66,8 @@ def test_an_item_in_two_categories_is_written_once(spark):
     tables = catalogue(spark)
     second = spark.createDataFrame([(10003, 10002, 10001)], tables["item_category"].schema)
     tables["item_category"] = tables["item_category"].union(second)
-    found = job.enriched_items(tables, formulas(spark))
+    found, losses = job.enriched_items(tables, formulas(spark))
+    assert losses.count() == 0
     assert rows(found.select("id", "long_description")) == [
         (10001, "this is long description"), (10002, "retro"),
     ]

@@ -228,3 +228,13 @@ def test_lookup_pairs_with_shared_names(spark):
         joined = join_on_pairs(fact, dim, [("id", "id")], "left", strategy)
         assert joined.columns == ["id", "v", "w"]
         assert rows(joined) == [(1, "f", "d"), (2, "g", None)]
+
+
+def test_a_key_named_like_another_column_is_refused(spark):
+    left = spark.createDataFrame([(1, 5, "l")], "item_id long, id long, v string")
+    right = spark.createDataFrame([(1, "r")], "id long, w string")
+    with pytest.raises(ValueError, match="ambiguous"):
+        join_on_pairs(left, right, [("item_id", "id")], "full")
+    assert rows(join_on_pairs(left, right, [("item_id", "id")], "semi")) == [(1, 5, "l")]
+    with pytest.raises(ValueError, match="ambiguous"):
+        lookup_join(left, right.withColumnRenamed("w", "v"), "id")
