@@ -90,9 +90,9 @@ def test_catalogue_readers(spark, tmp_path):
         e: list(a.values()) for e, a in ALIASES.items()
     }
     session = Recorder()
-    load_catalogue(jdbc_reader(session, "u", "prime_schema"))
+    load_catalogue(jdbc_reader(session, "u", "stock"))
     assert len(session.calls) == 12
-    assert session.calls[1][0].endswith("FROM prime_schema.item) prime_schema_item_alias")
+    assert session.calls[1][0].endswith("FROM stock.item) stock_item_alias")
 
 
 def test_alias_maps():
