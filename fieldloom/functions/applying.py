@@ -30,7 +30,7 @@ from fieldloom.functions.inspect import (
 from fieldloom.functions.metadata import latest
 from fieldloom.operators.joins import lookup_join
 from fieldloom.operators.pivots import pivot_wide
-from fieldloom.operators.schema import col, fold, is_case_sensitive
+from fieldloom.operators.schema import col, folding, is_case_sensitive
 from fieldloom.operators.sizing import ROW_OVERHEAD_BYTES, settled
 from fieldloom.operators.skew import HOT_ROWS
 
@@ -137,8 +137,9 @@ def _ordered(targets: Sequence[str], mode: str, order: Sequence[str] | None) ->
 
 
 def _check_targets(df: DataFrame, targets: Sequence[str]) -> None:
-    names = [fold(df.sparkSession, c) for c in df.columns]
-    bad = [t for t in targets if names.count(fold(df.sparkSession, t)) != 1]
+    fold = folding(df.sparkSession)
+    names = [fold(c) for c in df.columns]
+    bad = [t for t in targets if names.count(fold(t)) != 1]
     if bad:
         raise FormulaError((t, "not exactly one column") for t in bad)
 
@@ -179,12 +180,11 @@ def _replaced(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
 
 
 def _apply_compiled(df, rows, category, mode, order, syntax, dialect) -> DataFrame:
-    spark = df.sparkSession
-    actual = {fold(spark, c): c for c in df.columns}
+    fold, actual = folding(df.sparkSession), _actual(df)
     rules: Rules = defaultdict(lambda: defaultdict(list))
     seen = set()
     for r in rows:
-        field = actual.get(fold(spark, r["field_name"]), r["field_name"])
+        field = actual.get(fold(r["field_name"]), r["field_name"])
         if (r["category_id"], field) in seen:
             raise FormulaError([(r["formula"], SECOND_FORMULA)])
         seen.add((r["category_id"], field))
@@ -256,7 +256,7 @@ def _apply_lookup(
         ["__category"],
         "field_name",
         "rule",
-        values=[fold(spark, t) for t in targets],
+        values=[folding(spark)(t) for t in targets],
     ).toDF("__category", *[f"__rule_{i}" for i in number.values()])
     # Like types, so that a hot category can be recognised on both sides.
     df = df.withColumn("__category", col(category).cast(wide.schema["__category"].dataType))
@@ -279,7 +279,8 @@ def _apply_lookup(
 
 
 def _actual(df: DataFrame) -> dict[str, str]:
-    return {fold(df.sparkSession, c): c for c in df.columns}
+    fold = folding(df.sparkSession)
+    return {fold(c): c for c in df.columns}
 
 
 def _folded(spark: SparkSession, name: Column) -> Column:
@@ -299,7 +300,7 @@ def _parsed(df: DataFrame, formula: Column, syntax: str) -> Column:
     """Parts as (source, text): the position of the column read, 0 for a literal, or
     UNRESOLVED."""
     spark = df.sparkSession
-    known = F.array(*[F.lit(fold(spark, c)) for c in df.columns])
+    known = F.array(*[F.lit(name) for name in map(folding(spark), df.columns)])
 
     def part(p: Column) -> Column:
         position = F.array_position(known, _folded(spark, field_name(p))).cast("int")
@@ -328,7 +329,7 @@ def _shape_number(df: DataFrame, by_field: Mapping[str, Sequence[str]]) -> Colum
     number = F.lit(None).cast("int")
     for field, shapes in by_field.items():
         listed = F.array(*[F.lit(s) for s in shapes])
-        here = F.col("field_name") == fold(df.sparkSession, field)
+        here = F.col("field_name") == folding(df.sparkSession)(field)
         number = F.when(here, F.array_position(listed, F.col("shape")).cast("int")).otherwise(number)
     return number
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldloom.functions import grammar as g
-from fieldloom.operators.schema import col, fold
+from fieldloom.operators.schema import col, folding
 
 
 class FormulaError(ValueError):
@@ -43,11 +43,8 @@ def formula_parts(formula: str, syntax: str = "lenient") -> list[tuple[str, str]
 
 def as_text(df: DataFrame, name: str) -> Column:
     """A column as a formula sees it: its text, with arrays run together."""
-    field_type = next(
-        f.dataType
-        for f in df.schema.fields
-        if fold(df.sparkSession, f.name) == fold(df.sparkSession, name)
-    )
+    fold = folding(df.sparkSession)
+    field_type = next(f.dataType for f in df.schema.fields if fold(f.name) == fold(name))
     if isinstance(field_type, T.ArrayType):
         return F.array_join(col(name).cast("array<string>"), "")
     return col(name).cast("string")
@@ -55,14 +52,14 @@ def as_text(df: DataFrame, name: str) -> Column:
 
 def problems(df: DataFrame, formula: str, syntax: str = "lenient") -> list[tuple[str, str]]:
     """Why a formula cannot be compiled against the columns of ``df``."""
-    spark = df.sparkSession
-    names = [fold(spark, c) for c in df.columns]
+    fold = folding(df.sparkSession)
+    names = [fold(c) for c in df.columns]
     found = []
     for kind, text in formula_parts(formula, syntax):
         if kind == "broken":
             found.append((formula, "a lone quote"))
-        elif kind == "field" and names.count(fold(spark, text)) != 1:
-            state = "ambiguous" if fold(spark, text) in names else "unknown"
+        elif kind == "field" and names.count(fold(text)) != 1:
+            state = "ambiguous" if fold(text) in names else "unknown"
             found.append((formula, f"{state} column {text!r}"))
     return found
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.operators.pivots import Aggregate, pivot_wide
-from fieldloom.operators.schema import col, fold, has_column, restore_schema
+from fieldloom.operators.schema import col, folding, has_column, restore_schema
 from fieldloom.operators.sizing import fits_broadcast
 from fieldloom.operators.skew import HOT_ROWS, SALTED_TYPES, skew_join
 
@@ -113,24 +113,24 @@ def join_on_pairs(
 
     The last three arguments are those of ``lookup_join``.
     """
-    spark, how = left.sparkSession, join_type(how)
+    fold, how = folding(left.sparkSession), join_type(how)
     for side, names in ((left, [p[0] for p in pairs]), (right, [p[1] for p in pairs])):
         missing = [n for n in names if not has_column(side, n)]
         if missing:
             raise ValueError(f"join columns {missing} not found among {side.columns}")
 
-    left_names = {fold(spark, c): c for c in left.columns}
-    same_key = {fold(spark, r) for k, r in pairs if fold(spark, k) == fold(spark, r)}
-    shared = [c for c in right.columns if fold(spark, c) in left_names]
-    clashes = [c for c in shared if fold(spark, c) not in same_key]
+    left_names = {fold(c): c for c in left.columns}
+    same_key = {fold(r) for k, r in pairs if fold(k) == fold(r)}
+    shared = [c for c in right.columns if fold(c) in left_names]
+    clashes = [c for c in shared if fold(c) not in same_key]
     if clashes and how not in ("semi", "anti"):
         raise ValueError(f"columns on both sides would be ambiguous: {clashes}")
 
     # Shared key names travel under a temporary name so the condition is unambiguous.
     temporary = {c: f"__right_{c}" for c in shared}
     right = right.withColumnsRenamed(temporary)
-    by_fold = {fold(spark, c): t for c, t in temporary.items()}
-    renamed = [(lk, by_fold.get(fold(spark, rk), rk)) for lk, rk in pairs]
+    by_fold = {fold(c): t for c, t in temporary.items()}
+    renamed = [(lk, by_fold.get(fold(rk), rk)) for lk, rk in pairs]
 
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
@@ -145,7 +145,7 @@ def join_on_pairs(
     if how in ("right", "full"):
         joined = joined.withColumns(
             {
-                left_names[fold(spark, c)]: F.coalesce(col(left_names[fold(spark, c)]), col(t))
+                left_names[fold(c)]: F.coalesce(col(left_names[fold(c)]), col(t))
                 for c, t in temporary.items()
             }
         )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +21,9 @@ def is_case_sensitive(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
 
 
-def fold(spark: SparkSession, name: str) -> str:
-    """The form of a name that Spark compares when it resolves columns."""
-    return name if is_case_sensitive(spark) else name.lower()
+def folding(spark: SparkSession) -> Callable[[str], str]:
+    """Gives the form of a name that Spark compares when it resolves columns."""
+    return str if is_case_sensitive(spark) else str.lower
 
 
 def has_column(df: DataFrame, name: str) -> bool:

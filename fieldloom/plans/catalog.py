@@ -18,7 +18,7 @@ from fieldloom.operators.schema import rename_to_target, select_existing
 from fieldloom.plans import pipeline
 from fieldloom.plans import testbed as tb
 from fieldloom.sinks.tables import append_rows, cast_losses, dedupe, upsert
-from fieldloom.sources.scan import scan_aliased, stride_bounds, stride_partition_id
+from fieldloom.sources.scan import scan_aliased, stride_partition_id
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,11 +159,12 @@ def _with(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({sql})" for n, sql in ordered.items()) + "\n"
 
 
-def query(sql: str | None = None, ctes: tuple[str, ...] = ()):
+def query(sql: str, ctes: tuple[str, ...] = (), name: str | None = None):
+    """Register a query, by default under its function's name, with its SQL statement."""
+
     def register(build: Query) -> Query:
-        QUERIES[build.__name__] = build
-        if sql is not None:
-            ORACLE[build.__name__] = (_with(*ctes) if ctes else "") + sql
+        QUERIES[name or build.__name__] = build
+        ORACLE[name or build.__name__] = (_with(*ctes) if ctes else "") + sql
         return build
 
     return register
@@ -233,6 +234,7 @@ def formula_latest(spark, sf_dir):
               AS formulas
        FROM latest_rule GROUP BY category_id""",
     ("latest_rule",),
+    name="formula_map",
 )
 def formula_map_entries(spark, sf_dir):
     entries = F.array_sort(F.map_entries("formulas"))
@@ -242,10 +244,6 @@ def formula_map_entries(spark, sf_dir):
     )
 
 
-QUERIES["formula_map"] = QUERIES.pop("formula_map_entries")
-ORACLE["formula_map"] = ORACLE.pop("formula_map_entries")
-
-
 @query("SELECT DISTINCT field_name FROM customer_rule", ("customer_rule",))
 def formula_targets(spark, sf_dir):
     return targets(tb.customer_rules(spark, sf_dir))
@@ -590,47 +588,42 @@ def join_left_pivot(spark, sf_dir):
     return wide
 
 
-def _customers_and_orders(spark, sf_dir, how):
-    customer = tb.read(spark, sf_dir, "customer")
-    in_debt = customer.where("c_acctbal < 0").select("c_custkey", "c_name")
-    urgent = (
-        tb.read(spark, sf_dir, "orders")
-        .where("o_orderpriority = '1-URGENT'")
-        .select("o_orderkey", "o_custkey")
-    )
-    return join_chain(in_debt, [JoinSpec(urgent, ["o_custkey"], how)], on="c_custkey")
+def _labels_and_vectors(spark, sf_dir, how):
+    """Two tables by document id, each with ids the other lacks."""
+    labels = tb.read(spark, sf_dir, "labels")
+    vectors = tb.read(spark, sf_dir, "embeddings").select("vec_id", "label")
+    return join_chain(labels, [JoinSpec(vectors, ["vec_id"], how)], on="doc_id")
 
 
 JOIN_SQL = """
-    SELECT {columns} FROM (SELECT c_custkey, c_name FROM customer WHERE c_acctbal < 0) c
-    {how} JOIN (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') o
-    ON c_custkey = o_custkey"""
-ALL_COLUMNS = "c_custkey, c_name, o_orderkey, o_custkey"
+    SELECT {columns} FROM labels {how} JOIN (SELECT vec_id, label FROM embeddings)
+    ON doc_id = vec_id"""
+ALL_COLUMNS = "doc_id, quality, toxic, vec_id, label"
 
 
 @query(JOIN_SQL.format(columns=ALL_COLUMNS, how="FULL"))
 def join_full(spark, sf_dir):
-    return _customers_and_orders(spark, sf_dir, "full_outer")
+    return _labels_and_vectors(spark, sf_dir, "full_outer")
 
 
 @query(JOIN_SQL.format(columns=ALL_COLUMNS, how="RIGHT"))
 def join_right(spark, sf_dir):
-    return _customers_and_orders(spark, sf_dir, "right")
+    return _labels_and_vectors(spark, sf_dir, "right")
 
 
 @query(JOIN_SQL.format(columns=ALL_COLUMNS, how="LEFT"))
 def join_left(spark, sf_dir):
-    return _customers_and_orders(spark, sf_dir, "left")
+    return _labels_and_vectors(spark, sf_dir, "left")
 
 
-@query(JOIN_SQL.format(columns="c_custkey, c_name", how="SEMI"))
+@query(JOIN_SQL.format(columns="doc_id, quality, toxic", how="SEMI"))
 def join_semi(spark, sf_dir):
-    return _customers_and_orders(spark, sf_dir, "left_semi")
+    return _labels_and_vectors(spark, sf_dir, "left_semi")
 
 
-@query(JOIN_SQL.format(columns="c_custkey, c_name", how="ANTI"))
+@query(JOIN_SQL.format(columns="doc_id, quality, toxic", how="ANTI"))
 def join_anti(spark, sf_dir):
-    return _customers_and_orders(spark, sf_dir, "left_anti")
+    return _labels_and_vectors(spark, sf_dir, "left_anti")
 
 
 @query("""
@@ -672,13 +665,13 @@ def eav_join(spark, sf_dir):
 
 @query("""
     SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, s_name
-    FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey AND s_acctbal >= 0""")
+    FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey""")
 def lookup_split(spark, sf_dir):
     """A lookup join as if the dimension were too large to broadcast."""
     lines = tb.read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"
     )
-    suppliers = tb.read(spark, sf_dir, "supplier").where("s_acctbal >= 0").select(
+    suppliers = tb.read(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), "s_name"
     )
     return lookup_join(lines, suppliers, "l_suppkey", "left", limit_bytes=0, hot_rows=100)
@@ -800,15 +793,11 @@ def pivot_multi_key(spark, sf_dir):
     )
 
 
-@query("SELECT DISTINCT l_returnflag FROM lineitem")
+@query("SELECT DISTINCT l_returnflag FROM lineitem", name="pivot_values")
 def pivot_value_list(spark, sf_dir):
     return pivot_values(tb.read(spark, sf_dir, "lineitem"), "l_returnflag")
 
 
-QUERIES["pivot_values"] = QUERIES.pop("pivot_value_list")
-ORACLE["pivot_values"] = ORACLE.pop("pivot_value_list")
-
-
 # --- sinks --------------------------------------------------------------------
 
 

@@ -12,7 +12,7 @@ from fieldloom.functions.inspect import references
 from fieldloom.operators.joins import JoinSpec, join_chain, lookup_join
 from fieldloom.operators.schema import (
     col,
-    fold,
+    folding,
     invert_aliases,
     is_case_sensitive,
     rename_to_target,
@@ -86,7 +86,8 @@ def widen_items(
 def _held(dimension: DataFrame, name: str, used: Sequence[str], prefix: str) -> list[str]:
     """The values of this dimension whose column, prefix included, is used."""
     spark = dimension.sparkSession
-    wanted = {fold(spark, n[len(prefix):]) for n in used if n.startswith(prefix)}
+    fold = folding(spark)
+    wanted = {fold(n[len(prefix):]) for n in used if n.startswith(prefix)}
     value = col(name) if is_case_sensitive(spark) else F.lower(col(name))
     rows = dimension.where(value.isin(sorted(wanted))).select(col(name)).distinct().collect()
     return sorted(r[0] for r in rows)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.operators.audits import duplicate_keys
 from fieldloom.operators.schema import col
-from fieldloom.operators.sizing import fits_broadcast
+from fieldloom.operators.sizing import fits_broadcast, settled
 
 
 LOSS_DDL = "column_name string, n_lost long"
@@ -81,6 +81,8 @@ def upsert(
         *[col(c).cast(types[c]).alias(f"__new_{i}") for i, c in enumerate(written)],
         F.lit(True).alias("__incoming"),
     )
+    if small_source:
+        incoming = settled(incoming)  # read by three branches of the plan
     same_key = reduce(and_, [col(k) == F.col(f"__key_{i}") for i, k in enumerate(keys)])
     position = {c: i for i, c in enumerate(written)}
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from decimal import ROUND_HALF_EVEN, ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_EVEN, ROUND_HALF_UP, Decimal, localcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,14 +29,16 @@ def stride_bounds(lower: int, upper: int, partitions: int) -> list[int]:
     partitions = min(partitions, upper - lower)
     if partitions <= 1:
         return []
-    scale = Decimal("1e-18")
-    precise = (Decimal(upper) / partitions).quantize(scale, ROUND_HALF_EVEN) - (
-        Decimal(lower) / partitions
-    ).quantize(scale, ROUND_HALF_EVEN)
-    stride = int(precise)
-    # What whole strides leave over is shared between the two outer partitions.
-    lost = (precise - stride) * partitions / stride
-    aligned = lower + int((lost / 2 * stride).quantize(Decimal(1), ROUND_HALF_UP))
+    with localcontext(prec=34):
+        scale = Decimal("1e-18")
+        low, high = (
+            (Decimal(bound) / partitions).quantize(scale, ROUND_HALF_EVEN)
+            for bound in (lower, upper)
+        )
+        stride = int(high - low)
+        # What whole strides leave over is shared between the two outer partitions.
+        lost = (high - low - stride) * partitions / stride
+        aligned = lower + int((lost / 2 * stride).quantize(Decimal(1), ROUND_HALF_UP))
     return [aligned + stride * i for i in range(1, partitions)]
 
 

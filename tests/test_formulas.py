@@ -316,3 +316,32 @@ def test_maps(spark, items):
     assert {c: sorted(f) for c, f in compiled.items()} == {1: ["target"], 2: []}
     assert items.select(compiled[1]["target"].alias("v")).first()["v"] == "A"
     assert apply(items, from_map(spark, given)).first()["target"] == "A"
+
+
+def test_case_sensitive_sessions(spark, items):
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        for form in ("compiled", "lookup"):
+            with pytest.raises(FormulaError):
+                apply(items, make_rules(spark, [(1, "target", "[A]")]), form=form)
+            row = apply(items, make_rules(spark, [(1, "target", "[a]")]), form=form).first()
+            assert row["target"] == "A"
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_a_hot_category_is_split(spark):
+    """A third of the rows, all alike, in one category of a rule set too large to broadcast."""
+    rows_in = spark.range(3000).selectExpr(
+        "case when id % 3 = 0 then 7 else id % 40 end category_id",
+        "case when id % 3 = 0 then 'same' else concat('n', id) end name",
+        "'old' target",
+    )
+    rules = make_rules(spark, [(i, "target", f'"{i}-"&[name]') for i in range(30)])
+    split = apply(rows_in, rules, form="lookup", limit_bytes=0, hot_rows=100)
+    assert "__salt" in split._jdf.queryExecution().optimizedPlan().toString()
+    expected = sorted(
+        f"{r['category_id']}-{r['name']}" if r["category_id"] < 30 else "old"
+        for r in rows_in.collect()
+    )
+    assert sorted(r["target"] for r in split.collect()) == expected

@@ -19,6 +19,8 @@ def test_stride_partitions(spark):
 def test_stride_bounds():
     assert stride_bounds(21, 61, 4) == [31, 41, 51]
     assert stride_bounds(0, 3, 10) == [1, 2]
+    # 9.9 a stride: nine rows over whole strides, shared by the outer partitions.
+    assert stride_bounds(1, 100, 10) == [5 + 1 + 9 * i for i in range(1, 10)]
     assert stride_bounds(5, 5, 4) == [] and stride_bounds(0, 100, 1) == []
     with pytest.raises(ValueError):
         stride_bounds(2, 1, 3)
