@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from fieldloom.llm.decontamination import OP3_SQL, op3_decontamination
 from fieldloom.llm.line_dedup import OP10_SQL, op10_line_dedup
 from fieldloom.llm.near_dedup import op4_near_dedup
+from fieldloom.llm.packing import op9_packing
 from fieldloom.llm.url_filters import OP1_SQL, op1_url_filters
 
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op3_decontamination": op3_decontamination,
     "op4_near_dedup": op4_near_dedup,
+    "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE = {
     "op1_url_filters": OP1_SQL,
+    "op3_decontamination": OP3_SQL,
     "op10_line_dedup": OP10_SQL,
 }

@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once for each application."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        _SHIPPED.add(app)
+        root = Path(__file__).resolve().parents[1]
+        held = tempfile.mkdtemp(prefix="llm-code-")  # the driver's; Spark sends it on
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{held}/{root.name}", "zip", root.parent, root.name))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
@@ -31,6 +46,7 @@ def cut(df: DataFrame) -> DataFrame:
     A lost executor costs nothing of what was written, and partitions stay as they were.
     """
     shared_dir(df.sparkSession)
+    ship(df.sparkSession)
     return df.checkpoint()
 
 
@@ -44,6 +60,8 @@ def map_arrow(
 ) -> DataFrame:
     """``df.mapInArrow`` by a function of one batch; ``None`` gives no rows."""
 
+    ship(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = each(batch)
@@ -64,4 +82,5 @@ def crc_bucket(key: Column, modulus: int) -> Column:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
