@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from fieldloom.llm.decontamination import OP3_SQL, op3_decontamination
+from fieldloom.llm.language_id import op5_language_id
 from fieldloom.llm.line_dedup import OP10_SQL, op10_line_dedup
 from fieldloom.llm.near_dedup import op4_near_dedup
 from fieldloom.llm.packing import op9_packing
 from fieldloom.llm.url_filters import OP1_SQL, op1_url_filters
+from fieldloom.llm.warc import OP7_SQL, op7_warc
 
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op3_decontamination": op3_decontamination,
     "op4_near_dedup": op4_near_dedup,
+    "op5_language_id": op5_language_id,
+    "op7_warc": op7_warc,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
 }
@@ -19,5 +23,6 @@ QUERIES = {
 ORACLE = {
     "op1_url_filters": OP1_SQL,
     "op3_decontamination": OP3_SQL,
+    "op7_warc": OP7_SQL,
     "op10_line_dedup": OP10_SQL,
 }
