@@ -7,6 +7,7 @@ from fieldloom.llm.language_id import op5_language_id
 from fieldloom.llm.line_dedup import OP10_SQL, op10_line_dedup
 from fieldloom.llm.near_dedup import op4_near_dedup
 from fieldloom.llm.packing import op9_packing
+from fieldloom.llm.top_k import OP6_SQL, op6_top_k
 from fieldloom.llm.url_filters import OP1_SQL, op1_url_filters
 from fieldloom.llm.warc import OP7_SQL, op7_warc
 
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_near_dedup": op4_near_dedup,
     "op5_language_id": op5_language_id,
+    "op6_top_k": op6_top_k,
     "op7_warc": op7_warc,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
@@ -23,6 +25,7 @@ QUERIES = {
 ORACLE = {
     "op1_url_filters": OP1_SQL,
     "op3_decontamination": OP3_SQL,
+    "op6_top_k": OP6_SQL,
     "op7_warc": OP7_SQL,
     "op10_line_dedup": OP10_SQL,
 }
