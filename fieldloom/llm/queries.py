@@ -8,11 +8,13 @@ from fieldloom.llm.line_dedup import OP10_SQL, op10_line_dedup
 from fieldloom.llm.near_dedup import op4_near_dedup
 from fieldloom.llm.packing import op9_packing
 from fieldloom.llm.top_k import OP6_SQL, op6_top_k
+from fieldloom.llm.toxicity import op2_toxicity
 from fieldloom.llm.url_filters import OP1_SQL, op1_url_filters
 from fieldloom.llm.warc import OP7_SQL, op7_warc
 
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_near_dedup": op4_near_dedup,
     "op5_language_id": op5_language_id,

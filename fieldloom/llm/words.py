@@ -119,3 +119,14 @@ def rolling(hashes: np.ndarray, length: int) -> np.ndarray:
     sums = np.zeros(len(hashes) + 1, U)
     np.cumsum(hashes * up[: len(hashes)], out=sums[1:])
     return mix((sums[length:] - sums[:-length]) * down[:n] + U(length))
+
+
+def prefix_hashes(data: np.ndarray, words: Words, codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the first ``length`` bytes, number of the word) of each word that is so long. A
+    prefix never has the hash of a whole word."""
+    up, down = _POWERS.get(len(data) + 1)
+    sums = np.zeros(len(data) + 1, U)
+    np.cumsum(codes[data] * up[: len(data)], out=sums[1:])
+    which = np.flatnonzero(words.ends - words.starts >= length)
+    at = words.starts[which]
+    return mix((sums[at + length] - sums[at]) * down[at] + U(length)) ^ U(0x5BD1E9955BD1E995), which
