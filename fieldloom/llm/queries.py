@@ -7,6 +7,7 @@ from fieldloom.llm.language_id import op5_language_id
 from fieldloom.llm.line_dedup import OP10_SQL, op10_line_dedup
 from fieldloom.llm.near_dedup import op4_near_dedup
 from fieldloom.llm.packing import op9_packing
+from fieldloom.llm.substring_dedup import OP8_SQL, op8_substring_dedup
 from fieldloom.llm.top_k import OP6_SQL, op6_top_k
 from fieldloom.llm.toxicity import op2_toxicity
 from fieldloom.llm.url_filters import OP1_SQL, op1_url_filters
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_top_k": op6_top_k,
     "op7_warc": op7_warc,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
 }
@@ -29,5 +31,6 @@ ORACLE = {
     "op3_decontamination": OP3_SQL,
     "op6_top_k": OP6_SQL,
     "op7_warc": OP7_SQL,
+    "op8_substring_dedup": OP8_SQL,
     "op10_line_dedup": OP10_SQL,
 }
