@@ -11,23 +11,24 @@ shapes are evaluated part by part with higher-order functions.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.functions import grammar as g
 from fieldloom.functions.compiling import FormulaError, as_text, compile_formula, problems
 from fieldloom.functions.inspect import (
     body,
-    error_class,
     field_name,
     is_field,
     is_quoted,
     parts,
 )
-from fieldloom.functions.metadata import latest
+from fieldloom.functions.metadata import REPORTED_PROBLEMS, latest, only_valid
 from fieldloom.operators.joins import lookup_join
 from fieldloom.operators.pivots import pivot_wide
 from fieldloom.operators.schema import col, folding, is_case_sensitive
@@ -39,7 +40,6 @@ COMPILED_RULES = 500
 # Distinct (field, shape) pairs up to which the lookup form compiles each shape.
 COMPILED_SHAPES = 200
 UNRESOLVED = -1
-REPORTED_PROBLEMS = 20
 SECOND_FORMULA = "second formula for its category and field"
 
 Rules = dict[str, dict[str, list[int]]]  # field → formula text → categories
@@ -83,48 +83,30 @@ def apply(
     if mode == "sequential" and not order:
         raise ValueError("sequential mode needs an order of fields")
     if dialect == "sql" and form == "lookup":
-        raise ValueError("SQL formulas can only be compiled")
+        raise ValueError("SQL formulas are planned by their texts, not looked up by parts")
 
+    # One rule for both forms: names are folded first, then the last version is taken, and
+    # what still repeats raises.
     versioned = version in formulas.columns
-    rules = latest(formulas, version) if versioned else formulas
+    rules = formulas.withColumn("field_name", _folded(df.sparkSession, F.col("field_name")))
+    if versioned:
+        rules = latest(rules, version)
     rules = rules.where(F.col("category_id").isNotNull() & (F.col("formula") != ""))
     if dialect == "concat" and syntax == "strict":
-        rules = _only_valid(rules, on_invalid)
+        rules = only_valid(rules, on_invalid)
+    rules = settled(rules.select("category_id", "field_name", "formula"))
+    if not versioned:
+        _check_single(rules)
 
-    # A limit on the table as loaded stops early; one on ``rules`` would read it all.
     if form != "lookup":
-        columns = ["category_id", "field_name", "formula"] + [version] * versioned
-        loaded = formulas.select(*columns).limit(max_rules + 1).collect()
-        if len(loaded) <= max_rules:
-            rows = loaded
-            if dialect == "concat" and syntax == "strict":
-                rows = rules.select(*columns).collect()
-            elif versioned:
-                rows = _last(loaded, version)
-            rows = [r for r in rows if r["category_id"] is not None and r["formula"]]
+        rows = rules.limit(max_rules + 1).collect()
+        if len(rows) <= max_rules:
             return _apply_compiled(df, rows, category, mode, order, syntax, dialect)
-        if form == "compiled" or dialect == "sql":
+        if form == "compiled":
             raise ValueError(f"more than {max_rules} rules cannot be compiled")
-    return _apply_lookup(
-        df, rules, category, mode, order, syntax, version, limit_bytes, hot_rows, max_shapes
-    )
-
-
-def _last(rows: Sequence[Row], version: str) -> list[Row]:
-    """``latest`` for the few rows of a rule set that is compiled."""
-    known = [r for r in rows if r[version] is not None]
-    by_key = {(r["category_id"], r["field_name"]): r for r in sorted(known, key=lambda r: r[version])}
-    return list(by_key.values())
-
-
-def _only_valid(rules: DataFrame, on_invalid: str) -> DataFrame:
-    verdict = error_class(F.col("formula"))
-    if on_invalid == "fail":
-        bad = rules.select("formula", verdict.alias("why")).where(F.col("why") != g.OK)
-        found = bad.limit(REPORTED_PROBLEMS).collect()
-        if found:
-            raise FormulaError((r["formula"], r["why"]) for r in found)
-    return rules.where(verdict == g.OK)
+    if dialect == "sql":
+        return _apply_sql_texts(df, rules, category, mode, order, limit_bytes, hot_rows, max_rules)
+    return _apply_lookup(df, rules, category, mode, order, syntax, limit_bytes, hot_rows, max_shapes)
 
 
 def _ordered(targets: Sequence[str], mode: str, order: Sequence[str] | None) -> list[str]:
@@ -182,17 +164,15 @@ def _replaced(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
 def _apply_compiled(df, rows, category, mode, order, syntax, dialect) -> DataFrame:
     fold, actual = folding(df.sparkSession), _actual(df)
     rules: Rules = defaultdict(lambda: defaultdict(list))
-    seen = set()
-    for r in rows:
+    for r in sorted(rows):
         field = actual.get(fold(r["field_name"]), r["field_name"])
-        if (r["category_id"], field) in seen:
-            raise FormulaError([(r["formula"], SECOND_FORMULA)])
-        seen.add((r["category_id"], field))
         rules[field][r["formula"]].append(r["category_id"])
 
     _check_targets(df, list(rules))
-    if dialect == "concat":
-        texts = dict.fromkeys(f for by_formula in rules.values() for f in by_formula)
+    texts = dict.fromkeys(f for by_formula in rules.values() for f in by_formula)
+    if dialect == "sql":
+        check_sql(df, list(texts))
+    else:
         found = [p for f in texts for p in problems(df, f, syntax)]
         if found:
             raise FormulaError(found)
@@ -207,14 +187,73 @@ def _apply_compiled(df, rows, category, mode, order, syntax, dialect) -> DataFra
     return df
 
 
+# Names of functions that run code of the caller's choice; rules are data, so they are refused.
+REFUSED_FUNCTIONS = ("reflect", "java_method", "try_reflect")
+
+
+def check_sql(df: DataFrame, texts: Sequence[str]) -> None:
+    """Raise one error naming every SQL formula that cannot be applied to ``df``, and why."""
+    found = []
+    for text in texts:
+        try:
+            expression = F.expr(text)
+            called = re.findall(r"([A-Za-z_][\w.]*)\s*\(", re.sub(r"'(?:[^'\\]|\\.)*'|\"[^\"]*\"", "''", text.replace("`", "")))
+            refused = sorted({c for c in called if c.lower().rpartition(".")[2] in REFUSED_FUNCTIONS})
+            if refused:
+                found.append((text, f"function {refused[0]} is refused"))
+                continue
+            df.select(expression)
+        except PySparkException as e:
+            found.append((text, (e.getMessage() or str(e)).strip().splitlines()[0]))
+    if found:
+        raise FormulaError(found)
+
+
+def _apply_sql_texts(df, rules, category, mode, order, limit_bytes, hot_rows, max_texts) -> DataFrame:
+    """Many SQL rules of few distinct texts: each text is planned once, and a category brings
+    the number of its text."""
+    texts = rules.select("field_name", "formula").distinct().limit(max_texts + 1).collect()
+    if len(texts) > max_texts:
+        raise ValueError(f"more than {max_texts} distinct SQL formulas; raise max_rules to plan them")
+    actual, fold = _actual(df), folding(df.sparkSession)
+    numbered: dict[str, list[str]] = defaultdict(list)
+    for r in sorted(texts):
+        numbered[actual.get(r["field_name"], r["field_name"])].append(r["formula"])
+    targets = sorted(numbered)
+    _check_targets(df, targets)
+    check_sql(df, list(dict.fromkeys(f for fs in numbered.values() for f in fs)))
+
+    number = F.lit(None).cast("int")
+    for field, formulas in numbered.items():
+        listed = F.array(*[F.lit(f) for f in formulas])
+        here = F.col("field_name") == fold(field)
+        number = F.when(here, F.array_position(listed, F.col("formula")).cast("int")).otherwise(number)
+    rows = rules.select(F.col("category_id").alias("__category"), "field_name", number.alias("number"))
+    wide = pivot_wide(rows, ["__category"], "field_name", "number", values=[fold(t) for t in targets])
+    wide = wide.toDF("__category", *[f"__text_{i}" for i in range(len(targets))])
+    df = df.withColumn("__category", col(category).cast(wide.schema["__category"].dataType))
+    df = lookup_join(df, wide, "__category", "left", limit_bytes, hot_rows)
+
+    def value(i: int, field: str) -> Column:
+        result = F.when(col(f"__text_{i}").isNull(), col(field))
+        for k, text in enumerate(numbered[field], start=1):
+            result = result.when(col(f"__text_{i}") == k, F.expr(text).cast(df.schema[field].dataType))
+        return result
+
+    values = {f: i for i, f in enumerate(targets)}
+    fields = _ordered(targets, mode, order)
+    if mode == "snapshot":
+        df = _replaced(df, {f: value(values[f], f) for f in fields})
+    else:
+        for f in fields:
+            df = df.withColumn(f, value(values[f], f))
+    return df.drop("__category", *[f"__text_{i}" for i in values.values()])
+
+
 def _apply_lookup(
-    df, rules, category, mode, order, syntax, version, limit_bytes, hot_rows, max_shapes
+    df, rules, category, mode, order, syntax, limit_bytes, hot_rows, max_shapes
 ) -> DataFrame:
     spark = df.sparkSession
-    rules = settled(rules.withColumn("field_name", _folded(spark, F.col("field_name"))))
-    if version not in rules.columns:
-        _check_single(rules)
-
     parsed = rules.select(
         F.col("category_id").alias("__category"),
         "field_name",

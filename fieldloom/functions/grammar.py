@@ -21,6 +21,10 @@ LEXEMES_KEPT = "$1$2$3$4$5$6$7"
 # Allowed order of structural characters; possessive, so long formulas cannot
 # exhaust the regex engine's stack.
 LEXEME_ORDER = r'\A(?:(?:\[\]|"")(?:&(?:\[\]|""))*+)?\z'
+# The structural characters up to the first that breaks the order, each checked by what follows.
+LEXEMES_IN_ORDER = r'\A(?:\[(?=\])|(?!\A)\](?=&|\z)|(?!\A)&(?=["\[])|""(?=&|\z))*+'
+# A formula up to the end of its first blank or padded field.
+TO_BLANK_FIELD = r'\A(?:[^\["]|"[^"]*"|\[[^\]\x00-\x20](?:[^\]]*[^\]\x00-\x20])?\])*+\[[^\]]*\]'
 # Leading and trailing characters up to U+0020.
 PADDING = r"\A[\x00-\x20]+|[\x00-\x20]+\z"
 PADDING_CHARS = "".join(map(chr, range(0x21)))

@@ -53,10 +53,40 @@ def error_class(formula: Column) -> Column:
     )
 
 
+def error_position(formula: Column) -> Column:
+    """Where a formula is wrong; null where it is empty or right.
+
+    For ILLEGAL_LEXICON the number of structural characters (brackets, quotes, ampersands)
+    before the first that is out of place; for BLANK_FIELD the number of characters up to the
+    end of the first blank field; 0 for MISMATCH, which concerns the whole text.
+    """
+    kind = error_class(formula)
+    in_order = F.length(F.regexp_extract(lexemes(formula), g.LEXEMES_IN_ORDER, 0))
+    to_blank = F.length(F.regexp_extract(formula, g.TO_BLANK_FIELD, 0))
+    return (
+        F.when(kind == g.ILLEGAL_LEXICON, in_order)
+        .when(kind == g.BLANK_FIELD, to_blank)
+        .when(kind == g.MISMATCH, 0)
+    )
+
+
+def error_lexeme(formula: Column) -> Column:
+    """The structural character that is out of place, for ILLEGAL_LEXICON."""
+    at = F.length(F.regexp_extract(lexemes(formula), g.LEXEMES_IN_ORDER, 0))
+    found = F.substring(lexemes(formula), at + 1, F.lit(1))
+    return F.when(error_class(formula) == g.ILLEGAL_LEXICON, found)
+
+
 def validate(df: DataFrame, formula: str = "formula") -> DataFrame:
-    """Add ``error_class`` and ``is_valid`` to a table of formulas."""
-    return df.withColumn("error_class", error_class(col(formula))).withColumn(
-        "is_valid", F.col("error_class") == g.OK
+    """Add ``error_class``, ``error_position``, ``error_lexeme`` and ``is_valid``."""
+    text = col(formula)
+    return df.withColumns(
+        {
+            "error_class": error_class(text),
+            "error_position": error_position(text),
+            "error_lexeme": error_lexeme(text),
+            "is_valid": error_class(text) == g.OK,
+        }
     )
 
 

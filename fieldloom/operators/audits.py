@@ -13,10 +13,23 @@ from fieldloom.operators.schema import col
 
 
 def duplicate_keys(
-    df: DataFrame, keys: Sequence[str], where: Column | None = None, count: str = "n"
+    df: DataFrame,
+    keys: Sequence[str],
+    where: Column | None = None,
+    count: str = "n",
+    nulls: str = "distinct",
 ) -> DataFrame:
-    """Key values held by more than one row (of those satisfying ``where``)."""
+    """Key values held by more than one row (of those satisfying ``where``).
+
+    Keys with a null part are never equal, as under SQL's UNIQUE; with ``nulls="equal"``
+    they are, as for a primary key.
+    """
+    if nulls not in ("distinct", "equal"):
+        raise ValueError(f"nulls must be 'distinct' or 'equal', not {nulls!r}")
     rows = df if where is None else df.where(where)
+    if nulls == "distinct":
+        for k in keys:
+            rows = rows.where(col(k).isNotNull())
     return rows.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(count)).where(
         col(count) > 1
     )

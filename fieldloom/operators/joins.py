@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.operators.pivots import Aggregate, pivot_wide
 from fieldloom.operators.schema import col, folding, has_column, restore_schema
-from fieldloom.operators.sizing import fits_broadcast
+from fieldloom.operators.sizing import fits_broadcast, spark_broadcasts
 from fieldloom.operators.skew import HOT_ROWS, SALTED_TYPES, skew_join
 
 # Names Spark accepts for a join type, each with the form used below.
@@ -60,11 +60,12 @@ class JoinSpec:
     group_by: Sequence[str] = ()
     pivot: str | None = None
     value: str | None = None
-    agg: Aggregate | None = None
+    agg: Aggregate | str | None = None
     values: Sequence[str | None] | None = None
     order_by: str | None = None
     matched_only: bool = False
     prefix: str = ""
+    max_values: int | None = None
     strategy: str = "plain"
 
     def prepared(self) -> DataFrame:
@@ -84,6 +85,7 @@ class JoinSpec:
             order_by=self.order_by,
             matched_only=self.matched_only,
             prefix=self.prefix,
+            max_values=self.max_values,
         )
 
 
@@ -167,6 +169,8 @@ def _lookup(
 ) -> DataFrame:
     if how in ("semi", "anti"):
         right = right.select(*[col(r) for _, r in pairs])
+    if limit_bytes is None and size_bytes is None and spark_broadcasts(right):
+        return left.join(right, _condition(pairs), how)
     if fits_broadcast(right, limit_bytes, size_bytes):
         return left.join(F.broadcast(right), _condition(pairs), how)
     return skew_join(left, right, pairs, how, hot_rows)
@@ -217,13 +221,13 @@ def update_from(
     """Refresh ``columns`` of ``small`` from ``large``; also returns the names skipped.
 
     Each updated column is the large side's value, or the small side's where that is
-    null or absent.  The result has small's schema and rows.  ``large`` must hold one
+    null or absent.  A column that either side lacks is skipped.  The result has small's schema and rows.  ``large`` must hold one
     row per key of ``small``; with ``latest_by`` the row with the greatest value of
     that column is used instead.
     """
     if not keys:
         raise ValueError("join columns required")
-    found = [c for c in columns if has_column(large, c)]
+    found = [c for c in columns if has_column(large, c) and has_column(small, c)]
     skipped = [c for c in columns if c not in found]
     if not found:
         return small, skipped

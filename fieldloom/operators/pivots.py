@@ -12,11 +12,8 @@ from fieldloom.operators.schema import col
 
 Aggregate = Callable[[Column], Column]
 
-# Spark pivots fixed-width results in two steps with a shuffle each.  Up to this many
-# columns, one conditional aggregate per column in a single step is cheaper.
-CONDITIONAL_LIMIT = 32
-# Spark's own default for spark.sql.pivotMaxValues.
-MAX_PIVOT_VALUES = 10_000
+# Aggregates that ignore nulls, so a conditional aggregate equals one over the matching rows.
+NULL_IGNORING: dict[str, Aggregate] = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
 
 
 def pivot_values(df: DataFrame, name: str) -> DataFrame:
@@ -24,8 +21,11 @@ def pivot_values(df: DataFrame, name: str) -> DataFrame:
     return df.select(col(name)).distinct()
 
 
-def discover_values(df: DataFrame, name: str, limit: int = MAX_PIVOT_VALUES) -> list:
-    """Sorted pivot values on the driver, nulls first; refuses more than ``limit``."""
+def discover_values(df: DataFrame, name: str, limit: int | None = None) -> list:
+    """Sorted pivot values on the driver, nulls first; refuses more than ``limit``, by default
+    the session's ``spark.sql.pivotMaxValues``."""
+    if limit is None:
+        limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
     rows = pivot_values(df, name).limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"more than {limit} distinct values in pivot column {name!r}")
@@ -45,23 +45,26 @@ def pivot_wide(
     name: str,
     value: str,
     values: Sequence | None = None,
-    agg: Aggregate | None = None,
+    agg: Aggregate | str | None = None,
     order_by: str | None = None,
     matched_only: bool = False,
     prefix: str = "",
+    max_values: int | None = None,
 ) -> DataFrame:
     """One row per key, one column per value of ``name``, cells aggregated from ``value``.
 
     The default aggregate is the first non-null value, which is single-valued when
     (keys, name) is unique; give ``order_by`` to make it the value with the smallest
-    ``order_by`` otherwise.  ``agg`` replaces it with any null-ignoring aggregate; a
-    cell with no input rows is null.  Passing ``values`` avoids the job that looks
-    them up.  ``matched_only`` drops rows, and so keys, outside ``values`` before the
-    shuffle, which loses nothing when the result is the right side of a left join.
+    ``order_by`` otherwise.  ``agg`` replaces it: a name in ``NULL_IGNORING`` or any
+    aggregate, which then sees the rows of its cell alone, as in Spark's own pivot; a
+    cell with no input rows is null.  The form never depends on the number of columns.
+    Passing ``values`` avoids the job that looks them up (at most ``max_values``).
+    ``matched_only`` drops rows, and so keys, outside ``values`` before the shuffle,
+    which loses nothing when the result is the right side of a left join.
     """
     if not keys:
         raise ValueError(f"keys cannot be empty for a pivot on {name!r}")
-    wanted = discover_values(df, name) if values is None else list(dict.fromkeys(values))
+    wanted = discover_values(df, name, max_values) if values is None else list(dict.fromkeys(values))
     known = [v for v in wanted if v is not None]
     if matched_only:
         matches = col(name).isin(known) if known else F.lit(False)
@@ -71,12 +74,15 @@ def pivot_wide(
     labels = [prefix + _label(v) for v in wanted]
     if not wanted:
         return grouped.agg(F.count(F.lit(1)).alias("__n")).drop("__n")
+    if isinstance(agg, str) and agg not in NULL_IGNORING:
+        raise ValueError(f"aggregates by name are {sorted(NULL_IGNORING)}, not {agg!r}")
     whole = _aggregate(col(value), order_by, agg)
-    result_type = grouped.agg(whole.alias("v")).schema["v"].dataType
-    variable_width = isinstance(
-        result_type, T.StringType | T.BinaryType | T.ArrayType | T.MapType | T.StructType
-    )
-    if variable_width or len(wanted) > CONDITIONAL_LIMIT:
+    # Spark pivots variable-width results in one step, fixed-width ones in two with a shuffle
+    # each; a conditional aggregate takes one step for both, where it means the same.
+    if callable(agg) or isinstance(
+        grouped.agg(whole.alias("v")).schema["v"].dataType,
+        T.StringType | T.BinaryType | T.ArrayType | T.MapType | T.StructType,
+    ):
         return grouped.pivot(name, wanted).agg(whole).toDF(*keys, *labels)
 
     def cell(v) -> Column:
@@ -88,9 +94,9 @@ def pivot_wide(
     return grouped.agg(*[cell(v).alias(label) for v, label in zip(wanted, labels)])
 
 
-def _aggregate(cell: Column, order_by: str | None, agg: Aggregate | None) -> Column:
+def _aggregate(cell: Column, order_by: str | None, agg: Aggregate | str | None) -> Column:
     if agg is not None:
-        return agg(cell)
+        return (NULL_IGNORING[agg] if isinstance(agg, str) else agg)(cell)
     if order_by is not None:
         return F.min_by(cell, F.when(cell.isNotNull(), col(order_by)))
     return F.first(cell, ignorenulls=True)

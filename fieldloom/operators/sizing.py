@@ -20,6 +20,10 @@ FIELD_OVERHEAD_BYTES = 16
 def _field_bytes(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.StringType | T.BinaryType):
         payload = F.octet_length(col(field.name))
+    elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.StringType):
+        payload = F.aggregate(
+            col(field.name), F.lit(0), lambda n, x: n + F.coalesce(F.octet_length(x), F.lit(0)) + FIELD_OVERHEAD_BYTES
+        )
     elif isinstance(field.dataType, T.ArrayType | T.MapType | T.StructType):
         payload = F.octet_length(F.to_json(F.struct(col(field.name))))
     else:
@@ -36,6 +40,13 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return row["n"], row["size"] or 0
 
 
+def spark_broadcasts(df: DataFrame) -> bool:
+    """Whether Spark's own statistics make it broadcast ``df`` without being told."""
+    limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return limit > 0 and int(str(size)) <= limit
+
+
 def fits_broadcast(
     df: DataFrame, limit_bytes: int | None = None, size_bytes: int | None = None
 ) -> bool:
@@ -47,15 +58,16 @@ def fits_broadcast(
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """The same rows, written once to the shared checkpoint folder where there is one.
+    """The same rows, made once.
 
     For a small table that several jobs read: they all see the same rows, and do not
-    repeat the work behind them.  Without such a folder the table is left as it is.
+    repeat the work behind them.  They are written to the shared checkpoint folder where
+    the session names one, and cached otherwise.
     """
     context = df.sparkSession.sparkContext
+    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        return df.persist()
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if not folder:
-            return df
         context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -17,9 +17,7 @@ from fieldloom.operators.schema import col
 HOT_ROWS = 1_000_000
 # Most sub-keys one key is split into.
 MAX_SALTS = 1024
-# Sketch size and length of the reported list: every key above about 0.01 % of the
-# rows is reported, and no more than this many keys reach the driver.
-TRACKED_KEYS = 100_000
+# Most hot keys that reach the driver: the hottest ones.
 REPORTED_KEYS = 10_000
 
 SALTED_TYPES = ("inner", "left", "semi", "anti")
@@ -28,15 +26,15 @@ SALTED_TYPES = ("inner", "left", "semi", "anti")
 def hot_keys(
     df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
 ) -> list[tuple[int, int]]:
-    """(key hash, estimated rows) of keys with more than ``hot_rows`` rows.
+    """(key hash, rows) of keys with more than ``hot_rows`` rows, the hottest first.
 
-    One pass over the key columns with a mergeable heavy-hitter sketch per task.
+    Counted exactly, by partial sums that are shuffled by key; only hot keys leave that
+    step, and a table of n rows has no more than n / ``hot_rows`` of them.
     """
     hashed = df.select(F.xxhash64(*[col(k) for k in keys]).alias("h"))
-    top = hashed.agg(
-        F.expr(f"approx_top_k(h, {REPORTED_KEYS}, {TRACKED_KEYS})").alias("top")
-    ).first()["top"]
-    return [(r["item"], r["count"]) for r in top or [] if r["count"] > hot_rows]
+    counted = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
+    top = counted.orderBy(F.col("n").desc(), "h").limit(REPORTED_KEYS)
+    return [(r["h"], r["n"]) for r in top.collect()]
 
 
 def _key_types(df: DataFrame, keys: Sequence[str]) -> list[T.DataType]:
@@ -53,7 +51,7 @@ def _row_hash(df: DataFrame) -> Column:
         f.name for f in df.schema.fields
         if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))
     ]
-    return F.xxhash64(*[col(c) for c in fields]) + F.spark_partition_id()
+    return F.xxhash64(*[col(c) for c in fields], F.spark_partition_id())
 
 
 def skew_join(
@@ -62,9 +60,13 @@ def skew_join(
     pairs: Sequence[tuple[str, str]],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join on (fact, dimension) column pairs with the fact's hot keys split.
 
+    Hot keys are counted on ``fact``, or on ``keys_from``: a narrower table that holds the
+    same key columns in like proportion, so that costly plans of ``fact`` run once.
+
     Rows of a hot key are dealt over several sub-keys, and only the dimension rows of
     those keys are repeated, once per sub-key.  Without hot keys this is a plain join.
     Column names of the two sides must differ.
@@ -81,7 +83,7 @@ def skew_join(
     comparable = key_types == _key_types(dimension, dimension_keys) and not any(
         isinstance(t, T.FloatType | T.DoubleType) for t in key_types
     )
-    hot = hot_keys(fact, fact_keys, hot_rows) if comparable else []
+    hot = hot_keys(fact if keys_from is None else keys_from, fact_keys, hot_rows) if comparable else []
     if not hot:
         return fact.join(dimension, condition, how)
 

@@ -17,8 +17,8 @@ from fieldloom.operators.pivots import pivot_values, pivot_wide
 from fieldloom.operators.schema import rename_to_target, select_existing
 from fieldloom.plans import pipeline
 from fieldloom.plans import testbed as tb
-from fieldloom.sinks.tables import append_rows, cast_losses, dedupe, upsert
-from fieldloom.sources.scan import scan_aliased, stride_partition_id
+from fieldloom.sinks.tables import append_rows, cast_checked, cast_losses, dedupe, upsert
+from fieldloom.sources.scan import scan_aliased
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,14 +74,14 @@ CTES = {
                max(custom_field_value) FILTER (WHERE custom_field_name = 'skew') AS skew
         FROM custom_value GROUP BY item_id""",
     "widened": """
-        SELECT c.*, A1, N2, R3, R7, item_name, skew
+        SELECT c.*, """ + ", ".join(tb.ATTRIBUTE_NAMES) + """, item_name, skew
         FROM categorised c
         LEFT JOIN attribute_wide a ON a.item_id = c.category_item_id
         LEFT JOIN custom_wide f ON f.item_id = c.category_item_id""",
     "enriched": """
         SELECT category_item_id, item_category_id, category_id, part_number, brand_name,
                my_part_number, invoice_description, qty_available, price, status, A1, N2, R3, R7,
-               CASE category_id WHEN 10001 THEN concat_ws('', item_name, part_number, 'custom_desc')
+               CASE category_id WHEN 10001 THEN concat_ws('', item_name, ' no. ', part_number)
                     WHEN 10004 THEN concat_ws('', R7, ' ', CAST(price AS VARCHAR))
                     ELSE short_description END AS short_description,
                CASE category_id WHEN 10002 THEN concat_ws('', skew, '/', A1)
@@ -187,25 +187,6 @@ def scan_alias(spark, sf_dir):
     return scan_aliased(spark, f"{sf_dir}/part.parquet", PART_ALIASES)
 
 
-STRIDE = (1001, 9001, 8)
-
-
-@query("""
-    SELECT CAST(CASE WHEN o_orderkey < 2001 THEN 0 WHEN o_orderkey < 3001 THEN 1
-                     WHEN o_orderkey < 4001 THEN 2 WHEN o_orderkey < 5001 THEN 3
-                     WHEN o_orderkey < 6001 THEN 4 WHEN o_orderkey < 7001 THEN 5
-                     WHEN o_orderkey < 8001 THEN 6 ELSE 7 END AS INTEGER) AS stride,
-           count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high
-    FROM orders GROUP BY 1""")
-def scan_stride(spark, sf_dir):
-    key = F.col("o_orderkey")
-    return (
-        tb.read(spark, sf_dir, "orders")
-        .groupBy(stride_partition_id(key, *STRIDE).alias("stride"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high"))
-    )
-
-
 @query("""
     SELECT p_partkey AS id, p_name AS short_description, p_size AS qty_available FROM part""")
 def schema_align(spark, sf_dir):
@@ -244,6 +225,23 @@ def formula_map_entries(spark, sf_dir):
     )
 
 
+@query(
+    r"""SELECT category_id, string_agg(field_name || '=' || formula, '|' ORDER BY field_name)
+              AS formulas
+       FROM latest_rule
+       WHERE regexp_matches(formula,
+           '\A(?:\[[^\]\x00-\x20](?:[^\]]*[^\]\x00-\x20])?\]|"[^"]*")(?:&(?:\[[^\]\x00-\x20](?:[^\]]*[^\]\x00-\x20])?\]|"[^"]*"))*\z')
+       GROUP BY category_id""",
+    ("latest_rule",),
+)
+def formula_map_valid(spark, sf_dir):
+    """The map of the formulas that follow the grammar; the others are left out."""
+    entries = F.array_sort(F.map_entries("formulas"))
+    texts = F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    found = formula_map(tb.customer_rules(spark, sf_dir), syntax="strict", on_invalid="skip")
+    return found.select("category_id", F.array_join(texts, "|").alias("formulas"))
+
+
 @query("SELECT DISTINCT field_name FROM customer_rule", ("customer_rule",))
 def formula_targets(spark, sf_dir):
     return targets(tb.customer_rules(spark, sf_dir))
@@ -279,6 +277,41 @@ def formula_validate(spark, sf_dir):
     return checked.select("doc_id", "error_class", "is_valid")
 
 
+@query(
+    r"""
+    , lexed AS (
+        SELECT doc_id, formula,
+               regexp_replace(formula,
+                   '(\[)[^\]]*(\])|(")[^"]*(")|(\[)[^\]]*\z|(")[^"]*\z|(&)|[\s\S]',
+                   '\1\2\3\4\5\6\7', 'g') AS lex
+        FROM draft)
+    , marks AS (
+        SELECT doc_id, lex, unnest(range(length(lex))) AS i FROM lexed WHERE lex <> '')
+    , around AS (
+        SELECT doc_id, i, substr(lex, CAST(i + 1 AS BIGINT), 1) AS c,
+               substr(lex, CAST(i + 2 AS BIGINT), 1) AS c1, substr(lex, CAST(i + 3 AS BIGINT), 1) AS c2,
+               length(replace(replace(replace(substr(lex, 1, CAST(i AS BIGINT)), '[', ''), ']', ''), '&', '')) % 2 = 0
+                   AS opens
+        FROM marks)
+    , bad AS (
+        SELECT doc_id, min(i) AS i, arg_min(c, i) AS c FROM around
+        WHERE (c = '[' AND c1 <> ']') OR (c = ']' AND (i = 0 OR c1 NOT IN ('&', '')))
+           OR (c = '&' AND (i = 0 OR c1 NOT IN ('[', '"')))
+           OR (c = '"' AND opens AND (c1 <> '"' OR c2 NOT IN ('&', '')))
+        GROUP BY doc_id)
+    SELECT d.doc_id, CAST(b.i AS INTEGER) AS error_position, b.c AS error_lexeme
+    FROM draft d LEFT JOIN bad b ON b.doc_id = d.doc_id AND d.formula <> ''""",
+    ("draft",),
+)
+def formula_error_position(spark, sf_dir):
+    """Where the structure of each draft breaks: the lexeme's number and the lexeme."""
+    checked = inspect.validate(tb.draft_formulas(spark, sf_dir))
+    structural = F.col("error_class") == "ILLEGAL_LEXICON"
+    return checked.select(
+        "doc_id", F.when(structural, F.col("error_position")).alias("error_position"), "error_lexeme"
+    )
+
+
 @query(
     r"""
     , split AS (SELECT doc_id, regexp_extract_all(formula, '\[[^\]]*\]|"[^"]*"') AS parts FROM draft)
@@ -367,7 +400,8 @@ def formula_concat(spark, sf_dir):
 
 def _categorised(spark, sf_dir):
     tables = tb.catalogue(spark, sf_dir)
-    return pipeline.join_categories(tables["item"], tables["item_category"])
+    links = tables["item_category"].drop("default_category")
+    return pipeline.join_categories(tables["item"], links)
 
 
 SNAPSHOT_SQL = """
@@ -556,6 +590,63 @@ def formula_sql_dialect(spark, sf_dir):
     )
 
 
+@query("""
+    SELECT o_orderkey, o_custkey AS category_id,
+           CAST(CASE c_nationkey % 3 WHEN 0 THEN total * 2 WHEN 1 THEN total - 5 ELSE total END
+                AS DECIMAL(12,2)) AS total,
+           CASE WHEN c_custkey IS NULL THEN o_orderpriority
+                ELSE o_orderstatus || '/' || o_orderpriority END AS order_note
+    FROM (SELECT *, CAST(o_totalprice AS DECIMAL(12,2)) AS total FROM orders) o
+    LEFT JOIN customer ON c_custkey = o_custkey""")
+def formula_sql_many_rules(spark, sf_dir):
+    """SQL formulas of as many categories as there are customers, in three texts."""
+    customer = tb.read(spark, sf_dir, "customer")
+    price = F.when(F.col("c_nationkey") % 3 == 0, "total * 2").when(F.col("c_nationkey") % 3 == 1, "total - 5")
+    note = F.lit("concat(o_orderstatus, '/', o_orderpriority)")
+    rules = customer.select(
+        F.col("c_custkey").alias("category_id"),
+        F.explode(F.create_map(F.lit("total"), price, F.lit("order_note"), note)).alias("field_name", "formula"),
+    )
+    applied = apply(tb.order_items(spark, sf_dir), rules, dialect="sql", max_rules=20)
+    return applied.select("o_orderkey", "category_id", "total", "order_note")
+
+
+REPEATED_SQL = """
+    SELECT o_orderkey, o_custkey AS category_id,
+           CASE WHEN c_custkey IS NULL THEN o_orderpriority
+                ELSE o_orderstatus || CASE WHEN c_custkey % 2 = 0 THEN 'z' ELSE 'b' END END AS order_note
+    FROM orders LEFT JOIN customer ON c_custkey = o_custkey"""
+
+
+def _repeated_versions(spark, sf_dir, form):
+    """Rules whose field differs in case, with versions that repeat: the last, then the greater
+    text, is taken in either form."""
+    customer = tb.read(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+
+    def rule(field: str, text: str, version) -> F.Column:
+        return F.struct(F.lit(field).alias("field_name"), F.lit(text).alias("formula"), version.alias("formula_id"))
+
+    later = F.when(key % 2 == 0, key * 0 + 9).otherwise(1)
+    made = F.array(
+        rule("order_note", '[o_orderstatus]&"a"', key * 0 + 2), rule("ORDER_NOTE", '[o_orderstatus]&"b"', key * 0 + 2),
+        rule("Order_Note", '[o_orderstatus]&"z"', later),
+    )
+    rules = customer.select(key.alias("category_id"), F.explode(made).alias("r")).select("category_id", "r.*")
+    applied = apply(tb.order_items(spark, sf_dir), rules, form=form, max_rules=10**6 if form == "compiled" else 500)
+    return applied.select("o_orderkey", "category_id", "order_note")
+
+
+@query(REPEATED_SQL)
+def apply_repeated_versions(spark, sf_dir):
+    return _repeated_versions(spark, sf_dir, "lookup")
+
+
+@query(REPEATED_SQL)
+def apply_repeated_versions_compiled(spark, sf_dir):
+    return _repeated_versions(spark, sf_dir, "compiled")
+
+
 # --- joins --------------------------------------------------------------------
 
 
@@ -570,22 +661,21 @@ def join_chain_inner(spark, sf_dir):
 
 
 @query(
-    """SELECT category_item_id, item_category_id, category_id, A1, N2, R3, R7, item_name, skew
-       FROM widened""",
+    "SELECT category_item_id, item_category_id, category_id, "
+    + ", ".join(tb.ATTRIBUTE_NAMES) + ", item_name, skew FROM widened",
     ("widened",),
 )
 def join_left_pivot(spark, sf_dir):
     tables = tb.catalogue(spark, sf_dir)
-    wide = pipeline.widen_items(
-        tables["item_category"],
+    return pipeline.widen_items(
+        tables["item_category"].drop("default_category"),
         pipeline.eav(tables["item_attribute_value"], tables["attribute"], "attribute_id"),
         pipeline.eav(
             tables["item_custom_field_value"], tables["custom_field"], "custom_field_id"
         ),
-        ["A1", "N2", "R3", "R7"],
+        tb.ATTRIBUTE_NAMES,
         ["item_name", "skew"],
     )
-    return wide
 
 
 def _labels_and_vectors(spark, sf_dir, how):
@@ -744,6 +834,8 @@ def _long_attributes(spark, sf_dir):
 @query("""
     SELECT l_partkey, arg_min(l_shipdate, l_orderkey * 10 + l_linenumber)
                           FILTER (WHERE l_returnflag = 'A') AS A,
+           arg_min(l_shipdate, l_orderkey * 10 + l_linenumber)
+                          FILTER (WHERE l_returnflag = 'N') AS N,
            arg_min(l_shipdate, l_orderkey * 10 + l_linenumber)
                           FILTER (WHERE l_returnflag = 'R') AS R
     FROM (SELECT l_partkey, l_returnflag, l_orderkey, l_linenumber, min(l_shipdate) AS l_shipdate
@@ -756,7 +848,7 @@ def pivot_first_ordered(spark, sf_dir):
         .withColumn("position", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
     )
     return pivot_wide(
-        lines, ["l_partkey"], "l_returnflag", "l_shipdate", values=["A", "R"], order_by="position"
+        lines, ["l_partkey"], "l_returnflag", "l_shipdate", values=tb.FLAGS, order_by="position"
     )
 
 
@@ -772,7 +864,7 @@ def pivot_custom_agg(spark, sf_dir):
         F.when(F.col("l_discount") >= 0.05, F.col("l_quantity")).alias("discounted"),
     )
     return pivot_wide(
-        lines, ["l_partkey"], "l_linenumber", "discounted", values=tb.LINES, agg=F.count,
+        lines, ["l_partkey"], "l_linenumber", "discounted", values=tb.LINES, agg="count",
         prefix="line_",
     )
 
@@ -789,7 +881,36 @@ def pivot_multi_key(spark, sf_dir):
         F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
     )
     return pivot_wide(
-        lines, ["l_partkey", "l_linestatus"], "l_returnflag", "price", values=tb.FLAGS, agg=F.sum
+        lines, ["l_partkey", "l_linestatus"], "l_returnflag", "price", values=tb.FLAGS, agg="sum"
+    )
+
+
+@query("""
+    SELECT o_custkey, """ + ", ".join(
+    f"max(o_orderkey) FILTER (WHERE o_orderstatus = '{s}') AS {s}" for s in "FOP"
+) + """ FROM orders GROUP BY o_custkey""")
+def pivot_agg_first(spark, sf_dir):
+    """``first`` as given by a caller, over a numeric value that is unique per cell."""
+    last = tb.read(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderstatus").agg(
+        F.max("o_orderkey").alias("o_orderkey")
+    )
+    return pivot_wide(
+        last, ["o_custkey"], "o_orderstatus", "o_orderkey", values=list("FOP"), agg=F.first
+    )
+
+
+SIZES = tuple(range(1, 51))
+
+
+@query("""
+    SELECT p_brand, """ + ", ".join(
+    f"CAST(max(p_partkey) FILTER (WHERE p_size = {n}) AS BIGINT) AS size_{n}" for n in SIZES
+) + " FROM part GROUP BY p_brand")
+def pivot_agg_wide(spark, sf_dir):
+    """Fifty numeric columns by a caller's aggregate."""
+    return pivot_wide(
+        tb.read(spark, sf_dir, "part"), ["p_brand"], "p_size", "p_partkey", values=SIZES,
+        agg=F.max, prefix="size_",
     )
 
 
@@ -835,6 +956,32 @@ def upsert_merge(spark, sf_dir):
     return upsert(target, source, ["custkey"], ["total", "priority"])
 
 
+@query(
+    """
+    , pending AS (
+        SELECT o_custkey AS custkey, count(*) AS n_orders,
+               CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS total,
+               min(o_orderpriority) AS priority
+        FROM orders WHERE o_orderstatus <> 'F' GROUP BY o_custkey)
+    SELECT coalesce(t.custkey, s.custkey) AS custkey,
+           CASE WHEN s.custkey IS NULL THEN t.n_orders ELSE s.n_orders END AS n_orders,
+           CASE WHEN s.custkey IS NULL THEN t.total ELSE s.total END AS total,
+           CASE WHEN s.custkey IS NULL THEN t.priority ELSE s.priority END AS priority, t.note
+    FROM finished t FULL JOIN pending s ON t.custkey = s.custkey""",
+    ("finished",),
+)
+def upsert_all_orders(spark, sf_dir):
+    """Every order is in the target (finished) or in the source (open and pending)."""
+    target, _ = _upsert_pair(spark, sf_dir)
+    orders = tb.read(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "F")
+    source = orders.groupBy(F.col("o_custkey").alias("custkey")).agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        F.sum(F.col("o_totalprice").cast("decimal(12,2)")).cast("decimal(18,2)").alias("total"),
+        F.min("o_orderpriority").alias("priority"),
+    )
+    return upsert(target, source, ["custkey"])
+
+
 UPSERT_DEFAULTS_SQL = """
     SELECT coalesce(t.custkey, s.custkey) AS custkey,
            CASE WHEN s.custkey IS NULL THEN t.n_orders ELSE s.n_orders END AS n_orders,
@@ -909,11 +1056,27 @@ def enrich_flagship(spark, sf_dir):
     return pipeline.enrich(tb.catalogue(spark, sf_dir), tb.rules(spark, tb.WIDE_RULES))
 
 
+@query(
+    """SELECT category_item_id, item_category_id, category_id, part_number, brand_name,
+              my_part_number, invoice_description, qty_available, price, status, """
+    + ", ".join(f"w.{n}" for n in tb.ATTRIBUTE_NAMES)
+    + """, e.short_description, e.long_description, e.item_name, e.skew
+       FROM enriched e JOIN (SELECT item_category_id, """
+    + ", ".join(tb.ATTRIBUTE_NAMES) + " FROM widened) w USING (item_category_id)",
+    ("enriched",),
+)
+def enrich_all_columns(spark, sf_dir):
+    """The whole widening: every attribute and custom field becomes a column."""
+    return pipeline.enrich(
+        tb.catalogue(spark, sf_dir), tb.rules(spark, tb.WIDE_RULES), referenced_only=False
+    )
+
+
 @query(
     """
     , chosen AS (
-        SELECT * FROM enriched QUALIFY row_number() OVER (
-            PARTITION BY category_item_id ORDER BY item_category_id) = 1)
+        SELECT e.* FROM enriched e QUALIFY row_number() OVER (
+            PARTITION BY category_item_id ORDER BY item_category_id % 10, item_category_id) = 1)
     SELECT i.item_id AS id, i.part_number, i.brand_name, i.my_part_number,
            CASE WHEN c.category_item_id IS NULL THEN i.short_description
                 ELSE c.short_description END AS short_description,
@@ -931,9 +1094,42 @@ def enrich_writeback(spark, sf_dir):
     return upsert(tb.item(spark, sf_dir), written, ["id"], unique="assume")
 
 
+@query(
+    """
+    , rule_value AS (
+        SELECT category_item_id, CASE category_id WHEN 10001 THEN part_number
+               WHEN 10002 THEN CAST(qty_available + 1 AS VARCHAR) ELSE CAST(qty_available AS VARCHAR) END AS qty
+        FROM categorised QUALIFY row_number() OVER (
+            PARTITION BY category_item_id ORDER BY item_category_id % 10) = 1)
+    SELECT i.item_id AS id, coalesce(TRY_CAST(v.qty AS INTEGER), i.qty_available) AS qty_available
+    FROM item i LEFT JOIN rule_value v ON v.category_item_id = i.item_id""",
+    ("categorised",),
+)
+def enrich_writeback_losses(spark, sf_dir):
+    """Texts that do not fit an int column leave the stored value."""
+    items = tb.item(spark, sf_dir).select("id", "part_number", "qty_available")
+    links = pipeline.pick_category(tb.catalogue(spark, sf_dir)["item_category"])
+    rules = tb.rules(spark, ((10001, "qty_available", "part_number"), (10002, "qty_available", "cast(qty_available + 1 as string)")))
+    texts = pipeline.join_categories(items.withColumnRenamed("id", "item_id"), links)
+    computed = apply(texts.withColumn("qty_available", F.col("qty_available").cast("string")), rules, dialect="sql")
+    rows, _ = cast_checked(computed.select(F.col("category_item_id").alias("id"), "qty_available"), items, "keep")
+    return upsert(items, rows, ["id"], unique="assume").select("id", "qty_available")
+
+
 # --- audits -------------------------------------------------------------------
 
 
+@query("""
+    SELECT rule_key, count(*) AS n
+    FROM (SELECT CASE WHEN p_size >= 10 THEN p_type || p_size END AS rule_key FROM part)
+    WHERE rule_key IS NOT NULL GROUP BY rule_key HAVING count(*) > 1""")
+def audit_nullable_keys(spark, sf_dir):
+    """Null keys are no duplicates of each other."""
+    key = F.when(F.col("p_size") >= 10, F.concat("p_type", F.col("p_size").cast("string")))
+    return audits.duplicate_keys(tb.read(spark, sf_dir, "part").select(key.alias("rule_key")), ["rule_key"])
+
+
+
 @query("""
     SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
     GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")

@@ -14,12 +14,12 @@ import logging
 import os
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from fieldloom.functions.metadata import load_metadata
 from fieldloom.plans.pipeline import enrich, pick_category, write_back
 from fieldloom.sinks.jdbc import jdbc_upsert
-from fieldloom.sinks.tables import cast_losses, upsert
+from fieldloom.sinks.tables import ON_LOSS, cast_checked, upsert
 from fieldloom.sources.catalogue import jdbc_reader, load_catalogue, parquet_reader
 from fieldloom.sources.jdbc import read_metadata
 
@@ -29,22 +29,24 @@ METADATA_TABLES = ("category_field", "formula", "lu_field_name")
 
 
 def enriched_items(
-    tables: Mapping[str, DataFrame], formulas: DataFrame, **options
-) -> tuple[DataFrame, DataFrame]:
+    tables: Mapping[str, DataFrame], formulas: DataFrame, on_loss: str = "fail", **options
+) -> tuple[DataFrame, Observation | None]:
     """The item columns to write, one row per categorised item, in the types of the item
-    table; and per column the number of computed values its type cannot hold."""
+    table; and the counter of computed values that their column's type cannot hold."""
     chosen = dict(tables, item_category=pick_category(tables["item_category"]))
     rows, _ = write_back(enrich(chosen, formulas, **options))
-    return cast_losses(rows, tables["item"].withColumnRenamed("item_id", "id"))
+    return cast_checked(rows, tables["item"].withColumnRenamed("item_id", "id"), on_loss)
 
 
-def _warn(losses: DataFrame) -> None:
-    for row in losses.where("n_lost > 0").collect():
-        logger.warning("%s values of %s do not fit its type", row["n_lost"], row["column_name"])
+def _warn(counted: Observation | None, on_loss: str) -> None:
+    for column, n in (counted.get if counted is not None else {}).items():
+        if n:
+            what = "became null" if on_loss == "warn" else "left the stored value"
+            logger.warning("%s values of %s do not fit its type and %s", n, column, what)
 
 
 def run_parquet(
-    spark: SparkSession, root: str, output: str, report_losses: bool = False, **options
+    spark: SparkSession, root: str, output: str, on_loss: str = "fail", **options
 ) -> None:
     """Enrich the tables under ``root`` and write the new item table to ``output``."""
     target = f"{root}/item.parquet"
@@ -53,11 +55,11 @@ def run_parquet(
     formulas = load_metadata(
         *[spark.read.parquet(f"{root}/{name}.parquet") for name in METADATA_TABLES]
     )
-    rows, losses = enriched_items(load_catalogue(parquet_reader(spark, root)), formulas, **options)
+    tables = load_catalogue(parquet_reader(spark, root))
+    rows, counted = enriched_items(tables, formulas, on_loss, **options)
     # pick_category leaves one row per item, so the keys need no check.
     upsert(spark.read.parquet(target), rows, ["id"], unique="assume").write.parquet(output)
-    if report_losses:
-        _warn(losses)
+    _warn(counted, on_loss)
 
 
 def run_jdbc(
@@ -67,20 +69,24 @@ def run_jdbc(
     properties: Mapping[str, str] | None = None,
     partitions: int = 10,
     dialect: str = "on_conflict",
-    report_losses: bool = False,
+    on_loss: str = "fail",
     **options,
 ) -> None:
-    """Enrich a database catalogue and upsert its item table."""
+    """Enrich a database catalogue and upsert its item table.
+
+    The database's statement writes whole columns, so ``keep`` is not offered here.
+    """
+    if on_loss == "keep":
+        raise ValueError("on_loss='keep' needs the stored values; use 'fail' or 'warn'")
     place = f"{schema}." if schema else ""
     category_field, formula, names = (f"{place}{t}" for t in METADATA_TABLES)
     formulas = read_metadata(spark, url, category_field, formula, names, properties)
     tables = load_catalogue(jdbc_reader(spark, url, schema, properties, partitions))
-    rows, losses = enriched_items(tables, formulas, **options)
-    if report_losses:
-        _warn(losses)
+    rows, counted = enriched_items(tables, formulas, on_loss, **options)
     jdbc_upsert(
         rows, url, f"{place}item", rows.columns, ["id"], properties=properties, dialect=dialect
     )
+    _warn(counted, on_loss)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -95,8 +101,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--syntax", default="lenient", choices=("lenient", "strict"))
     parser.add_argument("--on-invalid", default="fail", choices=("fail", "skip"))
     parser.add_argument(
-        "--report-losses", action="store_true",
-        help="also count computed values that their column's type cannot hold",
+        "--on-loss", default="fail", choices=ON_LOSS,
+        help="what to do with computed values that their column's type cannot hold",
     )
     given = parser.parse_args(arguments)
     if bool(given.url) == bool(given.tables) or bool(given.tables) != bool(given.output):
@@ -104,7 +110,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName("fieldloom").getOrCreate()
     options = {"syntax": given.syntax, "on_invalid": given.on_invalid}
-    options["report_losses"] = given.report_losses
+    options["on_loss"] = given.on_loss
     if given.tables:
         run_parquet(spark, given.tables, given.output, **options)
         return

@@ -13,6 +13,7 @@ from fieldloom.operators.joins import JoinSpec, join_chain, lookup_join
 from fieldloom.operators.schema import (
     col,
     folding,
+    has_column,
     invert_aliases,
     is_case_sensitive,
     rename_to_target,
@@ -22,12 +23,15 @@ from fieldloom.operators.sizing import settled
 from fieldloom.sinks.tables import dedupe
 from fieldloom.sources.catalogue import ALIASES, ITEM_READ_ONLY
 
-MAX_NAMES = 10_000
 
+def join_categories(
+    items: DataFrame, item_category: DataFrame, strategy: str = "plain"
+) -> DataFrame:
+    """Items with their categories; uncategorised items leave, n categories give n rows.
 
-def join_categories(items: DataFrame, item_category: DataFrame) -> DataFrame:
-    """Items with their categories; uncategorised items leave, n categories give n rows."""
-    spec = JoinSpec(items, [("category_item_id", "item_id")], "inner", strategy="split")
+    An item has few categories, so no key of this join is hot.
+    """
+    spec = JoinSpec(items, [("category_item_id", "item_id")], "inner", strategy=strategy)
     return join_chain(item_category, [spec]).drop("item_id")
 
 
@@ -37,11 +41,9 @@ def eav(values: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
 
 
 def names_in_use(formulas: DataFrame, syntax: str = "lenient") -> list[str]:
-    """Names formulas read or write, on the driver; refuses more than MAX_NAMES."""
+    """Names formulas read or write, on the driver, which plans a column for each."""
     read = references(formulas.where(F.col("formula") != ""), syntax=syntax).select("reference")
-    used = read.union(formulas.select("field_name")).distinct().limit(MAX_NAMES + 1).collect()
-    if len(used) > MAX_NAMES:
-        raise ValueError(f"formulas use more than {MAX_NAMES} distinct names")
+    used = read.union(formulas.select("field_name")).distinct().collect()
     return sorted(r[0] for r in used if r[0] is not None)
 
 
@@ -90,7 +92,14 @@ def _held(dimension: DataFrame, name: str, used: Sequence[str], prefix: str) ->
     wanted = {fold(n[len(prefix):]) for n in used if n.startswith(prefix)}
     value = col(name) if is_case_sensitive(spark) else F.lower(col(name))
     rows = dimension.where(value.isin(sorted(wanted))).select(col(name)).distinct().collect()
-    return sorted(r[0] for r in rows)
+    held = sorted(r[0] for r in rows)
+    by_fold: dict[str, list[str]] = {}
+    for v in held:
+        by_fold.setdefault(fold(v), []).append(v)
+    clashes = [vs for vs in by_fold.values() if len(vs) > 1]
+    if clashes:
+        raise ValueError(f"{name} holds names that would be one column: {clashes}")
+    return held
 
 
 def enrich(
@@ -125,18 +134,24 @@ def enrich(
         prefix,
         on="item_id",
     )
-    wide = join_categories(wide, tables["item_category"])
+    wide = join_categories(wide, tables["item_category"].drop("default_category"))
     return apply(wide, formulas, **options)
 
 
 def pick_category(
     item_category: DataFrame, order_by: Sequence[str] = ("item_category_id",)
 ) -> DataFrame:
-    """One category per item, the first by ``order_by``, so that each item is written once.
+    """One category per item, so that each item is written once: its default category where
+    the links say which (``default_category``), then the first by ``order_by``.
 
     Choosing before the join keeps the aggregate to the narrow link table.
     """
-    return dedupe(item_category, ["category_item_id"], order_by, descending=False)
+    if not has_column(item_category, "default_category"):
+        return dedupe(item_category, ["category_item_id"], order_by, descending=False)
+    other = ~F.coalesce(F.col("default_category"), F.lit(False))
+    ranked = item_category.withColumn("__other", other)
+    chosen = dedupe(ranked, ["category_item_id"], ["__other", *order_by], descending=False)
+    return chosen.drop("__other", "default_category")
 
 
 def write_back(

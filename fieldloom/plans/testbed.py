@@ -39,7 +39,7 @@ BASIC_RULES = (
 # Rules over widened items, reading and writing attributes and custom fields.
 WIDE_RULES = (
     (10001, "item_name", "[invoice_description]"),
-    (10001, "short_description", '[item_name]&[part_number]&"custom_desc"'),
+    (10001, "short_description", '[item_name]&" no. "&[part_number]'),
     (10002, "skew", "[my_part_number]"),
     (10002, "long_description", '[skew]&"/"&[a_A1]'),
     (10003, "long_description", '[a_N2]&"-"&[a_R3]&[long_description]'),

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldloom.operators.schema import rename_to_target, select_existing
-from fieldloom.sinks.tables import check_unique
 
 BATCH_SIZE = 5000
 # A database takes fewer writers than a cluster has tasks.
@@ -64,7 +63,13 @@ def append_jdbc(
     mode: str = "append",
     connections: int = CONNECTIONS,
 ) -> None:
-    """Batched, distributed write: one connection per partition, at most ``connections``."""
+    """Batched, distributed write: one connection per partition, at most ``connections``.
+
+    More partitions are dealt to that many first: left to the writer they would be merged
+    without a shuffle, and all work since the last one would run in as few tasks.
+    """
+    if df.rdd.getNumPartitions() > connections:
+        df = df.repartition(connections)
     writer = df.write.option("batchsize", BATCH_SIZE).option("numPartitions", connections)
     writer.jdbc(url, table, mode=mode, properties=dict(properties or {}))
 
@@ -79,27 +84,36 @@ def jdbc_upsert(
     staging: str | None = None,
     properties: Mapping[str, str] | None = None,
     dialect: str = "merge",
+    connections: int = CONNECTIONS,
 ) -> list[str]:
     """Upsert the DataFrame into a database table; returns the column names skipped.
 
     Executors fill a staging table in parallel, replacing what an earlier attempt left;
-    then the driver issues one statement, so the target changes atomically and a
-    retried task or job applies nothing twice.
+    then the driver issues one statement, so the target changes atomically.  A task that is
+    repeated after its rows were committed stages them twice: the database then reports
+    repeated keys, the target stays as it was, and the job can simply be run again.
     """
     staging = staging or f"{table}_staging"
     rows, skipped = select_existing(rename_to_target(df, mapping or {}), columns)
     statement = upsert_statement(table, staging, rows.columns, keys, dialect)
-    append_jdbc(rows, url, staging, properties, mode="overwrite")
-    # Checked on what was staged, so the plan behind ``df`` runs only once.
-    check_unique(_read_back(df.sparkSession, url, staging, properties), keys)
+    append_jdbc(rows, url, staging, properties, mode="overwrite", connections=connections)
+    # Checked on what was staged, inside the database: only a few repeated keys come back.
+    repeated = _repeated(df.sparkSession, url, staging, keys, properties).limit(5).collect()
+    if repeated:
+        raise ValueError(f"the staged rows repeat keys, e.g. {[r.asDict() for r in repeated]}")
     execute(df, url, statement, properties)
     return skipped
 
 
-def _read_back(
-    spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None
+def repeated_query(table: str, keys: Sequence[str]) -> str:
+    names = ", ".join(keys)
+    return f"(SELECT {names} FROM {table} GROUP BY {names} HAVING COUNT(*) > 1) repeated_keys"
+
+
+def _repeated(
+    spark: SparkSession, url: str, table: str, keys: Sequence[str], properties: Mapping[str, str] | None
 ) -> DataFrame:
-    return spark.read.jdbc(url, table, properties=dict(properties or {}))
+    return spark.read.jdbc(url, repeated_query(table, keys), properties=dict(properties or {}))
 
 
 def execute(

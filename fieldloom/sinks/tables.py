@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fieldloom.operators.audits import duplicate_keys
@@ -15,19 +15,27 @@ from fieldloom.operators.sizing import fits_broadcast, settled
 
 
 LOSS_DDL = "column_name string, n_lost long"
+ON_LOSS = ("fail", "warn", "keep")
+# Marks a column of a source row whose stored value stays.
+KEPT = "__kept_"
 
 
 def dedupe(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], descending: bool = True
 ) -> DataFrame:
-    """One row per key: the one that comes first by ``order_by``.
+    """One row per key: the one that comes first by ``order_by``, then by the other columns
+    that can be ordered, so that ties are decided alike in every branch of a plan.
 
     Aggregates map-side before the shuffle, so a hot key costs one row per task.
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    order = F.struct(*[col(c) for c in order_by])
+    orderable = [
+        f.name for f in df.schema.fields
+        if f.name in rest and not any(t in f.dataType.simpleString() for t in ("map<", "variant"))
+    ]
+    order = F.struct(*[col(c) for c in dict.fromkeys([*order_by, *orderable])])
     pick = F.max_by if descending else F.min_by
     return (
         df.groupBy(*[col(k) for k in keys])
@@ -38,7 +46,7 @@ def dedupe(
 
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    repeated = duplicate_keys(df, keys).limit(5).collect()
+    repeated = duplicate_keys(df, keys, nulls="equal").limit(5).collect()
     if repeated:
         raise ValueError(f"the source repeats keys, e.g. {[r.asDict() for r in repeated]}")
 
@@ -66,7 +74,8 @@ def upsert(
         raise ValueError("key columns required")
     if unique not in ("check", "assume"):
         raise ValueError(f"unique must be 'check' or 'assume', not {unique!r}")
-    written = [c for c in columns or source.columns if c not in keys]
+    marks = [c for c in source.columns if c.startswith(KEPT)]
+    written = [c for c in columns or source.columns if c not in keys and c not in marks]
     unknown = [c for c in [*keys, *written] if c not in target.columns]
     absent = [c for c in [*keys, *written] if c not in source.columns]
     if unknown or absent:
@@ -79,10 +88,9 @@ def upsert(
     incoming = source.select(
         *[col(k).cast(types[k]).alias(f"__key_{i}") for i, k in enumerate(keys)],
         *[col(c).cast(types[c]).alias(f"__new_{i}") for i, c in enumerate(written)],
+        *[col(c) for c in marks],
         F.lit(True).alias("__incoming"),
     )
-    if small_source:
-        incoming = settled(incoming)  # read by three branches of the plan
     same_key = reduce(and_, [col(k) == F.col(f"__key_{i}") for i, k in enumerate(keys)])
     position = {c: i for i, c in enumerate(written)}
 
@@ -90,7 +98,8 @@ def upsert(
         if c in keys:
             value = F.when(inserting, F.col(f"__key_{list(keys).index(c)}")).otherwise(col(c))
         elif c in position:
-            value = F.when(arriving, F.col(f"__new_{position[c]}")).otherwise(col(c))
+            writes = arriving & ~F.coalesce(F.col(KEPT + c), F.lit(False)) if KEPT + c in marks else arriving
+            value = F.when(writes, F.col(f"__new_{position[c]}")).otherwise(col(c))
         elif c in defaults:
             value = F.when(inserting, F.lit(defaults[c]).cast(types[c])).otherwise(col(c))
         else:
@@ -99,6 +108,7 @@ def upsert(
 
     arriving = F.col("__incoming").isNotNull()
     if small_source and fits_broadcast(incoming, limit_bytes):
+        incoming = settled(incoming)  # read by three branches of the plan
         updated = target.join(F.broadcast(incoming), same_key, "left").select(
             *[merged(c, F.lit(False), arriving) for c in target.columns]
         )
@@ -106,7 +116,7 @@ def upsert(
         source_keys = incoming.select(*[f"__key_{i}" for i in range(len(keys))])
         hit = target.select(*[col(k) for k in keys]).join(
             F.broadcast(source_keys), same_key, "left_semi"
-        )
+        ).distinct()
         inserted = incoming.join(hit, same_key, "left_anti").select(
             *[
                 (F.col(f"__key_{list(keys).index(c)}") if c in keys
@@ -123,27 +133,58 @@ def upsert(
     )
 
 
+def _lossy_casts(source: DataFrame, target: DataFrame) -> dict[str, Column]:
+    types = {f.name: f.dataType for f in target.schema.fields}
+    return {
+        f.name: col(f.name).try_cast(types[f.name]) for f in source.schema.fields
+        if f.name in types and f.dataType != types[f.name]
+    }
+
+
 def cast_losses(source: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Source with shared columns cast to target's types, and per column what that lost.
 
     A value that cannot be cast becomes null; the report counts those.
     """
-    types = {f.name: f.dataType for f in target.schema.fields}
-    changed = [
-        f.name for f in source.schema.fields
-        if f.name in types and f.dataType != types[f.name]
-    ]
-    if not changed:
+    casts = _lossy_casts(source, target)
+    if not casts:
         return source, source.sparkSession.createDataFrame([], LOSS_DDL)
-    casts = {c: col(c).try_cast(types[c]) for c in changed}
     losses = source.agg(
-        *[F.count_if(col(c).isNotNull() & casts[c].isNull()).alias(c) for c in changed]
+        *[F.count_if(col(c).isNotNull() & casts[c].isNull()).alias(c) for c in casts]
     )
-    entries = [F.struct(F.lit(c).alias("column_name"), col(c).alias("n_lost")) for c in changed]
+    entries = [F.struct(F.lit(c).alias("column_name"), col(c).alias("n_lost")) for c in casts]
     report = losses.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
     return source.withColumns(casts), report
 
 
+def cast_checked(
+    source: DataFrame, target: DataFrame, on_loss: str = "fail"
+) -> tuple[DataFrame, Observation | None]:
+    """Source in target's types, with a policy for values that do not fit theirs.
+
+    ``fail`` stops the job that writes the rows at the first such value; ``warn`` makes it
+    null; ``keep`` marks the row's column so that ``upsert`` leaves the stored value: column
+    ``__kept_<name>`` is true there.  The last two count per column, in the pass that writes:
+    read the observation after the action.
+    """
+    if on_loss not in ON_LOSS:
+        raise ValueError(f"on_loss must be one of {ON_LOSS}, not {on_loss!r}")
+    casts = _lossy_casts(source, target)
+    if not casts:
+        return source, None
+    lost = {c: col(c).isNotNull() & casts[c].isNull() for c in casts}
+    if on_loss == "fail":
+        shown = {
+            c: F.concat(F.lit(f"a value of {c} does not fit its type: "), F.substring(col(c).cast("string"), 1, 80))
+            for c in casts
+        }
+        return source.withColumns({c: F.when(lost[c], F.raise_error(shown[c])).otherwise(casts[c]) for c in casts}), None
+    counted = Observation()
+    marked = source.observe(counted, *[F.count_if(lost[c]).alias(c) for c in casts])
+    kept = {KEPT + c: lost[c] for c in casts} if on_loss == "keep" else {}
+    return marked.withColumns(kept).withColumns(casts), counted
+
+
 def append_rows(target: DataFrame, source: DataFrame) -> DataFrame:
     """``target`` followed by ``source``, matched by name, in target's types."""
     types = {f.name: f.dataType for f in target.schema.fields}

@@ -11,12 +11,12 @@ from fieldloom.sources.scan import scan_aliased
 
 # The item columns read, all but the key under their own name.
 ITEM_COLUMNS = (
-    "part_number brand_name mfr_part_number my_part_number upc country_of_origin "
-    "country_of_sale gtin short_description long_description feature_bullets "
-    "invoice_description qty_available package_length package_height package_weight "
-    "package_width volume standard_approval status warranty enriched_indicator "
-    "manufacturer_status"
-).split()
+    "part_number", "brand_name", "mfr_part_number", "my_part_number", "upc", "country_of_origin",
+    "country_of_sale", "gtin", "short_description", "long_description", "feature_bullets",
+    "invoice_description", "qty_available", "package_length", "package_height", "package_weight",
+    "package_width", "volume", "standard_approval", "status", "warranty", "enriched_indicator",
+    "manufacturer_status",
+)
 
 # Item columns read but not written back.
 ITEM_READ_ONLY = ("status", "enriched_indicator", "manufacturer_status")
@@ -28,6 +28,7 @@ ALIASES: dict[str, dict[str, str]] = {
         "id": "item_category_id",
         "category_id": "category_id",
         "item_id": "category_item_id",
+        "default_category": "default_category",
     },
     "attribute": {"id": "attribute_id", "attribute_name": "attribute_name"},
     "item_attribute_value": {

@@ -13,6 +13,17 @@ def aliased_query(table: str, aliases: Mapping[str, str]) -> str:
     return f"(SELECT {columns} FROM {table}) {table.replace('.', '_')}_alias"
 
 
+# Rows a database sends at a time: without it, some drivers fetch a task's whole range at once.
+FETCH_SIZE = 10_000
+
+
+def _options(properties: Mapping[str, str] | None, fetch_size: int | None) -> dict[str, str]:
+    given = dict(properties or {})
+    if fetch_size:
+        given.setdefault("fetchsize", str(fetch_size))
+    return given
+
+
 def bounds_query(table: str, column: str) -> str:
     return f"(SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}) bounds_alias"
 
@@ -27,6 +38,7 @@ def read_jdbc_partitioned(
     lower: int | None = None,
     upper: int | None = None,
     partitions: int = 10,
+    fetch_size: int | None = FETCH_SIZE,
 ) -> DataFrame:
     """Aliased scan of a database table in ``partitions`` parallel key ranges.
 
@@ -36,11 +48,8 @@ def read_jdbc_partitioned(
     column = {alias: c for c, alias in aliases.items()}.get(partition_alias)
     if column is None:
         raise ValueError(f"{partition_alias!r} is not one of the aliases")
-    properties = dict(properties or {})
-    if lower is None or upper is None:
-        found = spark.read.jdbc(url, bounds_query(table, column), properties=properties).first()
-        lower = lower if lower is not None else (found[0] or 0)
-        upper = upper if upper is not None else (found[1] or 0)
+    properties = _options(properties, fetch_size)
+    lower, upper = _bounds(spark, url, table, column, properties, lower, upper)
     return spark.read.jdbc(
         url,
         aliased_query(table, aliases),
@@ -52,6 +61,15 @@ def read_jdbc_partitioned(
     )
 
 
+def _bounds(spark, url, table, column, properties, lower, upper) -> tuple[int, int]:
+    """The bounds given, or the smallest and greatest key."""
+    if lower is None or upper is None:
+        found = spark.read.jdbc(url, bounds_query(table, column), properties=properties).first()
+        lower = lower if lower is not None else (found[0] or 0)
+        upper = upper if upper is not None else (found[1] or 0)
+    return lower, upper
+
+
 def metadata_query(category_field: str, formula: str, field_names: str) -> str:
     """The formula metadata join, run inside the database."""
     return (
@@ -73,17 +91,21 @@ def read_metadata(
     lower: int | None = None,
     upper: int | None = None,
     partitions: int | None = None,
+    fetch_size: int | None = FETCH_SIZE,
 ) -> DataFrame:
-    """Formula metadata over JDBC, optionally in parallel ranges of category_id."""
+    """Formula metadata over JDBC, optionally in parallel ranges of category_id; bounds left
+    out are looked up in ``category_field``."""
     query = metadata_query(category_field, formula, field_names)
+    properties = _options(properties, fetch_size)
     if partitions is None:
-        return spark.read.jdbc(url, query, properties=dict(properties or {}))
+        return spark.read.jdbc(url, query, properties=properties)
+    lower, upper = _bounds(spark, url, category_field, "category_id", properties, lower, upper)
     return spark.read.jdbc(
         url,
         query,
         column="category_id",
         lowerBound=lower,
-        upperBound=upper,
+        upperBound=max(lower, upper),
         numPartitions=partitions,
-        properties=dict(properties or {}),
+        properties=properties,
     )

@@ -1,12 +1,10 @@
-"""Aliased scans of lake tables and the stride partitioning of range reads."""
+"""Aliased scans of lake tables."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from decimal import ROUND_HALF_EVEN, ROUND_HALF_UP, Decimal, localcontext
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from fieldloom.operators.schema import apply_aliases
 
@@ -16,36 +14,3 @@ def scan_aliased(
 ) -> DataFrame:
     """Read only the mapped columns of a table, each under its alias."""
     return apply_aliases(spark.read.format(fmt).load(path), aliases)
-
-
-def stride_bounds(lower: int, upper: int, partitions: int) -> list[int]:
-    """The cut points of a range read: partition i holds [cut i-1, cut i).
-
-    Same cuts as Spark's JDBC reader makes from lowerBound, upperBound and
-    numPartitions.  The outer partitions are open, so nothing is filtered out.
-    """
-    if lower > upper:
-        raise ValueError("the lower bound exceeds the upper bound")
-    partitions = min(partitions, upper - lower)
-    if partitions <= 1:
-        return []
-    with localcontext(prec=34):
-        scale = Decimal("1e-18")
-        low, high = (
-            (Decimal(bound) / partitions).quantize(scale, ROUND_HALF_EVEN)
-            for bound in (lower, upper)
-        )
-        stride = int(high - low)
-        # What whole strides leave over is shared between the two outer partitions.
-        lost = (high - low - stride) * partitions / stride
-        aligned = lower + int((lost / 2 * stride).quantize(Decimal(1), ROUND_HALF_UP))
-    return [aligned + stride * i for i in range(1, partitions)]
-
-
-def stride_partition_id(value: Column, lower: int, upper: int, partitions: int) -> Column:
-    """The partition a range read puts a value in; nulls go to the first."""
-    cuts = stride_bounds(lower, upper, partitions)
-    result = F.lit(0)
-    for i, cut in enumerate(cuts, start=1):
-        result = F.when(value >= cut, i).otherwise(result)
-    return result

@@ -1,4 +1,7 @@
-"""The two-item catalogue used as a golden input."""
+"""The two-item catalogue used as a golden input.
+
+Fixed values: the rows below must equal the published seed rows for the golden results to hold.
+"""
 
 from decimal import Decimal
 

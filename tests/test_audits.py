@@ -9,8 +9,10 @@ def test_duplicate_keys(spark):
         [(1, True), (1, False), (2, True), (2, True), (None, True), (None, True)],
         "item long, main boolean",
     )
-    assert rows(audits.duplicate_keys(df, ["item"])) == [(None, 2), (1, 2), (2, 2)]
-    assert rows(audits.duplicate_keys(df, ["item"], F.col("main"))) == [(None, 2), (2, 2)]
+    assert rows(audits.duplicate_keys(df, ["item"])) == [(1, 2), (2, 2)]
+    assert rows(audits.duplicate_keys(df, ["item"], F.col("main"))) == [(2, 2)]
+    equal = audits.duplicate_keys(df, ["item"], F.col("main"), nulls="equal")
+    assert rows(equal) == [(None, 2), (2, 2)]
 
 
 def test_orphans(spark):

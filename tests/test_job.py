@@ -6,6 +6,7 @@ from fieldloom.functions.metadata import from_map
 from fieldloom.plans import job
 from fieldloom.plans.pipeline import enrich
 from fieldloom.sinks import jdbc
+from fieldloom.sinks.tables import upsert
 
 
 @pytest.fixture(scope="module")
@@ -27,14 +28,24 @@ def test_parquet_job(spark, stored):
     ]
 
 
-def test_values_that_do_not_fit_are_counted(spark, stored, caplog):
-    tables = catalogue(spark)
-    rules = from_map(spark, {10001: {"qty_available": "[part_number]"}, 10002: {"qty_available": '"7"'}})
-    found, losses = job.enriched_items(tables, rules)
-    assert rows(found.select("id", "qty_available")) == [(10001, None), (10002, 7)]
-    assert rows(losses) == [("qty_available", 1)]
-    job._warn(losses)
-    assert "qty_available" in caplog.text
+LOSSY = {10001: {"qty_available": "[part_number]"}, 10002: {"qty_available": '"7"'}}
+
+
+def test_a_value_that_does_not_fit_stops_the_job(spark):
+    found, _ = job.enriched_items(catalogue(spark), from_map(spark, LOSSY))
+    with pytest.raises(Exception, match="qty_available does not fit its type: PartNo001"):
+        found.collect()
+
+
+@pytest.mark.parametrize("on_loss, stored", [("warn", None), ("keep", 10000)])
+def test_values_that_do_not_fit_are_counted(spark, caplog, on_loss, stored):
+    found, counted = job.enriched_items(catalogue(spark), from_map(spark, LOSSY), on_loss)
+    target = table(spark, "item")
+    merged = upsert(target, found, ["id"], unique="assume")
+    assert merged.columns == target.columns
+    assert rows(merged.select("id", "qty_available")) == sorted([(10001, stored), (10002, 7)])
+    job._warn(counted, on_loss)
+    assert "1 values of qty_available" in caplog.text
 
 
 def test_names_on_both_sides_are_refused_or_prefixed(spark):
@@ -64,10 +75,9 @@ def test_arguments(arguments):
 
 def test_an_item_in_two_categories_is_written_once(spark):
     tables = catalogue(spark)
-    second = spark.createDataFrame([(10003, 10002, 10001)], tables["item_category"].schema)
+    second = spark.createDataFrame([(9003, 10002, 10001, False)], tables["item_category"].schema)
     tables["item_category"] = tables["item_category"].union(second)
-    found, losses = job.enriched_items(tables, formulas(spark))
-    assert losses.count() == 0
+    found, _ = job.enriched_items(tables, formulas(spark))
     assert rows(found.select("id", "long_description")) == [
         (10001, "this is long description"), (10002, "retro"),
     ]

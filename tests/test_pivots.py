@@ -48,14 +48,27 @@ def test_custom_aggregates_match_spark(spark, count):
     values = list(range(count + 1))  # one without rows
     for agg in (F.count, F.sum, F.max, F.min):
         native = df.groupBy("k").pivot("name", values).agg(agg("value"))
+        for given in (agg, agg.__name__):
+            ours = pivot_wide(df, ["k"], "name", "value", values=values, agg=given)
+            assert ours.columns == native.columns
+            assert rows(ours) == rows(native)
+
+
+@pytest.mark.parametrize("count", [3, 40])
+def test_aggregates_that_see_nulls_match_spark(spark, count):
+    df = spark.createDataFrame([(1, 0, 10), (1, 1, 20), (2, 0, None), (2, 0, None), (3, 2, 5)], "k int, name int, value int")
+    values = list(range(count))
+    for agg in (F.first, F.last, F.any_value, lambda c: F.count(F.lit(1)), F.collect_list):
+        native = df.groupBy("k").pivot("name", values).agg(agg(F.col("value")))
         ours = pivot_wide(df, ["k"], "name", "value", values=values, agg=agg)
-        assert ours.columns == native.columns
         assert rows(ours) == rows(native)
+    with pytest.raises(ValueError):
+        pivot_wide(df, ["k"], "name", "value", values=values, agg="first_value")
 
 
 def test_few_numeric_columns_take_one_shuffle(spark):
     df = spark.range(100).selectExpr("id % 5 k", "cast(id % 3 as int) name", "id value")
-    plan = physical_plan(pivot_wide(df, ["k"], "name", "value", values=[0, 1, 2], agg=F.sum))
+    plan = physical_plan(pivot_wide(df, ["k"], "name", "value", values=[0, 1, 2], agg="sum"))
     assert plan.count("Exchange hashpartitioning") == 1
 
 

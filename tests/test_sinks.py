@@ -137,12 +137,12 @@ def test_jdbc_upsert_stages_then_merges(spark, source, monkeypatch):
     """The steps, without a database: what is staged, checked and executed."""
     staged, executed = {}, []
 
-    def stage(df, url, table, properties=None, mode="append"):
+    def stage(df, url, table, properties=None, mode="append", connections=None):
         staged[table] = (rows(df), df.columns, mode)
 
     monkeypatch.setattr(jdbc, "append_jdbc", stage)
     monkeypatch.setattr(jdbc, "execute", lambda df, url, sql, properties: executed.append(sql))
-    monkeypatch.setattr(jdbc, "_read_back", lambda spark, url, table, properties: source)
+    monkeypatch.setattr(jdbc, "_repeated", lambda spark, url, table, keys, properties: source.limit(0))
     skipped = jdbc.jdbc_upsert(
         source.withColumnRenamed("id", "item_id"), "jdbc:x", "prod.item", ["id", "v", "gone"],
         ["id"], {"item_id": "id"},
@@ -150,3 +150,9 @@ def test_jdbc_upsert_stages_then_merges(spark, source, monkeypatch):
     assert skipped == ["gone"]
     assert staged == {"prod.item_staging": ([(2, None), (3, "n3")], ["id", "v"], "overwrite")}
     assert executed == [jdbc.upsert_statement("prod.item", "prod.item_staging", ["id", "v"], ["id"])]
+    monkeypatch.setattr(jdbc, "_repeated", lambda spark, url, table, keys, properties: source)
+    with pytest.raises(ValueError, match="repeat keys"):
+        jdbc.jdbc_upsert(source, "jdbc:x", "t", ["id", "v"], ["id"])
+    assert jdbc.repeated_query("s", ["a", "b"]) == (
+        "(SELECT a, b FROM s GROUP BY a, b HAVING COUNT(*) > 1) repeated_keys"
+    )

@@ -6,24 +6,7 @@ from seed import catalogue
 from fieldloom.operators import schema
 from fieldloom.sources import jdbc
 from fieldloom.sources.catalogue import ALIASES, jdbc_reader, load_catalogue, parquet_reader
-from fieldloom.sources.scan import scan_aliased, stride_bounds, stride_partition_id
-
-
-def test_stride_partitions(spark):
-    ids = spark.range(1, 101).select(stride_partition_id(F.col("id"), 21, 61, 4).alias("p"))
-    assert rows(ids.groupBy("p").count()) == [(0, 30), (1, 10), (2, 10), (3, 50)]
-    nulls = spark.sql("SELECT CAST(NULL AS BIGINT) id")
-    assert rows(nulls.select(stride_partition_id(F.col("id"), 21, 61, 4))) == [(0,)]
-
-
-def test_stride_bounds():
-    assert stride_bounds(21, 61, 4) == [31, 41, 51]
-    assert stride_bounds(0, 3, 10) == [1, 2]
-    # 9.9 a stride: nine rows over whole strides, shared by the outer partitions.
-    assert stride_bounds(1, 100, 10) == [5 + 1 + 9 * i for i in range(1, 10)]
-    assert stride_bounds(5, 5, 4) == [] and stride_bounds(0, 100, 1) == []
-    with pytest.raises(ValueError):
-        stride_bounds(2, 1, 3)
+from fieldloom.sources.scan import scan_aliased
 
 
 def test_aliased_scan_reads_only_its_columns(spark):
@@ -63,7 +46,7 @@ def test_partitioned_read_options():
     assert session.calls == [
         ("(SELECT id AS item_id FROM t) t_alias",
          {"column": "item_id", "lowerBound": 1, "upperBound": 50, "numPartitions": 5,
-          "properties": {"user": "x"}}),
+          "properties": {"user": "x", "fetchsize": "10000"}}),
     ]
     derived = Recorder()
     jdbc.read_jdbc_partitioned(derived, "u", "t", {"id": "item_id"}, "item_id")
@@ -81,6 +64,11 @@ def test_metadata_read():
     assert set(plain.calls[0][1]) == {"properties"}
     jdbc.read_metadata(ranged, "u", lower=1, upper=10_000, partitions=8)
     assert ranged.calls[0][1]["numPartitions"] == 8
+    derived = Recorder((4, 40))
+    jdbc.read_metadata(derived, "u", partitions=3, fetch_size=None)
+    assert derived.calls[0][0] == jdbc.bounds_query("category_field", "category_id")
+    assert (derived.calls[1][1]["lowerBound"], derived.calls[1][1]["upperBound"]) == (4, 40)
+    assert derived.calls[1][1]["properties"] == {}
 
 
 def test_catalogue_readers(spark, tmp_path):
