@@ -249,9 +249,17 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_lengt
     over = F.col("__hit") > F.lit(max_coverage) * F.col("__words")
     if max_coverage <= 0:
         return docs.join(found.where(over).select("__doc").distinct(), docs[doc].eqNullSafe(F.col("__doc")), "left_anti")
-    cutting = F.udf(lambda t, s, e: cut_spans(t, *zip(*[(a, b) for a, b in zip(s, e, strict=True) if b - a > max_length], strict=True)) if any(b - a > max_length for a, b in zip(s, e, strict=True)) else t, "string")
-    joined = docs.join(found, docs[doc].eqNullSafe(F.col("__doc")), "left").where(~F.coalesce(over, F.lit(False)))
-    return joined.withColumn(text, F.when(F.col("__doc").isNull(), F.col(text)).otherwise(cutting(F.col(text), "starts", "ends"))).select(*docs.columns)
+    joined = docs.select(F.col(text).alias("__text"), F.struct("*").alias("__row"), F.col(doc).alias("__own")).join(found, F.col("__own").eqNullSafe(F.col("__doc")), "left").where(~F.coalesce(over, F.lit(False)))
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = []
+        for t, s, e in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+            spans = [(a, b) for a, b in zip(s or [], e or [], strict=True) if b - a > max_length]
+            texts.append(cut_spans(t, *zip(*spans, strict=True)) if spans else t)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
+
+    out = map_arrow(joined.select("__row", "__text", "starts", "ends"), each, f"row {docs.schema.simpleString()}, text string")
+    return out.select(*[F.col("text").alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
