@@ -72,6 +72,42 @@ def model_class(f):
     return "OK" if "&".join(parts) == f else "MISMATCH"
 
 
+def model_position(f):
+    """(position, lexeme) of the error, from the same scan."""
+    kind = model_class(f)
+    if kind in ("OK", "EMPTY"):
+        return None, None
+    if kind == "MISMATCH":
+        return 0, None
+    marks, ends, i = [], [], 0
+    while i < len(f):
+        if f[i] in '["':
+            close = f.find("]" if f[i] == "[" else '"', i + 1)
+            marks.append(f[i])
+            if close < 0:
+                break
+            marks.append(f[close])
+            ends.append((f[i : close + 1], close + 1))
+            i = close
+        elif f[i] == "&":
+            marks.append("&")
+        i += 1
+    if kind == "BLANK_FIELD":
+        padding = "".join(map(chr, range(33)))
+        return next(e for p, e in ends if p[0] == "[" and (p == "[]" or p[1:-1] != p[1:-1].strip(padding))), None
+    i = 0
+    while True:
+        c, after = marks[i], [*marks[i + 1 : i + 3], None, None]
+        bad = (
+            (c == "[" and after[0] != "]") or (c == "]" and (i == 0 or after[0] not in ("&", None)))
+            or (c == "&" and (i == 0 or after[0] not in ("[", '"')))
+            or (c == '"' and (after[0] != '"' or after[1] not in ("&", None)))
+        )
+        if bad:
+            return i, c
+        i += 2 if c == '"' else 1
+
+
 def make_rules(spark, table):
     return spark.createDataFrame(
         [(c, f, t, i) for i, (c, f, t) in enumerate(table)], FORMULA_SCHEMA
@@ -101,6 +137,7 @@ def test_validation_agrees_with_a_plain_scan(spark, formulas):
     df = spark.createDataFrame([(f,) for f in formulas], "formula string")
     for r in inspect.validate(df).collect():
         assert r["error_class"] == model_class(r["formula"]), r["formula"]
+        assert (r["error_position"], r["error_lexeme"]) == model_position(r["formula"]), r["formula"]
 
 
 def test_all_short_formulas(spark):
@@ -345,3 +382,32 @@ def test_a_hot_category_is_split(spark):
         for r in rows_in.collect()
     )
     assert sorted(r["target"] for r in split.collect()) == expected
+
+
+@pytest.mark.parametrize("form", ["compiled", "lookup"])
+def test_names_that_differ_in_case_are_one_field(spark, items, form):
+    table = [(1, "target", '"one"'), (1, "TARGET", '"two"')]
+    last = apply(items, make_rules(spark, table), form=form)
+    assert [r["target"] for r in last.collect()] == ["two"]
+    with pytest.raises(FormulaError, match="second formula"):
+        apply(items, make_rules(spark, table).drop("formula_id"), form=form).collect()
+    equal = spark.createDataFrame([(*r, 7) for r in table], FORMULA_SCHEMA)
+    assert [r["target"] for r in apply(items, equal, form=form).collect()] == ["two"]
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(1, 3), st.sampled_from(["target", "TARGET", "Target", "b"]), st.sampled_from(["[a]", '"x"', "[x]"]), st.integers(0, 2)), min_size=1, max_size=12))
+def test_forms_agree_on_versions_and_case(spark, items, table):
+    rules = spark.createDataFrame(table, FORMULA_SCHEMA)
+    rows_of = [rows(apply(items, rules, form=form).select("target", "b")) for form in ("compiled", "lookup")]
+    assert rows_of[0] == rows_of[1]
+
+
+@pytest.mark.parametrize("max_rules", [500, 2])
+def test_bad_sql_formulas_are_reported_together(spark, items, max_rules):
+    table = [(1, "target", "nope + 1"), (2, "target", "a ||| b"), (3, "b", "java_method('x', 'y')"), (4, "b", "upper(a)")]
+    with pytest.raises(FormulaError) as error:
+        apply(items, make_rules(spark, table), dialect="sql", max_rules=max(max_rules, 4) if max_rules > 2 else 4)
+    assert len(error.value.problems) == 3 and "refused" in str(error.value)
+    good = make_rules(spark, [(k, "target", "upper(a)" if k % 2 else "concat(a, 'z')") for k in range(1, 9)])
+    assert [r["target"] for r in apply(items, good, dialect="sql", max_rules=max_rules).collect()] == ["A"]
