@@ -26,13 +26,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm.shared import cut, map_arrow, read
+from fieldloom.llm.shared import cut, map_arrow, read, ship
 
-#: Words in the cache of one Python worker.
-CACHE_WORDS = 1_000_000
+#: Words in the cache of one task.
+CACHE_WORDS = 300_000
 #: How byte-level tokenizers write bytes: printable ones as themselves, the rest from U+0100 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_BYTE_LEVEL = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_OTHER = [b for b in range(256) if b not in _PRINTABLE]
+_BYTE_LEVEL = "".join(chr(b if b in _PRINTABLE else 256 + _OTHER.index(b)) for b in range(256))
 
 
 class WordEncoder(dict):
@@ -48,25 +49,27 @@ class WordEncoder(dict):
         self.kind = np.dtype(self.code)
 
     def __missing__(self, word: bytes) -> bytes:
-        """An ASCII word that ends in a letter or digit and one mark is that word and that mark,
-        since the tokenizer parts them too; letters alone go to its model directly."""
-        if len(word) > 1 and word[-1] in b".,!?;:" and word[-2:-1].isalnum():
+        """Letters go to the tokenizer's model directly. An ASCII word that ends in a letter or digit
+        and one mark is that word and that mark, since the tokenizer parts them too."""
+        low = word.lower()  # of ASCII letters
+        if low != word and low.isascii():
+            found = self[low]
+        elif word.isalpha():
+            found = self._packed(word.decode())
+        elif word[-1] in b".,!?;:" and word[-2:-1].isalnum():
             found = self[word[:-1]] + self[word[-1:]]
         else:
             text = word.decode()
-            low = text.lower()
-            if low != text and word.isascii():
-                found = self[low.encode()]
-            elif text.isalpha() and max(low) < "\u02b0" and len(low) == len(text):  # composed, lower case one to one
-                found = self._packed(self.model.tokenize(low.encode().decode("latin-1").translate(_BYTE_LEVEL)))
+            folded = text.lower()
+            if text.isalpha() and max(folded) < "\u02b0" and len(folded) == len(text):  # composed, lower case one to one
+                found = self._packed(folded.encode().decode("latin-1").translate(_BYTE_LEVEL))
             else:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                found = array(self.code, ids).tobytes()
+                found = array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         self[word] = found
         return found
 
-    def _packed(self, tokens: list) -> bytes:
-        return array(self.code, [t.id for t in tokens]).tobytes()
+    def _packed(self, letters: str) -> bytes:
+        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """The text's ids as integers of ``kind``."""
@@ -79,7 +82,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 
 def encoder(path: str) -> WordEncoder:
-    """One encoder for each path and Python worker, kept between tasks."""
+    """One tokenizer for each path and Python worker, kept between tasks."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
@@ -88,14 +91,19 @@ def encoder(path: str) -> WordEncoder:
 def _tokenized(docs: DataFrame, doc: str, text: str, path: str, end_id: int) -> DataFrame:
     """(doc, ids): the packed ids of each document with its end id."""
 
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
         end = np.array([end_id], words.kind).tobytes()
-        ids = [words.encode(x.as_py()) + end for x in batch.column(1)]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.large_binary()).cast(pa.binary())], names=["doc", "ids"])
-
+        try:
+            for batch in batches:
+                ids = [words.encode(x.as_py()) + end for x in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc", "ids"])
+        finally:
+            words.clear()  # the worker may go on with other work
+
+    ship(docs.sparkSession)
     kind = docs.schema[doc].dataType.simpleString()
-    return map_arrow(docs.select(F.col(doc).alias("doc"), F.col(text)), each, f"doc {kind}, ids binary")
+    return docs.select(F.col(doc).alias("doc"), F.col(text)).mapInArrow(run, f"doc {kind}, ids binary")
 
 
 def cuts(offset: int, tokens: int, length: int) -> Iterator[tuple[int, int, int, int]]:
