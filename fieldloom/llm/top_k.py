@@ -154,6 +154,21 @@ def search(queries: Block, candidates: Block, k: int, least: np.ndarray) -> Iter
         yield q, ids, scores
 
 
+def blocks(parts: list, size: int) -> tuple[dict[int, int], list[float]]:
+    """From (partition, its first value, rows) the block of each partition, neighbours together up to
+    about ``size`` rows, and each block's first value."""
+    number: dict[int, int] = {}
+    firsts: list[float] = []
+    filled = size
+    for part, value, rows in sorted(parts):
+        if filled >= size:
+            firsts.append(value)
+            filled = 0
+        number[part] = len(firsts) - 1
+        filled += rows
+    return number, firsts
+
+
 def top_k(vectors: DataFrame, key: str, vector: str, k: int, is_query: F.Column, scale: int = 1024) -> DataFrame:
     """(query_id, rank, id, score) for the rows of ``vectors`` where ``is_query`` (of column ``id``)."""
     spark = vectors.sparkSession
@@ -181,16 +196,15 @@ def top_k(vectors: DataFrame, key: str, vector: str, k: int, is_query: F.Column,
     candidates = cut(held.repartitionByRange(n_candidate, F.col("size").desc(), "id").withColumn("cb", F.spark_partition_id()))
     # Blocks of both sides by number: candidates' lengths fall, queries' reaches rise. A pair meets
     # if the longest candidate is as long as the smallest reach, with a margin for rounding.
-    longest = sorted((r.cb, r.s) for r in candidates.groupBy("cb").agg(F.max("size").alias("s")).collect())
-    reaches = sorted((r.qb, r.s) for r in queries.groupBy("qb").agg(F.min("reach").alias("s")).collect())
+    to_c, longest = blocks(candidates.groupBy("cb").agg(F.max("size"), F.count(F.lit(1))).collect(), CANDIDATES)
+    to_q, reaches = blocks(queries.groupBy("qb").agg(F.min("reach"), F.count(F.lit(1))).collect(), QUERIES)
     meets = lambda size, least: size * (1 + 1e-6) + 1e-3 >= least
-    to = lambda pairs, name: spark.createDataFrame(pairs, f"{name} int, last int")
-    last_q = [(cb, max([j for j, (_, least) in enumerate(reaches) if meets(s, least)], default=-1)) for cb, s in longest]
-    last_c = [(qb, max([j for j, (_, s) in enumerate(longest) if meets(s, least)], default=-1)) for qb, least in reaches]
-    numbered = spark.createDataFrame([(qb, j) for j, (qb, _) in enumerate(reaches)], "qb int, q int")
-    numbered_c = spark.createDataFrame([(cb, j) for j, (cb, _) in enumerate(longest)], "cb int, c int")
-    left = queries.join(to(last_c, "qb").join(numbered, "qb"), "qb").where("last >= 0").select("q", F.explode(F.sequence(F.lit(0), "last")).alias("c"), "id", "x", "least")
-    right = candidates.join(to(last_q, "cb").join(numbered_c, "cb"), "cb").where("last >= 0").select(F.explode(F.sequence(F.lit(0), "last")).alias("q"), "c", "id", "x")
+    last_q = [max([j for j, least in enumerate(reaches) if meets(s, least)], default=-1) for s in longest]
+    last_c = [max([j for j, s in enumerate(longest) if meets(s, least)], default=-1) for least in reaches]
+    of_q = spark.createDataFrame([(part, j, last_c[j]) for part, j in to_q.items()], "qb int, q int, last int")
+    of_c = spark.createDataFrame([(part, j, last_q[j]) for part, j in to_c.items()], "cb int, c int, last int")
+    left = queries.join(of_q, "qb").where("last >= 0").select("q", F.explode(F.sequence(F.lit(0), "last")).alias("c"), "id", "x", "least")
+    right = candidates.join(of_c, "cb").where("last >= 0").select(F.explode(F.sequence(F.lit(0), "last")).alias("q"), "c", "id", "x")
 
     def pair(q: pa.Table, c: pa.Table) -> pa.Table:
         out = {"query_id": [], "id": [], "score": []}
