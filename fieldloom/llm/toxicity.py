@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
-Method: many voters look at each text: lexicon voters (groups of given words, and single features
-mined from labelled rows) and pattern voters; each says toxic, clean or nothing. A feature is a word
+Method: many voters look at each text: lexicon voters (given words, and features mined from
+labelled rows) and pattern voters; each says toxic, clean or nothing. A feature is a word
 or the beginning of a word (``PREFIXES`` bytes), since insults are inflected and compounded. A
 generative label model is fitted to the votes alone: a voter's accuracy comes from its agreement
 with pairs of others (the triplet identity: for voters independent given the truth, the product of
@@ -39,8 +39,9 @@ from fieldloom.llm.shared import cut, map_arrow, read, ship
 from fieldloom.llm.words import ALPHANUMERIC, FOLDED, U, chunks, prefix_hashes, words_of
 
 #: Labelled rows at most; features kept for the classifier; mined features that vote; labelled rows
-#: with a feature at least; bytes of the beginnings of words; share of toxic rows of a mined feature.
-SAMPLE, FEATURES, MINED, LEAST_ROWS, PREFIXES, PRECISION = 20_000, 4096, 96, 4, (4, 5, 6, 7, 8), 0.75
+#: with a feature at least; bytes of the beginnings of words; share of toxic rows of a mined feature;
+#: mined voters on a toxic row.
+SAMPLE, FEATURES, MINED, LEAST_ROWS, PREFIXES, PRECISION, DEPTH = 20_000, 4096, 96, 4, (4, 5, 6, 7, 8), 0.75, 5
 
 # Words whose presence is a vote for toxic.
 INSULTS = "idiot moron loser scum clown trash imbecile fool jerk creep dimwit halfwit vermin parasite".split()
@@ -239,22 +240,24 @@ class Model(NamedTuple):
 
 
 def mine(rows: list[np.ndarray], toxic: np.ndarray, width: int) -> list[int]:
-    """Features that vote: one after the other that which most toxic rows hold which none so far
-    covers, among those whose rows are toxic by ``PRECISION`` or more."""
+    """Features that vote: one after the other that which most toxic rows hold which fewer than
+    ``DEPTH`` so far cover (a label model needs several voters
+    on a text), the purer the better,
+    among those whose rows are toxic by ``PRECISION`` or more."""
     flat = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     n, t = np.bincount(flat, minlength=width), np.bincount(flat, toxic[owner], minlength=width)
-    good = (n >= LEAST_ROWS) & (t >= PRECISION * n)
-    open_rows = toxic.astype(bool).copy()
+    purity = np.where((n >= LEAST_ROWS) & (t >= PRECISION * n), t / np.maximum(n, 1), 0.0) ** 6
+    need = toxic.astype(np.int64) * DEPTH
     picked: list[int] = []
     while len(picked) < MINED:
-        gain = np.bincount(flat, open_rows[owner], minlength=width) * good
-        best = int(np.argmax(gain - 1e-6 * (n - t)))
+        gain = np.bincount(flat, need[owner] > 0, minlength=width) * purity
+        best = int(np.argmax(gain))
         if gain[best] < 2:
             break
         picked.append(best)
-        open_rows[owner[flat == best]] = False
-        good[best] = False
+        need[owner[flat == best]] -= 1
+        purity[best] = 0
     return picked
 
 
@@ -329,9 +332,9 @@ def learn(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "
     rows = _sample(docs, labels, doc, text, sample)
     n, toxic = rows.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     toxic = toxic or 0
-    given = [word_hashes(x) for x in (INSULTS, CONTEMPT, HOSTILE)]
+    given = [h[None] for h in word_hashes([*INSULTS, *CONTEMPT, *HOSTILE])]
     labelled = 0 < toxic < n
-    known = Features(np.concatenate([*given, _common_features(rows, toxic, n) if labelled else given[0]]))
+    known = Features(np.concatenate([*given, *([_common_features(rows, toxic, n)] if labelled else [])]))
     width = len(known.hashes)
     y, features = _fetch(rows, known) if labelled else (np.zeros(0), [])
     picked = mine(features, y, width) if labelled else []
