@@ -20,7 +20,9 @@ Method, in four steps, none of which needs more than a bounded part of the data
    of all documents hold is many tasks.
 4. Located windows go back from contexts to the documents that hold them, as bit masks.
 
-Words, grams and windows are compared by 64-bit hashes, contexts by 128 bits.
+Anchors are 64-bit hashes, contexts 128 bits; within a context words are told apart by 40 bits of
+their hashes, so that two windows are confused only if every word in which they differ agrees in
+these (2^-40 each).
 
 Results in odd cases: a null text has no words; texts under ``length`` words lose nothing; a text of
 any length is taken whole; repeated rows are two documents with equal windows, so they lose all that
@@ -38,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm.shared import cut, map_arrow, read
+from fieldloom.llm.shared import cut, map_arrow, passes, read, sieve, slot
 from fieldloom.llm.words import BETWEEN_SPACE, EXACT, U, chunks, mix, rolling
 
 LENGTH, GRAM = 35, 8
@@ -46,6 +48,20 @@ LENGTH, GRAM = 35, 8
 SPREAD, PHRASES, CONTEXTS = 28, 8192, 16384
 
 
+#: Bytes of a word's hash that travel with a context.
+WORD_BYTES = 5
+
+
+def packed(hashes: np.ndarray) -> bytes:
+    return hashes.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES].tobytes()
+
+
+def unpacked(words: bytes | pa.Buffer) -> np.ndarray:
+    out = np.zeros((len(words) // WORD_BYTES, 8), np.uint8)
+    out[:, :WORD_BYTES] = np.frombuffer(words, np.uint8).reshape(-1, WORD_BYTES)
+    return out.view(U).ravel()
+
+
 class Contexts(NamedTuple):
     """The contexts of a group of texts, in order."""
 
@@ -100,30 +116,31 @@ def _content(hashes: np.ndarray, start: np.ndarray, words: np.ndarray) -> np.nda
     return mix((sums[start + words] - sums[start]) * down[start] + words.astype(U))
 
 
-_OCCURRENCE = "anchor long, content long, doc long, check long, start int, count int, again int"
+#: ``place``: first word * 256 + windows.
+_OCCURRENCE = "anchor long, content long, doc long, check long, place long, again int"
 
 
-def _plain(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """(doc, check, text): ``check`` tells rows of one id apart by their text."""
+def _plain(docs: DataFrame, doc: str, text: str, *more: Column) -> DataFrame:
+    """(doc, check, text, more): ``check`` tells rows of one id apart by their text."""
     words = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return docs.select(F.col(doc).cast("long").alias("doc"), F.xxhash64(words).alias("check"), words.alias("text"))
+    return docs.select(F.col(doc).cast("long").alias("doc"), F.xxhash64(words).alias("check"), words.alias("text"), *more)
 
 
 def occurrences(plain: DataFrame, length: int) -> DataFrame:
-    """All contexts of all documents: anchor, content, doc, check, first word, windows."""
+    """All contexts of all documents, a row each."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         docs, checks = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
         parts = []
         for first, _, words, _ in chunks(batch.column(2), BETWEEN_SPACE, EXACT):
             c = contexts_of(words.hashes, words.bounds, length)
-            parts.append((c.anchor.view(np.int64), c.content.view(np.int64), first + c.text, c.start - words.bounds[c.text], c.count, c.again))
+            parts.append((c.anchor.view(np.int64), c.content.view(np.int64), first + c.text, (c.start - words.bounds[c.text]) * 256 + c.count, c.again))
         if not parts:
             return None
-        anchor, content, row, start, count, again = (np.concatenate(x) for x in zip(*parts, strict=True))
+        anchor, content, row, place, again = (np.concatenate(x) for x in zip(*parts, strict=True))
         return pa.RecordBatch.from_arrays(
-            [pa.array(anchor), pa.array(content), batch.column(0).take(pa.array(row)), pa.array(checks[row]), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(again.astype(np.int32))],
-            names=["anchor", "content", "doc", "check", "start", "count", "again"],
+            [pa.array(anchor), pa.array(content), batch.column(0).take(pa.array(row)), pa.array(checks[row]), pa.array(place), pa.array(again.astype(np.int32))],
+            names=["anchor", "content", "doc", "check", "place", "again"],
         )
 
     return map_arrow(plain, each, _OCCURRENCE)
@@ -131,7 +148,7 @@ def occurrences(plain: DataFrame, length: int) -> DataFrame:
 
 def _with_words(plain: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """(anchor, content, n, words) of the wanted contexts, their words' hashes from one document."""
-    lists = wanted.groupBy("doc", "check").agg(F.collect_list(F.struct("anchor", "content", "n", "start", "count")).alias("held"))
+    lists = wanted.groupBy("doc", "check").agg(F.collect_list(F.struct("anchor", "content", "n", "place")).alias("held"))
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         held = batch.column(1).to_pylist()
@@ -139,21 +156,29 @@ def _with_words(plain: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         for first, stop, words, _ in chunks(batch.column(0), BETWEEN_SPACE, EXACT):
             for k in range(first, stop):
                 own = words.hashes[words.bounds[k - first] : words.bounds[k - first + 1]]
-                out += [(h["anchor"], h["content"], h["n"], own[h["start"] : h["start"] + h["count"] + length - 1].tobytes()) for h in held[k]]
+                out += [(h["anchor"], h["content"], h["n"], packed(own[h["place"] >> 8 : (h["place"] >> 8) + (h["place"] & 255) + length - 1])) for h in held[k]]
         if not out:
             return None
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["anchor", "content", "n", "words"])
 
-    once = plain.join(lists, ["doc", "check"]).dropDuplicates(["doc", "check"]).select("text", "held")
-    return map_arrow(once, each, "anchor long, content long, n long, words binary")
+    bits = plain.sparkSession.sparkContext.broadcast(sieve(lists, F.col("doc")))
+
+    def sift(batch: pa.RecordBatch) -> pa.RecordBatch:
+        may = passes(bits.value, batch.column(3).to_numpy())
+        return batch.filter(pa.array(may)).select(["doc", "check", "text"])
+
+    # A row that stands there twice gives a context twice, whose windows recur anyway.
+    some = map_arrow(plain.withColumn("slot", slot(F.col("doc"))), sift, "doc long, check long, text string")
+    joined = some.join(lists.withColumnsRenamed({"doc": "__doc", "check": "__check"}), F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("check") == F.col("__check")))
+    return map_arrow(joined.select("text", "held"), each, "anchor long, content long, n long, words binary")
 
 
 def _phrases(contexts: DataFrame, length: int) -> DataFrame:
     """(anchor, words, mask): which windows of a context are the phrases taken from it."""
 
     def windows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        runs = [rolling(np.frombuffer(w.as_buffer(), U), length) for w in batch.column(3)]
+        runs = [rolling(mix(unpacked(w.as_buffer())), length) for w in batch.column(3)]
         counts = [len(r) for r in runs]
         row = pa.array(np.repeat(np.arange(len(runs)), counts))
         offset = np.concatenate([np.arange(c) for c in counts]).astype(np.int32)
@@ -164,8 +189,8 @@ def _phrases(contexts: DataFrame, length: int) -> DataFrame:
 
     each = map_arrow(contexts, windows, "window long, anchor long, content long, n long, offset int")
     # The anchor is a function of the window; as a second key it makes the comparison 128 bits wide.
-    found = each.groupBy("window", "anchor").agg(F.sum("n").alias("n"), F.min(F.struct("content", "offset")).alias("one")).where("n > 1")
-    masks = found.groupBy("anchor", F.col("one.content").alias("content")).agg(F.bit_or(F.expr("shiftleft(1L, one.offset)")).alias("mask"))
+    found = each.groupBy("window", "anchor").agg(F.sum("n").alias("n"), F.min("content").alias("content"), F.min_by("offset", "content").alias("offset")).where("n > 1")
+    masks = found.groupBy("anchor", "content").agg(F.bit_or(F.expr("shiftleft(1L, offset)")).alias("mask"))
     return masks.join(contexts.select("anchor", "content", "words"), ["anchor", "content"]).select("anchor", "content", "words", "mask")
 
 
@@ -175,14 +200,14 @@ def locate(phrases: list[tuple[bytes, int]], contexts: list[bytes], length: int)
     numbers: dict[int, int] = {}
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
     for words, mask in phrases:
-        ids = [numbers.setdefault(h, len(numbers) + 1) for h in np.frombuffer(words, U).tolist()]
+        ids = [numbers.setdefault(h, len(numbers) + 1) for h in unpacked(words).tolist()]
         for offset in range(len(ids) - length + 1):
             if mask >> offset & 1:
                 automaton.add_word(tuple(ids[offset : offset + length]), length)
     automaton.make_automaton()
     out = []
     for words in contexts:
-        ids = tuple([numbers.get(h, 0) for h in np.frombuffer(words, U).tolist()])
+        ids = tuple([numbers.get(h, 0) for h in unpacked(words).tolist()])
         out.append(sum({1 << (end - length + 1) for end, _ in automaton.iter(ids)}))
     return out
 
@@ -215,15 +240,15 @@ def repeated_spans(docs: DataFrame, doc: str = "doc_id", text: str = "text", len
     """(doc, check, starts, masks): of each document with repeated windows the first words of its
     contexts and the masks of the repeated windows in them; ``check`` as in ``_plain``."""
     plain = _plain(docs, doc, text)
-    counted = occurrences(plain, length).groupBy("anchor", "content").agg(
-        F.count(F.lit(1)).alias("n"), F.max("again").alias("again"), F.min(F.struct("doc", "check", "start", "count")).alias("one")
-    )
-    counted = cut(counted)
-    anchors = counted.groupBy("anchor").agg(F.sum(F.col("n") + F.col("again")).alias("total")).where("total > 1").select("anchor")
-    wanted = counted.join(anchors, "anchor", "left_semi").select("anchor", "content", "n", "one.*")
-    contexts = cut(_with_words(plain, wanted, length))
-    masks = cut(_located(contexts, cut(_phrases(contexts, length)), length))
-    placed = occurrences(plain, length).join(masks, ["anchor", "content"]).select("doc", "check", "start", "mask")
+    every = occurrences(plain, length)
+    anchors = every.groupBy("anchor").agg(F.sum(F.col("again") + 1).alias("total")).where("total > 1").select("anchor")
+    held = cut(every.join(anchors, "anchor", "left_semi").drop("again"))
+    del every, anchors
+    wanted = held.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "check", "place")).alias("one"))
+    contexts = cut(_with_words(plain, wanted.select("anchor", "content", "n", "one.*"), length))
+    del wanted
+    masks = _located(contexts, cut(_phrases(contexts, length)), length)
+    placed = held.join(masks, ["anchor", "content"]).select("doc", "check", F.expr("cast(place >> 8 as int)").alias("start"), "mask")
     return placed.groupBy("doc", "check").agg(F.collect_list("start").alias("starts"), F.collect_list("mask").alias("masks"))
 
 
@@ -240,9 +265,9 @@ def removed_words(n: int, starts: list[int], masks: list[int], length: int = LEN
 
 def _kept(docs: DataFrame, keys: list[Column], doc: str, text: str, length: int) -> DataFrame:
     """``keys`` and (n_words, n_removed, kept): the kept words joined by one space."""
-    spans = repeated_spans(docs, doc, text, length)
-    rows = docs.select(F.col(doc).cast("long").alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.struct(*keys).alias("keys")).withColumn("check", F.xxhash64("text"))
-    joined = rows.join(spans.select(F.col("doc").alias("__doc"), F.col("check").alias("__check"), "starts", "masks"), F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("check") == F.col("__check")), "left")
+    spans = cut(repeated_spans(docs, doc, text, length))
+    rows = _plain(docs.withColumn("__keys", F.struct(*keys)), doc, text, F.col("__keys").alias("keys"))
+    bits = docs.sparkSession.sparkContext.broadcast(sieve(spans, F.col("doc")))
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, removed, kept = [], [], []
@@ -257,8 +282,22 @@ def _kept(docs: DataFrame, keys: list[Column], doc: str, text: str, length: int)
             kept.append(b" ".join(stays).decode())
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["keys", "n_words", "n_removed", "kept"])
 
+    def sift(batch: pa.RecordBatch) -> pa.RecordBatch:
+        may = passes(bits.value, batch.column(4).to_numpy())
+        return batch.filter(pa.array(may)).select(["doc", "check", "text", "keys"])
+
+    def untouched(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rest = batch.filter(pa.array(~passes(bits.value, batch.column(4).to_numpy())))
+        none = [pa.nulls(rest.num_rows, pa.list_(pa.int32())), pa.nulls(rest.num_rows, pa.list_(pa.int64()))]
+        return each(pa.RecordBatch.from_arrays([rest.column(3), rest.column(2), *none], names=["keys", "text", "starts", "masks"]))
+
+    # Only the rows that may lose words are shuffled with their texts.
     kinds = rows.schema["keys"].dataType.simpleString()
-    return map_arrow(joined.select("keys", "text", "starts", "masks"), each, f"keys {kinds}, n_words long, n_removed long, kept string")
+    out = f"keys {kinds}, n_words long, n_removed long, kept string"
+    slotted = rows.withColumn("slot", slot(F.col("doc")))
+    some = map_arrow(slotted, sift, f"doc long, check long, text string, keys {kinds}")
+    joined = some.join(spans.withColumnsRenamed({"doc": "__doc", "check": "__check"}), F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("check") == F.col("__check")), "left")
+    return map_arrow(slotted, untouched, out).unionByName(map_arrow(joined.select("keys", "text", "starts", "masks"), each, out))
 
 
 def remove_repeated(docs: DataFrame, doc: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
