@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +49,19 @@ def cut(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     ship(df.sparkSession)
-    return df.checkpoint()
+    out = df.checkpoint()
+    release(df.sparkSession)
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of steps whose results are written.
+
+    The cleaner acts on plans that the driver has collected as garbage; without a hint that
+    may come long after a large shuffle has served its purpose.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def own_folder(spark: SparkSession, purpose: str) -> str:
@@ -71,6 +85,29 @@ def map_arrow(
     return df.mapInArrow(run, schema)
 
 
+#: Bits of a sieve: 1 MB, whatever the number of ids.
+SIEVE_BITS = 23
+
+
+def slot(key: Column) -> Column:
+    """The bit of an id in a sieve."""
+    return F.pmod(F.xxhash64(key), F.lit(1 << SIEVE_BITS)).cast("int")
+
+
+def sieve(df: DataFrame, key: Column) -> np.ndarray:
+    """Which slots the ids of ``df`` take. It only saves work: an id that is not among them may
+    share a slot, so what passes is joined exactly; the more ids, the more others pass."""
+    words = df.select(slot(key).alias("s")).select(F.expr("s >> 6").alias("w"), F.expr("shiftleft(1L, s & 63)").alias("b"))
+    found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+    bits = np.zeros(1 << (SIEVE_BITS - 6), np.int64)
+    bits[found["w"].to_numpy(np.int64)] = found["b"].to_numpy(np.int64)
+    return bits
+
+
+def passes(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (bits[slots >> 6] >> (slots & 63)) & 1 == 1
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, everything else as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
