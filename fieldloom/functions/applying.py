@@ -60,6 +60,7 @@ def apply(
     hot_rows: int = HOT_ROWS,
     max_rules: int = COMPILED_RULES,
     max_shapes: int = COMPILED_SHAPES,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Replace each target field by its category's formula.
 
@@ -69,7 +70,9 @@ def apply(
     row; in ``sequential`` mode fields are computed in ``order`` and later ones read
     earlier results.  With ``strict`` syntax, formulas the validator rejects raise
     (``on_invalid="fail"``) or are left out (``"skip"``).  With ``dialect="sql"`` a
-    formula is a Spark SQL expression, cast to the type of its target field.
+    formula is a Spark SQL expression, cast to the type of its target field.  Rules too
+    large to broadcast are joined with hot categories split; these are counted on
+    ``keys_from``, a narrower table with the category column, where there is one.
     """
     g.check_syntax(syntax)
     for name, given, allowed in (
@@ -105,8 +108,10 @@ def apply(
         if form == "compiled":
             raise ValueError(f"more than {max_rules} rules cannot be compiled")
     if dialect == "sql":
-        return _apply_sql_texts(df, rules, category, mode, order, limit_bytes, hot_rows, max_rules)
-    return _apply_lookup(df, rules, category, mode, order, syntax, limit_bytes, hot_rows, max_shapes)
+        return _apply_sql_texts(df, rules, category, mode, order, limit_bytes, hot_rows, max_rules, keys_from)
+    return _apply_lookup(
+        df, rules, category, mode, order, syntax, limit_bytes, hot_rows, max_shapes, keys_from
+    )
 
 
 def _ordered(targets: Sequence[str], mode: str, order: Sequence[str] | None) -> list[str]:
@@ -209,7 +214,9 @@ def check_sql(df: DataFrame, texts: Sequence[str]) -> None:
         raise FormulaError(found)
 
 
-def _apply_sql_texts(df, rules, category, mode, order, limit_bytes, hot_rows, max_texts) -> DataFrame:
+def _apply_sql_texts(
+    df, rules, category, mode, order, limit_bytes, hot_rows, max_texts, keys_from
+) -> DataFrame:
     """Many SQL rules of few distinct texts: each text is planned once, and a category brings
     the number of its text."""
     texts = rules.select("field_name", "formula").distinct().limit(max_texts + 1).collect()
@@ -232,7 +239,8 @@ def _apply_sql_texts(df, rules, category, mode, order, limit_bytes, hot_rows, ma
     wide = pivot_wide(rows, ["__category"], "field_name", "number", values=[fold(t) for t in targets])
     wide = wide.toDF("__category", *[f"__text_{i}" for i in range(len(targets))])
     df = df.withColumn("__category", col(category).cast(wide.schema["__category"].dataType))
-    df = lookup_join(df, wide, "__category", "left", limit_bytes, hot_rows)
+    keys = _narrow_keys(keys_from, category, wide)
+    df = lookup_join(df, wide, "__category", "left", limit_bytes, hot_rows, keys_from=keys)
 
     def value(i: int, field: str) -> Column:
         result = F.when(col(f"__text_{i}").isNull(), col(field))
@@ -251,7 +259,7 @@ def _apply_sql_texts(df, rules, category, mode, order, limit_bytes, hot_rows, ma
 
 
 def _apply_lookup(
-    df, rules, category, mode, order, syntax, limit_bytes, hot_rows, max_shapes
+    df, rules, category, mode, order, syntax, limit_bytes, hot_rows, max_shapes, keys_from
 ) -> DataFrame:
     spark = df.sparkSession
     parsed = rules.select(
@@ -299,7 +307,8 @@ def _apply_lookup(
     ).toDF("__category", *[f"__rule_{i}" for i in number.values()])
     # Like types, so that a hot category can be recognised on both sides.
     df = df.withColumn("__category", col(category).cast(wide.schema["__category"].dataType))
-    df = lookup_join(df, wide, "__category", "left", limit_bytes, hot_rows, size_bytes)
+    keys = _narrow_keys(keys_from, category, wide)
+    df = lookup_join(df, wide, "__category", "left", limit_bytes, hot_rows, size_bytes, keys)
 
     def value(field: str) -> Column:
         rule = col(f"__rule_{number[field]}")
@@ -317,6 +326,12 @@ def _apply_lookup(
     return df.drop("__category", *[f"__rule_{i}" for i in number.values()])
 
 
+def _narrow_keys(keys_from: DataFrame | None, category: str, wide: DataFrame) -> DataFrame | None:
+    if keys_from is None:
+        return None
+    return keys_from.select(col(category).cast(wide.schema["__category"].dataType).alias("__category"))
+
+
 def _actual(df: DataFrame) -> dict[str, str]:
     fold = folding(df.sparkSession)
     return {fold(c): c for c in df.columns}

@@ -110,10 +110,11 @@ def join_on_pairs(
     limit_bytes: int | None = None,
     hot_rows: int = HOT_ROWS,
     size_bytes: int | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join on (left, right) column pairs, keeping one column per shared key name.
 
-    The last three arguments are those of ``lookup_join``.
+    The last four arguments are those of ``lookup_join``.
     """
     fold, how = folding(left.sparkSession), join_type(how)
     for side, names in ((left, [p[0] for p in pairs]), (right, [p[1] for p in pairs])):
@@ -140,7 +141,7 @@ def join_on_pairs(
         joined = left.join(right, _condition(renamed), how)
     else:
         limit_bytes = 0 if strategy == "split" else limit_bytes
-        joined = _lookup(left, right, renamed, how, limit_bytes, hot_rows, size_bytes)
+        joined = _lookup(left, right, renamed, how, limit_bytes, hot_rows, size_bytes, keys_from)
 
     if how in ("semi", "anti"):
         return joined
@@ -166,6 +167,7 @@ def _lookup(
     limit_bytes: int | None,
     hot_rows: int,
     size_bytes: int | None,
+    keys_from: DataFrame | None,
 ) -> DataFrame:
     if how in ("semi", "anti"):
         right = right.select(*[col(r) for _, r in pairs])
@@ -173,7 +175,7 @@ def _lookup(
         return left.join(right, _condition(pairs), how)
     if fits_broadcast(right, limit_bytes, size_bytes):
         return left.join(F.broadcast(right), _condition(pairs), how)
-    return skew_join(left, right, pairs, how, hot_rows)
+    return skew_join(left, right, pairs, how, hot_rows, keys_from)
 
 
 def lookup_join(
@@ -184,18 +186,20 @@ def lookup_join(
     limit_bytes: int | None = None,
     hot_rows: int = HOT_ROWS,
     size_bytes: int | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Attach a dimension by ``key``, which both sides have, without a hot-key task.
 
     Up to ``limit_bytes`` (0: never) the dimension is broadcast and the fact side not
     shuffled at all; beyond it, keys of the fact side with more than ``hot_rows`` rows
-    are split.  The dimension is measured unless ``size_bytes`` is given.
+    are split.  The dimension is measured unless ``size_bytes`` is given.  Hot keys are
+    counted on ``keys_from``, a narrow table with the key column, where there is one.
     """
     how = join_type(how)
     if how not in SALTED_TYPES:
         raise ValueError(f"lookup_join supports {SALTED_TYPES}, not {how!r}")
     return join_on_pairs(
-        fact, dimension, [(key, key)], how, "lookup", limit_bytes, hot_rows, size_bytes
+        fact, dimension, [(key, key)], how, "lookup", limit_bytes, hot_rows, size_bytes, keys_from
     )
 
 

@@ -135,7 +135,7 @@ def enrich(
         on="item_id",
     )
     wide = join_categories(wide, tables["item_category"].drop("default_category"))
-    return apply(wide, formulas, **options)
+    return apply(wide, formulas, **({"keys_from": tables["item_category"]} | options))
 
 
 def pick_category(

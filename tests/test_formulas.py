@@ -411,3 +411,18 @@ def test_bad_sql_formulas_are_reported_together(spark, items, max_rules):
     assert len(error.value.problems) == 3 and "refused" in str(error.value)
     good = make_rules(spark, [(k, "target", "upper(a)" if k % 2 else "concat(a, 'z')") for k in range(1, 9)])
     assert [r["target"] for r in apply(items, good, dialect="sql", max_rules=max_rules).collect()] == ["A"]
+
+
+def test_hot_categories_are_counted_on_the_narrow_table(spark, monkeypatch):
+    from fieldloom.operators import skew
+
+    seen = []
+    counted = skew.hot_keys
+    monkeypatch.setattr(skew, "hot_keys", lambda df, *rest: seen.append(df.columns) or counted(df, *rest))
+    df = spark.range(300).selectExpr("id % 2 category_id", "cast(id as string) a", "'old' target")
+    table = make_rules(spark, [(0, "target", "[a]"), (1, "target", '"x"&[a]')])
+    found = apply(
+        df, table, form="lookup", limit_bytes=0, hot_rows=20, keys_from=df.select("category_id", "a")
+    )
+    assert seen == [["__category"]]
+    assert rows(found.where("a in ('4', '7')").select("a", "target")) == [("4", "4"), ("7", "x7")]
