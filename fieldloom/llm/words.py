@@ -17,7 +17,7 @@ import pyarrow as pa
 
 U = np.uint64
 #: Bytes of text taken at once; a longer text is taken alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 _BYTES = np.arange(256)
 #: `[\x20\x09-\x0D]` parts words.
