@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 _SHIPPED: set[str] = set()
@@ -70,7 +71,7 @@ def own_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def map_arrow(
-    df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
+    df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType
 ) -> DataFrame:
     """``df.mapInArrow`` by a function of one batch; ``None`` gives no rows."""
 

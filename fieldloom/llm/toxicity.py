@@ -356,13 +356,17 @@ def learn(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "
     return Model(known, voters, model, fit_classifier(features, votes, model.posterior(votes), width))
 
 
+def _scores(texts: pa.Array, model: Model) -> list[float]:
+    return [model.score(at, t.as_py() or "") for at, t in zip(known_features(texts, model.known), texts, strict=True)]
+
+
 def score(docs: DataFrame, model: Model, keys: list[str], text: str = "text") -> DataFrame:
     """(keys, score) of each row."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(len(keys))
-        scores = [held.value.score(at, t.as_py() or "") for at, t in zip(known_features(texts, held.value.known), texts, strict=True)]
+        scores = _scores(texts, held.value)
         return pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(scores, pa.float64())], names=[*keys, "score"])
 
     kinds = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keys)
@@ -372,8 +376,14 @@ def score(docs: DataFrame, model: Model, keys: list[str], text: str = "text") ->
 def drop_toxic(docs: DataFrame, labels: DataFrame, learn_from: F.Column | None = None, doc: str = "doc_id", text: str = "text", limit: float = 0.5) -> DataFrame:
     """``docs`` without the rows whose score reaches ``limit``; all columns as they are."""
     model = learn(docs if learn_from is None else docs.where(learn_from), labels, doc, text)
-    whole = docs.select(F.struct("*").alias("__row"), F.col(text).alias("__t"))
-    return score(whole, model, ["__row"], "__t").where(F.col("score") < limit).select("__row.*")
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        scores = _scores(batch.column(at), held.value)
+        return batch.filter(pa.array([x < limit for x in scores], pa.bool_()))
+
+    return map_arrow(docs, each, docs.schema)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
