@@ -48,10 +48,12 @@ def cut(df: DataFrame) -> DataFrame:
 
     A lost executor costs nothing of what was written, and partitions stay as they were.
     """
-    shared_dir(df.sparkSession)
-    ship(df.sparkSession)
+    spark = df.sparkSession
+    shared_dir(spark)
+    ship(spark)
     out = df.checkpoint()
-    release(df.sparkSession)
+    del df  # else its plan, and with it the plan's shuffles, would outlive the release
+    release(spark)
     return out
 
 
