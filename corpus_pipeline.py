@@ -5,7 +5,8 @@ and decides on its own input:
 
 1. toxicity: learned from the labelled rows; documents whose score reaches 0.5 go.
 2. line dedup: lines that an earlier document holds are cut out; all documents stay.
-3. near-dedup: of each group of near copies the document with the smallest id stays.
+3. near-dedup: of each group of near copies (similarity of 0.8 or more, runs of five words) the
+   document with the smallest id stays.
 4. decontamination: documents that hold a window of a benchmark item go (coverage limit 0).
 5. packing: what is left becomes sequences of at most 4096 tokens, a row for each piece.
 
@@ -32,7 +33,7 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.one_of_each(docs)
+    return near_dedup.one_of_each(docs, percent=80)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

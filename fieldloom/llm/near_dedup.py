@@ -2,10 +2,10 @@
 
 Method: documents with equal shingle sets form one class first (a 128-bit hash of the sorted
 set), so copies never meet in a join. Each class has a signature of ``COORDINATES`` minima. The
-pair (coordinate, value) is a token; two sets with similarity ``threshold`` agree in at least
-``MATCHES`` coordinates but for a chance below 3e-5 at the threshold itself, and less above it.
-A pair with that many matches must share a token among the ``COORDINATES - MATCHES + 1`` tokens
-of either that come first in a common order, so only this prefix is posted. The order is by
+pair (coordinate, value) is a token; two sets at the similarity asked for agree in at least
+``matches(percent)`` coordinates but for a chance below 5e-5 at that similarity itself, and less
+above it (42 of 64 at 0.85, 38 at 0.8). A pair with that many matches must share a token among the
+``COORDINATES - matches(percent) + 1`` tokens of either that come first in a common order, so only this prefix is posted. The order is by
 falling rarity: tokens of passages that a third of all documents share fall out of the
 prefixes of documents that merely contain the passage. The frequent tokens are counted exactly
 and are at most 2^18 by construction (a floor on their share), which bounds what is broadcast.
@@ -26,6 +26,7 @@ gives no rows; extra columns are not read; a document of any length is taken who
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +39,9 @@ from fieldloom.llm.components import components
 from fieldloom.llm.shared import cut, map_arrow, read
 from fieldloom.llm.words import BETWEEN_SPACE, FOLDED, U, chunks, rolling
 
-COORDINATES, MATCHES = 64, 42
-PREFIX = COORDINATES - MATCHES + 1
-WIDTH = 5
+COORDINATES, WIDTH = 64, 5
+#: The chance at most that a pair at exactly the similarity asked for has too few matches.
+MISSED = 5e-5
 #: Documents of a posting list in one block; pairs compared at once; documents and pairs of a bundle.
 BLOCK, AT_ONCE, BUNDLE_NODES, BUNDLE_PAIRS = 512, 1 << 15, 2048, 1 << 16
 #: At most so many tokens count as frequent.
@@ -49,6 +50,14 @@ FREQUENT = 1 << 18
 _FACTORS = np.random.default_rng(404).integers(1, 2**63, COORDINATES, dtype=np.int64).astype(U) | U(1)
 
 
+def matches(percent: int) -> int:
+    """The most coordinates in which sets of that similarity agree but for a chance of ``MISSED``."""
+    p, below, m = percent / 100, 0.0, 0
+    while m < COORDINATES and (below := below + comb(COORDINATES, m) * p**m * (1 - p) ** (COORDINATES - m)) <= MISSED:
+        m += 1
+    return m
+
+
 def shingle_sets(texts: pa.Array, width: int = WIDTH) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     for _, _, words, _ in chunks(texts, BETWEEN_SPACE, FOLDED):
@@ -101,9 +110,10 @@ def _frequent(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return found["token"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
 
 
-def _with_prefixes(classes: DataFrame, tokens: np.ndarray, counts: np.ndarray) -> DataFrame:
+def _with_prefixes(classes: DataFrame, tokens: np.ndarray, counts: np.ndarray, percent: int) -> DataFrame:
     """``classes`` with their prefix: its tokens, and a bit for each of its coordinates."""
     spark = classes.sparkSession
+    length = COORDINATES - matches(percent) + 1
     held = spark.sparkContext.broadcast((tokens, counts))
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -113,9 +123,9 @@ def _with_prefixes(classes: DataFrame, tokens: np.ndarray, counts: np.ndarray) -
         if len(known):
             at = np.minimum(np.searchsorted(known, own), len(known) - 1)
             seen = np.where(known[at] == own, n[at], 0)
-        first = np.argsort(seen, axis=1, kind="stable")[:, :PREFIX]  # ties: the smaller coordinate
+        first = np.argsort(seen, axis=1, kind="stable")[:, :length]  # ties: the smaller coordinate
         bits = np.bitwise_or.reduce(U(1) << first.astype(U), axis=1).view(np.int64)
-        prefix = pa.ListArray.from_arrays(np.arange(0, own.shape[0] * PREFIX + 1, PREFIX, dtype=np.int32), np.take_along_axis(own, first, 1).ravel())
+        prefix = pa.ListArray.from_arrays(np.arange(0, own.shape[0] * length + 1, length, dtype=np.int32), np.take_along_axis(own, first, 1).ravel())
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits), prefix], names=["node", "key", "n_shingles", "signature", "bits", "prefix"])
 
     return map_arrow(
@@ -146,7 +156,7 @@ class _Merge:
     """Counts collisions in the cells that one task reads, and bundles the pairs kept."""
 
     def __init__(self, percent: int):
-        self.percent = percent
+        self.percent, self.matches = percent, matches(percent)
         self.part = TaskContext.get().partitionId()
         self.count = 0
         self.a: list[np.ndarray] = []
@@ -161,7 +171,7 @@ class _Merge:
             if not len(x):
                 continue
             same = rows["signature"][x] == rows["signature"][y]
-            enough = same.sum(axis=1) >= MATCHES
+            enough = same.sum(axis=1) >= self.matches
             x, y, same = x[enough], y[enough], same[enough]
             both = (rows["bits"][x] & rows["bits"][y]).view(U)
             common = same & ((both[:, None] >> np.arange(COORDINATES, dtype=U)) & U(1)).astype(bool)
@@ -297,14 +307,14 @@ def _links(docs: DataFrame, doc: str, text: str, width: int, bundles: DataFrame,
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", percent: int = 85, width: int = WIDTH) -> DataFrame:
     """(doc, n_shingles, component) of each row of ``docs``; component: the smallest id reachable
-    by links of ``100 * intersection >= percent * union``. ``MATCHES`` is set for percent >= 85."""
-    if percent < 85:
-        raise ValueError("the match threshold is set for a similarity of 0.85 or more")
+    by links of ``100 * intersection >= percent * union``, of 80 or more: prefixes grow as it falls."""
+    if percent < 80:
+        raise ValueError("the similarity must be 0.8 or more (0.85 unless given)")
     rows = cut(_summaries(docs, doc, text, width))
     held = rows.where("key is not null").groupBy("key")
     classes = cut(held.agg(F.min("doc").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
     tokens, counts = _frequent(classes)
-    prefixed = cut(_with_prefixes(classes, tokens, counts))
+    prefixed = cut(_with_prefixes(classes, tokens, counts, percent))
     bundles = cut(_candidates(_cells(prefixed), percent))
     parts = components(_links(docs, doc, text, width, bundles, percent))
     placed = prefixed.select("key", "node").join(parts, "node", "left").select("key", F.coalesce("component", "node").alias("component"))

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from helpers import LOW, WORD, documents, got, prose, sha
 
+import corpus_pipeline
 from fieldloom.llm import line_dedup, near_dedup, substring_dedup
 from fieldloom.llm.components import components
 
@@ -55,7 +56,7 @@ def test_line_dedup_keeps_columns(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).collect() == []
 
 
-def plain_near(rows):
+def plain_near(rows, percent=85):
     def shingles(text):
         w = WORD.findall((text or "").translate(LOW))
         return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
@@ -70,7 +71,7 @@ def plain_near(rows):
 
     for a, b in itertools.combinations(sets, 2):
         both = len(sets[a] & sets[b])
-        if sets[a] and sets[b] and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+        if sets[a] and sets[b] and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
             p, q = find(a), find(b)
             root[max(p, q)] = min(p, q)
     return sorted(((i, len(sets[i]), find(i)) for i in sets), key=repr)
@@ -100,6 +101,21 @@ def test_near_dedup(spark, monkeypatch, block):
     assert got(found, "doc", "n_shingles", "component") == plain_near(rows)
 
 
+def test_near_dedup_from_80(spark):
+    base = prose(15, 300).split()
+    rows = list(enumerate(edited(k, base[::-1] if k % 2 else base, e) for k, e in enumerate([0, 0, 5, 6, 5, 6, 9, 9])))
+    spaced = [base[:], base[:]]
+    for k, n in enumerate((5, 6)):  # far from each other: 5 shingles a word
+        for at in range(n):
+            spaced[k][20 + 45 * at] = f"s{k}x{at}"
+    rows += [(20 + k, " ".join(w)) for k, w in enumerate(spaced)]
+    docs = documents(spark, rows)
+    assert got(near_dedup.near_duplicates(docs, percent=80), "doc", "n_shingles", "component") == plain_near(rows, 80)
+    assert plain_near(rows, 80) != plain_near(rows)
+    assert got(corpus_pipeline.keep_one_of_near_copies(spark, docs, ""), "doc_id") == sorted([(i,) for i, _, c in plain_near(rows, 80) if i == c], key=repr)
+    assert (near_dedup.matches(85), near_dedup.matches(80)) == (42, 38)
+
+
 def test_one_of_each(spark):
     rows = near_rows()
     docs = documents(spark, rows)
