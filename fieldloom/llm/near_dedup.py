@@ -20,7 +20,9 @@ them. Components of the links (``components``) give the answer.
 Results in odd cases: a null text or one without words has no shingles and is linked with nothing;
 with fewer words than ``width`` the whole sequence is the one shingle; exact copies share a
 component; ids are expected to be unique (a repeated row is a copy of itself); an empty table
-gives no rows; extra columns are not read; a document of any length is taken whole.
+gives no rows; extra columns are not read; a document of any length is taken whole. ``near_duplicates``
+links rows with a null id by their class only; ``one_of_each`` tells them apart by their text, so of
+near copies one stays whatever the ids: the smallest id, or a row without one where none has an id.
 """
 
 from __future__ import annotations
@@ -322,9 +324,20 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", pe
 
 
 def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
-    """The rows of ``docs`` that are the smallest id of their component, all columns as they are."""
-    kept = near_duplicates(docs, doc, text, percent).where("doc = component").select(F.col("doc").alias("__kept")).distinct()
-    return docs.join(kept, docs[doc].cast("long") == F.col("__kept"), "left_semi")
+    """The rows of ``docs`` that are the smallest id of their component, all columns as they are.
+
+    For the comparison a row without an id takes a hash of its text from 2^62 up, behind common ids;
+    equal ones are copies, of which one stays, or all where they have no words.
+    """
+    own, spare = docs[doc].cast("long"), F.xxhash64(docs[text]).bitwiseAND(F.lit(2**62 - 1)) + F.lit(2**62)
+    named = docs.select(F.coalesce(own, spare).alias("__id"), docs[text].alias("__text"))
+    found = near_duplicates(named, "__id", "__text", percent).where("doc = component")
+    kept = cut(found.groupBy(F.col("doc").alias("__kept")).agg(F.max(F.col("n_shingles") == 0).alias("__blank")))
+    lone = docs.where(own.isNull()).withColumns({"__spare": spare, "__check": F.xxhash64(F.lit(11), docs[text])})
+    lone = lone.join(kept, F.col("__spare") == F.col("__kept"))
+    once = lone.where(~F.col("__blank")).dropDuplicates(["__spare", "__check"])
+    nameless = lone.where("__blank").unionByName(once).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.join(kept, own == F.col("__kept"), "left_semi").unionByName(nameless)
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

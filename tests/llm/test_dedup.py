@@ -127,6 +127,18 @@ def test_one_of_each(spark):
         near_dedup.near_duplicates(docs, percent=70)
 
 
+def test_one_of_each_without_ids(spark):
+    base, other = prose(41, 300).split(), prose(42, 300).split()
+    alone, text, last = prose(43, 60), " ".join(base), " ".join(other)
+    rows = [(7, text), (None, edited(1, base, 2)), (None, last), (None, last), (None, edited(2, other, 2)), (None, alone), (None, None), (None, ""), (None, ""), (9, None), (-5, "x y")]
+    docs = documents(spark, rows)
+    kept = near_dedup.one_of_each(docs)
+    assert kept.schema.simpleString() == docs.schema.simpleString()
+    found = got(kept, "doc_id", "text")
+    assert len(found) == 8 and found.count((None, "")) == 2 and {(7, text), (-5, "x y"), (9, None), (None, None), (None, alone)} < set(found)
+    assert sum(t in (last, edited(2, other, 2)) for _, t in found) == 1
+
+
 def test_repeated_rows_are_copies(spark):
     found = near_dedup.near_duplicates(documents(spark, [(4, "a b c d e f"), (4, "a b c d e f"), (2, "a B c d e f")]))
     assert got(found, "doc", "component") == [(2, 2), (4, 2), (4, 2)]
