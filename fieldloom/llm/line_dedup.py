@@ -7,13 +7,14 @@ many partitions. The sorted rows are written once; from each partition only its
 hash with their first document are fetched (two records a partition), which tells each later
 partition whether its first hash began before it. Then each partition streams its rows once and
 reports the rows that are not of the hash's first document. These positions become one
-compressed keep bitmap per document (bit i: line i stays; zlib over packed bits); no text is
-shuffled.
+compressed keep bitmap per document (bit i: line i stays; zlib over packed bits). A hash of the
+text travels beside the id, so that a bitmap is of one text only; no text is shuffled.
 
 Results in odd cases: a null or empty text is one empty line; short keys (under ``min_length``
-code points) always stay; repeated lines of the first document all stay; with equal document
-ids, rows are one document to this operator, so the caller's ids should be unique; a null
-document id sorts before all others; an empty table gives no rows; extra columns are not read.
+code points) always stay; repeated lines of the first document all stay; rows with equal ids, or
+with null ids, count as one document where the first is sought (a line stays in all of them or in
+none), but each loses only the positions of its own text; a null document id sorts before all
+others; an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -36,14 +37,14 @@ ORDER = ["h1", "h2", "doc", "pos"]
 
 
 def line_rows(docs: DataFrame, doc: str, text: str, min_length: int) -> DataFrame:
-    """(h1, h2, doc, pos) of each line whose key has ``min_length`` code points or more."""
-    lines = docs.select(F.col(doc).alias("doc"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)).alias("pos", "line"))
-    keyed = lines.select("doc", "pos", lower_ascii(F.btrim("line", F.lit(BLANKS))).alias("key")).where(F.length("key") >= min_length)
-    return keyed.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(11), "key").alias("h2"), "doc", "pos")
+    """(h1, h2, doc, pos, check) of each line whose key has ``min_length`` code points or more."""
+    lines = docs.select(F.col(doc).alias("doc"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)).alias("pos", "line"), F.xxhash64(text).alias("check"))
+    keyed = lines.select("doc", "pos", "check", lower_ascii(F.btrim("line", F.lit(BLANKS))).alias("key")).where(F.length("key") >= min_length)
+    return keyed.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(11), "key").alias("h2"), "doc", "pos", "check")
 
 
 def _changes(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-    return tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+    return tuple(c.to_numpy(zero_copy_only=False) for c in batch.columns)
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,7 +52,7 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     whole partition is that one hash."""
     first = last = head = None
     for batch in batches:
-        h1, h2, doc, _ = _changes(batch)
+        h1, h2, doc, *_ = _changes(batch)
         for k in range(len(h1) - 1, -1, -1):  # the start of the batch's last run of equal hashes
             if (h1[k], h2[k]) != (h1[-1], h2[-1]):
                 break
@@ -80,17 +81,17 @@ def _carried(edges: list) -> dict[int, tuple[int, int, int]]:
 
 
 def repeated_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_length: int = 10, partitions: int | None = None) -> DataFrame:
-    """(doc, pos) of the lines that an earlier document holds; ``doc`` is a long."""
+    """(doc, check, pos) of the lines that an earlier document holds; ``doc`` is a long, ``check`` a hash of the text."""
     spark = docs.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = line_rows(docs, doc, text, min_length).select("h1", "h2", F.coalesce(F.col("doc"), F.lit(-(2**63))).cast("long").alias("doc"), "pos")
+    rows = line_rows(docs, doc, text, min_length).select("h1", "h2", F.coalesce(F.col("doc"), F.lit(-(2**63))).cast("long").alias("doc"), "pos", "check")
     rows = cut(rows.repartitionByRange(count, *ORDER).sortWithinPartitions(*ORDER))
     carried = _carried(rows.mapInArrow(_edges, "part int, h1 long, h2 long, doc long, single boolean").collect())
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at1, at2, head = carried.get(TaskContext.get().partitionId(), (None, None, None))
         for batch in batches:
-            h1, h2, doc_ids, pos = _changes(batch)
+            h1, h2, doc_ids, pos, check = _changes(batch)
             new = np.ones(len(h1), bool)
             new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
             new[0] = at1 is None or (h1[0], h2[0]) != (at1, at2)
@@ -102,9 +103,9 @@ def repeated_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", min
             at1, at2, head = h1[-1], h2[-1], firsts[-1]
             late = np.flatnonzero(doc_ids != firsts)
             if len(late):
-                yield pa.RecordBatch.from_arrays([pa.array(doc_ids[late]), pa.array(pos[late])], names=["doc", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(doc_ids[late]), pa.array(check[late]), pa.array(pos[late])], names=["doc", "check", "pos"])
 
-    return rows.mapInArrow(stream, "doc long, pos int")
+    return rows.mapInArrow(stream, "doc long, check long, pos int")
 
 
 def pack(positions: np.ndarray) -> bytes:
@@ -123,16 +124,17 @@ def unpack(bitmap: bytes | None, lines: int) -> np.ndarray:
 
 
 def keep_bitmaps(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_length: int = 10, partitions: int | None = None) -> DataFrame:
-    """(doc, n_dropped, bitmap) of each document that loses lines."""
-    dropped = repeated_lines(docs, doc, text, min_length, partitions).groupBy("doc").agg(F.collect_list("pos").alias("pos"))
+    """(doc, check, n_dropped, bitmap) of each document that loses lines; a repeated row counts once."""
+    dropped = repeated_lines(docs, doc, text, min_length, partitions).groupBy("doc", "check").agg(F.collect_set("pos").alias("pos"))
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lists = [np.array(x, np.int64) for x in batch.column(1).to_pylist()]
+        lists = [np.array(x, np.int64) for x in batch.column(2).to_pylist()]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(x) for x in lists], pa.int64()), pa.array([pack(x) for x in lists], pa.binary())], names=["doc", "n_dropped", "bitmap"]
+            [batch.column(0), batch.column(1), pa.array([len(x) for x in lists], pa.int64()), pa.array([pack(x) for x in lists], pa.binary())],
+            names=["doc", "check", "n_dropped", "bitmap"],
         )
 
-    return map_arrow(dropped, each, "doc long, n_dropped long, bitmap binary")
+    return map_arrow(dropped, each, "doc long, check long, n_dropped long, bitmap binary")
 
 
 def apply_bitmap(text: str | None, bitmap: bytes | None) -> tuple[str, int]:
@@ -143,17 +145,18 @@ def apply_bitmap(text: str | None, bitmap: bytes | None) -> tuple[str, int]:
     return "\n".join(x for x, stays in zip(lines, unpack(bitmap, len(lines)), strict=True) if stays), len(lines)
 
 
-def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc: str = "doc_id") -> DataFrame:
+def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the columns ``n_dropped`` and ``bitmap`` (null: all lines stay)."""
     held = F.coalesce(F.col(doc), F.lit(-(2**63))).cast("long")
-    return docs.join(bitmaps.withColumnRenamed("doc", "__doc"), held == F.col("__doc"), "left").drop("__doc")
+    named = bitmaps.withColumnsRenamed({"doc": "__doc", "check": "__check"})
+    return docs.join(named, (held == F.col("__doc")) & (F.xxhash64(text) == F.col("__check")), "left").drop("__doc", "__check")
 
 
 def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_length: int = 10) -> DataFrame:
     """``docs`` with the repeated lines cut from their texts; all columns and rows stay, and
     ``n_chars``, where there is one, is that of the text that is left. Texts without such
     lines are as they were, null included."""
-    marked = with_bitmaps(docs.select(F.col(doc).alias("__key"), F.col(text).alias("__text"), F.struct("*").alias("__row")), keep_bitmaps(docs, doc, text, min_length), "__key")
+    marked = with_bitmaps(docs.select(F.col(doc).alias("__key"), F.col(text).alias("__text"), F.struct("*").alias("__row")), keep_bitmaps(docs, doc, text, min_length), "__key", "__text")
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, maps = batch.column(1).to_pylist(), batch.column(4).to_pylist()

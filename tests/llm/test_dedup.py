@@ -45,6 +45,19 @@ def test_line_dedup(spark, partitions):
     assert [(i, n, d, t) for i, n, t, d in found] == sorted(plain_lines(rows))
 
 
+def test_line_dedup_of_repeated_ids(spark):
+    old = "a line of the first\nanother old long line"
+    rows = [(1, old), (5, f"{old}\nonly here, in the one"), (5, "only here, in the other\nand this line as well\na line of the first")]
+    rows += [(5, f"{old}\nonly here, in the one"), (None, "lone line without id\nshared of no id"), (None, "shared of no id\nsecond line without id"), (8, "x\nshared of no id\nlone line without id")]
+    docs = documents(spark, rows)
+    marked = line_dedup.with_bitmaps(docs.select("doc_id", "text"), line_dedup.keep_bitmaps(docs))
+    least = -(2**63)
+    found = ((least if r.doc_id is None else r.doc_id, *reversed(line_dedup.apply_bitmap(r.text, r.bitmap)), r.n_dropped or 0) for r in marked.collect())
+    want = sorted(plain_lines([(least if i is None else i, t) for i, t in rows]))
+    assert sorted((i, n, d, t) for i, n, t, d in found) == want
+    assert sorted((least if i is None else i, t) for i, t in got(line_dedup.dedup_lines(docs), "doc_id", "text")) == sorted((i, t) for i, _, _, t in want)
+
+
 def test_line_dedup_keeps_columns(spark):
     docs = documents(spark, LINES)
     kept = line_dedup.dedup_lines(docs)
