@@ -10,13 +10,13 @@ Texts are hashed to words by numpy; words whose short runs occur in no item cann
 match, so only the remaining stretches are walked word by word. Nothing is shuffled. An automaton
 holds at most ``SHARD_WORDS`` words (plus one item): a larger benchmark is split by item into
 shards, each compiled by the driver and broadcast for a pass of its own, and the passes' spans are
-merged per document. So what is broadcast has a fixed size whatever the benchmark's.
+merged per document (its id and a hash of its text). So what is broadcast has a fixed size whatever the benchmark's.
 
 Results in odd cases: null texts have no words; an item without words gives no window; an item
 shorter than the window is one window as a whole; repeated items are each counted under their id;
 ids of items that repeat count once; an empty benchmark hits nothing; an empty table gives no rows;
-extra columns are not read by ``overlaps`` and pass through ``decontaminate`` unchanged. With more
-than one shard the documents' ids must be unique.
+extra columns are not read by ``overlaps`` and pass through ``decontaminate`` unchanged; rows of
+repeated or null ids are judged each by its own text, with any number of shards.
 """
 
 from __future__ import annotations
@@ -204,23 +204,31 @@ def _pass(docs: DataFrame, text: str, automaton: SuffixAutomaton, extra: list[st
 def overlaps(docs: DataFrame, items: DataFrame, window: int = 10, doc: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc, n_words, starts, ends, items): of each document its number of words, the spans of hit
     words (from, up to; disjoint, in order) and the sorted ids of the items it holds windows of."""
-    plain = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
-    passes = [_pass(plain, "text", automaton, ["doc"]) for automaton in _automata(items, item, item_text, window)]
+    return _overlaps(docs, items, window, doc, text, item, item_text).drop("check")
+
+
+def _overlaps(docs: DataFrame, items: DataFrame, window: int, doc: str, text: str, item: str, item_text: str) -> DataFrame:
+    """What ``overlaps`` gives, and ``check``: a hash of the text."""
+    plain = docs.select(F.col(doc).alias("doc"), F.xxhash64(text).alias("check"), F.col(text).alias("text"))
+    passes = [_pass(plain, "text", automaton, ["doc", "check"]) for automaton in _automata(items, item, item_text, window)]
     if len(passes) == 1:
         return passes[0]
     every = passes[0]
     for more in passes[1:]:
         every = every.unionByName(more)
-    joined = every.groupBy("doc").agg(
-        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("starts")).alias("s"), F.flatten(F.collect_list("ends")).alias("e"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+    # Equal rows have equal spans: sets hold one entry a pass however many rows there are.
+    joined = every.groupBy("doc", "check").agg(
+        F.max("n_words").alias("n_words"), F.collect_set(F.struct("starts", "ends")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.count(F.lit(1)).alias("rows")
     )
+    joined = joined.select("doc", "check", "n_words", F.flatten("spans.starts").alias("s"), F.flatten("spans.ends").alias("e"), "items", (F.col("rows") / len(passes)).cast("int").alias("rows"))
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        spans = [merge(zip(s, e, strict=True)) for s, e in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        spans = [merge(zip(s, e, strict=True)) for s, e in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)]
         lists = [pa.array([[x[k] for x in m] for m in spans], pa.list_(pa.int32())) for k in (0, 1)]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists, batch.column(4)], names=["doc", "n_words", "starts", "ends", "items"])
+        return pa.RecordBatch.from_arrays([*batch.columns[:3], *lists, *batch.columns[5:]], names=["doc", "check", "n_words", "starts", "ends", "items", "rows"])
 
-    return map_arrow(joined, each, f"doc {docs.schema[doc].dataType.simpleString()}, {_FOUND}")
+    merged = map_arrow(joined, each, f"doc {docs.schema[doc].dataType.simpleString()}, check long, {_FOUND}, rows int")
+    return merged.withColumn("rows", F.explode(F.array_repeat(F.lit(1), F.col("rows")))).drop("rows")
 
 
 def hit_words() -> F.Column:
@@ -244,12 +252,14 @@ def cut_spans(text: str, starts: list[int], ends: list[int]) -> str:
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_length: int = 9, max_coverage: float = 0.0, doc: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """``docs`` without hit spans longer than ``max_length`` words and without the documents whose
     share of hit words exceeds ``max_coverage``; at 0 every document with a hit goes. With a higher
-    limit documents stay and lose the spans. All columns are kept; ids must be unique."""
-    found = overlaps(docs, items, window, doc, text, item, item_text).where(F.size("starts") > 0).select(F.col("doc").alias("__doc"), "starts", "ends", hit_words().alias("__hit"), F.col("n_words").alias("__words"))
+    limit documents stay and lose the spans. All columns are kept."""
+    found = _overlaps(docs, items, window, doc, text, item, item_text).where(F.size("starts") > 0).select(F.col("doc").alias("__doc"), F.col("check").alias("__check"), "starts", "ends", hit_words().alias("__hit"), F.col("n_words").alias("__words"))
     over = F.col("__hit") > F.lit(max_coverage) * F.col("__words")
     if max_coverage <= 0:
-        return docs.join(found.where(over).select("__doc").distinct(), docs[doc].eqNullSafe(F.col("__doc")), "left_anti")
-    joined = docs.select(F.col(text).alias("__text"), F.struct("*").alias("__row"), F.col(doc).alias("__own")).join(found, F.col("__own").eqNullSafe(F.col("__doc")), "left").where(~F.coalesce(over, F.lit(False)))
+        return docs.join(found.where(over).select("__doc", "__check").distinct(), docs[doc].eqNullSafe(F.col("__doc")) & (F.xxhash64(docs[text]) == F.col("__check")), "left_anti")
+    found = found.dropDuplicates(["__doc", "__check"])
+    same = F.col("__own").eqNullSafe(F.col("__doc")) & (F.xxhash64("__text") == F.col("__check"))
+    joined = docs.select(F.col(text).alias("__text"), F.struct("*").alias("__row"), F.col(doc).alias("__own")).join(found, same, "left").where(~F.coalesce(over, F.lit(False)))
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = []

@@ -222,6 +222,21 @@ def test_overlaps(spark, monkeypatch, shard):
     assert {r.n_hit for r in decontamination.overlaps(docs, bench.limit(0)).withColumn("n_hit", decontamination.hit_words()).collect()} == {0}
 
 
+@pytest.mark.parametrize("shard", [200_000, 40])
+def test_overlaps_of_repeated_ids(spark, monkeypatch, shard):
+    monkeypatch.setattr(decontamination, "SHARD_WORDS", shard)
+    items = [(k, prose(k, 40, 30)) for k in range(12)]
+    half = f"{prose(91, 60)} {prose(3, 40, 30)}"
+    rows = [(1, half), (1, half), (1, f"{prose(4, 40, 30)} x"), (1, "clean"), (None, prose(5, 40, 30)), (None, "clean too"), (None, None), (2, "other")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents(spark, rows)
+    found = decontamination.overlaps(docs, bench).withColumn("n_hit", decontamination.hit_words())
+    assert got(found, "doc", "n_words", "n_hit", "items") == plain_overlaps(rows, items, 10)
+    assert got(decontamination.decontaminate(docs, bench), "doc_id", "text") == sorted([(1, "clean"), (None, "clean too"), (None, None), (2, "other")], key=repr)
+    left = got(decontamination.decontaminate(docs, bench, max_coverage=0.5), "doc_id", "text")
+    assert len(left) == 6 and sum(i == 1 and len(t.split()) == 60 for i, t in left) == 2
+
+
 # Packing
 
 
