@@ -283,3 +283,32 @@ def test_pipeline(spark):
     rows = [(r.doc_id, r.text) for r in docs.collect() if r.doc_id in left]
     assert not [i for i, _, n, _ in plain_overlaps(rows, [(x["item_id"], x["text"]) for x in items], 10) if n > 40]
     assert json.dumps(sorted(left)) and sha("")
+
+
+def test_pipeline_against_plain_stages(spark, tmp_path):
+    from test_dedup import edited, plain_lines, plain_near
+    from tokenizers import Tokenizer
+
+    items = [(k, prose(900 + k, 30)) for k in range(4)]
+    base = prose(700, 300).split()
+    texts = [None, "", " ".join(base), edited(1, base, 5), edited(2, base, 12), f"{prose(701, 40)} {items[1][1]}", "a line of many documents\n" + prose(702, 40), "A line of many documents\n" + prose(703, 5000)]
+    docs = documents(spark, texts + [prose(710 + k, 40) for k in range(8)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, 1, 0) for k in range(8, 12)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = toxicity.drop_toxic(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    rows = [(i, t) for i, _, _, t in plain_lines([(r.doc_id, r.text) for r in kept.collect()])]
+    alone = {i for i, _, c in plain_near(rows, 80) if i == c}
+    rows = [(i, t) for i, t in rows if i in alone]
+    clean = {i for i, _, n, _ in plain_overlaps(rows, items, 10) if not n}
+    plain = Tokenizer.from_file(TOKENIZER)
+    want = {i: plain.encode(t, add_special_tokens=False).ids + [2] for i, t in rows if i in clean}
+    found = sorted(corpus_pipeline.run(spark, str(tmp_path)).collect(), key=lambda r: (r.sequence_id, r.offset))
+    assert {r.doc_id for r in found} == set(want) and len(want) < len(texts) + 8
+    at, seen = 0, dict.fromkeys(want, 0)
+    for r in found:
+        ids = want[r.doc_id][r.start : r.start + r.length]
+        assert (r.sequence_id, r.offset, r.start) == (at // 4096, at % 4096, seen[r.doc_id])
+        assert (len(ids), len(want[r.doc_id]), zlib.crc32(np.array(ids, "<u4").tobytes())) == (r.length, r.doc_tokens, r.ids_crc32)
+        at, seen[r.doc_id] = at + r.length, seen[r.doc_id] + r.length
+    assert seen == {i: len(x) for i, x in want.items()}
