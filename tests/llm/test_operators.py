@@ -258,6 +258,37 @@ def test_packing(spark):
         sequences[p.sequence_id] = p.offset + p.length
     assert sorted(sequences) == list(range(len(sequences))) and [sequences[k] for k in sorted(sequences)][:-1] == [256] * (len(sequences) - 1)
     assert packing.pack(docs.limit(0), TOKENIZER, 2).collect() == []
+    sums = {(p.doc, p.start): p for p in packing.pack_digests(docs, TOKENIZER, 2, length=256).collect()}
+    assert len(sums) == len(pieces)
+    for i, want in ids.items():
+        for (_, start), p in sums.items():
+            if p.doc == i:
+                assert p.ids_crc32 == zlib.crc32(np.array(want[start : start + p.length], "<u4").tobytes())
+
+
+def test_packing_of_repeated_ids(spark):
+    docs = documents(spark, [(1, "a b c"), (1, "a b c"), (None, "d"), (None, None)])
+    found = sorted((len(p.ids), p.offset) for p in packing.pack(docs.coalesce(1), TOKENIZER, 2).collect())
+    assert sum(n for n, _ in found) == 4 + 4 + 2 + 1 and len({o for _, o in found}) == 4
+
+
+def test_tokenizers_that_words_do_not_fit_take_whole_texts(spark):
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    words = packing.WordEncoder(other)
+    text = "Two  spaces, and \n\n lines <|endoftext|> é"
+    assert not words.by_word and packing.WordEncoder(TOKENIZER).by_word
+    assert np.frombuffer(words.encode(text), words.kind).tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+    (piece,) = packing.pack(documents(spark, [text]), other, 7).collect()
+    assert piece.ids == [*words.tokenizer.encode(text, add_special_tokens=False).ids, 7]
+
+
+def test_cache_generations(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 5)
+    words = packing.WordEncoder(TOKENIZER)
+    for k in range(30):
+        text = prose(k, 12, 15) + " Straße, x! Straße,%%%"
+        assert np.frombuffer(words.encode(text), words.kind).tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(words.older) < 60
 
 
 @settings(max_examples=200, deadline=None)
