@@ -41,7 +41,8 @@ def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.digests(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2))
+    pieces = packing.pack_digests(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return pieces.withColumnRenamed("doc", "doc_id")
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
