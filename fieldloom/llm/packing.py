@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm.shared import cut, map_arrow, read, ship
+from fieldloom.llm.shared import cut, read, ship
 
 #: Words in the cache of one Python worker, in each of two generations.
 CACHE_WORDS = 250_000
@@ -207,16 +207,3 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return pack_digests(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2).withColumnRenamed("doc", "doc_id")
-
-
-def digests(pieces: DataFrame) -> DataFrame:
-    """The pieces with the crc32 of their ids instead of the ids."""
-
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lists = batch.column(3)
-        values, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
-        columns = batch.columns
-        columns[3] = _summed([values[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-
-    return map_arrow(pieces, each, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
