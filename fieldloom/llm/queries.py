@@ -12,6 +12,7 @@ from fieldloom.llm.top_k import OP6_SQL, op6_top_k
 from fieldloom.llm.toxicity import op2_toxicity
 from fieldloom.llm.url_filters import OP1_SQL, op1_url_filters
 from fieldloom.llm.warc import OP7_SQL, op7_warc
+from fieldloom.llm.whitening import op11_whitening
 
 QUERIES = {
     "op1_url_filters": op1_url_filters,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_whitening": op11_whitening,
 }
 
 ORACLE = {

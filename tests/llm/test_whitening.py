@@ -1,0 +1,129 @@
+"""Whitening: the eigenpairs against numpy, the operator against a plain form."""
+
+import math
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+from fieldloom.llm import whitening
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_whitening(rows, components=16):
+    """{row number: (deviation, whitened)}, explained, n: by numpy over the distinct vectors."""
+    kept = {k: v for k, v in enumerate(rows) if v is not None and all(c is not None and math.isfinite(c) for c in v)}
+    d = max(map(len, kept.values()), default=0)
+    whole = {k: [math.floor(64 * float(c)) + 1_000_000 for c in v] + [1_000_000] * (d - len(v)) for k, v in kept.items()}
+    fit = sorted(set(map(tuple, whole.values())))
+    n, sums = len(fit), [sum(c) for c in zip(*fit, strict=True)]
+    x = np.array([[n * a - s for a, s in zip(v, sums, strict=True)] for v in fit]) / max(n, 1)
+    v = x.T @ x / max(n, 1) if n else np.zeros((0, 0))
+    values, axes = np.linalg.eigh(v)
+    values, axes = values[::-1][:components], axes[:, ::-1][:, :components]
+    out = {}
+    for k, row in whole.items():
+        apart = [n * a - s for a, s in zip(row, sums, strict=True)]
+        out[k] = sum(a * a for a in apart), np.array(apart) / n @ axes / np.sqrt(np.maximum(values, 1e-30))
+    return out, values / max(np.trace(v), 1e-300), n
+
+
+def same_axes(mine, want):
+    """Equal but for the sign of a column."""
+    signs = np.sign((mine * want).sum(axis=0))
+    assert np.abs(mine * signs - want).max(initial=0) < 1e-8
+
+
+def by_row(spark, rows, components=16):
+    table = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<float>")
+    table = table.selectExpr("*", "'x' as x", "0 as place", "1.0 as deviation", "'w' as whitened")
+    model = whitening.fit(table, components=components)
+    return model, {r.vec_id: r for r in whitening.whiten(table, model).collect()}
+
+
+@pytest.mark.parametrize("d", [1, 2, 7, 40, 130])
+def test_leading_pairs(d):
+    draw = np.random.default_rng(d)
+    x = draw.standard_normal((300, d)) * 8 + draw.standard_normal(d)
+    v = np.cov(x.T, bias=True).reshape(d, d)
+    values, vectors = whitening.leading_pairs(v, 16)
+    want, axes = np.linalg.eigh(v)
+    assert np.allclose(values, want[::-1][:16], rtol=1e-12)
+    same_axes(vectors, axes[:, ::-1][:, :16])
+    for s in [*want[:-1] + np.diff(want) / 2, -1.0, want[-1] * 2]:
+        assert whitening.above(v, s) == (want > s).sum()
+
+
+@pytest.mark.parametrize(
+    ("v", "values"),
+    [
+        (np.eye(40) * 3, [3] * 16), (np.diag([5.0, 5, 5, 2, 2] + [0] * 30), [5, 5, 5, 2, 2]), (np.zeros((4, 4)), []), (np.zeros((0, 0)), []), (np.array([[2.0]]), [2]),
+        (np.diag(np.r_[np.ones(30) + 1e-13 * np.arange(30), np.zeros(5)]), [1] * 16), (np.diag(10.0 ** -np.arange(12)), 10.0 ** -np.arange(12)), (np.array([[0.0, 1], [1, 0]]) + np.eye(2), [2]),
+    ],
+)
+def test_ties_and_ranks(v, values):
+    found, vectors = whitening.leading_pairs(v, 16)
+    assert np.allclose(found, values, rtol=1e-10) and np.abs(vectors.T @ vectors - np.eye(len(values))).max(initial=0) < 1e-12
+    assert np.abs(v @ vectors - vectors * found).max(initial=0) < 1e-12
+
+
+def test_a_pair_that_is_missed_is_found_out(monkeypatch):
+    v = np.diag([3.0, 2.0, 1.0, 0.5])
+    with pytest.raises(ArithmeticError):
+        whitening.pairs_within(v, 1.5, 4.0, 3)  # two are there
+
+
+def test_packed_numbers():
+    for x in ([], [0, 0], [1, -2, 0], [127, -128], [128], [-32769, 1], [2**31], [2**51, -(2**51)]):
+        packed = whitening.pack_whole(np.array(x, np.int64))
+        assert packed == whitening.pack_whole(np.array([*x, 0, 0], np.int64))
+        assert whitening.unpack_whole(pa.array([packed], pa.binary()), 4).tolist() == [[*x, *[0] * (4 - len(x))]]
+
+
+def test_whitening(spark):
+    draw = np.random.default_rng(3)
+    rows = draw.standard_normal((300, 20)).astype(np.float32).tolist()
+    rows += [rows[0]] * 150 + [None, [None] * 20, [float("nan")] * 20, [*rows[1][:19], float("inf")], rows[2][:7], [], [1e30] * 20]
+    model, found = by_row(spark, rows)
+    want, explained, n = plain_whitening([r for r in rows if r != [1e30] * 20])
+    assert set(found) == set(want) and model.n == n == 302 and model.identity_error < 1e-9
+    assert all(found[k].deviation == want[k][0] for k in want) and np.allclose(model.explained, explained, rtol=1e-12)
+    same_axes(np.array([found[k].whitened for k in sorted(want)]), np.array([want[k][1] for k in sorted(want)]))
+
+
+def test_odd_tables(spark):
+    for rows, components in (([], 0), ([None], 0), ([[1.0, 2.0]], 0), ([[1.0, 2.0]] * 3, 0), ([[0.0, 0.0], [1.0, 1.0]], 1), ([[], [1.0]], 1), ([[1.0, 5.0], [2.0, 5.0], [4.0, 5.0]], 1)):
+        model, found = by_row(spark, rows)
+        want, _, n = plain_whitening(rows)
+        assert len(model.values) == components and {k: r.deviation for k, r in found.items()} == {k: x for k, (x, _) in want.items()} and model.n == n
+        assert all(len(r.whitened) == components for r in found.values())
+    big = [[float(2**40 * k), float(k * k)] for k in range(1, 30)]  # n * x leaves a long when squared
+    model, found = by_row(spark, big)
+    want, _, _ = plain_whitening(big)
+    assert all(r.deviation == (want[k][0] if want[k][0] < 2**63 else None) for k, r in found.items()) and len(model.values) == 1
+    assert sum(r.deviation is None for r in found.values()) > 20
+    table = spark.createDataFrame([(None, [1.0]), (1, [2.0]), (1, [2.0])], "vec_id long, embedding array<double>")
+    assert sorted(r.vec_id or 0 for r in whitening.whiten(table, whitening.fit(table)).collect()) == [0, 1, 1]
+
+
+def test_wide_vectors_raise(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "MAX_WIDTH", 3)
+    table = spark.createDataFrame([(1, [1.0, 2.0, 3.0, 4.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="more than 3"):
+        whitening.fit(table)
+
+
+def test_query(spark):
+    rows = whitening.op11_whitening(spark, SF).collect()
+    vectors = pq.read_table(f"{SF}/embeddings.parquet").to_pylist()
+    want, explained, n = plain_whitening([v["embedding"] for v in vectors])
+    assert len(rows) == 16 * len(want) and {r.component for r in rows} == set(range(1, 17))
+    place = {v["vec_id"]: k for k, v in enumerate(vectors)}
+    mine = np.zeros((len(vectors), 16))
+    for r in rows:
+        mine[place[r.vec_id], r.component - 1] = r.whitened
+        assert r.n == n and r.deviation == want[place[r.vec_id]][0] and r.identity_error <= 1e-4
+        assert abs(r.explained / explained[r.component - 1] - 1) < 1e-9
+    same_axes(mine, np.array([want[k][1] for k in range(len(vectors))]))
