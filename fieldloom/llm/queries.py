@@ -7,6 +7,7 @@ from fieldloom.llm.language_id import op5_language_id
 from fieldloom.llm.line_dedup import OP10_SQL, op10_line_dedup
 from fieldloom.llm.near_dedup import op4_near_dedup
 from fieldloom.llm.packing import op9_packing
+from fieldloom.llm.resampling import op12_resampling
 from fieldloom.llm.substring_dedup import OP8_SQL, op8_substring_dedup
 from fieldloom.llm.top_k import OP6_SQL, op6_top_k
 from fieldloom.llm.toxicity import op2_toxicity
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
     "op11_whitening": op11_whitening,
+    "op12_resampling": op12_resampling,
 }
 
 ORACLE = {
