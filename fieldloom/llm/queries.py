@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fieldloom.llm.chat import OP13_SQL, op13_chat_format
 from fieldloom.llm.decontamination import OP3_SQL, op3_decontamination
 from fieldloom.llm.language_id import op5_language_id
 from fieldloom.llm.line_dedup import OP10_SQL, op10_line_dedup
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_whitening": op11_whitening,
     "op12_resampling": op12_resampling,
+    "op13_chat_format": op13_chat_format,
 }
 
 ORACLE = {
@@ -37,4 +39,5 @@ ORACLE = {
     "op7_warc": OP7_SQL,
     "op8_substring_dedup": OP8_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op13_chat_format": OP13_SQL,
 }
