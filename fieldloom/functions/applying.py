@@ -40,6 +40,7 @@ COMPILED_RULES = 500
 # Distinct (field, shape) pairs up to which the lookup form compiles each shape.
 COMPILED_SHAPES = 200
 UNRESOLVED = -1
+NO_FIELD = "a rule for no field"
 SECOND_FORMULA = "second formula for its category and field"
 
 Rules = dict[str, dict[str, list[int]]]  # field → formula text → categories
@@ -88,17 +89,12 @@ def apply(
     if dialect == "sql" and form == "lookup":
         raise ValueError("SQL formulas are planned by their texts, not looked up by parts")
 
-    # One rule for both forms: names are folded first, then the last version is taken, and
-    # what still repeats raises.
-    versioned = version in formulas.columns
-    rules = formulas.withColumn("field_name", _folded(df.sparkSession, F.col("field_name")))
-    if versioned:
-        rules = latest(rules, version)
-    rules = rules.where(F.col("category_id").isNotNull() & (F.col("formula") != ""))
+    rules = current_rules(formulas, version)
     if dialect == "concat" and syntax == "strict":
         rules = only_valid(rules, on_invalid)
-    rules = settled(rules.select("category_id", "field_name", "formula"))
-    if not versioned:
+    rules = settled(rules)
+    _check_named(rules)
+    if version not in formulas.columns:
         _check_single(rules)
 
     if form != "lookup":
@@ -114,6 +110,16 @@ def apply(
     )
 
 
+def current_rules(formulas: DataFrame, version: str = "formula_id") -> DataFrame:
+    """(category_id, field_name, formula): the rules that count, whatever form applies them. Names
+    are folded first, then the last version is taken; without versions a rule may repeat."""
+    rules = formulas.withColumn("field_name", _folded(formulas.sparkSession, F.col("field_name")))
+    if version in formulas.columns:
+        rules = latest(rules, version)
+    rules = rules.where(F.col("category_id").isNotNull() & (F.col("formula") != ""))
+    return rules.select("category_id", "field_name", "formula")
+
+
 def _ordered(targets: Sequence[str], mode: str, order: Sequence[str] | None) -> list[str]:
     if mode == "snapshot":
         return list(targets)
@@ -341,6 +347,13 @@ def _folded(spark: SparkSession, name: Column) -> Column:
     return name if is_case_sensitive(spark) else F.lower(name)
 
 
+def _check_named(rules: DataFrame) -> None:
+    """Rules for no field are wrong in either form."""
+    unnamed = rules.where(F.col("field_name").isNull()).limit(REPORTED_PROBLEMS).collect()
+    if unnamed:
+        raise FormulaError((r["formula"], NO_FIELD) for r in unnamed)
+
+
 def _check_single(rules: DataFrame) -> None:
     counted = rules.groupBy("category_id", "field_name").agg(
         F.min("formula").alias("formula"), F.count(F.lit(1)).alias("n")

@@ -10,9 +10,10 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldloom.operators.bloom import maybe_among
 from fieldloom.operators.pivots import Aggregate, pivot_wide
 from fieldloom.operators.schema import col, folding, has_column, restore_schema
-from fieldloom.operators.sizing import fits_broadcast, spark_broadcasts
+from fieldloom.operators.sizing import fits_broadcast, measure, settled, spark_broadcasts
 from fieldloom.operators.skew import HOT_ROWS, SALTED_TYPES, skew_join
 
 # Names Spark accepts for a join type, each with the form used below.
@@ -221,13 +222,17 @@ def update_from(
     columns: Sequence[str],
     latest_by: str | None = None,
     limit_bytes: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, list[str]]:
     """Refresh ``columns`` of ``small`` from ``large``; also returns the names skipped.
 
     Each updated column is the large side's value, or the small side's where that is
-    null or absent.  A column that either side lacks is skipped.  The result has small's schema and rows.  ``large`` must hold one
-    row per key of ``small``; with ``latest_by`` the row with the greatest value of
-    that column is used instead.
+    null or absent.  A column that either side lacks is skipped.  The result has small's
+    schema and rows.  ``large`` must hold one row per key of ``small``; with ``latest_by``
+    the row with the greatest value of that column is used instead.
+
+    Rows of ``large`` that cannot match leave before any shuffle: by a broadcast of
+    small's keys, or beyond ``limit_bytes`` by a Bloom filter of them.
     """
     if not keys:
         raise ValueError("join columns required")
@@ -236,11 +241,17 @@ def update_from(
     if not found:
         return small, skipped
 
+    # The keys of small, each with its rows, are made once: their size, the filter and the hot
+    # keys all come from them.
+    counted = settled(small.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n")))
+    n_keys, size = measure(counted)
+    small_keys = counted.select(*[col(k) for k in keys])
     # Only rows that can match are kept before anything is shuffled on the key.
     needed = large.select(*[col(c) for c in dict.fromkeys([*keys, *found, *filter(None, [latest_by])])])
-    small_keys = small.select(*[col(k) for k in keys]).distinct()
-    if fits_broadcast(small_keys, limit_bytes):
+    if fits_broadcast(small_keys, limit_bytes, size):
         needed = needed.join(F.broadcast(small_keys), list(keys), "left_semi")
+    else:
+        needed = maybe_among(needed, list(keys), small_keys, list(keys), n_keys)
 
     incoming = F.struct(*[col(c).alias(f"v{i}") for i, c in enumerate(found)])
     fresh = needed.groupBy(*[col(k).alias(f"__key_{i}") for i, k in enumerate(keys)]).agg(
@@ -248,13 +259,14 @@ def update_from(
         (F.lit(1) if latest_by else F.count(F.lit(1))).alias("__rows"),
     )
     # One row per key on this side, so only a hot key of small could overload a task.
-    joined = skew_join(small, fresh, [(k, f"__key_{i}") for i, k in enumerate(keys)], "left")
+    pairs = [(k, f"__key_{i}") for i, k in enumerate(keys)]
+    joined = skew_join(small, fresh, pairs, "left", hot_rows, keys_from=counted, rows="__n")
     repeated = F.raise_error(F.lit("update_from: the large side repeats a key"))
     new = F.when(F.col("__rows") > 1, repeated).otherwise(F.col("__new"))
-    by_name = {c.lower(): c for c in small.columns}
+    fold = folding(small.sparkSession)
+    by_name = {fold(c): c for c in small.columns}
     updates = {
-        by_name[c.lower()]: F.coalesce(new.getField(f"v{i}"), col(by_name[c.lower()]))
+        by_name[fold(c)]: F.coalesce(new.getField(f"v{i}"), col(by_name[fold(c)]))
         for i, c in enumerate(found)
-        if c.lower() in by_name
     }
     return restore_schema(joined.withColumns(updates), small), skipped

@@ -27,8 +27,9 @@ def folding(spark: SparkSession) -> Callable[[str], str]:
 
 
 def has_column(df: DataFrame, name: str) -> bool:
-    """Case-insensitive test, independent of the session setting."""
-    return name.lower() in {c.lower() for c in df.columns}
+    """Whether Spark would resolve ``name``, by the session's rule on case."""
+    fold = folding(df.sparkSession)
+    return fold(name) in {fold(c) for c in df.columns}
 
 
 def apply_aliases(df: DataFrame, aliases: Mapping[str, str]) -> DataFrame:

@@ -24,15 +24,19 @@ SALTED_TYPES = ("inner", "left", "semi", "anti")
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, rows: str | None = None
 ) -> list[tuple[int, int]]:
     """(key hash, rows) of keys with more than ``hot_rows`` rows, the hottest first.
 
     Counted exactly, by partial sums that are shuffled by key; only hot keys leave that
-    step, and a table of n rows has no more than n / ``hot_rows`` of them.
+    step, and a table of n rows has no more than n / ``hot_rows`` of them.  ``df`` may have been
+    counted already: then ``rows`` is the column with the rows of its key.
     """
-    hashed = df.select(F.xxhash64(*[col(k) for k in keys]).alias("h"))
-    counted = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
+    h = F.xxhash64(*[col(k) for k in keys]).alias("h")
+    if rows is None:
+        counted = df.select(h).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
+    else:
+        counted = df.where(col(rows) > hot_rows).select(h, col(rows).alias("n"))
     top = counted.orderBy(F.col("n").desc(), "h").limit(REPORTED_KEYS)
     return [(r["h"], r["n"]) for r in top.collect()]
 
@@ -61,11 +65,13 @@ def skew_join(
     how: str = "left",
     hot_rows: int = HOT_ROWS,
     keys_from: DataFrame | None = None,
+    rows: str | None = None,
 ) -> DataFrame:
     """Join on (fact, dimension) column pairs with the fact's hot keys split.
 
     Hot keys are counted on ``fact``, or on ``keys_from``: a narrower table that holds the
-    same key columns in like proportion, so that costly plans of ``fact`` run once.
+    same key columns in like proportion, so that costly plans of ``fact`` run once; with
+    ``rows`` it holds each key once, beside the number of its rows.
 
     Rows of a hot key are dealt over several sub-keys, and only the dimension rows of
     those keys are repeated, once per sub-key.  Without hot keys this is a plain join.
@@ -83,7 +89,7 @@ def skew_join(
     comparable = key_types == _key_types(dimension, dimension_keys) and not any(
         isinstance(t, T.FloatType | T.DoubleType) for t in key_types
     )
-    hot = hot_keys(fact if keys_from is None else keys_from, fact_keys, hot_rows) if comparable else []
+    hot = hot_keys(fact if keys_from is None else keys_from, fact_keys, hot_rows, rows) if comparable else []
     if not hot:
         return fact.join(dimension, condition, how)
 

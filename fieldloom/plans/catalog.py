@@ -15,7 +15,8 @@ from fieldloom.operators import audits
 from fieldloom.operators.joins import JoinSpec, join_chain, lookup_join, update_from
 from fieldloom.operators.pivots import pivot_values, pivot_wide
 from fieldloom.operators.schema import rename_to_target, select_existing
-from fieldloom.plans import pipeline
+from fieldloom.operators.sizing import settled
+from fieldloom.plans import incremental, pipeline
 from fieldloom.plans import testbed as tb
 from fieldloom.sinks.tables import append_rows, cast_checked, cast_losses, dedupe, upsert
 from fieldloom.sources.scan import scan_aliased
@@ -806,6 +807,19 @@ def update_large_from_large(spark, sf_dir):
     )[0]
 
 
+@query("""
+    SELECT l.doc_id, l.quality, coalesce(d.toxic, l.toxic) AS toxic
+    FROM labels l LEFT JOIN (
+        SELECT doc_id, CAST(CASE WHEN n_chars >= 300 THEN n_chars % 7 END AS INTEGER) AS toxic
+        FROM documents) d ON d.doc_id = l.doc_id""")
+def update_bloom(spark, sf_dir):
+    """Keys above the broadcast limit: documents that no label names leave by a Bloom filter."""
+    large = tb.read(spark, sf_dir, "documents").select(
+        "doc_id", F.when(F.col("n_chars") >= 300, F.col("n_chars") % 7).cast("int").alias("toxic")
+    )
+    return update_from(tb.read(spark, sf_dir, "labels"), large, ["doc_id"], ["toxic"], limit_bytes=0)[0]
+
+
 # --- pivots -------------------------------------------------------------------
 
 
@@ -1094,6 +1108,22 @@ def enrich_writeback(spark, sf_dir):
     return upsert(tb.item(spark, sf_dir), written, ["id"], unique="assume")
 
 
+@query(ORACLE["enrich_writeback"])
+def enrich_incremental(spark, sf_dir):
+    """A run over an earlier catalogue with earlier rules, then only what has changed since."""
+    options = {"aliases": tb.ITEM_ALIASES, "read_only": ["status"]}
+    stored = tb.earlier_catalogue(spark, sf_dir)
+    tables, rules = tb.catalogue(spark, sf_dir, stored), tb.rules(spark, tb.EARLIER_WIDE_RULES)
+    rows, _ = pipeline.enriched_rows(tables, rules, **options)
+    previous = settled(upsert(stored["item"], rows, ["id"], unique="assume"))
+    before = incremental.RunState(*map(settled, incremental.run_state(tables, rules, stored["item"], options)))
+
+    stored = tb.stored_catalogue(spark, sf_dir)
+    tables, rules = tb.catalogue(spark, sf_dir, stored), tb.rules(spark, tb.WIDE_RULES)
+    now = incremental.run_state(tables, rules, stored["item"], options)
+    return incremental.enrich_changed(tables, rules, stored["item"], previous, before, now, **options)
+
+
 @query(
     """
     , rule_value AS (

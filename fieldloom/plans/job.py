@@ -1,10 +1,12 @@
 """The enrichment job: load the catalogue, apply its rules, write the items back.
 
-    python -m fieldloom.plans.job --tables DIR --output DIR
+    python -m fieldloom.plans.job --tables DIR --output DIR [--state DIR]
+    python -m fieldloom.plans.job --tables DIR --output DIR --state DIR --previous DIR --previous-state DIR
     python -m fieldloom.plans.job --url jdbc:... --schema prod
 
-The first form reads Parquet tables and writes the updated item table to a new folder;
-the second reads and upserts a database.
+The first form reads Parquet tables and writes the updated item table to a new folder, and with
+``--state`` the fingerprints of what it was made from; the second computes again only what has
+changed since an earlier run; the third reads and upserts a database.
 """
 
 from __future__ import annotations
@@ -14,12 +16,13 @@ import logging
 import os
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from fieldloom.functions.metadata import load_metadata
-from fieldloom.plans.pipeline import enrich, pick_category, write_back
+from fieldloom.plans.incremental import enrich_changed, load_state, run_state, save_state
+from fieldloom.plans.pipeline import enriched_rows
 from fieldloom.sinks.jdbc import jdbc_upsert
-from fieldloom.sinks.tables import ON_LOSS, cast_checked, upsert
+from fieldloom.sinks.tables import ON_LOSS, upsert
 from fieldloom.sources.catalogue import jdbc_reader, load_catalogue, parquet_reader
 from fieldloom.sources.jdbc import read_metadata
 
@@ -28,16 +31,6 @@ logger = logging.getLogger(__name__)
 METADATA_TABLES = ("category_field", "formula", "lu_field_name")
 
 
-def enriched_items(
-    tables: Mapping[str, DataFrame], formulas: DataFrame, on_loss: str = "fail", **options
-) -> tuple[DataFrame, Observation | None]:
-    """The item columns to write, one row per categorised item, in the types of the item
-    table; and the counter of computed values that their column's type cannot hold."""
-    chosen = dict(tables, item_category=pick_category(tables["item_category"]))
-    rows, _ = write_back(enrich(chosen, formulas, **options))
-    return cast_checked(rows, tables["item"].withColumnRenamed("item_id", "id"), on_loss)
-
-
 def _warn(counted: Observation | None, on_loss: str) -> None:
     for column, n in (counted.get if counted is not None else {}).items():
         if n:
@@ -46,19 +39,40 @@ def _warn(counted: Observation | None, on_loss: str) -> None:
 
 
 def run_parquet(
-    spark: SparkSession, root: str, output: str, on_loss: str = "fail", **options
+    spark: SparkSession,
+    root: str,
+    output: str,
+    on_loss: str = "fail",
+    state: str | None = None,
+    previous: tuple[str, str] | None = None,
+    **options,
 ) -> None:
-    """Enrich the tables under ``root`` and write the new item table to ``output``."""
+    """Enrich the tables under ``root`` and write the new item table to ``output``.
+
+    ``state``: folder for the run's fingerprints; ``previous``: output and state of an earlier run,
+    of which unchanged items keep their rows.
+    """
     target = f"{root}/item.parquet"
     if os.path.normpath(output) == os.path.normpath(target):
         raise ValueError("the item table cannot be overwritten while it is being read")
     formulas = load_metadata(
         *[spark.read.parquet(f"{root}/{name}.parquet") for name in METADATA_TABLES]
     )
-    tables = load_catalogue(parquet_reader(spark, root))
-    rows, counted = enriched_items(tables, formulas, on_loss, **options)
+    tables, items = load_catalogue(parquet_reader(spark, root)), spark.read.parquet(target)
+    if state is not None:
+        made_from = dict(options, on_loss=on_loss)
+        save_state(run_state(tables, formulas, items, made_from), state)
+    if previous is not None:
+        before = load_state(spark, previous[1])
+        changed = enrich_changed(
+            tables, formulas, items, spark.read.parquet(previous[0]), before, load_state(spark, state),
+            on_loss=on_loss, **options,
+        )
+        changed.write.parquet(output)
+        return
+    rows, counted = enriched_rows(tables, formulas, on_loss, **options)
     # pick_category leaves one row per item, so the keys need no check.
-    upsert(spark.read.parquet(target), rows, ["id"], unique="assume").write.parquet(output)
+    upsert(items, rows, ["id"], unique="assume").write.parquet(output)
     _warn(counted, on_loss)
 
 
@@ -82,7 +96,7 @@ def run_jdbc(
     category_field, formula, names = (f"{place}{t}" for t in METADATA_TABLES)
     formulas = read_metadata(spark, url, category_field, formula, names, properties)
     tables = load_catalogue(jdbc_reader(spark, url, schema, properties, partitions))
-    rows, counted = enriched_items(tables, formulas, on_loss, **options)
+    rows, counted = enriched_rows(tables, formulas, on_loss, **options)
     jdbc_upsert(
         rows, url, f"{place}item", rows.columns, ["id"], properties=properties, dialect=dialect
     )
@@ -93,6 +107,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Enrich catalogue items by category rules.")
     parser.add_argument("--tables", help="folder of Parquet tables")
     parser.add_argument("--output", help="folder for the new item table")
+    parser.add_argument("--state", help="folder for the run's fingerprints")
+    parser.add_argument("--previous", help="output of an earlier run; what is unchanged stays")
+    parser.add_argument("--previous-state", help="fingerprints of that run")
     parser.add_argument("--url", help="JDBC url, instead of --tables")
     parser.add_argument("--schema", default="", help="database schema")
     parser.add_argument("--user-variable", help="environment variable holding the user name")
@@ -107,12 +124,17 @@ def main(arguments: Sequence[str] | None = None) -> None:
     given = parser.parse_args(arguments)
     if bool(given.url) == bool(given.tables) or bool(given.tables) != bool(given.output):
         parser.error("give either --url or both --tables and --output")
+    if bool(given.previous) != bool(given.previous_state) or given.previous and not given.state:
+        parser.error("--previous needs --previous-state and --state")
+    if given.state and given.url:
+        parser.error("--state is for --tables")
 
     spark = SparkSession.builder.appName("fieldloom").getOrCreate()
     options = {"syntax": given.syntax, "on_invalid": given.on_invalid}
     options["on_loss"] = given.on_loss
     if given.tables:
-        run_parquet(spark, given.tables, given.output, **options)
+        since = (given.previous, given.previous_state) if given.previous else None
+        run_parquet(spark, given.tables, given.output, state=given.state, previous=since, **options)
         return
     named = {"user": given.user_variable, "password": given.password_variable}
     properties = {key: os.environ[variable] for key, variable in named.items() if variable}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fieldloom.functions.applying import apply
@@ -20,7 +20,7 @@ from fieldloom.operators.schema import (
     select_existing,
 )
 from fieldloom.operators.sizing import settled
-from fieldloom.sinks.tables import dedupe
+from fieldloom.sinks.tables import cast_checked, dedupe
 from fieldloom.sources.catalogue import ALIASES, ITEM_READ_ONLY
 
 
@@ -162,3 +162,18 @@ def write_back(
     """The item columns to upsert, under their table names; also the names skipped."""
     mapping = invert_aliases(aliases, read_only, {"id": "category_item_id"})
     return select_existing(rename_to_target(enriched, mapping), list(mapping.values()))
+
+
+def enriched_rows(
+    tables: Mapping[str, DataFrame],
+    formulas: DataFrame,
+    on_loss: str = "fail",
+    aliases: Mapping[str, str] = ALIASES["item"],
+    read_only: Sequence[str] = ITEM_READ_ONLY,
+    **options,
+) -> tuple[DataFrame, Observation | None]:
+    """The item columns to write, one row per categorised item, in the types of the item
+    table; and the counter of computed values that their column's type cannot hold."""
+    chosen = dict(tables, item_category=pick_category(tables["item_category"]))
+    rows, _ = write_back(enrich(chosen, formulas, **options), aliases, read_only)
+    return cast_checked(rows, tables["item"].withColumnRenamed("item_id", "id"), on_loss)

@@ -47,6 +47,17 @@ WIDE_RULES = (
     (10005, "item_name", '[item_name]&" x "&[qty_available]'),
 )
 
+# The same before some changes: another literal, a rule that came later, one that has gone.
+EARLIER_WIDE_RULES = (
+    (10001, "item_name", "[invoice_description]"),
+    (10001, "short_description", '[item_name]&" number "&[part_number]'),
+    (10002, "skew", "[my_part_number]"),
+    (10002, "long_description", '[skew]&"/"&[a_A1]'),
+    (10003, "long_description", '[a_N2]&"-"&[a_R3]&[long_description]'),
+    (10003, "short_description", '"gone"'),
+    (10004, "short_description", '[a_R7]&" "&[price]'),
+)
+
 # Rules over order lines, one category per line number.
 LINE_RULES = tuple(
     (line, field, formula)
@@ -175,9 +186,9 @@ def item_custom_field_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select(F.explode(values).alias("v")).select("v.*")
 
 
-def catalogue(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six entities under their aliases."""
-    stored = {
+def stored_catalogue(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The six entities as they are stored."""
+    return {
         "item": item(spark, sf_dir),
         "item_category": item_category(spark, sf_dir),
         "attribute": attribute(spark),
@@ -185,6 +196,33 @@ def catalogue(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "custom_field": custom_field(spark),
         "item_custom_field_value": item_custom_field_value(spark, sf_dir),
     }
+
+
+def earlier_catalogue(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The same entities before some changes: small items had other names, top values of one
+    attribute another unit, sizes above 48 no second category, and MEDIUM items no ``skew``."""
+    now = stored_catalogue(spark, sf_dir)
+    small, large = F.col("qty_available") <= 2, F.col("qty_available") > 48
+    ids = now["item"].where(large).select(F.col("id").alias("item_id"))
+    medium = now["item"].where(F.col("my_part_number").startswith("MEDIUM")).select(F.col("id").alias("item_id"))
+    links, values = now["item_category"], now["item_custom_field_value"]
+    second = F.col("default_category")
+    return now | {
+        "item": now["item"].withColumn("short_description", F.when(small, F.upper("short_description")).otherwise(F.col("short_description"))),
+        "item_category": links.where(second).unionByName(links.where(~second).join(ids, "item_id", "left_anti")),
+        "item_attribute_value": now["item_attribute_value"].withColumn(
+            "attribute_value",
+            F.when((F.col("attribute_id") == 1) & (F.col("attribute_value") == "50"), "fifty").otherwise(F.col("attribute_value")),
+        ),
+        "item_custom_field_value": values.where(F.col("custom_field_id") == 1).unionByName(
+            values.where(F.col("custom_field_id") == 2).join(medium, "item_id", "left_anti")
+        ),
+    }
+
+
+def catalogue(spark: SparkSession, sf_dir: str, stored: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The six entities under their aliases."""
+    stored = stored or stored_catalogue(spark, sf_dir)
     return load_catalogue(
         lambda entity, aliases: apply_aliases(stored[entity], aliases), ENTITY_ALIASES
     )

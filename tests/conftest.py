@@ -36,3 +36,20 @@ def rows(df, *order):
 
 def physical_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def optimized_plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def above(plan, marker):
+    """The lines of the operators above the first one with ``marker``, the nearest first."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if marker in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    found, now = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < now:
+            found.append(line.lstrip(" :+-"))
+            now = depth(line)
+    return found

@@ -32,14 +32,14 @@ LOSSY = {10001: {"qty_available": "[part_number]"}, 10002: {"qty_available": '"7
 
 
 def test_a_value_that_does_not_fit_stops_the_job(spark):
-    found, _ = job.enriched_items(catalogue(spark), from_map(spark, LOSSY))
+    found, _ = job.enriched_rows(catalogue(spark), from_map(spark, LOSSY))
     with pytest.raises(Exception, match="qty_available does not fit its type: PartNo001"):
         found.collect()
 
 
 @pytest.mark.parametrize("on_loss, stored", [("warn", None), ("keep", 10000)])
 def test_values_that_do_not_fit_are_counted(spark, caplog, on_loss, stored):
-    found, counted = job.enriched_items(catalogue(spark), from_map(spark, LOSSY), on_loss)
+    found, counted = job.enriched_rows(catalogue(spark), from_map(spark, LOSSY), on_loss)
     target = table(spark, "item")
     merged = upsert(target, found, ["id"], unique="assume")
     assert merged.columns == target.columns
@@ -77,7 +77,7 @@ def test_an_item_in_two_categories_is_written_once(spark):
     tables = catalogue(spark)
     second = spark.createDataFrame([(9003, 10002, 10001, False)], tables["item_category"].schema)
     tables["item_category"] = tables["item_category"].union(second)
-    found, _ = job.enriched_items(tables, formulas(spark))
+    found, _ = job.enriched_rows(tables, formulas(spark))
     assert rows(found.select("id", "long_description")) == [
         (10001, "this is long description"), (10002, "retro"),
     ]
