@@ -11,7 +11,6 @@ shapes are evaluated part by part with higher-order functions.
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 
@@ -20,7 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.functions import grammar as g
-from fieldloom.functions.compiling import FormulaError, as_text, compile_formula, problems
+from fieldloom.functions.compiling import FormulaError, as_text, compile_formula, formula_parts, problems
+from fieldloom.functions.dependencies import Graph, cycle_problems, formula_references, layers, layers_of, structures
 from fieldloom.functions.inspect import (
     body,
     field_name,
@@ -40,6 +40,7 @@ COMPILED_RULES = 500
 # Distinct (field, shape) pairs up to which the lookup form compiles each shape.
 COMPILED_SHAPES = 200
 UNRESOLVED = -1
+AUTO = "auto"
 NO_FIELD = "a rule for no field"
 SECOND_FORMULA = "second formula for its category and field"
 
@@ -51,7 +52,7 @@ def apply(
     formulas: DataFrame,
     category: str = "category_id",
     mode: str = "snapshot",
-    order: Sequence[str] | None = None,
+    order: Sequence[str] | str | None = None,
     syntax: str = "lenient",
     on_invalid: str = "fail",
     dialect: str = "concat",
@@ -69,7 +70,9 @@ def apply(
     may repeat, the ``version`` column.  Rows whose category has no formula for a
     field keep the field's value.  In ``snapshot`` mode every formula reads the input
     row; in ``sequential`` mode fields are computed in ``order`` and later ones read
-    earlier results.  With ``strict`` syntax, formulas the validator rejects raise
+    earlier results.  ``order="auto"`` finds it for each category from what its formulas read:
+    each field is computed after those it depends on, and fields that depend on each other in
+    a circle raise.  With ``strict`` syntax, formulas the validator rejects raise
     (``on_invalid="fail"``) or are left out (``"skip"``).  With ``dialect="sql"`` a
     formula is a Spark SQL expression, cast to the type of its target field.  Rules too
     large to broadcast are joined with hot categories split; these are counted on
@@ -86,6 +89,8 @@ def apply(
             raise ValueError(f"{name} must be one of {allowed}, not {given!r}")
     if mode == "sequential" and not order:
         raise ValueError("sequential mode needs an order of fields")
+    if isinstance(order, str) and order != AUTO:
+        raise ValueError(f"order must be a list of fields or {AUTO!r}, not {order!r}")
     if dialect == "sql" and form == "lookup":
         raise ValueError("SQL formulas are planned by their texts, not looked up by parts")
 
@@ -120,6 +125,14 @@ def current_rules(formulas: DataFrame, version: str = "formula_id") -> DataFrame
     return rules.select("category_id", "field_name", "formula")
 
 
+def _stages(graphs: Mapping[int, Graph]) -> dict[int, dict[str, int]]:
+    """category → field → layer; all cycles in one error."""
+    found = cycle_problems(sorted(graphs.items()))
+    if found:
+        raise FormulaError(found)
+    return {category: layers_of(graph) for category, graph in graphs.items()}
+
+
 def _ordered(targets: Sequence[str], mode: str, order: Sequence[str] | None) -> list[str]:
     if mode == "snapshot":
         return list(targets)
@@ -188,6 +201,8 @@ def _apply_compiled(df, rows, category, mode, order, syntax, dialect) -> DataFra
         if found:
             raise FormulaError(found)
 
+    if mode == "sequential" and order == AUTO:
+        return _apply_in_layers(df, rows, actual, category, syntax, dialect)
     fields = _ordered(list(rules), mode, order)
     if mode == "snapshot":
         return _replaced(
@@ -198,22 +213,88 @@ def _apply_compiled(df, rows, category, mode, order, syntax, dialect) -> DataFra
     return df
 
 
+def _read_by(df: DataFrame, formula: str, syntax: str, dialect: str) -> set[str]:
+    """The columns a formula reads, folded."""
+    fold = folding(df.sparkSession)
+    if dialect == "sql":
+        known = {fold(c) for c in df.columns}
+        # A name of several parts is a field of a column, or a column of a table.
+        return {fold(n[0] if fold(n[0]) in known else n[-1]) for n in sql_names(df.sparkSession, formula)[1]}
+    return {fold(text) for kind, text in formula_parts(formula, syntax) if kind == "field"}
+
+
+def _apply_in_layers(df, rows, actual, category, syntax, dialect) -> DataFrame:
+    """The compiled form by dependencies: one projection a layer, each rule in its own."""
+    fold = folding(df.sparkSession)
+    graphs: dict[int, dict[str, set[str]]] = defaultdict(dict)
+    for r in rows:
+        graphs[r["category_id"]][fold(r["field_name"])] = _read_by(df, r["formula"], syntax, dialect)
+    stages = _stages(graphs)
+    staged: dict[int, Rules] = defaultdict(lambda: defaultdict(lambda: defaultdict(list)))
+    for r in sorted(rows):
+        field = fold(r["field_name"])
+        staged[stages[r["category_id"]][field]][actual[field]][r["formula"]].append(r["category_id"])
+    for layer in sorted(staged):
+        values = {
+            f: case_by_category(df, f, by_formula, category, syntax, dialect)
+            for f, by_formula in staged[layer].items()
+        }
+        df = _replaced(df, values)
+    return df
+
+
 # Names of functions that run code of the caller's choice; rules are data, so they are refused.
 REFUSED_FUNCTIONS = ("reflect", "java_method", "try_reflect")
 
 
+def sql_names(spark: SparkSession, text: str) -> tuple[set[str], set[tuple[str, ...]]]:
+    """(functions, columns as their name parts) in a SQL expression, as Spark's parser reads it.
+
+    The text itself would mislead: comments, quoting and hints do not change what is called.
+    """
+    functions: set[str] = set()
+    columns: set[tuple[str, ...]] = set()
+    pending = [spark._jsparkSession.sessionState().sqlParser().parseExpression(text)]
+    while pending:
+        node = pending.pop()
+        kind = node.getClass().getSimpleName()
+        if kind in ("UnresolvedFunction", "UnresolvedTableValuedFunction"):
+            names = node.nameParts() if kind == "UnresolvedFunction" else node.name()
+            functions.add(names.last().lower())
+        elif kind == "UnresolvedAttribute":
+            columns.add(tuple(_each(node.nameParts())))
+        # Expressions and plans alike have children; plans of subqueries and of their WITH
+        # clauses hang elsewhere.
+        pending += _each(node.children()) + _each(node.innerChildren())
+        if kind in SUBQUERIES:
+            pending.append(node.plan())
+        elif _is_plan(node):
+            pending += _each(node.expressions())
+    return functions, columns
+
+
+# Classes of Spark's parser that hold a plan.
+SUBQUERIES = ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery", "FunctionTableSubqueryArgumentExpression")
+
+
+def _each(held) -> list:
+    return [held.apply(i) for i in range(held.length())]
+
+
+def _is_plan(node) -> bool:
+    return ".catalyst.plans." in node.getClass().getName() or node.getClass().getName().endswith(("UnresolvedRelation", "UnresolvedTableValuedFunction", "UnresolvedSubqueryColumnAliases", "UnresolvedInlineTable"))
+
+
 def check_sql(df: DataFrame, texts: Sequence[str]) -> None:
     """Raise one error naming every SQL formula that cannot be applied to ``df``, and why."""
     found = []
     for text in texts:
         try:
-            expression = F.expr(text)
-            called = re.findall(r"([A-Za-z_][\w.]*)\s*\(", re.sub(r"'(?:[^'\\]|\\.)*'|\"[^\"]*\"", "''", text.replace("`", "")))
-            refused = sorted({c for c in called if c.lower().rpartition(".")[2] in REFUSED_FUNCTIONS})
+            refused = sorted(sql_names(df.sparkSession, text)[0] & set(REFUSED_FUNCTIONS))
             if refused:
                 found.append((text, f"function {refused[0]} is refused"))
                 continue
-            df.select(expression)
+            df.select(F.expr(text))
         except PySparkException as e:
             found.append((text, (e.getMessage() or str(e)).strip().splitlines()[0]))
     if found:
@@ -241,20 +322,32 @@ def _apply_sql_texts(
         listed = F.array(*[F.lit(f) for f in formulas])
         here = F.col("field_name") == fold(field)
         number = F.when(here, F.array_position(listed, F.col("formula")).cast("int")).otherwise(number)
-    rows = rules.select(F.col("category_id").alias("__category"), "field_name", number.alias("number"))
-    wide = pivot_wide(rows, ["__category"], "field_name", "number", values=[fold(t) for t in targets])
+    layer = F.lit(0)
+    if mode == "sequential" and order == AUTO:
+        read = {f: sorted(_read_by(df, f, "", "sql")) for fs in numbered.values() for f in fs}
+        listed = F.create_map(*[x for f, names in read.items() for x in (F.lit(f), F.array(*map(F.lit, names)).cast("array<string>"))])
+        rules = _with_layers(rules, F.element_at(listed, F.col("formula")))
+        layer = F.col("layer")
+    rule = F.struct(number.alias("number"), layer.alias("layer"))
+    rows = rules.select(F.col("category_id").alias("__category"), "field_name", rule.alias("rule"))
+    wide = pivot_wide(rows, ["__category"], "field_name", "rule", values=[fold(t) for t in targets])
     wide = wide.toDF("__category", *[f"__text_{i}" for i in range(len(targets))])
     df = df.withColumn("__category", col(category).cast(wide.schema["__category"].dataType))
     keys = _narrow_keys(keys_from, category, wide)
     df = lookup_join(df, wide, "__category", "left", limit_bytes, hot_rows, keys_from=keys)
 
-    def value(i: int, field: str) -> Column:
-        result = F.when(col(f"__text_{i}").isNull(), col(field))
+    def value(i: int, field: str, layer: int | None = None) -> Column:
+        rule = col(f"__text_{i}")
+        result = F.when(_idle(rule, layer), col(field))
         for k, text in enumerate(numbered[field], start=1):
-            result = result.when(col(f"__text_{i}") == k, F.expr(text).cast(df.schema[field].dataType))
+            result = result.when(rule["number"] == k, F.expr(text).cast(df.schema[field].dataType))
         return result
 
     values = {f: i for i, f in enumerate(targets)}
+    if mode == "sequential" and order == AUTO:
+        for layer in range(_depth(rules)):
+            df = _replaced(df, {f: value(i, f, layer) for f, i in values.items()})
+        return df.drop("__category", *[f"__text_{i}" for i in values.values()])
     fields = _ordered(targets, mode, order)
     if mode == "snapshot":
         df = _replaced(df, {f: value(values[f], f) for f in fields})
@@ -264,13 +357,33 @@ def _apply_sql_texts(
     return df.drop("__category", *[f"__text_{i}" for i in values.values()])
 
 
+def _idle(rule: Column, layer: int | None) -> Column:
+    """Whether a row's rule says nothing, or not in this layer."""
+    return rule.isNull() if layer is None else rule.isNull() | (rule["layer"] != layer)
+
+
+def _with_layers(rules: DataFrame, references: Column) -> DataFrame:
+    """The rules with the layer of each, from the dependencies within its category."""
+    found = layers(structures(rules, references))
+    return settled(rules.join(found, ["category_id", "field_name"]))
+
+
+def _depth(rules: DataFrame) -> int:
+    """The number of layers of rules that have one."""
+    return (rules.agg(F.max("layer")).first()[0] or 0) + 1
+
+
 def _apply_lookup(
     df, rules, category, mode, order, syntax, limit_bytes, hot_rows, max_shapes, keys_from
 ) -> DataFrame:
     spark = df.sparkSession
+    automatic = mode == "sequential" and order == AUTO
+    if automatic:
+        rules = _with_layers(rules, formula_references(rules, syntax))
     parsed = rules.select(
         F.col("category_id").alias("__category"),
         "field_name",
+        (F.col("layer") if automatic else F.lit(0)).alias("layer"),
         _parsed(df, F.col("formula"), syntax).alias("parts"),
     ).withColumn("shape", _shape(F.col("parts")))
     # What the driver gets is bounded: a few integers per distinct shape and field.
@@ -296,9 +409,10 @@ def _apply_lookup(
         by_field[_actual(df)[row["field_name"]]].append(row["shape"])
 
     # One row per category, at most one rule per target column.
-    rule = F.struct("parts")
+    rule = F.struct("parts", "layer")
     if shapes:
         rule = F.struct(
+            "layer",
             _shape_number(df, by_field).alias("shape"),
             F.transform(
                 F.filter("parts", lambda p: p["source"] == 0), lambda p: p["text"]
@@ -316,13 +430,17 @@ def _apply_lookup(
     keys = _narrow_keys(keys_from, category, wide)
     df = lookup_join(df, wide, "__category", "left", limit_bytes, hot_rows, size_bytes, keys)
 
-    def value(field: str) -> Column:
+    def value(field: str, layer: int | None = None) -> Column:
         rule = col(f"__rule_{number[field]}")
-        kept = F.when(rule.isNull(), col(field).cast("string"))
+        kept = F.when(_idle(rule, layer), col(field).cast("string"))
         if shapes:
             return _by_shape(df, kept, rule, by_field[field])
         return kept.otherwise(_by_part(df, rule["parts"], referenced))
 
+    if automatic:
+        for layer in range(_depth(rules)):
+            df = _replaced(df, {f: value(f, layer) for f in targets})
+        return df.drop("__category", *[f"__rule_{i}" for i in number.values()])
     fields = _ordered(targets, mode, order)
     if mode == "snapshot":
         df = _replaced(df, {f: value(f) for f in fields})

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.functions import inspect
-from fieldloom.functions.applying import apply
+from fieldloom.functions import dependencies, inspect
+from fieldloom.functions.applying import apply, current_rules
 from fieldloom.functions.compiling import compile_formula
 from fieldloom.functions.metadata import formula_map, latest, targets
 from fieldloom.operators import audits
@@ -396,6 +396,32 @@ def formula_concat(spark, sf_dir):
     return items.select(F.col("id").alias("item_id"), compile_formula(items, formula).alias("label"))
 
 
+@query(r"""
+    WITH RECURSIVE rule AS (
+        SELECT c_custkey AS category_id, 'order_label' AS field_name,
+               CASE WHEN c_acctbal < 0 THEN '[priority_code]' WHEN c_nationkey < 9 THEN '[o_orderstatus][o_orderkey]'
+                    WHEN c_nationkey < 17 THEN '[priority_code][order_note]' ELSE '[order_note]' END AS formula
+        FROM customer
+        UNION ALL SELECT c_custkey, 'order_note',
+               CASE WHEN c_nationkey < 9 THEN '[order_label][total]' WHEN c_nationkey < 17 THEN '[o_orderstatus][priority_code]'
+                    ELSE '[order_note]' END FROM customer
+        UNION ALL SELECT c_custkey, 'priority_code',
+               CASE WHEN c_nationkey < 9 THEN '[order_note]' ELSE '[o_orderpriority]' END FROM customer WHERE c_nationkey < 17),
+    edge AS (
+        SELECT category_id, field_name, unnest(regexp_extract_all(formula, '\[([^]]*)\]', 1)) AS reference FROM rule),
+    reach AS (
+        SELECT category_id, field_name, reference, 1 AS depth FROM edge
+        UNION SELECT r.category_id, r.field_name, e.reference, r.depth + 1
+        FROM reach r JOIN edge e ON e.category_id = r.category_id AND e.field_name = r.reference WHERE r.depth < 8)
+    SELECT category_id, field_name, reference, CAST(min(depth) AS INTEGER) AS depth,
+           NOT EXISTS (SELECT 1 FROM rule k WHERE k.category_id = reach.category_id AND k.field_name = reach.reference) AS is_base
+    FROM reach GROUP BY category_id, field_name, reference""")
+def formula_lineage(spark, sf_dir):
+    """All that a field depends on through the rules of its category, circles included."""
+    rules = current_rules(tb.chained_rules(spark, sf_dir, circles=True))
+    return dependencies.lineage(dependencies.structures(rules, dependencies.formula_references(rules)))
+
+
 # --- formulas applied ---------------------------------------------------------
 
 
@@ -452,6 +478,51 @@ def apply_snapshot(spark, sf_dir):
     return apply(_categorised(spark, sf_dir), tb.rules(spark, tb.BASIC_RULES))
 
 
+AUTO_ORDER_SQL = """
+    WITH rows AS (
+        SELECT o_orderkey, o_custkey AS category_id, o_orderstatus, o_orderpriority,
+               CAST(o_totalprice AS DECIMAL(12,2)) AS total, o_orderpriority AS order_note,
+               c_nationkey AS nation, c_mktsegment AS segment,
+               o_orderstatus || '-' || o_orderkey || c_mktsegment AS tagged
+        FROM orders LEFT JOIN customer ON c_custkey = o_custkey)
+    SELECT o_orderkey, category_id, o_orderstatus, o_orderpriority, total,
+           CASE WHEN nation < 9 THEN tagged
+                WHEN nation < 17 THEN 'P' || o_orderpriority || o_orderstatus || '+P' || o_orderpriority
+                WHEN nation IS NOT NULL THEN order_note || '~' END AS order_label,
+           CASE WHEN nation < 9 THEN tagged || '/' || total
+                WHEN nation < 17 THEN o_orderstatus || '+P' || o_orderpriority
+                WHEN nation IS NOT NULL THEN order_note || '~' ELSE order_note END AS order_note,
+           CASE WHEN nation < 9 THEN tagged || '/' || total || '!'
+                WHEN nation < 17 THEN 'P' || o_orderpriority
+                ELSE substr(o_orderpriority, 1, 1) END AS priority_code
+    FROM rows"""
+
+
+@query(AUTO_ORDER_SQL)
+def apply_auto_order(spark, sf_dir):
+    """Every field after those its formula reads, in an order of each category's own."""
+    return apply(tb.order_items(spark, sf_dir), tb.chained_rules(spark, sf_dir), mode="sequential", order="auto")
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS BIGINT) AS category_id,
+           l_quantity AS q0, CASE WHEN l_linenumber % 2 = 0 THEN q2 + 1 ELSE l_extendedprice * 2 END AS q1,
+           CASE WHEN l_linenumber % 2 = 0 THEN q0 * 3 ELSE q1 - q0 END AS q2
+    FROM (SELECT *, l_quantity AS q0, CASE WHEN l_linenumber % 2 = 0 THEN l_quantity * 3 END AS q2,
+                 CASE WHEN l_linenumber % 2 = 1 THEN l_extendedprice * 2 END AS q1 FROM lineitem)""")
+def apply_auto_order_sql(spark, sf_dir):
+    """SQL formulas in the order of what they read; even and odd line numbers run the other way."""
+    lines = tb.read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_linenumber").cast("long").alias("category_id"),
+        F.col("l_quantity").alias("q0"), F.col("l_extendedprice").alias("q1"), F.lit(0.0).alias("q2"),
+    )
+    rules = tb.rules(spark, tuple(
+        (n, f, t) for n in tb.LINES
+        for f, t in ((("q1", "q2 + 1"), ("q2", "q0 * 3")) if n % 2 == 0 else (("q1", "q1 * 2"), ("q2", "q1 - q0")))
+    ))
+    return apply(lines, rules, mode="sequential", order="auto", dialect="sql")
+
+
 @query("""
     SELECT l_orderkey, l_partkey, l_suppkey, l_returnflag, l_linestatus,
            CAST(l_linenumber AS BIGINT) AS category_id,

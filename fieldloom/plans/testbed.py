@@ -281,6 +281,31 @@ def customer_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_metadata(tables["category_field"], tables["formula"], tables["lu_field_name"])
 
 
+def chained_rules(spark: SparkSession, sf_dir: str, circles: bool = False) -> DataFrame:
+    """One category per customer whose fields read each other, in another direction by nation;
+    with ``circles`` later versions make some of them depend on each other."""
+    nation, segment = F.col("c_nationkey"), F.col("c_mktsegment")
+
+    def of_nation(one: Column | str, two: Column | str, three: str) -> Column:
+        return F.when(nation < 9, F.lit(one)).when(nation < 17, F.lit(two)).otherwise(F.lit(three))
+
+    tagged = F.concat(F.lit('[o_orderstatus]&"-"&[o_orderkey]&"'), segment, F.lit('"'))
+    texts = {
+        "order_label": of_nation(tagged, "[priority_code]&[order_note]", "[order_note]"),
+        "order_note": of_nation('[a_order_label]&"/"&[total]', '[o_orderstatus]&"+"&[priority_code]', '[order_note]&"~"'),
+        "priority_code": of_nation('[order_note]&"!"', '"P"&[o_orderpriority]', ""),
+    }
+    rules = [
+        F.struct(F.lit(f).alias("field_name"), t.alias("formula"), F.lit(k).cast("long").alias("formula_id"))
+        for k, (f, t) in enumerate(texts.items())
+    ]
+    if circles:
+        later = F.struct(F.lit("order_label").alias("field_name"), F.lit("[Priority_Code]").alias("formula"), F.lit(9).cast("long").alias("formula_id"))
+        rules.append(F.when(F.col("c_acctbal") < 0, later))
+    each = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("category_id"), F.explode(F.array_compact(F.array(*rules))).alias("r"))
+    return each.select("category_id", "r.field_name", "r.formula", "r.formula_id")
+
+
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as items, categorised by customer."""
     return read(spark, sf_dir, "orders").select(

@@ -426,3 +426,11 @@ def test_hot_categories_are_counted_on_the_narrow_table(spark, monkeypatch):
     )
     assert seen == [["__category"]]
     assert rows(found.where("a in ('4', '7')").select("a", "target")) == [("4", "4"), ("7", "x7")]
+
+
+@pytest.mark.parametrize("form", ["compiled", "lookup"])
+def test_a_rule_for_no_field_has_one_meaning(spark, form):
+    df = spark.createDataFrame([(1, "a")], "category_id long, x string")
+    rules = spark.createDataFrame([(1, None, "b", 1), (1, "x", "c", 2)], FORMULA_SCHEMA)
+    with pytest.raises(FormulaError, match="a rule for no field"):
+        apply(df, rules, form=form)
