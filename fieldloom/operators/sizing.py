@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,17 +59,36 @@ def fits_broadcast(
     return (measure(df)[1] if size_bytes is None else size_bytes) <= limit
 
 
+def shared_root(spark: SparkSession) -> str | None:
+    """The folder that driver and executors share, where the session or its context names one."""
+    context = spark.sparkContext
+    return context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new name below the shared folder.  Without one, a session on one machine gets a
+    temporary folder; on a cluster executors would each write to a folder of their own."""
+    root = shared_root(spark)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="fieldloom-")
+    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
 def settled(df: DataFrame) -> DataFrame:
     """The same rows, made once.
 
     For a small table that several jobs read: they all see the same rows, and do not
     repeat the work behind them.  They are written to the shared checkpoint folder where
-    the session names one, and cached otherwise.
+    the session names one (``spark.cleaner.referenceTracking.cleanCheckpoints`` lets Spark remove
+    them once nothing refers to them), and cached otherwise; a cache lasts until
+    ``spark.catalog.clearCache()`` or memory is needed.
     """
-    context = df.sparkSession.sparkContext
-    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    folder = shared_root(df.sparkSession)
     if not folder:
         return df.persist()
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return df.checkpoint()

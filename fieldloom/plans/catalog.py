@@ -15,10 +15,13 @@ from fieldloom.operators import audits
 from fieldloom.operators.joins import JoinSpec, join_chain, lookup_join, update_from
 from fieldloom.operators.pivots import pivot_values, pivot_wide
 from fieldloom.operators.schema import rename_to_target, select_existing
-from fieldloom.operators.sizing import settled
+from fieldloom.operators.sizing import settled, shared_folder
 from fieldloom.plans import incremental, pipeline
 from fieldloom.plans import testbed as tb
+from fieldloom.sinks import buckets
 from fieldloom.sinks.tables import append_rows, cast_checked, cast_losses, dedupe, upsert
+from fieldloom.sources import bucketed
+from fieldloom.sources.catalogue import load_catalogue
 from fieldloom.sources.scan import scan_aliased
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1091,6 +1094,26 @@ def upsert_small_source(spark, sf_dir):
     )
 
 
+@query("""
+    SELECT coalesce(c_custkey, id) AS id, coalesce(s_name, c_name) AS name,
+           CASE WHEN id IS NULL THEN c_acctbal ELSE s_acctbal END AS balance,
+           CASE WHEN c_custkey IS NULL THEN 'SUPPLIER' ELSE c_mktsegment END AS segment
+    FROM customer FULL JOIN (SELECT s_suppkey * 20 AS id, * FROM supplier) ON id = c_custkey""")
+def upsert_touched(spark, sf_dir):
+    """Few rows into a table of many key buckets: only those of the source are rewritten."""
+    parties = tb.read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"),
+        F.col("c_mktsegment").alias("segment"),
+    )
+    path = shared_folder(spark, "parties")
+    buckets.write_buckets(parties, path, ["id"], 64)
+    incoming = tb.read(spark, sf_dir, "supplier").select(
+        (F.col("s_suppkey") * 20).alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance")
+    )
+    buckets.upsert_touched(path, incoming, defaults={"segment": "SUPPLIER"})
+    return buckets.read_buckets(spark, path)
+
+
 @query("""
     SELECT o_custkey, row.o_orderkey, row.o_orderdate, row.o_orderpriority
     FROM (SELECT o_custkey, arg_max(struct_pack(o_orderkey, o_orderdate, o_orderpriority),
@@ -1179,6 +1202,18 @@ def enrich_writeback(spark, sf_dir):
     return upsert(tb.item(spark, sf_dir), written, ["id"], unique="assume")
 
 
+@query(ORACLE["enrich_writeback"])
+def enrich_bucketed(spark, sf_dir):
+    """The same from tables bucketed by item: no shuffle from the pivots to the upsert."""
+    folder = shared_folder(spark, "catalogue")
+    prefix = folder.rpartition("/")[2].replace("-", "_") + "_"
+    bucketed.write_catalogue(tb.stored_catalogue(spark, sf_dir), prefix, 8, folder)
+    reader = bucketed.table_reader(spark, prefix)
+    tables = load_catalogue(reader, tb.ENTITY_ALIASES)
+    rows, _ = pipeline.enriched_rows(tables, tb.rules(spark, tb.WIDE_RULES), aliases=tb.ITEM_ALIASES, read_only=["status"])
+    return upsert(spark.table(f"{prefix}item"), rows, ["id"], unique="assume")
+
+
 @query(ORACLE["enrich_writeback"])
 def enrich_incremental(spark, sf_dir):
     """A run over an earlier catalogue with earlier rules, then only what has changed since."""
