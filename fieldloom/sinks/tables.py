@@ -9,7 +9,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from fieldloom.operators.audits import duplicate_keys
 from fieldloom.operators.schema import col
 from fieldloom.operators.sizing import fits_broadcast, settled
 
@@ -45,10 +44,18 @@ def dedupe(
     )
 
 
-def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    repeated = duplicate_keys(df, keys, nulls="equal").limit(5).collect()
-    if repeated:
-        raise ValueError(f"the source repeats keys, e.g. {[r.asDict() for r in repeated]}")
+def _once(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``incoming`` with a column that fails the job at a key of several rows.
+
+    Counted by the key, which is how the merge that follows needs the rows anyway.
+    """
+    named = [F.col(k) for k in keys]
+    rest = [c for c in incoming.columns if c not in keys]
+    row = F.first(F.struct(*[col(c) for c in rest])) if rest else F.lit(None)
+    counted = incoming.groupBy(*named).agg(row.alias("__row"), F.count(F.lit(1)).alias("__n"))
+    message = F.concat(F.lit("the source repeats keys, e.g. "), F.to_json(F.struct(*named)))
+    once = F.when(F.col("__n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return counted.select(*named, *[F.col("__row").getField(c).alias(c) for c in rest], once.alias("__incoming"))
 
 
 def upsert(
@@ -65,8 +72,8 @@ def upsert(
 
     ``columns`` (default: all the source has) are written, also with null; other
     target columns keep their value, and on insert get ``defaults`` or null.  Values
-    are cast to target's types.  Source keys must be unique: ``unique="check"`` runs a
-    job to make sure, ``"assume"`` trusts the caller (see ``dedupe``).  With
+    are cast to target's types.  Source keys must be unique: with ``unique="check"`` the job
+    that reads the result fails otherwise, ``"assume"`` trusts the caller (see ``dedupe``).  With
     ``small_source`` the source is measured and, if it fits, broadcast, so the target
     is not shuffled at all.
     """
@@ -80,17 +87,15 @@ def upsert(
     absent = [c for c in [*keys, *written] if c not in source.columns]
     if unknown or absent:
         raise ValueError(f"columns not in target: {unknown}, not in source: {absent}")
-    if unique == "check":
-        check_unique(source, keys)
-
     defaults = defaults or {}
     types = {f.name: f.dataType for f in target.schema.fields}
     incoming = source.select(
         *[col(k).cast(types[k]).alias(f"__key_{i}") for i, k in enumerate(keys)],
         *[col(c).cast(types[c]).alias(f"__new_{i}") for i, c in enumerate(written)],
         *[col(c) for c in marks],
-        F.lit(True).alias("__incoming"),
     )
+    named = [f"__key_{i}" for i in range(len(keys))]
+    incoming = _once(incoming, named) if unique == "check" else incoming.withColumn("__incoming", F.lit(True))
     same_key = reduce(and_, [col(k) == F.col(f"__key_{i}") for i, k in enumerate(keys)])
     position = {c: i for i, c in enumerate(written)}
 
@@ -117,7 +122,7 @@ def upsert(
         hit = target.select(*[col(k) for k in keys]).join(
             F.broadcast(source_keys), same_key, "left_semi"
         ).distinct()
-        inserted = incoming.join(hit, same_key, "left_anti").select(
+        inserted = incoming.where("__incoming").join(hit, same_key, "left_anti").select(
             *[
                 (F.col(f"__key_{list(keys).index(c)}") if c in keys
                  else F.col(f"__new_{position[c]}") if c in position

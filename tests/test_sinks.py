@@ -62,8 +62,9 @@ def test_composite_keys_and_key_only_writes(spark):
 
 
 def test_upsert_arguments(spark, target, source):
-    with pytest.raises(ValueError, match="repeats keys"):
-        upsert(target, source.union(source), ["id"])
+    for options in ({}, {"small_source": True}, {"small_source": True, "limit_bytes": 0}):
+        with pytest.raises(Exception, match=r'repeats keys, e.g. \{"__key_0":'):
+            upsert(target, source.union(source), ["id"], **options).collect()
     with pytest.raises(ValueError, match="key columns"):
         upsert(target, source, [])
     with pytest.raises(ValueError, match="not in target"):
@@ -72,6 +73,24 @@ def test_upsert_arguments(spark, target, source):
         upsert(target, source, ["id"], unique="maybe")
 
 
+def test_uniqueness_takes_no_run_of_its_own(spark, target):
+    source = spark.range(100).selectExpr("id", "'n' AS v")
+    spark.sparkContext.setJobGroup("unique", "unique")
+    try:
+        merged = upsert(target, source, ["id"])
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("unique")) == 0
+    assert merged.count() == 101 - 0 - 1 and physical_plan(merged).count("Exchange hashpartitioning") == 2
+
+
+def test_null_keys_are_kept_apart_from_others(spark, target):
+    source = spark.createDataFrame([(None, "x")], "id long, v string")
+    assert rows(upsert(target, source, ["id"])) == rows(target.union(spark.createDataFrame([(None, "x", None)], DDL)))
+    with pytest.raises(Exception, match="repeats keys"):
+        upsert(target, source.union(source), ["id"]).collect()
+
+
 def test_values_take_the_types_of_the_target(spark, target):
     source = spark.createDataFrame([(3, 5)], "id int, v int")
     assert rows(upsert(target, source, ["id"]).where("id = 3")) == [(3, "5", None)]
@@ -135,22 +154,27 @@ def test_upsert_statements():
 
 def test_jdbc_upsert_stages_then_merges(spark, source, monkeypatch):
     """The steps, without a database: what is staged, checked and executed."""
-    staged, executed = {}, []
+    staged, executed, checked = {}, [], []
+
+    def stage(df, url, table, properties, mode, connections):
+        df.write.format("noop").mode("overwrite").save()
+        staged[table] = (rows(df.drop("staged_by")), df.columns, mode)
 
-    def stage(df, url, table, properties=None, mode="append", connections=None):
-        staged[table] = (rows(df), df.columns, mode)
+    def repeated(found):
+        return lambda spark, url, table, keys, properties, attempts: checked.append(attempts) or found
 
-    monkeypatch.setattr(jdbc, "append_jdbc", stage)
+    monkeypatch.setattr(jdbc, "_write", stage)
     monkeypatch.setattr(jdbc, "execute", lambda df, url, sql, properties: executed.append(sql))
-    monkeypatch.setattr(jdbc, "_repeated", lambda spark, url, table, keys, properties: source.limit(0))
+    monkeypatch.setattr(jdbc, "_repeated", repeated(source.limit(0)))
     skipped = jdbc.jdbc_upsert(
         source.withColumnRenamed("id", "item_id"), "jdbc:x", "prod.item", ["id", "v", "gone"],
         ["id"], {"item_id": "id"},
     )
     assert skipped == ["gone"]
-    assert staged == {"prod.item_staging": ([(2, None), (3, "n3")], ["id", "v"], "overwrite")}
-    assert executed == [jdbc.upsert_statement("prod.item", "prod.item_staging", ["id", "v"], ["id"])]
-    monkeypatch.setattr(jdbc, "_repeated", lambda spark, url, table, keys, properties: source)
+    assert staged == {"prod.item_staging": ([(2, None), (3, "n3")], ["id", "v", "staged_by"], "overwrite")}
+    assert executed == [jdbc.upsert_statement("prod.item", "prod.item_staging", ["id", "v"], ["id"], attempts=checked[0])]
+    assert len(checked[0]) in (1, 2)
+    monkeypatch.setattr(jdbc, "_repeated", repeated(source))
     with pytest.raises(ValueError, match="repeat keys"):
         jdbc.jdbc_upsert(source, "jdbc:x", "t", ["id", "v"], ["id"])
     assert jdbc.repeated_query("s", ["a", "b"]) == (
