@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fieldloom.functions.inspect import references
@@ -105,6 +106,64 @@ def decimals(df: DataFrame, limits: Mapping[str, tuple[int, int]]) -> DataFrame:
     return _per_column(counts, list(limits), ["n_out_of_range"])
 
 
+def _sharing(df: DataFrame, keys: Sequence[Sequence[str]]) -> tuple[int, list[int]]:
+    """The number of rows, and per candidate key how many share it with others: grouping sets."""
+    columns = list(dict.fromkeys(c for key in keys for c in key))
+    names = {c: f"k{i}" for i, c in enumerate(columns)}
+    renamed = df.select(*[col(c).alias(n) for c, n in names.items()])
+    sets = [[F.col(names[c]) for c in key] for key in keys]
+    counted = renamed.groupingSets(sets, *names.values()).agg(
+        F.grouping_id().alias("left_out"), F.count(F.lit(1)).alias("n")
+    )
+    # A set is known by the columns it leaves out.
+    ids = [sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in key) for key in keys]
+    sums = [F.sum(F.when(F.col("left_out") == ids[0], F.col("n")))]
+    for key, g in zip(keys, ids, strict=True):
+        shared = (F.col("left_out") == g) & (F.col("n") > 1)
+        for c in key:
+            shared = shared & F.col(names[c]).isNotNull()
+        sums.append(F.sum(F.when(shared, F.col("n"))))
+    n_rows, *found = counted.agg(*[s.alias(f"s{i}") for i, s in enumerate(sums)]).first()
+    return n_rows or 0, [n or 0 for n in found]
+
+
+def suite(
+    df: DataFrame,
+    keys: Sequence[Sequence[str]] = (),
+    not_null: Sequence[str] = (),
+    domains: Mapping[str, Sequence] | None = None,
+    lengths: Mapping[str, int] | None = None,
+    decimals: Mapping[str, tuple[int, int]] | None = None,
+) -> DataFrame:
+    """(rule, subject, n_rows, n_bad) for all rules of a table, from one scan.
+
+    Candidate ``keys`` are counted together by grouping sets, so one shuffle carries them all;
+    ``n_bad`` is the number of rows that share their key with others (null parts are never
+    equal).  Rules on columns are metrics observed in that same scan: nulls, values outside a
+    domain, texts too long, numbers that do not fit DECIMAL(precision, scale).  Runs at once;
+    what comes back is a row a rule.
+    """
+    bad: list[tuple[str, str, Column]] = [("not null", c, col(c).isNull()) for c in not_null]
+    bad += [("domain", c, ~col(c).isin(list(v))) for c, v in (domains or {}).items()]
+    bad += [("length", c, F.length(col(c)) > n) for c, n in (lengths or {}).items()]
+    bad += [
+        ("decimal", c, col(c).isNotNull() & col(c).try_cast(f"decimal({p},{s})").isNull())
+        for c, (p, s) in (decimals or {}).items()
+    ]
+    metrics = [F.count(F.lit(1)).alias("n_rows"), *[F.count_if(wrong).alias(f"bad_{i}") for i, (_, _, wrong) in enumerate(bad)]]
+    repeated: list[int] = []
+    if keys:
+        observed = Observation()
+        n_rows, repeated = _sharing(df.observe(observed, *metrics), keys)
+        # A scan without rows may be planned away, and its metrics with it.
+        seen = observed.get if n_rows else defaultdict(int)
+    else:
+        seen = df.agg(*metrics).first().asDict()
+    rows = [("key", ", ".join(key), seen["n_rows"], n) for key, n in zip(keys, repeated, strict=True)]
+    rows += [(rule, c, seen["n_rows"], seen[f"bad_{i}"]) for i, (rule, c, _) in enumerate(bad)]
+    return df.sparkSession.createDataFrame(rows, "rule string, subject string, n_rows long, n_bad long")
+
+
 def unresolved(
     formulas: DataFrame,
     names: DataFrame,

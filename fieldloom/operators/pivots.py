@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldloom.operators.schema import col
+from fieldloom.operators.sizing import settled
 
 Aggregate = Callable[[Column], Column]
 
@@ -94,6 +95,38 @@ def pivot_wide(
     return grouped.agg(*[cell(v).alias(label) for v, label in zip(wanted, labels)])
 
 
+def pivot_one_pass(
+    df: DataFrame,
+    keys: Sequence[str],
+    name: str,
+    value: str,
+    prefix: str = "",
+    max_values: int | None = None,
+) -> DataFrame:
+    """``pivot_wide`` without values given, and without reading ``df`` twice to find them.
+
+    First non-null values are aggregated per key and name, then gathered in one map a key, which
+    is made once: the names are its keys, and the columns a projection.  A group holds
+    an entry for each name, however many rows it has.  Suits some hundred names; for
+    thousands, look the values up first, since a map is searched entry by entry.
+    """
+    if not keys:
+        raise ValueError(f"keys cannot be empty for a pivot on {name!r}")
+    named = [col(k) for k in keys]
+    cells = df.groupBy(*named, col(name).alias("__name")).agg(F.first(col(value), ignorenulls=True).alias("__cell"))
+    # Map keys cannot be null, so names are wrapped.
+    entry = F.struct(F.struct("__name").alias("k"), F.col("__cell").alias("v"))
+    rows = settled(cells.groupBy(*named).agg(F.map_from_entries(F.collect_list(entry)).alias("__cells")))
+    held = rows.select(F.explode(F.map_keys("__cells")).alias("k")).select("k.__name")
+    wanted = discover_values(held, "__name", max_values)
+
+    def cell(v) -> Column:
+        wrapped = F.struct(F.lit(v).cast(df.schema[name].dataType).alias("__name"))
+        return F.try_element_at(F.col("__cells"), wrapped).alias(prefix + _label(v))
+
+    return rows.select(*named, *[cell(v) for v in wanted])
+
+
 def _aggregate(cell: Column, order_by: str | None, agg: Aggregate | str | None) -> Column:
     if agg is not None:
         return (NULL_IGNORING[agg] if isinstance(agg, str) else agg)(cell)

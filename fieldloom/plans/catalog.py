@@ -11,7 +11,7 @@ from fieldloom.functions import dependencies, inspect
 from fieldloom.functions.applying import apply, current_rules
 from fieldloom.functions.compiling import compile_formula
 from fieldloom.functions.metadata import formula_map, latest, targets
-from fieldloom.operators import audits
+from fieldloom.operators import audits, pivots
 from fieldloom.operators.joins import JoinSpec, join_chain, lookup_join, update_from
 from fieldloom.operators.pivots import pivot_values, pivot_wide
 from fieldloom.operators.schema import rename_to_target, select_existing
@@ -20,7 +20,7 @@ from fieldloom.plans import incremental, pipeline
 from fieldloom.plans import testbed as tb
 from fieldloom.sinks import buckets
 from fieldloom.sinks.tables import append_rows, cast_checked, cast_losses, dedupe, upsert
-from fieldloom.sources import bucketed
+from fieldloom.sources import bucketed, ranges
 from fieldloom.sources.catalogue import load_catalogue
 from fieldloom.sources.scan import scan_aliased
 
@@ -136,7 +136,7 @@ CTES = {
                CASE WHEN count(*) < 4
                     THEN CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(18,2)) END AS total,
                min(o_orderpriority) AS priority
-        FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey""",
+        FROM orders WHERE o_orderstatus <> 'F' GROUP BY o_custkey""",
 }
 
 # What each relation above reads from the others.
@@ -915,6 +915,12 @@ def pivot_first_discovered(spark, sf_dir):
     )
 
 
+@query(ORACLE["pivot_first"])
+def pivot_one_pass(spark, sf_dir):
+    """Names found in what was aggregated: the values are read once."""
+    return pivots.pivot_one_pass(_long_attributes(spark, sf_dir), ["attribute_item_id"], "attribute_name", "attribute_value")
+
+
 def _long_attributes(spark, sf_dir):
     return eav_join(spark, sf_dir)
 
@@ -1010,8 +1016,8 @@ def pivot_value_list(spark, sf_dir):
 # --- sinks --------------------------------------------------------------------
 
 
-def _per_customer(spark, sf_dir, status):
-    orders = tb.read(spark, sf_dir, "orders").where(F.col("o_orderstatus") == status)
+def _per_customer(spark, sf_dir, finished):
+    orders = tb.read(spark, sf_dir, "orders").where((F.col("o_orderstatus") == "F") == finished)
     return orders.groupBy(F.col("o_custkey").alias("custkey")).agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.sum(F.col("o_totalprice").cast("decimal(12,2)")).cast("decimal(18,2)").alias("total"),
@@ -1021,10 +1027,10 @@ def _per_customer(spark, sf_dir, status):
 
 
 def _upsert_pair(spark, sf_dir):
-    target = _per_customer(spark, sf_dir, "F").select(
+    target = _per_customer(spark, sf_dir, True).select(
         "custkey", "n_orders", "total", F.col("last").alias("priority"), F.lit("kept").alias("note")
     )
-    source = _per_customer(spark, sf_dir, "O").select(
+    source = _per_customer(spark, sf_dir, False).select(
         "custkey", "n_orders", F.when(F.col("n_orders") < 4, F.col("total")).alias("total"),
         F.col("first").alias("priority"),
     )
@@ -1325,3 +1331,59 @@ def audit_length(spark, sf_dir):
                AS n_out_of_range FROM orders""")
 def audit_decimal(spark, sf_dir):
     return audits.decimals(tb.read(spark, sf_dir, "orders"), {"o_totalprice": (7, 2)})
+
+
+@query("""
+    WITH counted AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL),
+    parts AS (SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem GROUP BY ALL)
+    SELECT 'key' AS rule, 'l_orderkey, l_linenumber' AS subject, (SELECT count(*) FROM lineitem) AS n_rows,
+           CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS n_bad FROM counted
+    UNION ALL SELECT 'key', 'l_orderkey, l_partkey', (SELECT count(*) FROM lineitem),
+           CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) FROM parts
+    UNION ALL SELECT 'not null', 'l_shipdate', count(*), count(*) FILTER (WHERE l_shipdate IS NULL) FROM lineitem
+    UNION ALL SELECT 'domain', 'l_returnflag', count(*), count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N')) FROM lineitem
+    UNION ALL SELECT 'length', 'l_linestatus', count(*), count(*) FILTER (WHERE length(l_linestatus) > 1) FROM lineitem
+    UNION ALL SELECT 'decimal', 'l_extendedprice', count(*),
+           count(*) FILTER (WHERE TRY_CAST(l_extendedprice AS DECIMAL(6,2)) IS NULL) FROM lineitem""")
+def audit_suite(spark, sf_dir):
+    """All rules of a table in one scan, its candidate keys in one shuffle."""
+    return audits.suite(
+        tb.read(spark, sf_dir, "lineitem"),
+        keys=[["l_orderkey", "l_linenumber"], ["l_orderkey", "l_partkey"]],
+        not_null=["l_shipdate"],
+        domains={"l_returnflag": ["A", "N"]},
+        lengths={"l_linestatus": 1},
+        decimals={"l_extendedprice": (6, 2)},
+    )
+
+
+# --- ranges of a parallel read --------------------------------------------------
+
+
+RANGES = 8
+
+
+@query("""
+    WITH keys AS (
+        SELECT CASE WHEN l_linenumber < 6 THEN l_orderkey ELSE l_orderkey * 1000000 END AS id FROM lineitem)
+    SELECT 'even' AS cut, 8 AS n_ranges, count(*) AS n_rows, true AS is_even FROM keys
+    UNION ALL SELECT 'strides', 8, count(*), false FROM keys""")
+def range_predicates(spark, sf_dir):
+    """Clustered keys with a few far away: even ranges against equal strides, each row in one range."""
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    keys = tb.read(spark, sf_dir, "lineitem").select(F.when(line < 6, key).otherwise(key * 1_000_000).alias("id"))
+    low, high = keys.agg(F.min("id"), F.max("id")).first()
+    strides = [low + (high - low) * i // RANGES for i in range(1, RANGES)]
+    found = None
+    for cut, bounds in (("even", ranges.even_bounds(keys, "id", RANGES)), ("strides", strides)):
+        predicates = ranges.predicates("id", bounds)
+        counts = keys.agg(*[F.count_if(F.expr(p)).alias(f"r{i}") for i, p in enumerate(predicates)])
+        counted = F.array(*[F.col(f"r{i}") for i in range(len(predicates))])
+        total = F.aggregate(counted, F.lit(0).cast("long"), lambda a, b: a + b)
+        # Twice the fair share is far beyond the sketch's error, and far below a cluster's.
+        row = counts.select(
+            F.lit(cut).alias("cut"), F.size(counted).alias("n_ranges"), total.alias("n_rows"),
+            (F.array_max(counted) * RANGES <= 2 * total).alias("is_even"),
+        )
+        found = row if found is None else found.unionByName(row)
+    return found

@@ -84,6 +84,7 @@ def run_jdbc(
     partitions: int = 10,
     dialect: str = "on_conflict",
     on_loss: str = "fail",
+    even: bool = False,
     **options,
 ) -> None:
     """Enrich a database catalogue and upsert its item table.
@@ -95,7 +96,7 @@ def run_jdbc(
     place = f"{schema}." if schema else ""
     category_field, formula, names = (f"{place}{t}" for t in METADATA_TABLES)
     formulas = read_metadata(spark, url, category_field, formula, names, properties)
-    tables = load_catalogue(jdbc_reader(spark, url, schema, properties, partitions))
+    tables = load_catalogue(jdbc_reader(spark, url, schema, properties, partitions, even))
     rows, counted = enriched_rows(tables, formulas, on_loss, **options)
     jdbc_upsert(
         rows, url, f"{place}item", rows.columns, ["id"], properties=properties, dialect=dialect
@@ -115,6 +116,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--user-variable", help="environment variable holding the user name")
     parser.add_argument("--password-variable", help="environment variable holding the password")
     parser.add_argument("--partitions", type=int, default=10, help="parallel reads per table")
+    parser.add_argument("--even-ranges", action="store_true", help="ranges of as many rows instead of as many ids")
     parser.add_argument("--syntax", default="lenient", choices=("lenient", "strict"))
     parser.add_argument("--on-invalid", default="fail", choices=("fail", "skip"))
     parser.add_argument(
@@ -138,7 +140,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         return
     named = {"user": given.user_variable, "password": given.password_variable}
     properties = {key: os.environ[variable] for key, variable in named.items() if variable}
-    run_jdbc(spark, given.url, given.schema, properties, given.partitions, **options)
+    run_jdbc(spark, given.url, given.schema, properties, given.partitions, even=given.even_ranges, **options)
 
 
 if __name__ == "__main__":

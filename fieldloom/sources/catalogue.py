@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldloom.sources.jdbc import read_jdbc_partitioned
+from fieldloom.sources.jdbc import read_jdbc_even, read_jdbc_partitioned
 from fieldloom.sources.scan import scan_aliased
 
 # The item columns read, all but the key under their own name.
@@ -67,12 +67,15 @@ def jdbc_reader(
     schema: str = "",
     properties: Mapping[str, str] | None = None,
     partitions: int = 10,
+    even: bool = False,
 ) -> Reader:
-    """Read entity tables over JDBC in parallel ranges of their ``id``."""
+    """Read entity tables over JDBC in parallel ranges of their ``id``: of equal width, or,
+    with ``even``, of about as many rows (ids are read once more for that)."""
+    by_range = read_jdbc_even if even else read_jdbc_partitioned
 
     def read(entity: str, aliases: Mapping[str, str]) -> DataFrame:
         table = f"{schema}.{entity}" if schema else entity
-        return read_jdbc_partitioned(
+        return by_range(
             spark, url, table, aliases, aliases["id"], properties, partitions=partitions
         )
 

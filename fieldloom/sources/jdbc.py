@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldloom.sources.ranges import even_bounds, predicates
+
 
 def aliased_query(table: str, aliases: Mapping[str, str]) -> str:
     """The table expression that makes the database project and rename."""
@@ -61,6 +63,31 @@ def read_jdbc_partitioned(
     )
 
 
+def read_jdbc_even(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    aliases: Mapping[str, str],
+    partition_alias: str,
+    properties: Mapping[str, str] | None = None,
+    partitions: int = 10,
+    fetch_size: int | None = FETCH_SIZE,
+) -> DataFrame:
+    """Aliased scan of a database table in key ranges of about equal numbers of rows.
+
+    The key column alone is read first, in equal strides, and sketched; where ids cluster, the
+    strides of ``read_jdbc_partitioned`` would give one task most of the rows.
+    """
+    only_key = {c: a for c, a in aliases.items() if a == partition_alias}
+    keys = read_jdbc_partitioned(
+        spark, url, table, only_key, partition_alias, properties, partitions=partitions, fetch_size=fetch_size
+    )
+    where = predicates(partition_alias, even_bounds(keys, partition_alias, partitions))
+    return spark.read.jdbc(
+        url, aliased_query(table, aliases), predicates=where, properties=_options(properties, fetch_size)
+    )
+
+
 def _bounds(spark, url, table, column, properties, lower, upper) -> tuple[int, int]:
     """The bounds given, or the smallest and greatest key."""
     if lower is None or upper is None:

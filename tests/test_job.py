@@ -87,7 +87,7 @@ def test_jdbc_job_reads_and_writes_by_table_name(spark, monkeypatch):
     """The wiring, without a database."""
     seen = {}
 
-    def reader(spark, url, schema, properties, partitions):
+    def reader(spark, url, schema, properties, partitions, even):
         seen["read"] = (url, schema, partitions)
         return lambda entity, aliases: catalogue(spark)[entity]
 

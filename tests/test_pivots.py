@@ -2,7 +2,7 @@ import pytest
 from conftest import physical_plan, rows
 from pyspark.sql import functions as F
 
-from fieldloom.operators.pivots import discover_values, pivot_values, pivot_wide
+from fieldloom.operators.pivots import discover_values, pivot_one_pass, pivot_values, pivot_wide
 
 
 @pytest.fixture(scope="module")
@@ -95,3 +95,28 @@ def test_multiple_keys_and_odd_names(spark):
     wide = pivot_wide(df, ["k1", "k2"], "n m", "v")
     assert wide.columns == ["k1", "k2", "a.b", "c`d"]
     assert rows(wide) == [(1, "x", 1, 2)]
+
+
+def test_one_pass_reads_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    data = [(1, "a", None), (1, "a", "x"), (1, "b", "y"), (2, None, "z"), (2, "a", None), (3, "c.d", "w"), (None, "b", "n")]
+    df = spark.createDataFrame(data, "k long, n string, v string")
+    found = pivot_one_pass(df.mapInArrow(count, df.schema), ["k"], "n", "v", prefix="p_")
+    assert rows(found) == rows(pivot_wide(df, ["k"], "n", "v", prefix="p_")) and found.columns == ["k", "p_null", "p_a", "p_b", "p_c.d"]
+    assert seen.value == len(data)
+
+
+def test_one_pass_of_numbers_and_few_or_many_names(spark):
+    df = spark.range(600).selectExpr("id % 7 AS k", "id % 40 AS n", "CASE WHEN id % 3 > 0 THEN cast(id % 40 AS double) END AS v")
+    assert rows(pivot_one_pass(df, ["k"], "n", "v")) == rows(pivot_wide(df, ["k"], "n", "v"))
+    assert rows(pivot_one_pass(df.where("n < 0"), ["k"], "n", "v")) == []
+    with pytest.raises(ValueError, match="more than 39"):
+        pivot_one_pass(df, ["k"], "n", "v", max_values=39)
+    with pytest.raises(ValueError, match="keys"):
+        pivot_one_pass(df, [], "n", "v")

@@ -73,9 +73,11 @@ def test_one_attempt_a_partition(spark, tmp_path):
 
 
 def test_no_rows(spark, tmp_path):
-    tagged, observed = staging.tag_attempts(spark.range(0))
-    tagged.write.parquet(f"{tmp_path}/t")
-    assert staging.accepted_attempts(observed) == []
+    empty = spark.createDataFrame([], "id long")
+    for k, df in enumerate((spark.range(0), empty, empty.repartition(3), spark.range(9).where("id > 10").repartition(2), empty.groupBy("id").count())):
+        tagged, observed = staging.tag_attempts(df)
+        tagged.write.parquet(f"{tmp_path}/t{k}")
+        assert staging.accepted_attempts(observed) == []
 
 
 def test_the_name_is_taken(spark):
