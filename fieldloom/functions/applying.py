@@ -13,9 +13,10 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.functions import grammar as g
@@ -49,7 +50,7 @@ Rules = dict[str, dict[str, list[int]]]  # field → formula text → categories
 
 def apply(
     df: DataFrame,
-    formulas: DataFrame,
+    formulas: DataFrame | RuleSet,
     category: str = "category_id",
     mode: str = "snapshot",
     order: Sequence[str] | str | None = None,
@@ -67,7 +68,7 @@ def apply(
     """Replace each target field by its category's formula.
 
     ``formulas`` has category_id, field_name, formula and, where a (category, field)
-    may repeat, the ``version`` column.  Rows whose category has no formula for a
+    may repeat, the ``version`` column; or it is a ``rule_set`` made with the same options.  Rows whose category has no formula for a
     field keep the field's value.  In ``snapshot`` mode every formula reads the input
     row; in ``sequential`` mode fields are computed in ``order`` and later ones read
     earlier results.  ``order="auto"`` finds it for each category from what its formulas read:
@@ -94,20 +95,16 @@ def apply(
     if dialect == "sql" and form == "lookup":
         raise ValueError("SQL formulas are planned by their texts, not looked up by parts")
 
-    rules = current_rules(formulas, version)
-    if dialect == "concat" and syntax == "strict":
-        rules = only_valid(rules, on_invalid)
-    rules = settled(rules)
-    _check_named(rules)
-    if version not in formulas.columns:
-        _check_single(rules)
-
+    if isinstance(formulas, RuleSet):
+        found = formulas
+    else:
+        found = rule_set(formulas, syntax, on_invalid, dialect, version, 0 if form == "lookup" else max_rules)
     if form != "lookup":
-        rows = rules.limit(max_rules + 1).collect()
-        if len(rows) <= max_rules:
-            return _apply_compiled(df, rows, category, mode, order, syntax, dialect)
+        if found.rows is not None:
+            return _apply_compiled(df, found.rows, category, mode, order, syntax, dialect)
         if form == "compiled":
             raise ValueError(f"more than {max_rules} rules cannot be compiled")
+    rules = found.rules
     if dialect == "sql":
         return _apply_sql_texts(df, rules, category, mode, order, limit_bytes, hot_rows, max_rules, keys_from)
     return _apply_lookup(
@@ -115,6 +112,40 @@ def apply(
     )
 
 
+class RuleSet(NamedTuple):
+    """The rules that count, made once and checked; ``rows`` are all of them where they are few."""
+
+    rules: DataFrame  # category_id, field_name, formula
+    rows: list[Row] | None
+
+
+def rule_set(
+    formulas: DataFrame,
+    syntax: str = "lenient",
+    on_invalid: str = "fail",
+    dialect: str = "concat",
+    version: str = "formula_id",
+    max_rules: int = COMPILED_RULES,
+) -> RuleSet:
+    """The rules of ``formulas`` as ``apply`` takes them, from few jobs: one makes them, one
+    brings up to ``max_rules`` to the driver, and only of more the checks are jobs."""
+    rules = current_rules(formulas, version)
+    if dialect == "concat" and syntax == "strict":
+        rules = only_valid(rules, on_invalid)
+    if version in formulas.columns:  # which leaves one rule a category and field
+        rules = rules.withColumn("n", F.lit(1))
+    else:
+        rules = rules.groupBy("category_id", "field_name").agg(F.min("formula").alias("formula"), F.count(F.lit(1)).alias("n"))
+    rules = settled(rules)
+    rows = rules.limit(max_rules + 1).collect() if max_rules > 0 else None
+    few = rows is not None and len(rows) <= max_rules
+    wrong = F.col("field_name").isNull() | (F.col("n") > 1)
+    bad = [r for r in rows if r["field_name"] is None or r["n"] > 1] if few else rules.where(wrong).limit(REPORTED_PROBLEMS).collect()
+    if bad:
+        raise FormulaError((r["formula"], NO_FIELD if r["field_name"] is None else SECOND_FORMULA) for r in bad[:REPORTED_PROBLEMS])
+    return RuleSet(rules.drop("n"), rows if few else None)
+
+
 def current_rules(formulas: DataFrame, version: str = "formula_id") -> DataFrame:
     """(category_id, field_name, formula): the rules that count, whatever form applies them. Names
     are folded first, then the last version is taken; without versions a rule may repeat."""
@@ -465,22 +496,6 @@ def _folded(spark: SparkSession, name: Column) -> Column:
     return name if is_case_sensitive(spark) else F.lower(name)
 
 
-def _check_named(rules: DataFrame) -> None:
-    """Rules for no field are wrong in either form."""
-    unnamed = rules.where(F.col("field_name").isNull()).limit(REPORTED_PROBLEMS).collect()
-    if unnamed:
-        raise FormulaError((r["formula"], NO_FIELD) for r in unnamed)
-
-
-def _check_single(rules: DataFrame) -> None:
-    counted = rules.groupBy("category_id", "field_name").agg(
-        F.min("formula").alias("formula"), F.count(F.lit(1)).alias("n")
-    )
-    repeated = counted.where("n > 1").limit(REPORTED_PROBLEMS).collect()
-    if repeated:
-        raise FormulaError((r["formula"], SECOND_FORMULA) for r in repeated)
-
-
 def _parsed(df: DataFrame, formula: Column, syntax: str) -> Column:
     """Parts as (source, text): the position of the column read, 0 for a literal, or
     UNRESOLVED."""

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from fieldloom.functions.applying import apply
+from fieldloom.functions.applying import RuleSet, apply, rule_set, sql_names
+from fieldloom.functions.compiling import formula_parts
 from fieldloom.functions.inspect import references
 from fieldloom.operators.joins import JoinSpec, join_chain, lookup_join
 from fieldloom.operators.schema import (
@@ -19,10 +20,12 @@ from fieldloom.operators.schema import (
     rename_to_target,
     select_existing,
 )
-from fieldloom.operators.sizing import settled
 from fieldloom.sinks.tables import cast_checked, dedupe
 from fieldloom.sources.catalogue import ALIASES, ITEM_READ_ONLY
 
+# Kinds of fields that are stored long and become columns.
+KINDS = ("attribute", "custom_field")
+
 
 def join_categories(
     items: DataFrame, item_category: DataFrame, strategy: str = "plain"
@@ -40,11 +43,19 @@ def eav(values: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return lookup_join(values, dimension, key, "inner")
 
 
-def names_in_use(formulas: DataFrame, syntax: str = "lenient") -> list[str]:
-    """Names formulas read or write, on the driver, which plans a column for each."""
-    read = references(formulas.where(F.col("formula") != ""), syntax=syntax).select("reference")
-    used = read.union(formulas.select("field_name")).distinct().collect()
-    return sorted(r[0] for r in used if r[0] is not None)
+def names_in_use(found: RuleSet, syntax: str = "lenient", dialect: str = "concat") -> list[str]:
+    """Names the rules read or write, on the driver, which plans a column for each."""
+    spark = found.rules.sparkSession
+    if dialect == "sql":
+        texts = found.rows if found.rows is not None else found.rules.select("formula").distinct().collect()
+        read = {part for r in texts for name in sql_names(spark, r["formula"])[1] for part in name}
+    elif found.rows is not None:
+        read = {text for r in found.rows for kind, text in formula_parts(r["formula"], syntax) if kind == "field"}
+    else:
+        both = references(found.rules, syntax=syntax).select("reference").union(found.rules.select("field_name"))
+        return sorted(r[0] for r in both.distinct().collect())
+    written = found.rows if found.rows is not None else found.rules.select("field_name").distinct().collect()
+    return sorted(read | {r["field_name"] for r in written})
 
 
 def widen_items(
@@ -85,21 +96,30 @@ def widen_items(
     return wide if keep_keys else wide.drop("attribute_item_id", "custom_field_item_id")
 
 
-def _held(dimension: DataFrame, name: str, used: Sequence[str], prefix: str) -> list[str]:
-    """The values of this dimension whose column, prefix included, is used."""
-    spark = dimension.sparkSession
+def _held(tables: Mapping[str, DataFrame], used: Sequence[str], prefix: Mapping[str, str]) -> dict[str, list[str]]:
+    """Per kind of field the names its dimension holds whose column, prefix included, is used."""
+    spark = tables["attribute"].sparkSession
     fold = folding(spark)
-    wanted = {fold(n[len(prefix):]) for n in used if n.startswith(prefix)}
-    value = col(name) if is_case_sensitive(spark) else F.lower(col(name))
-    rows = dimension.where(value.isin(sorted(wanted))).select(col(name)).distinct().collect()
-    held = sorted(r[0] for r in rows)
-    by_fold: dict[str, list[str]] = {}
-    for v in held:
-        by_fold.setdefault(fold(v), []).append(v)
-    clashes = [vs for vs in by_fold.values() if len(vs) > 1]
-    if clashes:
-        raise ValueError(f"{name} holds names that would be one column: {clashes}")
-    return held
+    found = None
+    for kind in KINDS:
+        start = prefix.get(kind, "")
+        name = col(f"{kind}_name")
+        wanted = {fold(n[len(start):]) for n in used if n.startswith(start)}
+        held = (name if is_case_sensitive(spark) else F.lower(name)).isin(sorted(wanted))
+        names = tables[kind].where(held).select(F.lit(kind).alias("kind"), name.alias("name"))
+        found = names if found is None else found.unionByName(names)
+    by_kind: dict[str, list[str]] = {kind: [] for kind in KINDS}
+    for r in found.distinct().collect():
+        by_kind[r["kind"]].append(r["name"])
+    for kind, names in by_kind.items():
+        names.sort()
+        by_fold: dict[str, list[str]] = {}
+        for v in names:
+            by_fold.setdefault(fold(v), []).append(v)
+        clashes = [vs for vs in by_fold.values() if len(vs) > 1]
+        if clashes:
+            raise ValueError(f"{kind}_name holds names that would be one column: {clashes}")
+    return by_kind
 
 
 def enrich(
@@ -114,15 +134,15 @@ def enrich(
     With ``referenced_only`` just the attributes and custom fields that some formula
     reads or writes are pivoted.  ``options`` go to ``apply``.
     """
-    # Read once: the columns pivoted below and the rules applied must be the same.
-    formulas = settled(formulas)
-    values = {"attribute": None, "custom_field": None}
+    # Made once: the columns pivoted below and the rules applied must be the same.
+    given = {k: options[k] for k in ("syntax", "on_invalid", "dialect", "version", "max_rules") if k in options}
+    if options.get("form") == "lookup":
+        given["max_rules"] = 0
+    rules = rule_set(formulas, **given)
+    values: dict[str, list[str] | None] = dict.fromkeys(KINDS)
     if referenced_only:
-        used = names_in_use(formulas, options.get("syntax", "lenient"))
-        values = {
-            kind: _held(tables[kind], f"{kind}_name", used, (prefix or {}).get(kind, ""))
-            for kind in values
-        }
+        used = names_in_use(rules, options.get("syntax", "lenient"), options.get("dialect", "concat"))
+        values = _held(tables, used, prefix or {})
     # Widened before categories repeat items, so each item is shuffled once and every
     # side of these joins holds one row per item.
     wide = widen_items(
@@ -135,7 +155,7 @@ def enrich(
         on="item_id",
     )
     wide = join_categories(wide, tables["item_category"].drop("default_category"))
-    return apply(wide, formulas, **({"keys_from": tables["item_category"]} | options))
+    return apply(wide, rules, **({"keys_from": tables["item_category"]} | options))
 
 
 def pick_category(

@@ -108,3 +108,17 @@ def test_jdbc_job_reads_and_writes_by_table_name(spark, monkeypatch):
         "write": ("prod.item", 21, ["id"], 2),
     }
     assert jdbc.BATCH_SIZE == 5000
+
+
+@pytest.mark.parametrize("form, most", [("auto", 7), ("lookup", 11)])
+def test_few_jobs_before_any_action(spark, form, most):
+    from fieldloom.plans import testbed as tb
+
+    tables, rules = tb.catalogue(spark, "/root/testdata/sf0.001"), tb.rules(spark, tb.WIDE_RULES)
+    spark.sparkContext.setJobGroup(f"eager {form}", form)
+    try:
+        enrich(tables, rules, form=form)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"eager {form}")
+    assert len(jobs) <= most
