@@ -10,12 +10,18 @@ falling rarity: tokens of passages that a third of all documents share fall out
 prefixes of documents that merely contain the passage. The frequent tokens are counted exactly
 and are at most 2^18 by construction (a floor on their share), which bounds what is broadcast.
 
-A posting list is merged in cells of at most about ``BLOCK`` x ``BLOCK`` documents, so a long list
-is many tasks, none of them large. A cell counts collisions of whole signatures with numpy, skips
-each pair that an earlier common prefix token has already taken, and keeps the pairs with enough
-matches and compatible sizes. Kept pairs travel as bundles of id arrays, meet the full sets once
-per bundle and are confirmed exactly; a bundle reports a spanning forest of its links, not all of
-them. Components of the links (``components``) give the answer.
+Long lists first lose what a few comparisons settle: in each round every long list names a hub (its
+first class by hash that is outside the list's largest component), its members are held against the
+hub, each class is linked to at most one hub, and confirmed links are contracted. So of a large group of near copies one
+pair a class and round is written, and the group is one component after a round or two. Then the lists
+that still hold several components are merged in cells of at most about ``BLOCK`` x ``BLOCK``
+documents, so a long list is many tasks, none of them large; members of a list's largest component meet
+only the others. A cell counts collisions of whole signatures with numpy, skips pairs
+within a component and each pair that an earlier common prefix token has already taken, and keeps the
+pairs with enough matches and compatible sizes: every pair between components that could be a link is
+tried. Kept pairs travel as bundles of id arrays, meet the full sets once per bundle and
+are confirmed exactly; a bundle reports a spanning forest of its links, not all of them.
+Components of the links (``components``) give the answer.
 
 Results in odd cases: a null text or one without words has no shingles and is linked with nothing;
 with fewer words than ``width`` the whole sequence is the one shingle; exact copies share a
@@ -28,17 +34,18 @@ near copies one stays whatever the ids: the smallest id, or a row without one wh
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.llm.components import components
-from fieldloom.llm.shared import cut, map_arrow, read
+from fieldloom.llm.shared import cut, map_arrow, passes, read, sieve, slot
 from fieldloom.llm.words import BETWEEN_SPACE, FOLDED, U, chunks, rolling
 
 COORDINATES, WIDTH = 64, 5
@@ -46,6 +53,8 @@ COORDINATES, WIDTH = 64, 5
 MISSED = 5e-5
 #: Documents of a posting list in one block; pairs compared at once; documents and pairs of a bundle.
 BLOCK, AT_ONCE, BUNDLE_NODES, BUNDLE_PAIRS = 512, 1 << 15, 2048, 1 << 16
+#: Lists with more members outside their largest component are long; rounds of hubs at most.
+LONG_LIST, HUB_ROUNDS = 128, 3
 #: At most so many tokens count as frequent.
 FREQUENT = 1 << 18
 
@@ -136,17 +145,82 @@ def _with_prefixes(classes: DataFrame, tokens: np.ndarray, counts: np.ndarray, p
     )
 
 
-def _cells(classes: DataFrame) -> DataFrame:
-    """A row for each class in each cell of each posting list with two classes or more."""
-    postings = classes.select("node", F.explode("prefix").alias("token"))
-    lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = postings.join(lists, "token").select("token", "node", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), blocks.alias("blocks"))
-    met = rows.select("token", "node", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    cells = met.select("token", F.least("block", "other").alias("c1"), F.greatest("block", "other").alias("c2"), "node", "block")
+def _postings(classes: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """(token, node, comp): the prefix tokens of each class and its component so far."""
+    rows = classes.select("node", "prefix")
+    if parts is None:
+        rows = rows.withColumn("comp", F.col("node"))
+    else:
+        rows = rows.join(parts.withColumnRenamed("component", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    return rows.select(F.explode("prefix").alias("token"), "node", "comp")
+
+
+def _lists(postings: DataFrame, contracted: bool) -> DataFrame:
+    """(token, major, n_major, n_minor) of the lists that hold several components: ``major`` is the
+    largest one, null where each class is still its own."""
+    if not contracted:
+        counted = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n_minor")).where("n_minor > 1")
+        return counted.select("token", F.lit(None).cast("long").alias("major"), F.lit(0).cast("long").alias("n_major"), "n_minor")
+    by_comp = postings.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n"))
+    found = by_comp.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("n"))
+    return found.select("token", F.col("most.comp").alias("major"), F.col("most.n").alias("n_major"), (F.col("n") - F.col("most.n")).alias("n_minor")).where("n_minor > 0")
+
+
+def _minor() -> Column:
+    return F.col("major").isNull() | (F.col("comp") != F.col("major"))
+
+
+def _cells(classes: DataFrame, postings: DataFrame, lists: DataFrame) -> DataFrame:
+    """A row for each class in each cell of each list: classes outside the list's largest component
+    meet all, those within it meet the others."""
+    minor_blocks, major_blocks = F.ceil(F.col("n_minor") / BLOCK).cast("int"), F.ceil(F.col("n_major") / BLOCK).cast("int")
+    h = F.xxhash64("node")
+    block = F.when(_minor(), F.pmod(h, minor_blocks)).otherwise(minor_blocks + F.pmod(h, F.greatest(major_blocks, F.lit(1)))).cast("int")
+    last = F.when(_minor(), minor_blocks + major_blocks).otherwise(minor_blocks) - 1
+    rows = postings.join(lists, "token").select("token", "node", "comp", block.alias("block"), last.alias("last"))
+    met = rows.select("token", "node", "comp", "block", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"))
+    cells = met.select("token", F.least("block", "other").alias("c1"), F.greatest("block", "other").alias("c2"), "node", "comp", "block")
     return cells.join(classes.select("node", "n_shingles", "bits", "signature"), "node")
 
 
+def _hub_pairs(classes: DataFrame, postings: DataFrame, long_lists: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each class of a long list with one hub of its lists that it may be similar to."""
+    at_least = matches(percent)
+    rows = postings.join(long_lists, "token").select("token", "node", "comp", _minor().alias("minor"))
+    rows = cut(rows.join(classes.select("node", F.col("n_shingles").alias("n"), "signature"), "node"))
+    order = F.struct(F.xxhash64("node"), F.col("node"))
+    hub = F.struct(F.col("node").alias("hub"), F.col("comp").alias("hub_comp"), F.col("n").alias("hub_n"), F.col("signature").alias("hub_signature"))
+    hubs = cut(rows.where("minor").groupBy("token").agg(F.min_by(hub, order).alias("h")).select("token", "h.*"))
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        n, m = batch.column(1).to_numpy(), batch.column(4).to_numpy()
+        fits = np.minimum(n, m) * 100 >= percent * np.maximum(n, m)
+        fits[fits] = (_matrix(batch.column(2).filter(pa.array(fits))) == _matrix(batch.column(5).filter(pa.array(fits)))).sum(axis=1) >= at_least
+        return pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(fits)), batch.column(3).filter(pa.array(fits))], names=["node", "hub"])
+
+    met = rows.join(hubs, "token").where("comp <> hub_comp").select("node", "n", "signature", "hub", "hub_n", "hub_signature")
+    near = map_arrow(met, each, "node long, hub long")
+    # The first hub by hash: most of a group then choose the same one.
+    return near.groupBy("node").agg(F.min_by("hub", F.struct(F.xxhash64("hub"), F.col("hub"))).alias("hub")).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+
+
+def _bundled(pairs: DataFrame, percent: int) -> DataFrame:
+    """(bundle, a, b): the pairs as arrays, those of a hub together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merge = _Merge(percent)
+        for batch in batches:
+            for at in range(0, batch.num_rows, BUNDLE_NODES // 2):
+                part = batch.slice(at, BUNDLE_NODES // 2)
+                p, q = part.column(0).to_numpy(), part.column(1).to_numpy()
+                merge.a.append(np.minimum(p, q))
+                merge.b.append(np.maximum(p, q))
+                yield from merge.bundle(end=False)
+        yield from merge.bundle(end=True)
+
+    return pairs.select("a", "b").sortWithinPartitions("b", "a").mapInArrow(run, "bundle long, a array<long>, b array<long>")
+
+
 def _pair_index(sizes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers i < j of all pairs within each of several runs of rows."""
     left = [np.repeat(np.arange(s - 1), np.arange(s - 1, 0, -1)) + at for s, at in zip(sizes, starts, strict=True)]
@@ -168,7 +242,7 @@ class _Merge:
         for at in range(0, len(i), AT_ONCE):
             x, y = i[at : at + AT_ONCE], j[at : at + AT_ONCE]
             n, m = rows["n"][x], rows["n"][y]
-            fits = np.minimum(n, m) * 100 >= self.percent * np.maximum(n, m)
+            fits = (rows["comp"][x] != rows["comp"][y]) & (np.minimum(n, m) * 100 >= self.percent * np.maximum(n, m))
             x, y = x[fits], y[fits]
             if not len(x):
                 continue
@@ -216,13 +290,13 @@ def _candidates(cells: DataFrame, percent: int) -> DataFrame:
             yield from _merged(merge, rest, np.array([0, rest.num_rows]))
         yield from merge.bundle(end=True)
 
-    keyed = cells.select("token", "c1", "c2", "node", "block", "n_shingles", "bits", "signature").repartition("token", "c1", "c2")
+    keyed = cells.select("token", "c1", "c2", "node", "block", "n_shingles", "bits", "signature", "comp").repartition("token", "c1", "c2")
     return keyed.sortWithinPartitions("token", "c1", "c2", "node").mapInArrow(run, "bundle long, a array<long>, b array<long>")
 
 
 def _merged(merge: _Merge, table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
     columns = table.combine_chunks()
-    rows = {name: columns.column(k).to_numpy() for name, k in (("token", 0), ("node", 3), ("n", 5), ("bits", 6))}
+    rows = {name: columns.column(k).to_numpy() for name, k in (("token", 0), ("node", 3), ("n", 5), ("bits", 6), ("comp", 8))}
     rows["signature"] = _matrix(pa.chunked_array(columns.column(7)).combine_chunks() if columns.column(7).num_chunks != 1 else columns.column(7).chunk(0))
     c1, c2, block = (columns.column(k).to_numpy() for k in (1, 2, 4))
     starts, sizes = bounds[:-1], np.diff(bounds)
@@ -285,14 +359,16 @@ def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 def _links(docs: DataFrame, doc: str, text: str, width: int, bundles: DataFrame, percent: int) -> DataFrame:
     """(a, b): confirmed links between classes, a spanning forest of each bundle's."""
     members = bundles.select(F.col("bundle").alias("of"), F.explode(F.array_distinct(F.concat("a", "b"))).alias("node"))
+    bits = docs.sparkSession.sparkContext.broadcast(sieve(members, F.col("node")))
 
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [s.tobytes() for s in shingle_sets(batch.column(1), width)]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        wanted = pa.array(passes(bits.value, batch.column(2).to_numpy(zero_copy_only=False)))
+        texts = batch.column(1).filter(wanted)
+        return pa.RecordBatch.from_arrays([batch.column(0).filter(wanted), pa.array([s.tobytes() for s in shingle_sets(texts, width)], pa.binary())], names=["node", "shingles"])
 
-    # One row a document that is a member of a bundle at all: only its text is shuffled and hashed.
-    texts = docs.select(F.col(doc).cast("long").alias("node"), F.col(text).alias("text")).join(members.select("node").distinct(), "node", "left_semi")
-    sets = map_arrow(texts, each, "node long, shingles binary")
+    # Documents that are in no bundle are sieved out where they lie: no text is shuffled.
+    node = F.col(doc).cast("long")
+    sets = map_arrow(docs.select(node.alias("node"), F.col(text).alias("text"), slot(node).alias("slot")), each, "node long, shingles binary")
 
     def run(pairs: pa.Table, held: pa.Table) -> pa.Table:
         full = {n: np.frombuffer(s, U) for n, s in zip(held.column("node").to_pylist(), held.column("shingles").to_pylist(), strict=True)}
@@ -317,8 +393,25 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", pe
     classes = cut(held.agg(F.min("doc").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
     tokens, counts = _frequent(classes)
     prefixed = cut(_with_prefixes(classes, tokens, counts, percent))
-    bundles = cut(_candidates(_cells(prefixed), percent))
-    parts = components(_links(docs, doc, text, width, bundles, percent))
+    confirmed: list[DataFrame] = []
+    parts: DataFrame | None = None
+    postings = _postings(prefixed, None)
+    lists = cut(_lists(postings, False))
+    for _ in range(HUB_ROUNDS):
+        long_lists = lists.where(F.col("n_minor") > LONG_LIST)
+        if long_lists.isEmpty():
+            break
+        bundles = cut(_bundled(_hub_pairs(prefixed, postings, long_lists, percent), percent))
+        links = cut(_links(docs, doc, text, width, bundles, percent))
+        if links.isEmpty():
+            break
+        confirmed.append(links)
+        parts = cut(components(reduce(DataFrame.unionByName, confirmed)))
+        postings = _postings(prefixed, parts)
+        lists = cut(_lists(postings, True))
+    bundles = cut(_candidates(_cells(prefixed, postings, lists), percent))
+    confirmed.append(_links(docs, doc, text, width, bundles, percent))
+    parts = components(reduce(DataFrame.unionByName, confirmed))
     placed = prefixed.select("key", "node").join(parts, "node", "left").select("key", F.coalesce("component", "node").alias("component"))
     return rows.join(placed, "key", "left").select("doc", "n_shingles", F.coalesce("component", "doc").alias("component"))
 

@@ -106,14 +106,45 @@ def near_rows():
     return list(enumerate(ODD + chain + passage + [prose(9, 30)] * 50))
 
 
-@pytest.mark.parametrize("block", [512, 8])
-def test_near_dedup(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "long"), [(512, 128), (8, 128), (512, 4), (8, 4), (3, 0)])
+def test_near_dedup(spark, monkeypatch, block, long):
     monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "LONG_LIST", long)
     rows = near_rows()
     found = near_dedup.near_duplicates(documents(spark, rows))
     assert got(found, "doc", "n_shingles", "component") == plain_near(rows)
 
 
+def counted_pairs(monkeypatch):
+    """The numbers of pairs that each step writes to be confirmed."""
+    written = []
+
+    def links(docs, doc, text, width, bundles, percent, f=near_dedup._links):
+        written.append(sum(len(r.a) for r in bundles.select("a").collect()))
+        return f(docs, doc, text, width, bundles, percent)
+
+    monkeypatch.setattr(near_dedup, "_links", links)
+    return written
+
+
+def test_a_large_group_of_near_copies_writes_few_pairs(spark, monkeypatch):
+    written = counted_pairs(monkeypatch)
+    base = prose(61, 300).split()
+    rows = list(enumerate(edited(k, base, 1) for k in range(4000))) + [(5000 + k, prose(62 + k, 40)) for k in range(20)]
+    found = got(near_dedup.near_duplicates(documents(spark, rows)), "doc", "component")
+    assert found == sorted([(i, 0 if i < 4000 else i) for i, _ in rows], key=repr)
+    assert len(written) >= 2 and sum(written) <= 4 * 4000
+
+
+def test_groups_that_hubs_do_not_join(spark, monkeypatch):
+    """Two families that share many tokens but not enough shingles, and strays between them."""
+    monkeypatch.setattr(near_dedup, "LONG_LIST", 10)
+    one = prose(71, 200).split()
+    other = edited(1, one, 9).split()
+    rows = list(enumerate([edited(10 + k, one, k % 3) for k in range(60)] + [edited(100 + k, other, k % 3) for k in range(60)] + [edited(200 + k, one, 5) for k in range(8)]))
+    assert got(near_dedup.near_duplicates(documents(spark, rows)), "doc", "n_shingles", "component") == plain_near(rows)
+
+
 def test_near_dedup_from_80(spark):
     base = prose(15, 300).split()
     rows = list(enumerate(edited(k, base[::-1] if k % 2 else base, e) for k, e in enumerate([0, 0, 5, 6, 5, 6, 9, 9])))
