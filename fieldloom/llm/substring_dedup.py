@@ -42,10 +42,13 @@ from pyspark.sql import functions as F
 
 from fieldloom.llm.shared import cut, map_arrow, passes, read, sieve, slot
 from fieldloom.llm.words import BETWEEN_SPACE, EXACT, U, chunks, mix, rolling
+from fieldloom.operators.skew import skew_join
 
 LENGTH, GRAM = 35, 8
 #: Windows of a context at most (bits of a mask); phrases of an automaton; contexts of a block.
 SPREAD, PHRASES, CONTEXTS = 28, 8192, 16384
+#: Occurrences of one anchor that a task takes.
+HOT_ROWS = 4096
 
 
 #: Bytes of a word's hash that travel with a context.
@@ -241,8 +244,9 @@ def repeated_spans(docs: DataFrame, doc: str = "doc_id", text: str = "text", len
     contexts and the masks of the repeated windows in them; ``check`` as in ``_plain``."""
     plain = _plain(docs, doc, text)
     every = occurrences(plain, length)
-    anchors = every.groupBy("anchor").agg(F.sum(F.col("again") + 1).alias("total")).where("total > 1").select("anchor")
-    held = cut(every.join(anchors, "anchor", "left_semi").drop("again"))
+    anchors = cut(every.groupBy("anchor").agg(F.sum(F.col("again") + 1).alias("total"), F.count(F.lit(1)).alias("n")).where("total > 1").select("anchor", "n"))
+    # Occurrences of an anchor that very many documents hold are dealt over several tasks.
+    held = cut(skew_join(every, anchors.select(F.col("anchor").alias("of")), [("anchor", "of")], "semi", HOT_ROWS, keys_from=anchors, rows="n").drop("again"))
     del every, anchors
     wanted = held.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "check", "place")).alias("one"))
     contexts = cut(_with_words(plain, wanted.select("anchor", "content", "n", "one.*"), length))

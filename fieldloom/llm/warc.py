@@ -9,8 +9,8 @@ attempt that Spark accepts is in the index.
 
 Records with equal payloads are found by digest before writing: partial maxima per digest give the
 page that keeps the payload (the largest id); the others become revisits that point to it. Payloads
-travel once, dealt by digest; a digest that a third of all pages share is a skewed side of a left
-join, which adaptive execution splits.
+travel once, dealt by digest; pages of a digest with more than ``HOT_ROWS`` pages are dealt over
+several tasks, and only that digest's one row is repeated.
 
 Results in odd cases: null html is an empty payload; with a null url the record has no target;
 line breaks in a url are written percent-encoded; records of one page id and payload (repeated
@@ -33,10 +33,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm.shared import own_folder, read, ship
+from fieldloom.llm.shared import cut, own_folder, read, ship
+from fieldloom.operators.skew import skew_join
 
 #: Bytes of an archive before the task starts another; of the largest gap and the longest read.
 ARCHIVE, GAP, READ = 1 << 30, 1 << 16, 1 << 23
+#: Pages of one digest that a task takes.
+HOT_ROWS = 1000
 _BASE32 = ("0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 _INDEX = "file string, offset long, length long, url string, digest string"
 _RECORD = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
@@ -54,8 +57,9 @@ def decide(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload")
     ).withColumn("digest", sha1_base32(F.col("payload")))
-    shared = rows.where(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("kept"), F.count(F.lit(1)).alias("n"))
-    joined = rows.join(shared.where("n > 1").select("digest", "kept"), "digest", "left")
+    counted = rows.where(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("kept"), F.count(F.lit(1)).alias("n"))
+    shared = cut(counted.where("n > 1").select(F.col("digest").alias("of"), "kept", "n"))
+    joined = skew_join(rows, shared.select("of", "kept"), [("digest", "of")], "left", HOT_ROWS, keys_from=shared.select(F.col("of").alias("digest"), "n"), rows="n")
     other = F.col("kept").isNotNull() & ~F.col("kept").eqNullSafe(F.col("page_id")) & (F.octet_length("payload") >= min_bytes)
     return joined.select("page_id", "url", "payload", "digest", F.when(other, F.col("kept")).alias("refers_to"))
 

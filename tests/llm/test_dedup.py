@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql.functions import col as spark_col
 from helpers import LOW, WORD, documents, got, prose, sha
 
 import corpus_pipeline
@@ -230,6 +231,18 @@ def test_substring_dedup(spark, monkeypatch, limits):
     assert got(found, "keys.doc_id", "n_words", "n_removed", "kept") == plain_substring(rows, 35)
 
 
+def test_hot_anchors_are_dealt_over_tasks(spark, monkeypatch):
+    """Half of all documents hold one passage."""
+    monkeypatch.setattr(substring_dedup, "HOT_ROWS", 20)
+    passage = prose(81, 50)
+    rows = [(k, f"{prose(300 + k, 30)} {passage}" if k % 2 else prose(300 + k, 60)) for k in range(300)]
+    dealt = []
+    monkeypatch.setattr(substring_dedup, "skew_join", lambda *a, f=substring_dedup.skew_join, **k: dealt.append(j := f(*a, **k)) or j)
+    found = substring_dedup._kept(documents(spark, rows), [spark_col("doc_id")], "doc_id", "text", 35)
+    assert got(found, "keys.doc_id", "n_words", "n_removed", "kept") == plain_substring(rows, 35)
+    assert "__salt" in dealt[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_substring_repeated_rows_and_columns(spark):
     text = prose(31, 50)
     docs = documents(spark, [(1, text), (1, text), (1, prose(32, 50)), (2, None), (None, prose(33, 40))])

@@ -57,6 +57,25 @@ def test_url_rules(spark):
 # Archives
 
 
+def test_hot_payloads_are_dealt_over_tasks(spark, monkeypatch):
+    """Half of the pages have one payload; no task takes more than twice its share of them."""
+    monkeypatch.setattr(warc, "HOT_ROWS", 100)
+    pages = spark.range(4000).selectExpr("id AS page_id", "'u' AS url", "CASE WHEN id % 2 = 0 THEN 'same' ELSE concat('p', id) END AS html")
+    decided = warc.decide(pages)
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        per_task = [r["n"] for r in decided.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(per_task) == 4000 and max(per_task) <= 2 * 4000 / 8
+    found = {r.page_id: r.refers_to for r in decided.collect()}
+    assert all(found[i] == (3998 if i % 2 == 0 and i < 3998 else None) for i in range(4000))
+
+
 def test_archives_round_trip(spark):
     html = ["<p>a</p>", "<p>a</p>", None, "", "é" * 100_000, "<p>a</p>", "line\r\n\r\nline", "x", "x"]
     urls = ["http://a/\r\nX: y", None, "", "u", "u", "u", "http://é", "d", "d"]
