@@ -8,7 +8,9 @@ hash with their first document are fetched (two records a partition), which tell
 partition whether its first hash began before it. Then each partition streams its rows once and
 reports the rows that are not of the hash's first document. These positions become one
 compressed keep bitmap per document (bit i: line i stays; zlib over packed bits). A hash of the
-text travels beside the id, so that a bitmap is of one text only; no text is shuffled.
+text travels beside the id, so that a bitmap is of one text only. To apply the bitmaps, texts of
+documents that lose lines (and few others, by a filter on ids) are shuffled to them; all others stay
+where they lie.
 
 Results in odd cases: a null or empty text is one empty line; short keys (under ``min_length``
 code points) always stay; repeated lines of the first document all stay; rows with equal ids, or
@@ -29,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm.shared import cut, lower_ascii, map_arrow, read
+from fieldloom.llm.shared import cut, lower_ascii, map_arrow, parted, read
 
 #: What is stripped from both ends of a line: `[\x20\x09-\x0D]`.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -85,6 +87,7 @@ def repeated_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", min
     spark = docs.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = line_rows(docs, doc, text, min_length).select("h1", "h2", F.coalesce(F.col("doc"), F.lit(-(2**63))).cast("long").alias("doc"), "pos", "check")
+    rows = cut(rows)  # the bounds of the ranges are drawn from a sample: lines are parsed once
     rows = cut(rows.repartitionByRange(count, *ORDER).sortWithinPartitions(*ORDER))
     carried = _carried(rows.mapInArrow(_edges, "part int, h1 long, h2 long, doc long, single boolean").collect())
 
@@ -146,10 +149,15 @@ def apply_bitmap(text: str | None, bitmap: bytes | None) -> tuple[str, int]:
 
 
 def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the columns ``n_dropped`` and ``bitmap`` (null: all lines stay)."""
-    held = F.coalesce(F.col(doc), F.lit(-(2**63))).cast("long")
-    named = bitmaps.withColumnsRenamed({"doc": "__doc", "check": "__check"})
-    return docs.join(named, (held == F.col("__doc")) & (F.xxhash64(text) == F.col("__check")), "left").drop("__doc", "__check")
+    """``docs`` with the columns ``n_dropped`` and ``bitmap`` (null: all lines stay). Only rows
+    whose id may have a bitmap are shuffled."""
+    named = cut(bitmaps.withColumnsRenamed({"doc": "__doc", "check": "__check"}))
+    held = docs.withColumn("__held", F.coalesce(F.col(doc), F.lit(-(2**63))).cast("long"))
+    some, rest = parted(held, "__held", named, "__doc")
+    joined = some.join(named, (F.col("__held") == F.col("__doc")) & (F.xxhash64(text) == F.col("__check")), "left").drop("__doc", "__check")
+    if rest is not None:
+        joined = joined.unionByName(rest.withColumns({c: F.lit(None).cast(named.schema[c].dataType) for c in ("n_dropped", "bitmap")}))
+    return joined.drop("__held")
 
 
 def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_length: int = 10) -> DataFrame:

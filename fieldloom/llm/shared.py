@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from fieldloom.operators.bloom import bloom_filter, filter_bits, might_contain
 
 _SHIPPED: set[str] = set()
 
@@ -111,6 +112,17 @@ def passes(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (bits[slots >> 6] >> (slots & 63)) & 1 == 1
 
 
+def parted(docs: DataFrame, key: str, ids: DataFrame, id_: str) -> tuple[DataFrame, DataFrame | None]:
+    """(rows whose ``key`` may be among ``ids``, all others): only the first need to be shuffled to
+    be joined with ``ids``, which have been made once. No second part where so many ids are
+    there that a filter of fixed size would hold nothing back."""
+    bits = filter_bits(ids.count())
+    if bits is None:
+        return docs, None
+    might = might_contain(bloom_filter(ids, [id_], bits).scalar(), [key], bits)
+    return docs.where(might), docs.where(~might)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, everything else as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
