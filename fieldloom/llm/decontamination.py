@@ -7,7 +7,8 @@ names the items. Spans of hit words are cut out, and documents whose share of hi
 limit are dropped.
 
 Texts are hashed to words by numpy; words whose short runs occur in no item cannot be part of a
-match, so only the remaining stretches are walked word by word. Nothing is shuffled. An automaton
+match, so only the remaining stretches are walked word by word. Nothing is shuffled, and documents
+are dropped where they lie. An automaton
 holds at most ``SHARD_WORDS`` words (plus one item): a larger benchmark is split by item into
 shards, each compiled by the driver and broadcast for a pass of its own, and the passes' spans are
 merged per document (its id and a hash of its text). So what is broadcast has a fixed size whatever the benchmark's.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm.shared import map_arrow, read
+from fieldloom.llm.shared import cut, map_arrow, read
 from fieldloom.llm.words import ALPHANUMERIC, FOLDED, U, chunks, rolling
 
 SHARD_WORDS = 200_000
@@ -161,19 +162,43 @@ def merge(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
 _FOUND = "n_words long, starts array<int>, ends array<int>, items array<string>"
 
 
-def _automata(items: DataFrame, item: str, text: str, window: int) -> Iterable[SuffixAutomaton]:
-    """One automaton for each shard of the items; the driver holds one shard at a time."""
+def _hashed(items: DataFrame, item: str, text: str) -> tuple[DataFrame, int]:
+    """((item, words): the hashes of each item's words; the number of shards)."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes = [w.hashes[p:q].tobytes() for _, _, w, _ in chunks(batch.column(1), ALPHANUMERIC, FOLDED) for p, q in zip(w.bounds[:-1], w.bounds[1:], strict=True)]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.binary())], names=["item", "words"])
 
-    hashed = map_arrow(items.select(F.col(item).cast("string").alias("item"), F.col(text)), each, "item string, words binary")
+    named = items.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.col(text))
+    hashed = cut(map_arrow(named, each, "item string, words binary").distinct())
     total = hashed.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-    shards = max(1, -(-total // (8 * SHARD_WORDS)))
+    return hashed, max(1, -(-total // (8 * SHARD_WORDS)))
+
+
+def _automata(items: DataFrame, item: str, text: str, window: int) -> Iterable[SuffixAutomaton]:
+    """One automaton for each shard of the items; the driver holds one shard at a time."""
+    hashed, shards = _hashed(items, item, text)
     for shard in range(shards):
         part = hashed if shards == 1 else hashed.where(F.pmod(F.xxhash64("item", "words"), F.lit(shards)) == shard)
-        yield SuffixAutomaton(((r.item or "", np.frombuffer(r.words, U)) for r in part.toLocalIterator()), window)
+        yield SuffixAutomaton(((r.item, np.frombuffer(r.words, U)) for r in part.toLocalIterator()), window)
+
+
+def _clean(docs: DataFrame, text: str, automaton: SuffixAutomaton) -> DataFrame:
+    """The rows whose text holds no window, filtered where they lie."""
+    held, at = docs.sparkSession.sparkContext.broadcast(automaton), docs.columns.index(text)
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sam = held.value
+        stays = np.ones(batch.num_rows, bool)
+        for first, _, words, _ in chunks(batch.column(at), ALPHANUMERIC, FOLDED):
+            for k, a, b in sam.stretches(words.hashes, words.bounds):
+                if stays[first + k]:
+                    spans: list = []
+                    sam.walk(words.hashes[a:b].tolist(), a - int(words.bounds[k]), spans, set())
+                    stays[first + k] = not spans
+        return batch.filter(pa.array(stays))
+
+    return map_arrow(docs, each, docs.schema)
 
 
 def _pass(docs: DataFrame, text: str, automaton: SuffixAutomaton, extra: list[str]) -> DataFrame:
@@ -253,6 +278,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_lengt
     """``docs`` without hit spans longer than ``max_length`` words and without the documents whose
     share of hit words exceeds ``max_coverage``; at 0 every document with a hit goes. With a higher
     limit documents stay and lose the spans. All columns are kept."""
+    if max_coverage <= 0:
+        automata = iter(_automata(items, item, item_text, window))
+        only = next(automata)
+        if next(automata, None) is None:  # one shard: each row is judged where it lies
+            return _clean(docs, text, only)
     found = _overlaps(docs, items, window, doc, text, item, item_text).where(F.size("starts") > 0).select(F.col("doc").alias("__doc"), F.col("check").alias("__check"), "starts", "ends", hit_words().alias("__hit"), F.col("n_words").alias("__words"))
     over = F.col("__hit") > F.lit(max_coverage) * F.col("__words")
     if max_coverage <= 0:
