@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.llm.components import components
-from fieldloom.llm.shared import cut, map_arrow, passes, read, sieve, slot
+from fieldloom.llm.shared import cut, map_arrow, parted, passes, read, sieve, slot
 from fieldloom.llm.words import BETWEEN_SPACE, FOLDED, U, chunks, rolling
 
 COORDINATES, WIDTH = 64, 5
@@ -54,7 +54,7 @@ MISSED = 5e-5
 #: Documents of a posting list in one block; pairs compared at once; documents and pairs of a bundle.
 BLOCK, AT_ONCE, BUNDLE_NODES, BUNDLE_PAIRS = 512, 1 << 15, 2048, 1 << 16
 #: Lists with more members outside their largest component are long; rounds of hubs at most.
-LONG_LIST, HUB_ROUNDS = 128, 3
+LONG_LIST, HUB_ROUNDS = 128, 2
 #: At most so many tokens count as frequent.
 FREQUENT = 1 << 18
 
@@ -145,49 +145,62 @@ def _with_prefixes(classes: DataFrame, tokens: np.ndarray, counts: np.ndarray, p
     )
 
 
-def _postings(classes: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """(token, node, comp): the prefix tokens of each class and its component so far."""
-    rows = classes.select("node", "prefix")
-    if parts is None:
-        rows = rows.withColumn("comp", F.col("node"))
-    else:
-        rows = rows.join(parts.withColumnRenamed("component", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    return rows.select(F.explode("prefix").alias("token"), "node", "comp")
+def _lists(postings: DataFrame) -> DataFrame:
+    """(token, n) of the lists of two classes or more."""
+    return postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def _lists(postings: DataFrame, contracted: bool) -> DataFrame:
+def _divided(rows: DataFrame) -> DataFrame:
     """(token, major, n_major, n_minor) of the lists that hold several components: ``major`` is the
-    largest one, null where each class is still its own."""
-    if not contracted:
-        counted = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n_minor")).where("n_minor > 1")
-        return counted.select("token", F.lit(None).cast("long").alias("major"), F.lit(0).cast("long").alias("n_major"), "n_minor")
-    by_comp = postings.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n"))
+    largest one."""
+    by_comp = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n"))
     found = by_comp.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("n"))
     return found.select("token", F.col("most.comp").alias("major"), F.col("most.n").alias("n_major"), (F.col("n") - F.col("most.n")).alias("n_minor")).where("n_minor > 0")
 
 
 def _minor() -> Column:
-    return F.col("major").isNull() | (F.col("comp") != F.col("major"))
+    return F.col("comp") != F.col("major")
 
 
-def _cells(classes: DataFrame, postings: DataFrame, lists: DataFrame) -> DataFrame:
-    """A row for each class in each cell of each list: classes outside the list's largest component
-    meet all, those within it meet the others."""
+def _placed(rows: DataFrame) -> DataFrame:
+    """(token, node, block, last): classes outside their list's largest component meet all blocks,
+    those within it meet the blocks of the others, which are the first."""
     minor_blocks, major_blocks = F.ceil(F.col("n_minor") / BLOCK).cast("int"), F.ceil(F.col("n_major") / BLOCK).cast("int")
     h = F.xxhash64("node")
     block = F.when(_minor(), F.pmod(h, minor_blocks)).otherwise(minor_blocks + F.pmod(h, F.greatest(major_blocks, F.lit(1)))).cast("int")
     last = F.when(_minor(), minor_blocks + major_blocks).otherwise(minor_blocks) - 1
-    rows = postings.join(lists, "token").select("token", "node", "comp", block.alias("block"), last.alias("last"))
-    met = rows.select("token", "node", "comp", "block", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"))
-    cells = met.select("token", F.least("block", "other").alias("c1"), F.greatest("block", "other").alias("c2"), "node", "comp", "block")
-    return cells.join(classes.select("node", "n_shingles", "bits", "signature"), "node")
+    return rows.select("token", "node", block.alias("block"), last.alias("last"))
 
 
-def _hub_pairs(classes: DataFrame, postings: DataFrame, long_lists: DataFrame, percent: int) -> DataFrame:
+def _cells(classes: DataFrame, placed: DataFrame) -> DataFrame:
+    """A row for each class in each cell of each list."""
+    met = placed.select("token", "node", "block", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"))
+    cells = met.select("token", F.least("block", "other").alias("c1"), F.greatest("block", "other").alias("c2"), "node", "block")
+    return cells.join(classes.select("node", "comp", "n_shingles", "bits", "signature"), "node")
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """(node, comp): a label for each linked class; classes of one label are connected. Each points
+    at its first neighbour by hash, then at where that points, twice: enough for hubs."""
+    ordered = lambda p, q: F.struct(F.xxhash64(p), F.col(p)) < F.struct(F.xxhash64(q), F.col(q))
+    up = links.where("a <> b").select(F.when(ordered("a", "b"), F.col("b")).otherwise(F.col("a")).alias("node"), F.when(ordered("a", "b"), F.col("a")).otherwise(F.col("b")).alias("comp"))
+    up = cut(up.groupBy("node").agg(F.min_by("comp", F.struct(F.xxhash64("comp"), F.col("comp"))).alias("comp")))
+    for _ in range(2):
+        over = up.select(F.col("node").alias("comp"), F.col("comp").alias("further"))
+        up = cut(up.join(over, "comp", "left").select("node", F.coalesce("further", "comp").alias("comp")))
+    return up
+
+
+def _with_labels(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return rows.withColumn("comp", F.col("node"))
+    return rows.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
+def _hub_pairs(rows: DataFrame, divided: DataFrame, percent: int) -> DataFrame:
     """(a, b): each class of a long list with one hub of its lists that it may be similar to."""
     at_least = matches(percent)
-    rows = postings.join(long_lists, "token").select("token", "node", "comp", _minor().alias("minor"))
-    rows = cut(rows.join(classes.select("node", F.col("n_shingles").alias("n"), "signature"), "node"))
+    rows = rows.join(divided, "token").select("token", "node", "comp", "n_shingles", "signature", _minor().alias("minor")).withColumnRenamed("n_shingles", "n")
     order = F.struct(F.xxhash64("node"), F.col("node"))
     hub = F.struct(F.col("node").alias("hub"), F.col("comp").alias("hub_comp"), F.col("n").alias("hub_n"), F.col("signature").alias("hub_signature"))
     hubs = cut(rows.where("minor").groupBy("token").agg(F.min_by(hub, order).alias("h")).select("token", "h.*"))
@@ -393,23 +406,25 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", pe
     classes = cut(held.agg(F.min("doc").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
     tokens, counts = _frequent(classes)
     prefixed = cut(_with_prefixes(classes, tokens, counts, percent))
+    postings = prefixed.select(F.explode("prefix").alias("token"), "node")
+    lists = cut(_lists(postings))
+    long_lists = lists.where(F.col("n") > LONG_LIST)
     confirmed: list[DataFrame] = []
-    parts: DataFrame | None = None
-    postings = _postings(prefixed, None)
-    lists = cut(_lists(postings, False))
-    for _ in range(HUB_ROUNDS):
-        long_lists = lists.where(F.col("n_minor") > LONG_LIST)
-        if long_lists.isEmpty():
-            break
-        bundles = cut(_bundled(_hub_pairs(prefixed, postings, long_lists, percent), percent))
-        links = cut(_links(docs, doc, text, width, bundles, percent))
-        if links.isEmpty():
-            break
-        confirmed.append(links)
-        parts = cut(components(reduce(DataFrame.unionByName, confirmed)))
-        postings = _postings(prefixed, parts)
-        lists = cut(_lists(postings, True))
-    bundles = cut(_candidates(_cells(prefixed, postings, lists), percent))
+    labels: DataFrame | None = None
+    short = postings.join(lists.where(F.col("n") <= LONG_LIST), "token").select("token", "node", F.col("node").alias("comp"), F.lit(-(2**63)).alias("major"), F.lit(0).cast("long").alias("n_major"), F.col("n").alias("n_minor"))
+    placed = _placed(short)
+    if not long_lists.isEmpty():
+        members = cut(postings.join(long_lists.select("token"), "token").join(prefixed.select("node", "n_shingles", "signature"), "node"))
+        divided = long_lists.select("token", F.lit(-(2**63)).alias("major"), F.lit(0).cast("long").alias("n_major"), F.col("n").alias("n_minor"))
+        for _ in range(HUB_ROUNDS):
+            bundles = cut(_bundled(_hub_pairs(_with_labels(members, labels), divided.where(F.col("n_minor") > LONG_LIST), percent), percent))
+            confirmed.append(cut(_links(docs, doc, text, width, bundles, percent)))
+            labels = _labels(reduce(DataFrame.unionByName, confirmed))
+            divided = cut(_divided(_with_labels(members.select("token", "node"), labels)))
+            if divided.where(F.col("n_minor") > LONG_LIST).isEmpty():
+                break
+        placed = placed.unionByName(_placed(_with_labels(members.select("token", "node"), labels).join(divided, "token")))
+    bundles = cut(_candidates(_cells(_with_labels(prefixed.drop("prefix"), labels), placed), percent))
     confirmed.append(_links(docs, doc, text, width, bundles, percent))
     parts = components(reduce(DataFrame.unionByName, confirmed))
     placed = prefixed.select("key", "node").join(parts, "node", "left").select("key", F.coalesce("component", "node").alias("component"))
@@ -424,13 +439,19 @@ def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text", percen
     """
     own, spare = docs[doc].cast("long"), F.xxhash64(docs[text]).bitwiseAND(F.lit(2**62 - 1)) + F.lit(2**62)
     named = docs.select(F.coalesce(own, spare).alias("__id"), docs[text].alias("__text"))
-    found = near_duplicates(named, "__id", "__text", percent).where("doc = component")
-    kept = cut(found.groupBy(F.col("doc").alias("__kept")).agg(F.max(F.col("n_shingles") == 0).alias("__blank")))
+    found = near_duplicates(named, "__id", "__text", percent)
+    stays = F.max(F.col("doc") == F.col("component"))
+    judged = cut(found.groupBy(F.col("doc").alias("__id")).agg(stays.alias("__stays"), F.max(F.col("n_shingles") == 0).alias("__blank")))
+    gone = cut(judged.where(~F.col("__stays")).select("__id"))
+    named_rows = docs.where(own.isNotNull()).withColumn("__own", own)
+    some, rest = parted(named_rows, "__own", gone, "__id")  # most rows stay where they lie
+    left = some.join(gone, F.col("__own") == F.col("__id"), "left_anti")
+    left = (left if rest is None else left.unionByName(rest)).drop("__own")
     lone = docs.where(own.isNull()).withColumns({"__spare": spare, "__check": F.xxhash64(F.lit(11), docs[text])})
-    lone = lone.join(kept, F.col("__spare") == F.col("__kept"))
+    lone = lone.join(judged.where("__stays"), F.col("__spare") == F.col("__id"))
     once = lone.where(~F.col("__blank")).dropDuplicates(["__spare", "__check"])
     nameless = lone.where("__blank").unionByName(once).select(*[F.col(f"`{c}`") for c in docs.columns])
-    return docs.join(kept, own == F.col("__kept"), "left_semi").unionByName(nameless)
+    return left.unionByName(nameless)
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
