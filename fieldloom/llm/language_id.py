@@ -5,9 +5,9 @@ letters' vectors, rotated by two, one and no places (permutation). A document is
 of its trigrams; a language's prototype is the bundle of its training documents. A document gets
 the language whose prototype has the highest cosine with it.
 
-Letters are lower-cased and runs of other characters are one blank, which has a vector too; no
-trigram spans two words. A batch of documents is a count matrix times the matrix of its trigrams'
-vectors. Training sends one vector per language and task to an exact sum by language and place;
+Letters are lower-cased and all other characters are blanks, which have a vector too; no trigram
+spans two words. A batch of documents is a count matrix times the matrix of its trigrams'
+vectors, a bounded block of trigrams at a time. Training sends one vector per language and task to an exact sum by language and place;
 the prototypes (languages x ``DIMENSIONS`` numbers) are all that reaches the driver.
 
 Results in odd cases: null texts and texts without a letter are ``und`` with score 0, as is
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from fieldloom.llm.shared import crc_bucket, map_arrow, read, ship
 
 DIMENSIONS = 1024
-#: Characters of a group of documents that is counted at once (a longer document is one group).
-GROUP = 1 << 18
+#: Characters that are counted at once, and documents; trigrams whose vectors are made at once.
+GROUP, GROUP_TEXTS, BLOCK = 1 << 18, 512, 8192
 _SEED = 977
 
 
@@ -77,47 +77,57 @@ def groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
     at = 0
     while at < len(texts):
         stop, size = at, 0
-        while stop < len(texts) and (stop == at or size + len(texts[stop] or "") <= GROUP):
+        while stop < len(texts) and (stop == at or size + len(texts[stop] or "") <= GROUP and stop - at < GROUP_TEXTS):
             size += len(texts[stop] or "")
             stop += 1
         yield at, stop
         at = stop
 
 
-def count(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(counts: texts x trigrams, the trigrams' vectors) of a group of texts."""
-    table = letters()
+def bundles(texts: list[str | None], rows: list[int], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the sum of the trigrams' vectors of the texts of each of ``n`` rows, whether a row has any).
+
+    A trigram is a letter and what stands beside it, so a long text is taken in windows of ``GROUP``
+    characters, and of a window ``BLOCK`` different trigrams at once: memory is bounded whatever
+    the text's length and the number of its letters. All sums are whole numbers and exact.
+    """
+    table, out, seen = letters(), np.zeros((n, DIMENSIONS)), np.zeros(n, bool)
     low = [(t or "").lower() for t in texts]
-    points = np.frombuffer((" " + " ".join(low) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
-    owner = np.repeat(np.arange(len(low)), [len(t) + 1 for t in low])
-    owner = np.concatenate([[0], owner])[: len(points)]
-    number, letter = table.numbers(points)
-    stays = letter.copy()
-    stays[1:] |= letter[:-1]  # of a run of other characters the first
-    stays[0] = True
-    number, letter, owner = number[stays], letter[stays], owner[stays]
-    middle = np.flatnonzero(letter[1:-1]) + 1
-    if not len(middle):
-        return np.zeros((len(low), 0), np.float32), np.zeros((0, DIMENSIONS), np.float32)
-    size = len(table.vectors)
-    codes = (number[middle - 1].astype(np.int64) * size + number[middle]) * size + number[middle + 1]
-    known, inverse = np.unique(codes, return_inverse=True)
-    counts = np.bincount(owner[middle] * len(known) + inverse, minlength=len(low) * len(known)).reshape(len(low), len(known))
-    return counts.astype(np.float32), table.bind((known // (size * size), known // size % size, known % size))
+    ends = np.cumsum([len(t) + 1 for t in low])
+    joined, row_of = " " + " ".join(low) + " ", np.array(rows, np.int64)
+    for at in range(1, len(joined) - 1, GROUP):
+        points = np.frombuffer(joined[at - 1 : at + GROUP + 1].encode("utf-32-le", "surrogatepass"), np.uint32)
+        number, letter = table.numbers(points)
+        middle = np.flatnonzero(letter[1:-1]) + 1
+        if not len(middle):
+            continue
+        owner = row_of[np.searchsorted(ends, middle + (at - 2), "right")]
+        size = len(table.vectors)
+        codes = (number[middle - 1].astype(np.int64) * size + number[middle]) * size + number[middle + 1]
+        known, which = np.unique(codes, return_inverse=True)
+        order = np.argsort(which)
+        owner, which = owner[order], which[order]
+        cuts = np.searchsorted(which, np.arange(0, len(known) + BLOCK, BLOCK))
+        for k, (p, q) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            block = known[k * BLOCK : (k + 1) * BLOCK]
+            counts = np.bincount(owner[p:q] * len(block) + which[p:q] - k * BLOCK, minlength=n * len(block)).reshape(n, len(block))
+            out += counts.astype(np.float32) @ table.bind((block // (size * size), block // size % size, block % size))
+        seen[owner] = True
+    return out, seen
 
 
 def prototypes(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray]:
-    """(languages in order, a unit vector for each) from rows with a language."""
+    """(languages in order, a unit vector for each) from rows with a language. The driver gets a
+    vector a language: the column holds names of languages, not free text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at, stop in groups(texts):
-                counts, vectors = count(texts[at:stop])
-                for name in set(langs[at:stop]):
-                    mine = [k for k, x in enumerate(langs[at:stop]) if x == name]
-                    bundle = counts[mine].sum(axis=0, dtype=np.float64) @ vectors.astype(np.float64)
+                names = sorted(set(langs[at:stop]))
+                found, _ = bundles(texts[at:stop], [names.index(x) for x in langs[at:stop]], len(names))
+                for name, bundle in zip(names, found, strict=True):
                     sums[name] = sums.get(name, 0) + bundle
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], names=["lang", "bundle"])
@@ -139,12 +149,11 @@ def identify(docs: DataFrame, names: list[str], profiles: np.ndarray, keys: list
         texts = batch.column(len(keys)).to_pylist()
         langs, scores = [], []
         for at, stop in groups(texts):
-            counts, vectors = count(texts[at:stop])
-            bundles = counts @ vectors
-            lengths = np.linalg.norm(bundles, axis=1)
-            cosines = bundles @ profiles.T / np.maximum(lengths, 1e-9)[:, None]
+            found, seen = bundles(texts[at:stop], list(range(stop - at)), stop - at)
+            lengths = np.linalg.norm(found, axis=1)
+            cosines = found @ profiles.T / np.maximum(lengths, 1e-9)[:, None]
             for k in range(stop - at):
-                if not names or not counts[k].any():
+                if not names or not seen[k]:
                     langs.append("und")
                     scores.append(0.0)
                 else:

@@ -165,13 +165,6 @@ def test_language_odd_texts(spark):
     assert {r.lang_pred for r in language_id.identify(docs, *nothing, ["doc_id"]).collect()} == {"und"}
 
 
-def test_trigrams_do_not_span_words():
-    counts, vectors = language_id.count(["ab, cd", "ab"])
-    assert counts.sum(axis=1).tolist() == [4, 2] and vectors.shape[0] == 4
-    one, _ = language_id.count(["ab"])
-    assert one.sum() == 2
-
-
 # Toxicity
 
 
