@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from fieldloom.llm.shared import lower_ascii, map_arrow, read
 
 U = np.uint64
+#: Words of state that the urls matched at once have together (4 MB).
+STATE = 1 << 19
 ONE = U(1)
 
 
@@ -114,7 +116,13 @@ class Automaton:
         self.start, self.accept, self.tail = pack(start), pack(accept), pack(tail)
 
     def match(self, urls: list[str]) -> np.ndarray:
-        """The number of the first rule that fits each url, else -1."""
+        """The number of the first rule that fits each url, else -1; so many urls at once that their
+        states are ``STATE`` words at most, whatever the number of rules."""
+        some = max(1, STATE // len(self.start))
+        parts = [self._match(urls[at : at + some]) for at in range(0, len(urls), some)]
+        return np.concatenate([np.zeros(0, np.int64), *parts])
+
+    def _match(self, urls: list[str]) -> np.ndarray:
         lengths = np.array([len(u) for u in urls], np.int64)
         order = np.argsort(-lengths, kind="stable")
         state = np.tile(self.start, (len(urls), 1))
@@ -162,12 +170,14 @@ def filter_urls(pages: DataFrame, rules: Iterable[Rule], key: str = "page_id", u
     """(key, host, path, rule, verdict) of each row; ``default`` where no rule fits."""
     ranked = sorted(rules, key=lambda r: (-len(r.text), r.verdict != "block", r.text))
     automaton = Automaton((number, glob) for number, rule in enumerate(ranked) for glob in rule.globs())
+    held = pages.sparkSession.sparkContext.broadcast(automaton)  # as large as the rules' text, some 10 bytes a character
     texts = pa.array([r.text for r in ranked] + [None], pa.string())
     verdicts = pa.array([r.verdict for r in ranked] + [default], pa.string())
     host, path = canonical(F.col(url))
     parts = pages.select(F.col(key), host.alias("host"), path.alias("path"))
 
     def judge(batch: pa.RecordBatch) -> pa.RecordBatch:
+        automaton = held.value
         urls = [h + p for h, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
         found = automaton.match(urls)
         pick = pa.array(np.where(found < 0, len(ranked), found))

@@ -54,6 +54,27 @@ def test_url_rules(spark):
     assert len(rows) == len(urls) and url_filters.filter_urls(pages.limit(0), url_filters.RULES).collect() == []
 
 
+def test_ties_and_repeated_pages(spark):
+    rules = [url_filters.Rule("a.org", "/x", "block"), url_filters.Rule("a.org", "/x", "allow")]
+    pages = spark.createDataFrame([(1, "http://a.org/x1"), (1, "http://a.org/x1"), (None, "http://b.a.org/x"), (2, "http://a.org/y")], "page_id long, url string")
+    found = got(url_filters.filter_urls(pages, rules), "page_id", "rule", "verdict")
+    assert found == sorted([(1, "a.org/x", "block"), (1, "a.org/x", "block"), (None, "a.org/x", "block"), (2, None, "allow")], key=repr)
+
+
+def test_twenty_thousand_rules_in_bounded_memory():
+    import tracemalloc
+
+    hosts = [f"site{k}.example" for k in range(20_000)]
+    automaton = url_filters.Automaton((k, g) for k, h in enumerate(hosts) for g in url_filters.Rule(h, "/", "block").globs())
+    urls = [f"{'www.' * (k % 2)}{hosts[k * 97 % 20_000]}/p" for k in range(150)] + ["other.example/", "xsite1.example/p"]
+    tracemalloc.start()
+    found = automaton.match(urls).tolist()
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found == [k * 97 % 20_000 for k in range(150)] + [-1, -1]
+    assert peak < 12 * 8 * url_filters.STATE
+
+
 # Archives
 
 
