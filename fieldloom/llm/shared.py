@@ -33,11 +33,13 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where neither the session nor its context names one (tests on one machine), a
-    temporary folder is made and set as the context's checkpoint folder.
+    Only where neither the session nor its context names one and Spark runs on one machine
+    (tests), a temporary folder is made and set as the context's checkpoint folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="llm-shared-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
