@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.llm.components import components
-from fieldloom.llm.shared import cut, map_arrow, parted, passes, read, sieve, slot
+from fieldloom.llm.shared import cut, map_arrow, parted, read
 from fieldloom.llm.words import BETWEEN_SPACE, FOLDED, U, chunks, rolling
 
 COORDINATES, WIDTH = 64, 5
@@ -372,16 +372,15 @@ def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 def _links(docs: DataFrame, doc: str, text: str, width: int, bundles: DataFrame, percent: int) -> DataFrame:
     """(a, b): confirmed links between classes, a spanning forest of each bundle's."""
     members = bundles.select(F.col("bundle").alias("of"), F.explode(F.array_distinct(F.concat("a", "b"))).alias("node"))
-    bits = docs.sparkSession.sparkContext.broadcast(sieve(members, F.col("node")))
 
-    def each(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        wanted = pa.array(passes(bits.value, batch.column(2).to_numpy(zero_copy_only=False)))
-        texts = batch.column(1).filter(wanted)
-        return pa.RecordBatch.from_arrays([batch.column(0).filter(wanted), pa.array([s.tobytes() for s in shingle_sets(texts, width)], pa.binary())], names=["node", "shingles"])
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [s.tobytes() for s in shingle_sets(batch.column(1), width)]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
-    # Documents that are in no bundle are sieved out where they lie: no text is shuffled.
-    node = F.col(doc).cast("long")
-    sets = map_arrow(docs.select(node.alias("node"), F.col(text).alias("text"), slot(node).alias("slot")), each, "node long, shingles binary")
+    # Documents that are in no bundle are filtered out where they lie, before Python: no text is shuffled.
+    texts = docs.select(F.col(doc).cast("long").alias("node"), F.col(text).alias("text"))
+    some, _ = parted(texts, "node", members, "node")
+    sets = map_arrow(some, each, "node long, shingles binary")
 
     def run(pairs: pa.Table, held: pa.Table) -> pa.Table:
         full = {n: np.frombuffer(s, U) for n, s in zip(held.column("node").to_pylist(), held.column("shingles").to_pylist(), strict=True)}

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from fieldloom.llm.shared import cut, read, ship
 
-#: Words in the cache of one Python worker, in each of two generations.
-CACHE_WORDS = 250_000
+#: Words in the cache of one task, in each of two generations.
+CACHE_WORDS = 150_000
 #: Texts by which a tokenizer is tried: word for word it must give the ids of the whole.
 PROBES = (
     "One  two\tTHREE\nfour.", " lead and trail ", "don't stop, re-do it! (a_b) 12,345.67%", "Stra\u00dfe \u00c9t\u00e9 \u65e5\u672c \u0130 \u01c5",
@@ -58,6 +58,10 @@ class WordEncoder(dict):
         self.older: dict[bytes, bytes] = {}
         self.by_word = all(self._by_words(t) == self._plain(t) for t in PROBES)
 
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
     def __missing__(self, word: bytes) -> bytes:
         """Letters go to the tokenizer's model directly. A letter or digit and the marks that end a
         word are taken apart, since the tokenizer parts them too."""
@@ -103,7 +107,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 
 def encoder(path: str) -> WordEncoder:
-    """One tokenizer for each path and Python worker; it and its cache are kept between tasks."""
+    """One tokenizer for each path and Python worker, kept between tasks."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
@@ -115,9 +119,12 @@ def _tokenized(docs: DataFrame, doc: str, text: str, path: str, end_id: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
         end = np.array([end_id], words.kind).tobytes()
-        for batch in batches:
-            ids = [words.encode(x.as_py()) + end for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc", "ids"])
+        try:
+            for batch in batches:
+                ids = [words.encode(x.as_py()) + end for x in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc", "ids"])
+        finally:
+            words.forget()  # the worker may go on with other work
 
     ship(docs.sparkSession)
     kind = docs.schema[doc].dataType.simpleString()
