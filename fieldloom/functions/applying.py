@@ -1,7 +1,9 @@
 """Apply per-category formulas to rows.
 
-Two physical forms give equal results.  The *compiled* form turns a small rule set
-into one CASE per target field: a narrow projection, no join.  The *lookup* form
+Two physical forms give equal results.  The *compiled* form turns the rules into one CASE
+per target field with a branch for each distinct formula.  A small rule set is all in the
+plan: a narrow projection, no join.  Of a larger one only the distinct formulas are, and a
+size-checked join brings the number of its formula to each category.  The *lookup* form
 keeps the rules as data, one row per category with a parsed rule per target, attached
 by a size-checked join, so neither plan size nor driver memory grows with the number
 of rules.  Rules usually differ in category and literals but not in shape, so each
@@ -36,7 +38,7 @@ from fieldloom.operators.schema import col, folding, is_case_sensitive
 from fieldloom.operators.sizing import ROW_OVERHEAD_BYTES, settled
 from fieldloom.operators.skew import HOT_ROWS
 
-# Above this many rules, planning the CASE costs more than the lookup join.
+# Above this many rules, planning the CASE costs more than a join; no more reach the driver.
 COMPILED_RULES = 500
 # Distinct (field, shape) pairs up to which the lookup form compiles each shape.
 COMPILED_SHAPES = 200
@@ -78,6 +80,8 @@ def apply(
     formula is a Spark SQL expression, cast to the type of its target field.  Rules too
     large to broadcast are joined with hot categories split; these are counted on
     ``keys_from``, a narrower table with the category column, where there is one.
+    Up to ``max_rules`` rules are compiled, with ``form="compiled"`` any number of rules of up
+    to as many distinct formulas.
     """
     g.check_syntax(syntax)
     for name, given, allowed in (
@@ -102,13 +106,12 @@ def apply(
     if form != "lookup":
         if found.rows is not None:
             return _apply_compiled(df, found.rows, category, mode, order, syntax, dialect)
-        if form == "compiled":
-            raise ValueError(f"more than {max_rules} rules cannot be compiled")
-    rules = found.rules
-    if dialect == "sql":
-        return _apply_sql_texts(df, rules, category, mode, order, limit_bytes, hot_rows, max_rules, keys_from)
+        if dialect == "sql" or form == "compiled" or max_rules > COMPILED_RULES and found.rules.count() <= max_rules:
+            return _apply_texts(
+                df, found.rules, category, mode, order, syntax, dialect, limit_bytes, hot_rows, max_rules, keys_from
+            )
     return _apply_lookup(
-        df, rules, category, mode, order, syntax, limit_bytes, hot_rows, max_shapes, keys_from
+        df, found.rules, category, mode, order, syntax, limit_bytes, hot_rows, max_shapes, keys_from
     )
 
 
@@ -128,7 +131,8 @@ def rule_set(
     max_rules: int = COMPILED_RULES,
 ) -> RuleSet:
     """The rules of ``formulas`` as ``apply`` takes them, from few jobs: one makes them, one
-    brings up to ``max_rules`` to the driver, and only of more the checks are jobs."""
+    brings up to ``max_rules`` (and ``COMPILED_RULES``) to the driver, and only of more the checks are jobs."""
+    max_rules = min(max_rules, COMPILED_RULES)
     rules = current_rules(formulas, version)
     if dialect == "concat" and syntax == "strict":
         rules = only_valid(rules, on_invalid)
@@ -225,12 +229,7 @@ def _apply_compiled(df, rows, category, mode, order, syntax, dialect) -> DataFra
 
     _check_targets(df, list(rules))
     texts = dict.fromkeys(f for by_formula in rules.values() for f in by_formula)
-    if dialect == "sql":
-        check_sql(df, list(texts))
-    else:
-        found = [p for f in texts for p in problems(df, f, syntax)]
-        if found:
-            raise FormulaError(found)
+    _check_texts(df, list(texts), syntax, dialect)
 
     if mode == "sequential" and order == AUTO:
         return _apply_in_layers(df, rows, actual, category, syntax, dialect)
@@ -332,21 +331,33 @@ def check_sql(df: DataFrame, texts: Sequence[str]) -> None:
         raise FormulaError(found)
 
 
-def _apply_sql_texts(
-    df, rules, category, mode, order, limit_bytes, hot_rows, max_texts, keys_from
+def _check_texts(df: DataFrame, texts: Sequence[str], syntax: str, dialect: str) -> None:
+    """Raise one error naming every formula that cannot be applied to ``df``, and why."""
+    if dialect == "sql":
+        check_sql(df, texts)
+        return
+    found = [p for f in texts for p in problems(df, f, syntax)]
+    if found:
+        raise FormulaError(found)
+
+
+def _apply_texts(
+    df, rules, category, mode, order, syntax, dialect, limit_bytes, hot_rows, max_texts, keys_from
 ) -> DataFrame:
-    """Many SQL rules of few distinct texts: each text is planned once, and a category brings
-    the number of its text."""
+    """Many rules of few distinct texts: each text is planned once, and a category brings the
+    number of its text."""
     texts = rules.select("field_name", "formula").distinct().limit(max_texts + 1).collect()
     if len(texts) > max_texts:
-        raise ValueError(f"more than {max_texts} distinct SQL formulas; raise max_rules to plan them")
+        raise ValueError(f"more than {max_texts} distinct formulas cannot be compiled; raise max_rules to plan them")
     actual, fold = _actual(df), folding(df.sparkSession)
     numbered: dict[str, list[str]] = defaultdict(list)
     for r in sorted(texts):
-        numbered[actual.get(r["field_name"], r["field_name"])].append(r["formula"])
+        numbered[actual.get(fold(r["field_name"]), r["field_name"])].append(r["formula"])
     targets = sorted(numbered)
+    if not targets:
+        return df
     _check_targets(df, targets)
-    check_sql(df, list(dict.fromkeys(f for fs in numbered.values() for f in fs)))
+    _check_texts(df, list(dict.fromkeys(f for fs in numbered.values() for f in fs)), syntax, dialect)
 
     number = F.lit(None).cast("int")
     for field, formulas in numbered.items():
@@ -355,7 +366,7 @@ def _apply_sql_texts(
         number = F.when(here, F.array_position(listed, F.col("formula")).cast("int")).otherwise(number)
     layer = F.lit(0)
     if mode == "sequential" and order == AUTO:
-        read = {f: sorted(_read_by(df, f, "", "sql")) for fs in numbered.values() for f in fs}
+        read = {f: sorted(_read_by(df, f, syntax, dialect)) for fs in numbered.values() for f in fs}
         listed = F.create_map(*[x for f, names in read.items() for x in (F.lit(f), F.array(*map(F.lit, names)).cast("array<string>"))])
         rules = _with_layers(rules, F.element_at(listed, F.col("formula")))
         layer = F.col("layer")
@@ -363,15 +374,17 @@ def _apply_sql_texts(
     rows = rules.select(F.col("category_id").alias("__category"), "field_name", rule.alias("rule"))
     wide = pivot_wide(rows, ["__category"], "field_name", "rule", values=[fold(t) for t in targets])
     wide = wide.toDF("__category", *[f"__text_{i}" for i in range(len(targets))])
-    df = df.withColumn("__category", col(category).cast(wide.schema["__category"].dataType))
+    df = df.withColumn("__category", _as_key(df, category, wide))
     keys = _narrow_keys(keys_from, category, wide)
     df = lookup_join(df, wide, "__category", "left", limit_bytes, hot_rows, keys_from=keys)
 
     def value(i: int, field: str, layer: int | None = None) -> Column:
-        rule = col(f"__text_{i}")
-        result = F.when(_idle(rule, layer), col(field))
+        rule, target_type = col(f"__text_{i}"), df.schema[field].dataType
+        # Without this cast, ANSI mode would coerce text to the type of a numeric target.
+        result = F.when(_idle(rule, layer), col(field) if dialect == "sql" else col(field).cast("string"))
         for k, text in enumerate(numbered[field], start=1):
-            result = result.when(rule["number"] == k, F.expr(text).cast(df.schema[field].dataType))
+            made = F.expr(text).cast(target_type) if dialect == "sql" else compile_formula(df, text, syntax)
+            result = result.when(rule["number"] == k, made)
         return result
 
     values = {f: i for i, f in enumerate(targets)}
@@ -388,6 +401,15 @@ def _apply_sql_texts(
     return df.drop("__category", *[f"__text_{i}" for i in values.values()])
 
 
+def _as_key(df: DataFrame, category: str, wide: DataFrame) -> Column:
+    """The category in the type of the rules'; null where that would change it, so that it fits no rule."""
+    kind = wide.schema["__category"].dataType
+    if df.select(col(category)).schema[0].dataType == kind:
+        return col(category)
+    key = col(category).try_cast(kind)
+    return F.when(key == col(category), key)
+
+
 def _idle(rule: Column, layer: int | None) -> Column:
     """Whether a row's rule says nothing, or not in this layer."""
     return rule.isNull() if layer is None else rule.isNull() | (rule["layer"] != layer)

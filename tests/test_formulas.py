@@ -1,13 +1,13 @@
 import re
 
 import pytest
-from conftest import physical_plan, rows
+from conftest import optimized_plan, physical_plan, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fieldloom.functions import inspect
-from fieldloom.functions.applying import apply
+from fieldloom.functions.applying import COMPILED_RULES, apply, rule_set
 from fieldloom.functions.compiling import (
     FormulaError, compile_formula, compile_map, formula_parts,
 )
@@ -434,3 +434,32 @@ def test_a_rule_for_no_field_has_one_meaning(spark, form):
     rules = spark.createDataFrame([(1, None, "b", 1), (1, "x", "c", 2)], FORMULA_SCHEMA)
     with pytest.raises(FormulaError, match="a rule for no field"):
         apply(df, rules, form=form)
+
+
+def test_of_many_rules_only_the_distinct_formulas_reach_the_driver(spark):
+    items = spark.range(1500).selectExpr("id category_id", "cast(id as int) target", "'n' || id note", "'x' a")
+    table = spark.range(1400).selectExpr(
+        "id category_id", "explode(array('target', 'note')) field_name", "CASE WHEN id % 2 = 0 THEN '[a]&\"z\"' ELSE '[target]&\"b\"' END formula",
+        "1L formula_id")
+    assert len(rule_set(table, max_rules=10**6).rows or ()) <= COMPILED_RULES
+    expected = rows(apply(items, table, form="lookup"))
+    order = ["target", "note"]
+    for form, many in (("compiled", 10**6), ("compiled", 5), ("auto", 10**6)):
+        found = apply(items, table, form=form, max_rules=many)
+        assert rows(found) == expected
+        assert len(optimized_plan(found)) < 20_000  # no list of categories
+        again = apply(items, table, form=form, max_rules=many, mode="sequential", order=order)
+        assert rows(again) == rows(apply(items, table, form="lookup", mode="sequential", order=order))
+    ordered = apply(items, table.where("field_name = 'note'"), form="compiled", mode="sequential", order="auto", max_rules=10**6)
+    assert {r["note"] for r in ordered.where("category_id = 1").collect()} == {"1b"}
+    with pytest.raises(ValueError):
+        apply(items, table, form="compiled", max_rules=3)
+    with pytest.raises(FormulaError, match="unknown column 'a'"):
+        apply(items.drop("a"), table, form="compiled", max_rules=10**6)
+
+
+def test_a_category_that_is_no_whole_number_fits_no_rule(spark):
+    items = spark.sql("SELECT explode(array(1D, 1.5D, double('NaN'), null)) category_id, 'kept' target")
+    table = spark.range(600).selectExpr("id category_id", "'target' field_name", "'made' formula", "1L formula_id")
+    found = apply(items, table, form="compiled", max_rules=10**6)
+    assert sorted(r["target"] for r in found.collect()) == ["kept", "kept", "kept", "made"]
