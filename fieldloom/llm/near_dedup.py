@@ -197,6 +197,11 @@ def _with_labels(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
+def _listed(classes: DataFrame) -> DataFrame:
+    """A row for each of a class's ``tokens``."""
+    return classes.withColumn("token", F.explode("tokens")).drop("tokens")
+
+
 def _hub_pairs(rows: DataFrame, divided: DataFrame, percent: int) -> DataFrame:
     """(a, b): each class of a long list with one hub of its lists that it may be similar to."""
     at_least = matches(percent)
@@ -413,16 +418,18 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", pe
     short = postings.join(lists.where(F.col("n") <= LONG_LIST), "token").select("token", "node", F.col("node").alias("comp"), F.lit(-(2**63)).alias("major"), F.lit(0).cast("long").alias("n_major"), F.col("n").alias("n_minor"))
     placed = _placed(short)
     if not long_lists.isEmpty():
-        members = cut(postings.join(long_lists.select("token"), "token").join(prefixed.select("node", "n_shingles", "signature"), "node"))
+        # A row for each class: labels are joined to classes, not to their postings.
+        tokens_held = postings.join(long_lists.select("token"), "token").groupBy("node").agg(F.collect_list("token").alias("tokens"))
+        members = cut(tokens_held.join(prefixed.select("node", "n_shingles", "signature"), "node"))
         divided = long_lists.select("token", F.lit(-(2**63)).alias("major"), F.lit(0).cast("long").alias("n_major"), F.col("n").alias("n_minor"))
         for _ in range(HUB_ROUNDS):
-            bundles = cut(_bundled(_hub_pairs(_with_labels(members, labels), divided.where(F.col("n_minor") > LONG_LIST), percent), percent))
+            bundles = cut(_bundled(_hub_pairs(_listed(_with_labels(members, labels)), divided.where(F.col("n_minor") > LONG_LIST), percent), percent))
             confirmed.append(cut(_links(docs, doc, text, width, bundles, percent)))
             labels = _labels(reduce(DataFrame.unionByName, confirmed))
-            divided = cut(_divided(_with_labels(members.select("token", "node"), labels)))
+            divided = cut(_divided(_listed(_with_labels(members.select("node", "tokens"), labels))))
             if divided.where(F.col("n_minor") > LONG_LIST).isEmpty():
                 break
-        placed = placed.unionByName(_placed(_with_labels(members.select("token", "node"), labels).join(divided, "token")))
+        placed = placed.unionByName(_placed(_listed(_with_labels(members.select("node", "tokens"), labels)).join(divided, "token")))
     bundles = cut(_candidates(_cells(_with_labels(prefixed.drop("prefix"), labels), placed), percent))
     confirmed.append(_links(docs, doc, text, width, bundles, percent))
     parts = components(reduce(DataFrame.unionByName, confirmed))

@@ -146,6 +146,22 @@ def test_groups_that_hubs_do_not_join(spark, monkeypatch):
     assert got(near_dedup.near_duplicates(documents(spark, rows)), "doc", "n_shingles", "component") == plain_near(rows)
 
 
+def test_labels_meet_each_class_once_not_each_of_its_postings(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LONG_LIST", 10)
+    met = []
+
+    def with_labels(rows, labels, f=near_dedup._with_labels):
+        met.append((rows.count(), rows.select("node").distinct().count()))
+        return f(rows, labels)
+
+    monkeypatch.setattr(near_dedup, "_with_labels", with_labels)
+    base = prose(81, 200).split()
+    rows = list(enumerate(edited(k, base, 1) for k in range(200)))
+    found = got(near_dedup.near_duplicates(documents(spark, rows)), "doc", "component")
+    assert found == sorted([(i, 0) for i, _ in rows], key=repr)
+    assert len(met) >= 4 and all(n == classes for n, classes in met)
+
+
 def test_near_dedup_from_80(spark):
     base = prose(15, 300).split()
     rows = list(enumerate(edited(k, base[::-1] if k % 2 else base, e) for k, e in enumerate([0, 0, 5, 6, 5, 6, 9, 9])))
