@@ -11,7 +11,8 @@ prefixes of documents that merely contain the passage. The frequent tokens are c
 and are at most 2^18 by construction (a floor on their share), which bounds what is broadcast.
 
 Long lists first lose what a few comparisons settle: in each round every long list names a hub (its
-first class by hash that is outside the list's largest component), its members are held against the
+most central class outside the list's largest component: the one whose tokens most classes hold, so the
+text that copies were made from rather than one of the copies, which are often similar to it alone), its members are held against the
 hub, each class is linked to at most one hub, and confirmed links are contracted. So of a large group of near copies one
 pair a class and round is written, and the group is one component after a round or two. Then the lists
 that still hold several components are merged in cells of at most about ``BLOCK`` x ``BLOCK``
@@ -122,7 +123,9 @@ def _frequent(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _with_prefixes(classes: DataFrame, tokens: np.ndarray, counts: np.ndarray, percent: int) -> DataFrame:
-    """``classes`` with their prefix: its tokens, and a bit for each of its coordinates."""
+    """``classes`` with their prefix: its tokens, and a bit for each of its coordinates; ``central``
+    grows with the number of classes that hold a class's tokens, by their logarithms: a passage that
+    very many hold counts little more than a group's own text."""
     spark = classes.sparkSession
     length = COORDINATES - matches(percent) + 1
     held = spark.sparkContext.broadcast((tokens, counts))
@@ -136,12 +139,13 @@ def _with_prefixes(classes: DataFrame, tokens: np.ndarray, counts: np.ndarray, p
             seen = np.where(known[at] == own, n[at], 0)
         first = np.argsort(seen, axis=1, kind="stable")[:, :length]  # ties: the smaller coordinate
         bits = np.bitwise_or.reduce(U(1) << first.astype(U), axis=1).view(np.int64)
+        central = np.log1p(seen).sum(axis=1)
         prefix = pa.ListArray.from_arrays(np.arange(0, own.shape[0] * length + 1, length, dtype=np.int32), np.take_along_axis(own, first, 1).ravel())
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits), prefix], names=["node", "key", "n_shingles", "signature", "bits", "prefix"])
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits), pa.array(central), prefix], names=["node", "key", "n_shingles", "signature", "bits", "central", "prefix"])
 
     return map_arrow(
         classes.select("node", "key", "n_shingles", "signature"), each,
-        "node long, key binary, n_shingles long, signature binary, bits long, prefix array<long>",
+        "node long, key binary, n_shingles long, signature binary, bits long, central double, prefix array<long>",
     )
 
 
@@ -181,10 +185,14 @@ def _cells(classes: DataFrame, placed: DataFrame) -> DataFrame:
 
 def _labels(links: DataFrame) -> DataFrame:
     """(node, comp): a label for each linked class; classes of one label are connected. Each points
-    at its first neighbour by hash, then at where that points, twice: enough for hubs."""
-    ordered = lambda p, q: F.struct(F.xxhash64(p), F.col(p)) < F.struct(F.xxhash64(q), F.col(q))
-    up = links.where("a <> b").select(F.when(ordered("a", "b"), F.col("b")).otherwise(F.col("a")).alias("node"), F.when(ordered("a", "b"), F.col("a")).otherwise(F.col("b")).alias("comp"))
-    up = cut(up.groupBy("node").agg(F.min_by("comp", F.struct(F.xxhash64("comp"), F.col("comp"))).alias("comp")))
+    at itself or the neighbour that has more links, by hash among equal ones, then at where that
+    points, twice: enough for hubs."""
+    both = links.where("a <> b").select(F.col("a").alias("node"), F.col("b").alias("comp"))
+    both = both.unionByName(both.select(F.col("comp").alias("node"), F.col("node").alias("comp")))
+    links_of = cut(both.groupBy("node").agg(F.count(F.lit(1)).alias("n")))
+    rank = F.struct("n", F.xxhash64("comp").alias("h"), F.col("comp").alias("id"))
+    found = both.join(links_of.select(F.col("node").alias("comp"), "n"), "comp").unionByName(links_of.withColumn("comp", F.col("node")))
+    up = cut(found.groupBy("node").agg(F.max(rank).alias("most")).select("node", F.col("most.id").alias("comp")))
     for _ in range(2):
         over = up.select(F.col("node").alias("comp"), F.col("comp").alias("further"))
         up = cut(up.join(over, "comp", "left").select("node", F.coalesce("further", "comp").alias("comp")))
@@ -205,21 +213,21 @@ def _listed(classes: DataFrame) -> DataFrame:
 def _hub_pairs(rows: DataFrame, divided: DataFrame, percent: int) -> DataFrame:
     """(a, b): each class of a long list with one hub of its lists that it may be similar to."""
     at_least = matches(percent)
-    rows = rows.join(divided, "token").select("token", "node", "comp", "n_shingles", "signature", _minor().alias("minor")).withColumnRenamed("n_shingles", "n")
-    order = F.struct(F.xxhash64("node"), F.col("node"))
-    hub = F.struct(F.col("node").alias("hub"), F.col("comp").alias("hub_comp"), F.col("n").alias("hub_n"), F.col("signature").alias("hub_signature"))
+    rows = rows.join(divided, "token").select("token", "node", "comp", "n_shingles", "signature", "central", _minor().alias("minor")).withColumnRenamed("n_shingles", "n")
+    order = F.struct(-F.col("central"), F.xxhash64("node"), F.col("node"))
+    hub = F.struct(F.col("node").alias("hub"), F.col("central").alias("hub_central"), F.col("comp").alias("hub_comp"), F.col("n").alias("hub_n"), F.col("signature").alias("hub_signature"))
     hubs = cut(rows.where("minor").groupBy("token").agg(F.min_by(hub, order).alias("h")).select("token", "h.*"))
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        n, m = batch.column(1).to_numpy(), batch.column(4).to_numpy()
+        n, m = batch.column(1).to_numpy(), batch.column(5).to_numpy()
         fits = np.minimum(n, m) * 100 >= percent * np.maximum(n, m)
-        fits[fits] = (_matrix(batch.column(2).filter(pa.array(fits))) == _matrix(batch.column(5).filter(pa.array(fits)))).sum(axis=1) >= at_least
-        return pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(fits)), batch.column(3).filter(pa.array(fits))], names=["node", "hub"])
+        fits[fits] = (_matrix(batch.column(2).filter(pa.array(fits))) == _matrix(batch.column(6).filter(pa.array(fits)))).sum(axis=1) >= at_least
+        return pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(fits)) for k in (0, 3, 4)], names=["node", "hub", "central"])
 
-    met = rows.join(hubs, "token").where("comp <> hub_comp").select("node", "n", "signature", "hub", "hub_n", "hub_signature")
-    near = map_arrow(met, each, "node long, hub long")
-    # The first hub by hash: most of a group then choose the same one.
-    return near.groupBy("node").agg(F.min_by("hub", F.struct(F.xxhash64("hub"), F.col("hub"))).alias("hub")).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    met = rows.join(hubs, "token").where("comp <> hub_comp").select("node", "n", "signature", "hub", "hub_central", "hub_n", "hub_signature")
+    near = map_arrow(met, each, "node long, hub long, central double")
+    # The most central hub: most of a group then choose the same one.
+    return near.groupBy("node").agg(F.min_by("hub", F.struct(-F.col("central"), F.xxhash64("hub"), F.col("hub"))).alias("hub")).select(F.col("node").alias("a"), F.col("hub").alias("b"))
 
 
 def _bundled(pairs: DataFrame, percent: int) -> DataFrame:
@@ -384,7 +392,8 @@ def _links(docs: DataFrame, doc: str, text: str, width: int, bundles: DataFrame,
 
     # Documents that are in no bundle are filtered out where they lie, before Python: no text is shuffled.
     texts = docs.select(F.col(doc).cast("long").alias("node"), F.col(text).alias("text"))
-    some, _ = parted(texts, "node", members, "node")
+    # A class is in many bundles; the filter takes it once.
+    some, _ = parted(texts, "node", cut(members.select("node").distinct()), "node")
     sets = map_arrow(some, each, "node long, shingles binary")
 
     def run(pairs: pa.Table, held: pa.Table) -> pa.Table:
@@ -420,7 +429,7 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", pe
     if not long_lists.isEmpty():
         # A row for each class: labels are joined to classes, not to their postings.
         tokens_held = postings.join(long_lists.select("token"), "token").groupBy("node").agg(F.collect_list("token").alias("tokens"))
-        members = cut(tokens_held.join(prefixed.select("node", "n_shingles", "signature"), "node"))
+        members = cut(tokens_held.join(prefixed.select("node", "n_shingles", "signature", "central"), "node"))
         divided = long_lists.select("token", F.lit(-(2**63)).alias("major"), F.lit(0).cast("long").alias("n_major"), F.col("n").alias("n_minor"))
         for _ in range(HUB_ROUNDS):
             bundles = cut(_bundled(_hub_pairs(_listed(_with_labels(members, labels)), divided.where(F.col("n_minor") > LONG_LIST), percent), percent))

@@ -146,6 +146,25 @@ def test_groups_that_hubs_do_not_join(spark, monkeypatch):
     assert got(near_dedup.near_duplicates(documents(spark, rows)), "doc", "n_shingles", "component") == plain_near(rows)
 
 
+def test_copies_that_only_their_source_joins_write_few_pairs(spark, monkeypatch):
+    """Copies of one text with edits of their own: each is near that text, no two are near each other."""
+    monkeypatch.setattr(near_dedup, "LONG_LIST", 10)
+    written, named = counted_pairs(monkeypatch), []
+
+    def parted(docs, key, ids, id_, f=near_dedup.parted):
+        named.append((ids.count(), ids.distinct().count()))
+        return f(docs, key, ids, id_)
+
+    monkeypatch.setattr(near_dedup, "parted", parted)
+    base = prose(91, 300).split()
+    rows = [(1000, " ".join(base)), *enumerate(edited(k, base, 4) for k in range(120))]
+    found = near_dedup.near_duplicates(documents(spark, rows))
+    assert got(found, "doc", "n_shingles", "component") == plain_near(rows)
+    assert {c for _, _, c in plain_near(rows)} == {0} and len({c for _, _, c in plain_near(rows[1:])}) == 120
+    assert sum(written) <= 4 * 120
+    assert all(n == distinct for n, distinct in named)
+
+
 def test_labels_meet_each_class_once_not_each_of_its_postings(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "LONG_LIST", 10)
     met = []
