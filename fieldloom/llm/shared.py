@@ -18,10 +18,16 @@ from pyspark.sql.types import StructType
 from fieldloom.operators.bloom import bloom_filter, filter_bits, might_contain
 
 _SHIPPED: set[str] = set()
+#: Bytes of an Arrow batch on its way to Python, unless the session names a size. Spark's own limit of
+#: 10,000 rows takes 20 MB of usual texts, which each task holds several times: outside the executor's heap and in Python.
+BATCH_BYTES = "4m"
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package, once for each application."""
+    """Give the Python workers this package, once for each application, and batches of a bounded size."""
+    if spark.conf.get(_BATCH_KEY, None) is None:
+        spark.conf.set(_BATCH_KEY, BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         _SHIPPED.add(app)

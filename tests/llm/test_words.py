@@ -4,8 +4,10 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from fieldloom.llm import words as W
+from fieldloom.llm.shared import map_arrow
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="aAbé \t\n\x0b\x85\xa0z09-ß日", max_size=30)), max_size=8)
 
@@ -36,3 +38,25 @@ def test_rolling_and_prefix_hashes():
     assert hashes[0] == hashes[1] == hashes[3] != hashes[2]
     assert not set(hashes.tolist()) & set(words.hashes.tolist())
     assert np.array_equal(W.text_bytes(pa.array([None, "ab"]))[1], [0, 0, 2])
+
+
+def test_batches_to_python_are_bounded(spark):
+    """6,000 rows of 2 kB in one partition come in batches of a few MB, or as the session says."""
+    rows = spark.range(0, 6000, 1, 1).select("id", F.repeat(F.lit("x"), 2000).alias("t"))
+
+    def each(batch):
+        return pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    def sizes():
+        found = map_arrow(rows, each, "n long, size long").collect()
+        assert sum(r.n for r in found) == 6000
+        return max(r.size for r in found)
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    assert sizes() < 6e6
+    spark.conf.set(key, "1m")
+    try:
+        assert sizes() < 2e6
+    finally:
+        spark.conf.unset(key)
